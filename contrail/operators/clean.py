@@ -69,9 +69,7 @@ def quarantine(df: DataFrame, required: Sequence[str] = ()) -> tuple[DataFrame,
     Bad rows are malformed or mistyped lines (``_corrupt_record`` set) and rows missing
     a required field. Good rows lose the corrupt column.
     """
-    bad_cond = F.col(CORRUPT_COL).isNotNull()
-    for c in required:
-        bad_cond = bad_cond | F.col(c).isNull()
+    bad_cond = _bad(df, required)
     good = df.where(~bad_cond).drop(CORRUPT_COL)
     bad = df.where(bad_cond)
     return good, bad
@@ -79,7 +77,20 @@ def quarantine(df: DataFrame, required: Sequence[str] = ()) -> tuple[DataFrame,
 
 def quarantine_status(df: DataFrame, required: Sequence[str] = ()) -> DataFrame:
     """Adds ``status`` = 'accepted' / 'quarantined' (same rule as :func:`quarantine`)."""
-    bad_cond = F.col(CORRUPT_COL).isNotNull()
+    return df.withColumn("status", F.when(_bad(df, required), "quarantined").otherwise("accepted"))
+
+
+def _bad(df: DataFrame, required: Sequence[str]) -> Column:
+    """Corrupt line, missing required field, or a record with no field at all.
+
+    The last rule references every data column; the JSON reader only parses (and so only
+    type-checks) the columns a query needs, so this also makes the corrupt flag cover
+    every field even when the caller only counts statuses.
+    """
+    data = [c for c in df.columns if c != CORRUPT_COL]
+    cond = F.col(CORRUPT_COL).isNotNull()
     for c in required:
-        bad_cond = bad_cond | F.col(c).isNull()
-    return df.withColumn("status", F.when(bad_cond, "quarantined").otherwise("accepted"))
+        cond = cond | F.col(c).isNull()
+    if data:
+        cond = cond | ~F.greatest(*[F.col(c).isNotNull() for c in data], F.lit(False))
+    return cond
