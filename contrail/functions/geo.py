@@ -8,7 +8,7 @@ Vincenty iterations for metre accuracy. Both return kilometres as DOUBLE, rounde
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # WGS-84 ellipsoid.
 WGS84_A_KM = 6378.137
@@ -96,6 +96,35 @@ def route_km(lat1, lon1, lat2, lon2, method: str = "lambert", digits: int | None
     return F.round(d, digits) if digits is not None else d
 
 
+def add_route_km(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str, out: str = "route_length",
+                 digits: int = 3) -> DataFrame:
+    """``df`` plus column ``out`` = Lambert length in km, computed in staged projections.
+
+    Same value as ``route_km(..., 'lambert')``. Each stage is a small expression over the
+    previous stage's columns, so the reduced latitudes and the central angle are computed
+    once per row instead of being repeated inside one large expression tree (and inside
+    any filter Catalyst pushes below it). NaN coordinates count as unknown (NULL).
+    """
+    c = lambda n: F.col(n)
+    clean = lambda n: F.when(F.isnan(c(n)), F.lit(None).cast("double")).otherwise(c(n))
+    tmp = ["_g_b1", "_g_b2", "_g_dl", "_g_sig", "_g_p", "_g_q", "_g_hc2", "_g_hs2", "_g_ss"]
+    df = df.withColumns({"_g_b1": reduced_latitude(clean(lat1)), "_g_b2": reduced_latitude(clean(lat2)),
+                         "_g_dl": F.radians(clean(lon2) - clean(lon1))})
+    h = (_sq(F.sin((c("_g_b2") - c("_g_b1")) / 2))
+         + F.cos(c("_g_b1")) * F.cos(c("_g_b2")) * _sq(F.sin(c("_g_dl") / 2)))
+    df = df.withColumn("_g_sig", F.lit(2.0) * F.asin(F.sqrt(F.least(h, F.lit(1.0)))))
+    df = df.withColumns({"_g_p": (c("_g_b1") + c("_g_b2")) / 2, "_g_q": (c("_g_b2") - c("_g_b1")) / 2,
+                         "_g_hc2": _sq(F.cos(c("_g_sig") / 2)), "_g_hs2": _sq(F.sin(c("_g_sig") / 2)),
+                         "_g_ss": F.sin(c("_g_sig"))})
+    x = (c("_g_sig") - c("_g_ss")) * _sq(F.sin(c("_g_p"))) * _sq(F.cos(c("_g_q")))
+    y = (c("_g_sig") + c("_g_ss")) * _sq(F.cos(c("_g_p"))) * _sq(F.sin(c("_g_q")))
+    d = F.lit(WGS84_A_KM) * (c("_g_sig") - F.lit(WGS84_F / 2) * (x / c("_g_hc2") + y / c("_g_hs2")))
+    length = (F.when(c("_g_sig") == 0, F.lit(0.0))
+               .when(c("_g_hc2") == 0, F.lit(None).cast("double"))
+               .otherwise(d))
+    return df.withColumn(out, F.round(length, digits)).drop(*tmp)
+
+
 def is_approx(length_km: Column) -> Column:
     return length_km > F.lit(APPROX_ABOVE_KM)
 
@@ -118,5 +147,5 @@ def lambert_sql(lat1: str, lon1: str, lat2: str, lon2: str, digits: int = 3) ->
     return (f"round(CASE WHEN {sigma} = 0 THEN 0.0 WHEN {hc2} = 0 THEN NULL ELSE {d} END, {digits})")
 
 
-__all__ = ["route_km", "lambert_km", "vincenty5_km", "haversine_km", "is_approx", "lambert_sql",
+__all__ = ["route_km", "add_route_km", "lambert_km", "vincenty5_km", "haversine_km", "is_approx", "lambert_sql",
            "APPROX_ABOVE_KM"]

@@ -28,8 +28,11 @@ def argmax_global(df: DataFrame, col: str) -> DataFrame:
     back into an equi-join; nothing is collected to the driver and no single-partition
     window is used.
     """
-    mx = df.agg(F.max(col).alias("_max"))
-    return df.join(one_row(mx), F.col(col) == F.col("_max"), "inner").drop("_max")
+    mx = df.agg(F.max(col).alias("_max")).where(F.col("_max").isNotNull())
+    # NULL-safe equality against a non-NULL maximum selects the same rows as ``=``, but
+    # keeps Catalyst from inferring ``col IS NOT NULL`` and pushing a (possibly costly)
+    # computed ``col`` below its projection into the scan or an earlier join.
+    return df.join(one_row(mx), F.col(col).eqNullSafe(F.col("_max")), "inner").drop("_max")
 
 
 def argmax_by_group(df: DataFrame, col: str, by: Sequence[str] | str) -> DataFrame:
@@ -40,9 +43,9 @@ def argmax_by_group(df: DataFrame, col: str, by: Sequence[str] | str) -> DataFra
     compare NULL-safe (a NULL group is a group, as in a window partition).
     """
     by = [by] if isinstance(by, str) else list(by)
-    mx = df.groupBy(*by).agg(F.max(col).alias("_max"))
+    mx = df.groupBy(*by).agg(F.max(col).alias("_max")).where(F.col("_max").isNotNull())
     mx = mx.select(*[F.col(b).alias(f"_k_{b}") for b in by], "_max")
-    cond = F.col(col) == F.col("_max")
+    cond = F.col(col).eqNullSafe(F.col("_max"))  # see argmax_global
     for b in by:
         cond = cond & df[b].eqNullSafe(F.col(f"_k_{b}"))
     return df.join(mx, cond, "inner").drop("_max", *[f"_k_{b}" for b in by])

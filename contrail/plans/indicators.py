@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from contrail.functions.geo import is_approx, route_km
+from contrail.functions.geo import add_route_km, is_approx, route_km
 from contrail.operators.bridge import airline_bridge
 from contrail.operators.clean import active_flights, drop_nullish, unique_by_key
 from contrail.operators.groups import approx_distinct_count_by
@@ -53,11 +53,29 @@ def with_route_length(flights: DataFrame, airports: DataFrame, method: str = "la
                "origin_airport_iata", "left")
          .join(_end(ap, "destination_airport_iata", "_d", {"latitude": "lat", "longitude": "lon"}),
                "destination_airport_iata", "left"))
-    length = route_km("_olat", "_olon", "_dlat", "_dlon", method=method)
-    return (f.withColumn("route_length", length)
+    if method == "lambert":
+        f = add_route_km(f, "_olat", "_olon", "_dlat", "_dlon", "route_length")
+    else:
+        f = f.withColumn("route_length", route_km("_olat", "_olon", "_dlat", "_dlon", method=method))
+    return (f.withColumn("route_known", _both_ends_known())
              .withColumn("route_approx", is_approx(F.col("route_length")))
              .drop("_olat", "_olon", "_dlat", "_dlon")
-             .select(*flights.columns, "route_length", "route_approx"))
+             .select(*flights.columns, "route_length", "route_approx", "route_known"))
+
+
+def _both_ends_known():
+    """Cheap stand-in for ``route_length IS NOT NULL`` (NaN coordinates count as unknown).
+
+    Filters on the computed length would be pushed below its projection and re-evaluate
+    the whole formula; this predicate only reads the joined coordinates. The one case it
+    keeps that the length drops (exact antipodes, NULL length) never matches a maximum
+    and is excluded from averages by ``avg`` itself.
+    """
+    ok = None
+    for n in ("_olat", "_olon", "_dlat", "_dlon"):
+        p = F.col(n).isNotNull() & ~F.isnan(F.col(n))
+        ok = p if ok is None else ok & p
+    return ok
 
 
 def with_continents(flights: DataFrame, continents: DataFrame) -> DataFrame:
@@ -155,10 +173,13 @@ def route_length(flights: DataFrame, airports: DataFrame, method: str = "lambert
         "id", "origin_airport_iata", "destination_airport_iata", "route_length", "route_approx")
 
 
+
 def q3_longest_active_route(flights: DataFrame, airports: DataFrame, method: str = "lambert") -> DataFrame:
     """Airborne flight(s) with the longest route (ties kept)."""
-    r = active_flights(with_route_length(flights, airports, method))
-    r = drop_nullish(r, ["route_length"])
+    f = active_flights(flights.select("id", "aircraft_code", "airline_icao", "callsign", "on_ground",
+                                      "origin_airport_iata", "destination_airport_iata"))
+    r = with_route_length(f, airports, method).where(F.col("route_known"))
+    # argmax's equi-join never matches a NULL length, so no filter on the length itself.
     return argmax_global(r, "route_length").select("id", "aircraft_code", "airline_icao", "callsign",
                                                    "route_length")
 
@@ -169,11 +190,14 @@ def q4_avg_route_by_continent(flights: DataFrame, airports: DataFrame, zones: Da
     f = flights.select("id", "on_ground", "origin_airport_iata", "destination_airport_iata")
     if active_only:
         f = active_flights(f)
-    r = drop_nullish(with_route_length(f, airports, method), ["route_length"])
+    r = with_route_length(f, airports, method).where(F.col("route_known"))
     cont = continent_assign(airports, zones).where(F.col("continent").isNotNull())
     r = r.join(_end(cont, "origin_airport_iata", "origin_", {"continent": "continent"}),
                "origin_airport_iata", "inner")
-    return r.groupBy("origin_continent").agg(F.round(F.avg("route_length"), 6).alias("average_route_distance"))
+    agg = r.groupBy("origin_continent").agg(F.round(F.avg("route_length"), 6).alias("average_route_distance"),
+                                            F.count("route_length").alias("_n"))
+    # A continent appears only if it has at least one route with a length.
+    return agg.where(F.col("_n") > 0).drop("_n")
 
 
 # ---------------------------------------------------------------- Q5
