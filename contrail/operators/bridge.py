@@ -42,8 +42,8 @@ def airline_bridge(flights: DataFrame, airlines: DataFrame, active_only: bool =
     """
     f = active_flights(flights) if active_only else flights
     f = f.where(F.col("id").isNotNull()).select("id", "airline_iata", "airline_icao")
-    by_icao = bounded_broadcast(_best_airline_per(airlines, "airline_icao", 0))
-    by_iata = bounded_broadcast(_best_airline_per(airlines, "airline_iata", 1))
+    by_icao = bounded_broadcast(_best_airline_per(airlines, "airline_icao", 0), source=airlines)
+    by_iata = bounded_broadcast(_best_airline_per(airlines, "airline_iata", 1), source=airlines)
     j = (f.join(by_icao, f["airline_icao"] == by_icao["_k0"], "left")
           .join(by_iata, f["airline_iata"] == by_iata["_k1"], "left"))
     cand = j.select("id", F.coalesce("_m0", "_m1").alias("_c")).where(F.col("_c").isNotNull())

@@ -10,13 +10,29 @@ DIM_BROADCAST_MAX_ROWS = 2_000_000
 
 
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Bounded check: scans at most ``max_rows + 1`` rows of ``df``."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it provably has at most ``max_rows`` rows, else ``df`` unchanged."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+    """Bounded check: scans at most ``max_rows + 1`` rows of ``df``.
+
+    The answer is remembered on the DataFrame object, so one dimension that feeds several
+    joins of the same plan is checked once.
+    """
+    memo = getattr(df, "_contrail_bounds", None)
+    if memo is None:
+        memo = {}
+        setattr(df, "_contrail_bounds", memo)
+    if max_rows not in memo:
+        memo[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+    return memo[max_rows]
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS,
+                      source: DataFrame | None = None) -> DataFrame:
+    """``broadcast(df)`` if it provably has at most ``max_rows`` rows, else ``df`` unchanged.
+
+    ``source``: a frame whose row count bounds ``df``'s (``df`` derived from it by
+    filters, projections, lookups without fan-out or aggregation); the check runs on
+    ``source`` and is shared by every frame derived from it.
+    """
+    return F.broadcast(df) if row_count_at_most(source if source is not None else df, max_rows) else df
 
 
 def one_row(df: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from contrail.operators.joins import bounded_broadcast, row_count_at_most
+from contrail.operators.joins import DIM_BROADCAST_MAX_ROWS, bounded_broadcast, row_count_at_most
 
 MAX_BROADCAST_ZONES = 10_000
 
@@ -87,7 +87,10 @@ def assign_zone(points: DataFrame, zones: DataFrame, key: str = "iata_code", lat
         c = F.lit(cell_deg)
         p = points.withColumns({"_pcx": F.floor(px / c), "_pcy": F.floor(py / c)})
         cond = (F.col("_pcx") == F.col("_cx")) & (F.col("_pcy") == F.col("_cy")) & _inside(px, py, wrap)
-        joined = p.join(bounded_broadcast(cells), cond, "left").drop("_pcx", "_pcy", "_cx", "_cy")
+        # Cells per zone are bounded by the grid, so the zone count bounds the cell count.
+        per_zone = (int(360 // cell_deg) + 2) * (int(180 // cell_deg) + 2)
+        cells = bounded_broadcast(cells, max(1, DIM_BROADCAST_MAX_ROWS // per_zone), source=zones)
+        joined = p.join(cells, cond, "left").drop("_pcx", "_pcy", "_cx", "_cy")
     elif method != "broadcast":
         raise ValueError(f"unknown method {method!r}")
     w = Window.partitionBy(key).orderBy(F.col("_zorder").desc_nulls_last(), F.col("_zone").asc_nulls_last())

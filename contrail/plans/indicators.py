@@ -32,10 +32,15 @@ def continent_assign(airports: DataFrame, zones: DataFrame, method: str = "grid"
     return assign_zone(ap, zones, method=method, axes=axes).select("iata_code", "continent")
 
 
-def _end(dim: DataFrame, code: str, prefix: str, cols: dict[str, str]) -> DataFrame:
-    """Role-playing copy of an airport dimension, bounded-broadcast for the fact join."""
+def _end(dim: DataFrame, code: str, prefix: str, cols: dict[str, str], source: DataFrame) -> DataFrame:
+    """Role-playing copy of an airport-keyed dimension, bounded-broadcast for the fact join.
+
+    ``source`` is the airport table the dimension was derived from (one row per airport
+    at most), so the size check runs once on it for every copy.
+    """
     return bounded_broadcast(dim.select(F.col("iata_code").alias(code),
-                                        *[F.col(s).alias(f"{prefix}{t}") for s, t in cols.items()]))
+                                        *[F.col(s).alias(f"{prefix}{t}") for s, t in cols.items()]),
+                             source=source)
 
 
 # ---------------------------------------------------------------- enrichment
@@ -49,9 +54,9 @@ def with_route_length(flights: DataFrame, airports: DataFrame, method: str = "la
     """
     ap = unique_airports(airports)
     f = (flights
-         .join(_end(ap, "origin_airport_iata", "_o", {"latitude": "lat", "longitude": "lon"}),
+         .join(_end(ap, "origin_airport_iata", "_o", {"latitude": "lat", "longitude": "lon"}, airports),
                "origin_airport_iata", "left")
-         .join(_end(ap, "destination_airport_iata", "_d", {"latitude": "lat", "longitude": "lon"}),
+         .join(_end(ap, "destination_airport_iata", "_d", {"latitude": "lat", "longitude": "lon"}, airports),
                "destination_airport_iata", "left"))
     if method == "lambert":
         f = add_route_km(f, "_olat", "_olon", "_dlat", "_dlon", "route_length")
@@ -78,12 +83,13 @@ def _both_ends_known():
     return ok
 
 
-def with_continents(flights: DataFrame, continents: DataFrame) -> DataFrame:
+def with_continents(flights: DataFrame, airports: DataFrame, zones: DataFrame) -> DataFrame:
     """Adds ``origin_continent`` and ``destination_continent`` (broadcast left joins)."""
+    cont = continent_assign(airports, zones)
     return (flights
-            .join(_end(continents, "origin_airport_iata", "origin_", {"continent": "continent"}),
+            .join(_end(cont, "origin_airport_iata", "origin_", {"continent": "continent"}, airports),
                   "origin_airport_iata", "left")
-            .join(_end(continents, "destination_airport_iata", "destination_", {"continent": "continent"}),
+            .join(_end(cont, "destination_airport_iata", "destination_", {"continent": "continent"}, airports),
                   "destination_airport_iata", "left"))
 
 
@@ -142,7 +148,7 @@ def regional_flights(flights: DataFrame, airports: DataFrame, zones: DataFrame,
     continent at both ends): ``id, origin_airport_iata, destination_airport_iata,
     origin_continent, destination_continent``."""
     act = active_flights(flights, ["id", "origin_airport_iata", "destination_airport_iata"])
-    f = with_continents(act, continent_assign(airports, zones))
+    f = with_continents(act, airports, zones)
     f = drop_nullish(f, ["origin_continent"])
     if regional_only:
         f = f.where(F.col("origin_continent") == F.col("destination_continent"))
@@ -192,7 +198,7 @@ def q4_avg_route_by_continent(flights: DataFrame, airports: DataFrame, zones: Da
         f = active_flights(f)
     r = with_route_length(f, airports, method).where(F.col("route_known"))
     cont = continent_assign(airports, zones).where(F.col("continent").isNotNull())
-    r = r.join(_end(cont, "origin_airport_iata", "origin_", {"continent": "continent"}),
+    r = r.join(_end(cont, "origin_airport_iata", "origin_", {"continent": "continent"}, airports),
                "origin_airport_iata", "inner")
     agg = r.groupBy("origin_continent").agg(F.round(F.avg("route_length"), 6).alias("average_route_distance"),
                                             F.count("route_length").alias("_n"))
@@ -207,7 +213,7 @@ def q5_manufacturer_leader(flights: DataFrame, models: DataFrame) -> DataFrame:
     """``manufacturer, active_flights`` of the maker(s) with most airborne flights (ties kept)."""
     dim = unique_by_key(models.where(F.col("aircraft_code").isNotNull()), ["aircraft_code"], ["manufacturer"])
     act = active_flights(flights, ["id", "aircraft_code"])
-    j = act.join(bounded_broadcast(dim), "aircraft_code", "inner")
+    j = act.join(bounded_broadcast(dim, source=models), "aircraft_code", "inner")
     counts = j.groupBy("manufacturer").agg(F.count("id").alias("active_flights"))
     return argmax_global(counts, "active_flights")
 
@@ -220,7 +226,7 @@ def models_per_continent(flights: DataFrame, airports: DataFrame, zones: DataFra
         f = active_flights(f)
     f = drop_nullish(f, ["model"])
     cont = continent_assign(airports, zones).where(F.col("continent").isNotNull())
-    f = f.join(_end(cont, "origin_airport_iata", "origin_", {"continent": "continent"}),
+    f = f.join(_end(cont, "origin_airport_iata", "origin_", {"continent": "continent"}, airports),
                "origin_airport_iata", "inner")
     return f.groupBy("origin_continent", "model").agg(F.count("id").alias("active_flights"))
 
@@ -232,7 +238,8 @@ def models_per_country(flights: DataFrame, airports: DataFrame, clean: bool = Tr
     """``country_origin, aircraft_code, count_model``: flights per (origin country, model)."""
     ap = unique_airports(airports)
     f = flights.select("origin_airport_iata", "aircraft_code").join(
-        _end(ap, "origin_airport_iata", "", {"country": "country_origin"}), "origin_airport_iata", "left")
+        _end(ap, "origin_airport_iata", "", {"country": "country_origin"}, airports), "origin_airport_iata",
+        "left")
     if clean:
         f = drop_nullish(f, ["country_origin", "aircraft_code"])
     return f.groupBy("country_origin", "aircraft_code").agg(F.count(F.lit(1)).alias("count_model"))
@@ -278,6 +285,6 @@ def airport_flow_imbalance(flights: DataFrame, airports: DataFrame, active_only:
     if both_required:
         flows = flows.where((F.col("departures") > 0) & (F.col("arrivals") > 0))
     names = unique_airports(airports).select("iata_code", F.col("name").alias("airport_name"))
-    j = flows.join(bounded_broadcast(names), "iata_code", "inner" if known_only else "left")
+    j = flows.join(bounded_broadcast(names, source=airports), "iata_code", "inner" if known_only else "left")
     j = j.withColumn("abs_diff", F.abs(F.col("departures") - F.col("arrivals")))
     return argmax_global(j, "abs_diff").select("iata_code", "airport_name", "departures", "arrivals", "abs_diff")
