@@ -2,7 +2,7 @@
 
 Default method: Lambert's closed-form long-line correction on the WGS-84 ellipsoid,
 within about 0.06 km of the exact geodesic below 15 000 km. ``vincenty5`` unrolls five
-Vincenty iterations for metre accuracy. Both return kilometres as DOUBLE, rounded to
+Vincenty iterations for metre accuracy (staged projections, see ``add_route_km``). Both return kilometres as DOUBLE, rounded to
 ``digits`` decimals so that equality and max comparisons are stable.
 """
 
@@ -48,37 +48,47 @@ def lambert_km(lat1, lon1, lat2, lon2) -> Column:
              .otherwise(d))
 
 
-def vincenty5_km(lat1, lon1, lat2, lon2, iterations: int = 5) -> Column:
+def _add_vincenty_km(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str, out: str,
+                     iterations: int = 5) -> DataFrame:
+    """Vincenty inverse with ``iterations`` unrolled steps, one projection per step.
+
+    Every step only references the previous step's columns, so the plan grows linearly
+    with the number of iterations (a single nested expression would grow exponentially).
+    """
     a, b, f = WGS84_A_KM, WGS84_B_KM, WGS84_F
-    u1, u2 = reduced_latitude(_c(lat1)), reduced_latitude(_c(lat2))
-    big_l = F.radians(_c(lon2) - _c(lon1))
-    su1, cu1, su2, cu2 = F.sin(u1), F.cos(u1), F.sin(u2), F.cos(u2)
-    lam = big_l
+    c = F.col
+    df = df.withColumns({"_v_u1": reduced_latitude(c(lat1)), "_v_u2": reduced_latitude(c(lat2)),
+                         "_v_L": F.radians(c(lon2) - c(lon1))})
+    df = df.withColumns({"_v_su1": F.sin(c("_v_u1")), "_v_cu1": F.cos(c("_v_u1")),
+                         "_v_su2": F.sin(c("_v_u2")), "_v_cu2": F.cos(c("_v_u2")), "_v_lam": c("_v_L")})
+
+    def geometry(d: DataFrame) -> DataFrame:
+        sl, cl = F.sin(c("_v_lam")), F.cos(c("_v_lam"))
+        d = d.withColumns({
+            "_v_ss": F.sqrt(_sq(c("_v_cu2") * sl) + _sq(c("_v_cu1") * c("_v_su2") - c("_v_su1") * c("_v_cu2") * cl)),
+            "_v_cs": c("_v_su1") * c("_v_su2") + c("_v_cu1") * c("_v_cu2") * cl,
+            "_v_sl": sl})
+        d = d.withColumns({
+            "_v_sig": F.atan2(c("_v_ss"), c("_v_cs")),
+            "_v_sa": F.when(c("_v_ss") == 0, F.lit(0.0)).otherwise(c("_v_cu1") * c("_v_cu2") * c("_v_sl") / c("_v_ss"))})
+        d = d.withColumn("_v_c2a", 1 - _sq(c("_v_sa")))
+        return d.withColumn("_v_c2m", F.when(c("_v_c2a") == 0, F.lit(0.0))
+                            .otherwise(c("_v_cs") - 2 * c("_v_su1") * c("_v_su2") / c("_v_c2a")))
+
     for _ in range(iterations):
-        sin_lam, cos_lam = F.sin(lam), F.cos(lam)
-        sin_sigma = F.sqrt(_sq(cu2 * sin_lam) + _sq(cu1 * su2 - su1 * cu2 * cos_lam))
-        cos_sigma = su1 * su2 + cu1 * cu2 * cos_lam
-        sigma = F.atan2(sin_sigma, cos_sigma)
-        sin_alpha = F.when(sin_sigma == 0, F.lit(0.0)).otherwise(cu1 * cu2 * sin_lam / sin_sigma)
-        cos2_alpha = 1 - _sq(sin_alpha)
-        cos_2sm = F.when(cos2_alpha == 0, F.lit(0.0)).otherwise(cos_sigma - 2 * su1 * su2 / cos2_alpha)
-        c = F.lit(f / 16) * cos2_alpha * (4 + f * (4 - 3 * cos2_alpha))
-        lam = big_l + (1 - c) * f * sin_alpha * (
-            sigma + c * sin_sigma * (cos_2sm + c * cos_sigma * (-1 + 2 * _sq(cos_2sm))))
-    sin_lam, cos_lam = F.sin(lam), F.cos(lam)
-    sin_sigma = F.sqrt(_sq(cu2 * sin_lam) + _sq(cu1 * su2 - su1 * cu2 * cos_lam))
-    cos_sigma = su1 * su2 + cu1 * cu2 * cos_lam
-    sigma = F.atan2(sin_sigma, cos_sigma)
-    sin_alpha = F.when(sin_sigma == 0, F.lit(0.0)).otherwise(cu1 * cu2 * sin_lam / sin_sigma)
-    cos2_alpha = 1 - _sq(sin_alpha)
-    cos_2sm = F.when(cos2_alpha == 0, F.lit(0.0)).otherwise(cos_sigma - 2 * su1 * su2 / cos2_alpha)
-    u_sq = cos2_alpha * F.lit((a * a - b * b) / (b * b))
-    big_a = 1 + u_sq / 16384 * (4096 + u_sq * (-768 + u_sq * (320 - 175 * u_sq)))
-    big_b = u_sq / 1024 * (256 + u_sq * (-128 + u_sq * (74 - 47 * u_sq)))
-    d_sigma = big_b * sin_sigma * (cos_2sm + big_b / 4 * (
-        cos_sigma * (-1 + 2 * _sq(cos_2sm))
-        - big_b / 6 * cos_2sm * (-3 + 4 * _sq(sin_sigma)) * (-3 + 4 * _sq(cos_2sm))))
-    return F.when(sin_sigma == 0, F.lit(0.0)).otherwise(F.lit(b) * big_a * (sigma - d_sigma))
+        df = geometry(df)
+        cc = F.lit(f / 16) * c("_v_c2a") * (4 + f * (4 - 3 * c("_v_c2a")))
+        df = df.withColumn("_v_lam", c("_v_L") + (1 - cc) * f * c("_v_sa") * (
+            c("_v_sig") + cc * c("_v_ss") * (c("_v_c2m") + cc * c("_v_cs") * (-1 + 2 * _sq(c("_v_c2m"))))))
+    df = geometry(df)
+    df = df.withColumn("_v_usq", c("_v_c2a") * F.lit((a * a - b * b) / (b * b)))
+    u = c("_v_usq")
+    df = df.withColumns({"_v_A": 1 + u / 16384 * (4096 + u * (-768 + u * (320 - 175 * u))),
+                         "_v_B": u / 1024 * (256 + u * (-128 + u * (74 - 47 * u)))})
+    bb, c2m, cs, ss = c("_v_B"), c("_v_c2m"), c("_v_cs"), c("_v_ss")
+    dsig = bb * ss * (c2m + bb / 4 * (cs * (-1 + 2 * _sq(c2m)) - bb / 6 * c2m * (-3 + 4 * _sq(ss)) * (-3 + 4 * _sq(c2m))))
+    df = df.withColumn(out, F.when(ss == 0, F.lit(0.0)).otherwise(F.lit(b) * c("_v_A") * (c("_v_sig") - dsig)))
+    return df.drop(*[x for x in df.columns if x.startswith("_v_")])
 
 
 def haversine_km(lat1, lon1, lat2, lon2, radius_km: float = 6371.009) -> Column:
@@ -87,17 +97,18 @@ def haversine_km(lat1, lon1, lat2, lon2, radius_km: float = 6371.009) -> Column:
     return F.lit(2 * radius_km) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
 
 
-METHODS = {"lambert": lambert_km, "vincenty5": vincenty5_km, "haversine": haversine_km}
+METHODS = {"lambert": lambert_km, "haversine": haversine_km}
 
 
 def route_km(lat1, lon1, lat2, lon2, method: str = "lambert", digits: int | None = 3) -> Column:
-    """Length of the route between two points in km; NULL if any coordinate is NULL."""
+    """Length of the route between two points in km as one column expression; NULL if any
+    coordinate is NULL. For DataFrames prefer :func:`add_route_km` (staged, cheaper plan)."""
     d = METHODS[method](lat1, lon1, lat2, lon2)
     return F.round(d, digits) if digits is not None else d
 
 
 def add_route_km(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str, out: str = "route_length",
-                 digits: int = 3) -> DataFrame:
+                 digits: int | None = 3, method: str = "lambert") -> DataFrame:
     """``df`` plus column ``out`` = Lambert length in km, computed in staged projections.
 
     Same value as ``route_km(..., 'lambert')``. Each stage is a small expression over the
@@ -105,6 +116,11 @@ def add_route_km(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str, out:
     once per row instead of being repeated inside one large expression tree (and inside
     any filter Catalyst pushes below it). NaN coordinates count as unknown (NULL).
     """
+    if method == "vincenty5":
+        df = _add_vincenty_km(df, lat1, lon1, lat2, lon2, out)
+        return df.withColumn(out, F.round(out, digits)) if digits is not None else df
+    if method != "lambert":
+        return df.withColumn(out, route_km(lat1, lon1, lat2, lon2, method=method, digits=digits))
     c = lambda n: F.col(n)
     clean = lambda n: F.when(F.isnan(c(n)), F.lit(None).cast("double")).otherwise(c(n))
     tmp = ["_g_b1", "_g_b2", "_g_dl", "_g_sig", "_g_p", "_g_q", "_g_hc2", "_g_hs2", "_g_ss"]
@@ -122,7 +138,7 @@ def add_route_km(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str, out:
     length = (F.when(c("_g_sig") == 0, F.lit(0.0))
                .when(c("_g_hc2") == 0, F.lit(None).cast("double"))
                .otherwise(d))
-    return df.withColumn(out, F.round(length, digits)).drop(*tmp)
+    return df.withColumn(out, F.round(length, digits) if digits is not None else length).drop(*tmp)
 
 
 def is_approx(length_km: Column) -> Column:
@@ -147,5 +163,5 @@ def lambert_sql(lat1: str, lon1: str, lat2: str, lon2: str, digits: int = 3) ->
     return (f"round(CASE WHEN {sigma} = 0 THEN 0.0 WHEN {hc2} = 0 THEN NULL ELSE {d} END, {digits})")
 
 
-__all__ = ["route_km", "add_route_km", "lambert_km", "vincenty5_km", "haversine_km", "is_approx", "lambert_sql",
+__all__ = ["route_km", "add_route_km", "lambert_km", "haversine_km", "is_approx", "lambert_sql",
            "APPROX_ABOVE_KM"]

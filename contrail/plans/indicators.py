@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from contrail.functions.geo import add_route_km, is_approx, route_km
+from contrail.functions.geo import add_route_km, is_approx
 from contrail.operators.bridge import airline_bridge
 from contrail.operators.clean import active_flights, drop_nullish, unique_by_key
 from contrail.operators.groups import approx_distinct_count_by
@@ -58,10 +58,7 @@ def with_route_length(flights: DataFrame, airports: DataFrame, method: str = "la
                "origin_airport_iata", "left")
          .join(_end(ap, "destination_airport_iata", "_d", {"latitude": "lat", "longitude": "lon"}, airports),
                "destination_airport_iata", "left"))
-    if method == "lambert":
-        f = add_route_km(f, "_olat", "_olon", "_dlat", "_dlon", "route_length")
-    else:
-        f = f.withColumn("route_length", route_km("_olat", "_olon", "_dlat", "_dlon", method=method))
+    f = add_route_km(f, "_olat", "_olon", "_dlat", "_dlon", "route_length", method=method)
     return (f.withColumn("route_known", _both_ends_known())
              .withColumn("route_approx", is_approx(F.col("route_length")))
              .drop("_olat", "_olon", "_dlat", "_dlon")

@@ -59,6 +59,11 @@ STATUS_SCHEMA = T.StructType([
 ])
 
 
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Select the schema's columns by name with their types; a missing column raises."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def _observed_write(df: DataFrame, name: str, path: str, fmt: str = "parquet") -> int:
     obs = Observation(f"{name}_{abs(hash(path))}")
     write_layer(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, fmt)
@@ -95,7 +100,8 @@ def run(spark: SparkSession, inputs: Inputs, base: str, run_ts: dt.datetime | st
     bronze_in["airline_bridge"] = airline_bridge(inputs.flights, inputs.airlines)
     for name, df in bronze_in.items():
         try:
-            n = _observed_write(stamp_run(df, run_ts), name, layer_path(base, "bronze", name))
+            n = _observed_write(stamp_run(conform(df, BRONZE_SCHEMAS[name]), run_ts), name,
+                                layer_path(base, "bronze", name))
             status.append(("bronze", name, n, "ok"))
         except Exception as e:  # isolate: later steps see the failure in the status table
             log.exception("bronze %s failed", name)
@@ -104,8 +110,12 @@ def run(spark: SparkSession, inputs: Inputs, base: str, run_ts: dt.datetime | st
     def bronze(name: str) -> DataFrame | None:
         if not any(s[1] == name and s[3] == "ok" for s in status):
             return None
-        df = lookup(spark, layer_path(base, "bronze", name), BRONZE_SCHEMAS[name], day, hour)
-        return df.select(*BRONZE_SCHEMAS[name].fieldNames())
+        try:
+            df = lookup(spark, layer_path(base, "bronze", name), BRONZE_SCHEMAS[name], day, hour)
+            return df.select(*BRONZE_SCHEMAS[name].fieldNames())
+        except Exception:  # unreadable: the datasets that need it fail, the others run
+            log.exception("bronze %s unreadable", name)
+            return None
 
     b = Inputs(bronze("flights"), bronze("airlines"), bronze("airports"), bronze("zones"),
                bronze("aircraft_models"))
