@@ -32,6 +32,20 @@ def _best_airline_per(airlines: DataFrame, code: str, pref: int) -> DataFrame:
     return best.withColumnRenamed(code, f"_k{pref}")
 
 
+def with_airline_candidate(flights: DataFrame, airlines: DataFrame, out: str = "_airline") -> DataFrame:
+    """Adds ``out``: this row's preferred airline as a struct (pref, name, iata, icao), NULL
+    if neither code matches. Two broadcast lookups on the reduced airline dimension."""
+    by_icao = bounded_broadcast(_best_airline_per(airlines, "airline_icao", 0), source=airlines)
+    by_iata = bounded_broadcast(_best_airline_per(airlines, "airline_iata", 1), source=airlines)
+    j = (flights.join(by_icao, F.col("airline_icao") == F.col("_k0"), "left")
+                .join(by_iata, F.col("airline_iata") == F.col("_k1"), "left"))
+    return j.withColumn(out, F.coalesce("_m0", "_m1")).drop("_k0", "_m0", "_k1", "_m1")
+
+
+def airline_columns(struct_col: str) -> list:
+    return [F.col(f"{struct_col}.{c}").alias(c) for c in ("airline_iata", "airline_icao", "airline_name")]
+
+
 def airline_bridge(flights: DataFrame, airlines: DataFrame, active_only: bool = True) -> DataFrame:
     """One row per flight id: ``id, airline_iata, airline_icao, airline_name``.
 
@@ -42,13 +56,9 @@ def airline_bridge(flights: DataFrame, airlines: DataFrame, active_only: bool =
     """
     f = active_flights(flights) if active_only else flights
     f = f.where(F.col("id").isNotNull()).select("id", "airline_iata", "airline_icao")
-    by_icao = bounded_broadcast(_best_airline_per(airlines, "airline_icao", 0), source=airlines)
-    by_iata = bounded_broadcast(_best_airline_per(airlines, "airline_iata", 1), source=airlines)
-    j = (f.join(by_icao, f["airline_icao"] == by_icao["_k0"], "left")
-          .join(by_iata, f["airline_iata"] == by_iata["_k1"], "left"))
-    cand = j.select("id", F.coalesce("_m0", "_m1").alias("_c")).where(F.col("_c").isNotNull())
+    cand = with_airline_candidate(f, airlines, "_c").where(F.col("_c").isNotNull())
     best = cand.groupBy("id").agg(F.min("_c").alias("_c"))
-    return best.select("id", *[F.col(f"_c.{c}").alias(c) for c in ("airline_iata", "airline_icao", "airline_name")])
+    return best.select("id", *airline_columns("_c"))
 
 
 def airline_bridge_by_union(flights: DataFrame, airlines: DataFrame, active_only: bool = True) -> DataFrame:

@@ -35,14 +35,21 @@ def argmax_global(df: DataFrame, col: str) -> DataFrame:
     return df.join(one_row(mx), F.col(col).eqNullSafe(F.col("_max")), "inner").drop("_max")
 
 
-def argmax_by_group(df: DataFrame, col: str, by: Sequence[str] | str) -> DataFrame:
+def argmax_by_group(df: DataFrame, col: str, by: Sequence[str] | str, method: str = "join") -> DataFrame:
     """Rows whose ``col`` equals the maximum of their group (ties kept).
 
-    Group maxima come from an aggregate and are joined back on (group, value): the join
-    key includes the value, so a hot group is spread over many partitions. Group keys
-    compare NULL-safe (a NULL group is a group, as in a window partition).
+    ``join`` (default, any input): group maxima come from an aggregate and are joined back
+    on (group, value); the join key includes the value, so a hot group is spread over many
+    partitions. Group keys compare NULL-safe (a NULL group is a group, as in a window).
+    ``window``: ``rank() == 1`` per group; for inputs whose groups are bounded (e.g. an
+    aggregate keyed by a dimension), it avoids evaluating ``df`` twice.
     """
     by = [by] if isinstance(by, str) else list(by)
+    if method == "window":
+        w = Window.partitionBy(*by).orderBy(F.col(col).desc())
+        return df.where(F.col(col).isNotNull()).withColumn("_rk", F.rank().over(w)).where("_rk = 1").drop("_rk")
+    if method != "join":
+        raise ValueError(f"unknown method {method!r}")
     mx = df.groupBy(*by).agg(F.max(col).alias("_max")).where(F.col("_max").isNotNull())
     mx = mx.select(*[F.col(b).alias(f"_k_{b}") for b in by], "_max")
     cond = F.col(col).eqNullSafe(F.col("_max"))  # see argmax_global
