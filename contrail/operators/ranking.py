@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from contrail.operators.joins import one_row
 
 
-def _order(cols: Sequence[str | Column]) -> list[Column]:
+def order_columns(cols: Sequence[str | Column]) -> list[Column]:
+    """Sort keys from names ('-name' = descending, NULLs last; ascending puts NULLs first)."""
     out = []
     for c in cols:
         if isinstance(c, Column):
@@ -66,10 +67,10 @@ def top_n_per_group(df: DataFrame, by: Sequence[str] | str, order: Sequence[str
     before the shuffle, so a hot group ships ``n`` rows per task.
     """
     by = [by] if isinstance(by, str) else list(by)
-    w = Window.partitionBy(*by).orderBy(*_order(order))
+    w = Window.partitionBy(*by).orderBy(*order_columns(order))
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
 
 
 def top1(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
     """First row by a total order (``TakeOrderedAndProject``: a per-task top-1, then one merge)."""
-    return df.orderBy(*_order(order)).limit(1)
+    return df.orderBy(*order_columns(order)).limit(1)

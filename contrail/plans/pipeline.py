@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from contrail import schemas as SCH
 from contrail.operators.bridge import airline_bridge
 from contrail.operators.clean import quarantine
+from contrail.operators.ranking import order_columns
 from contrail.plans import indicators as I
 from contrail.sources.layers import layer_path, lookup, read_layer, stamp_run, write_layer
 from contrail.sources.snapshots import read_snapshots
@@ -51,6 +52,17 @@ SILVER: dict[str, Callable[[Inputs], DataFrame]] = {
     "greatest_flights_difference": lambda b: I.airport_flow_imbalance(b.flights, b.airports),
 }
 
+# Presentation order of the Gold files (T5: sort at the sink only, never inside a plan).
+GOLD_ORDER: dict[str, list[str]] = {  # '-col' = descending
+    "most_airlines": ["-number_of_flights", "airline_icao"],
+    "top_regional": ["-active_flights", "continent", "airline_icao"],
+    "find_longest_flight": ["-route_length", "id"],
+    "average_flight_distance_by_continent": ["origin_continent"],
+    "manufacturer_leader": ["manufacturer"],
+    "country_aircraft_model": ["country_origin", "rank"],
+    "greatest_flights_difference": ["iata_code"],
+}
+
 STATUS_SCHEMA = T.StructType([
     T.StructField("layer", T.StringType()),
     T.StructField("dataset", T.StringType()),
@@ -136,6 +148,8 @@ def run(spark: SparkSession, inputs: Inputs, base: str, run_ts: dt.datetime | st
             continue
         silver = read_layer(spark, layer_path(base, "silver", name), _silver_schema(spark, base, name))
         silver = silver.where((F.col("tech_day") == F.lit(day)) & (F.col("tech_hour") == hour))
+        if name in GOLD_ORDER:
+            silver = silver.orderBy(*order_columns(GOLD_ORDER[name]))
         for fmt in gold_formats:
             try:
                 n = _observed_write(silver, name, layer_path(base, f"gold_{fmt}", name), fmt)
@@ -150,3 +164,79 @@ def _silver_schema(spark: SparkSession, base: str, name: str) -> T.StructType:
     """Data columns of a Silver dataset (from its Parquet footer, run columns removed)."""
     s = spark.read.parquet(layer_path(base, "silver", name)).schema
     return T.StructType([f for f in s.fields if not f.name.startswith("tech_")])
+
+
+# ------------------------------------------------------------------ scheduled entry point
+
+def _read_landed(spark: SparkSession, path: str, schema: T.StructType, required: Sequence[str],
+                 base: str, name: str, run_ts: dt.datetime, status: list) -> DataFrame | None:
+    """Landed JSON -> good rows; bad rows go to ``<base>/quarantine/<name>`` for the run."""
+    from contrail.sources.snapshots import read_airports
+    try:
+        raw = read_airports(spark, path) if name == "airports" else read_snapshots(spark, path, schema)
+        good, bad = quarantine(raw, required)
+        n_bad = _observed_write(stamp_run(bad, run_ts), f"q_{name}", layer_path(base, "quarantine", name))
+        status.append(("quarantine", name, n_bad, "ok"))
+        return good
+    except Exception as e:
+        log.exception("landing %s unreadable", name)
+        status.append(("quarantine", name, None, f"failed: {type(e).__name__}"))
+        return None
+
+
+def zones_from_tree(spark: SparkSession, path: str, names: Sequence[str] | None = None) -> DataFrame:
+    """Landed zone trees -> flat zones; a deeper (more specific) zone takes precedence."""
+    from contrail.sources.snapshots import flatten_zones, read_zone_docs
+    z = flatten_zones(read_zone_docs(spark, path))
+    if names:
+        z = z.where(F.col("zone_name").isin(list(names)))
+    return z.select("zone_name", F.col("depth").cast("int").alias("zone_order"), "tl_y", "tl_x", "br_y", "br_x")
+
+
+def run_from_landing(spark: SparkSession, landing: str, base: str, run_ts: dt.datetime | str,
+                     zone_names: Sequence[str] | None = None, gold_formats: Sequence[str] = ("csv",)) -> DataFrame:
+    """The scheduled job: ``<landing>/{flights,airlines,airports}`` JSON lines,
+    ``<landing>/zones`` zone-tree documents and optional ``<landing>/aircraft_models``.
+    Returns the run's status table (quarantine rows included)."""
+    if isinstance(run_ts, str):
+        run_ts = dt.datetime.fromisoformat(run_ts)
+    pre: list[tuple] = []
+    lp = lambda n: f"{landing.rstrip('/')}/{n}"
+    flights = _read_landed(spark, lp("flights"), SCH.FLIGHTS, ["id"], base, "flights", run_ts, pre)
+    airlines = _read_landed(spark, lp("airlines"), SCH.AIRLINES, [], base, "airlines", run_ts, pre)
+    airports = _read_landed(spark, lp("airports"), SCH.AIRPORTS, ["iata_code"], base, "airports", run_ts, pre)
+    models = _read_landed(spark, lp("aircraft_models"), SCH.AIRCRAFT_MODELS, ["aircraft_code"], base,
+                          "aircraft_models", run_ts, pre)
+    if models is None:
+        pre = [p for p in pre if p[1] != "aircraft_models"]  # optional input
+    try:
+        zones = zones_from_tree(spark, lp("zones"), zone_names)
+    except Exception as e:
+        log.exception("zones unreadable")
+        pre.append(("quarantine", "zones", None, f"failed: {type(e).__name__}"))
+        zones = None
+    if flights is None or airlines is None or airports is None or zones is None:
+        return spark.createDataFrame(pre, STATUS_SCHEMA)
+    out = run(spark, Inputs(flights, airlines, airports, zones, models), base, run_ts, gold_formats)
+    return spark.createDataFrame(pre, STATUS_SCHEMA).unionByName(out)
+
+
+def main(argv: Sequence[str] | None = None) -> None:
+    import argparse
+    ap = argparse.ArgumentParser(description="one scheduled run: landing -> Bronze -> Silver -> Gold")
+    ap.add_argument("--landing", required=True)
+    ap.add_argument("--base", required=True, help="shared folder holding bronze/ silver/ gold_*/ quarantine/")
+    ap.add_argument("--run-ts", default=None, help="ISO time of the run (default: now, truncated to the hour)")
+    ap.add_argument("--zones", nargs="*", default=None, help="zone names to keep")
+    a = ap.parse_args(argv)
+    run_ts = (dt.datetime.fromisoformat(a.run_ts) if a.run_ts
+              else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, minute=0, second=0, microsecond=0))
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s %(message)s")
+    spark = SparkSession.builder.appName("contrail-run").getOrCreate()
+    status = run_from_landing(spark, a.landing, a.base, run_ts, a.zones)
+    for r in status.collect():  # the status table is one row per dataset
+        log.info("%s %s rows=%s %s", r.layer, r.dataset, r.rows, r.status)
+
+
+if __name__ == "__main__":
+    main()

@@ -106,3 +106,26 @@ def test_pipeline_isolates_failures_and_reruns(spark):
                         spark.read.parquet(f"{base}/silver/most_airlines").drop(
                             "tech_year", "tech_month", "tech_day", "tech_hour").schema)
     assert silver.count() == 1
+
+
+def test_run_from_landing_end_to_end(spark):
+    from contrail.plans.pipeline import run_from_landing
+    from contrail.sources.snapshots import JSON_OPTIONS
+    t = Tables(spark, SF_SMALL)
+    landing = fresh_path(spark, "landing")
+    f = t.flights
+    line = F.to_json(F.struct(*f.columns), JSON_OPTIONS)
+    # every 40th flight lands truncated
+    f.select(F.when(F.col("id") % 40 == 0, F.substring(line, 1, 15)).otherwise(line).alias("value")) \
+        .write.text(f"{landing}/flights")
+    t.airlines.write.options(**JSON_OPTIONS).json(f"{landing}/airlines")
+    t.airports.select(*[F.col(c).cast("string") for c in t.airports.columns]).write.json(f"{landing}/airports")
+    zones = t.zones.select(F.to_json(F.create_map("zone_name", F.struct("tl_y", "tl_x", "br_y", "br_x"))).alias("value"))
+    zones.write.text(f"{landing}/zones")
+    base = fresh_path(spark, "job")
+    st = {(r.layer, r.dataset): (r.rows, r.status) for r in run_from_landing(spark, landing, base, RUN_A).collect()}
+    bad = f.where(F.col("id") % 40 == 0).count()
+    assert st[("quarantine", "flights")] == (bad, "ok")
+    assert st[("bronze", "flights")] == (f.count() - bad, "ok")
+    assert ("quarantine", "aircraft_models") not in st  # optional input absent
+    assert st[("silver", "most_airlines")][1] == "ok" and st[("gold_csv", "top_regional")][1] == "ok"
