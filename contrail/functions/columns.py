@@ -24,9 +24,10 @@ def run_columns(ts: Column) -> dict[str, Column]:
 
 def run_ts_literal(run_ts: dt.datetime | str) -> Column:
     """One timestamp for every table of a run (a run over midnight stays in one partition)."""
-    if isinstance(run_ts, str):
-        run_ts = dt.datetime.fromisoformat(run_ts)
-    return F.lit(run_ts).cast("timestamp_ntz")
+    if isinstance(run_ts, dt.datetime):
+        run_ts = run_ts.replace(tzinfo=None).isoformat(sep=" ")
+    # From text: independent of the driver's and the session's time zone.
+    return F.lit(str(run_ts)).cast("timestamp_ntz")
 
 
 def nullify_sentinel(c: Column, sentinels=SENTINELS) -> Column:
