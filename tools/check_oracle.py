@@ -83,11 +83,17 @@ def compare(spark, name: str, sf_dir: str, con) -> dict:
 def main() -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--plain", action="store_true", help="bare session, as the driver builds it")
     ap.add_argument("names", nargs="*")
     a = ap.parse_args()
     from contrail.plans.catalog import QUERIES
     from contrail.session import build_session
-    spark = build_session()
+    if a.plain:
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.ui.enabled", "false").getOrCreate())
+    else:
+        spark = build_session()
     con = duck(a.sf)
     bad = 0
     for n in a.names or list(QUERIES):
