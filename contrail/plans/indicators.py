@@ -127,7 +127,9 @@ def approx_callsigns(flights: DataFrame, rsd: float = 0.02) -> DataFrame:
 def q1_airline_most_active(flights: DataFrame, airlines: DataFrame) -> DataFrame:
     """``airline_icao, name, number_of_flights`` of the airline with most airborne callsigns."""
     top = top1(distinct_callsigns(flights), ["-number_of_flights", "airline_icao"])
-    names = airlines.select(F.col("airline_icao").alias("_icao"), F.col("airline_name").alias("name"))
+    # One name per ICAO code (smallest), so a code shared by several airlines cannot fan out.
+    names = (airlines.where(F.col("airline_icao").isNotNull())
+             .groupBy(F.col("airline_icao").alias("_icao")).agg(F.min("airline_name").alias("name")))
     # Shrink the name table to the winner's rows with a broadcast semi join (the top
     # side is one row by construction), then attach names with a left join.
     names = names.join(one_row(top.select(F.col("airline_icao").alias("_t"))), F.col("_icao") == F.col("_t"),

@@ -129,7 +129,8 @@ def _approx_callsigns(t: Tables) -> DataFrame:
 @register("q1_airline_most_active", with_ctes("callsigns", "fx_airlines") + """
 SELECT t.airline_icao, a.airline_name AS name, t.number_of_flights
 FROM (SELECT * FROM callsigns ORDER BY number_of_flights DESC, airline_icao ASC LIMIT 1) t
-LEFT JOIN fx_airlines a ON t.airline_icao = a.airline_icao""")
+LEFT JOIN (SELECT airline_icao, min(airline_name) AS airline_name FROM fx_airlines
+           WHERE airline_icao IS NOT NULL GROUP BY airline_icao) a ON t.airline_icao = a.airline_icao""")
 def _q1(t: Tables) -> DataFrame:
     return I.q1_airline_most_active(t.flights, t.airlines)
 

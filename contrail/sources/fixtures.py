@@ -29,10 +29,12 @@ FROM {region}
 UNION ALL
 SELECT 'overlap' AS zone_name, 5 AS zone_order, cast(10 AS double) AS tl_y, cast(-40 AS double) AS tl_x,
        cast(-30 AS double) AS br_y, cast(80 AS double) AS br_x""",
+    # Every supplier is an airline; codes repeat (several airlines per ICAO / IATA code, the
+    # two codes disagree) and flight codes K40..K44 / I37..I44 match no airline.
     "fx_airlines": """
-SELECT concat('I', cast(s_suppkey % 40 AS varchar(8))) AS airline_iata,
-       concat('K', cast(s_suppkey AS varchar(8))) AS airline_icao, s_name AS airline_name
-FROM {supplier} WHERE s_suppkey < 40""",
+SELECT concat('I', cast(s_suppkey % 37 AS varchar(8))) AS airline_iata,
+       concat('K', cast(s_suppkey % 40 AS varchar(8))) AS airline_icao, s_name AS airline_name
+FROM {supplier}""",
     "fx_flights": """
 SELECT o_orderkey AS id,
        concat('I', cast(o_custkey % 45 AS varchar(8))) AS airline_iata,
