@@ -41,7 +41,7 @@ def main() -> None:
     from contrail.plans.catalog import QUERIES
     from contrail.session import build_session
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(cpus, 1),
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "8g")})
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "4g")})
     # Warm-up: JIT, file listing caches, Python workers.
     QUERIES["q1_airline_most_active"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}

@@ -9,18 +9,39 @@ from pyspark.sql import DataFrame, functions as F
 DIM_BROADCAST_MAX_ROWS = 2_000_000
 
 
+# (application id, plan hash, input files, bound) -> bool. Input files are part of the key,
+# so newly landed data (new files) is checked again; the same files give the same answer.
+_PROVEN: dict[tuple, bool] = {}
+
+
+def _proof_key(df: DataFrame, max_rows: int) -> tuple | None:
+    try:
+        files = tuple(sorted(df.inputFiles()))
+        if not files:  # in-memory or generated data: no stable identity
+            return None
+        return (df.sparkSession.sparkContext.applicationId, df.semanticHash(), files, max_rows)
+    except Exception:
+        return None
+
+
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """Bounded check: scans at most ``max_rows + 1`` rows of ``df``.
 
-    The answer is remembered on the DataFrame object, so one dimension that feeds several
-    joins of the same plan is checked once.
+    The answer is remembered on the DataFrame object (one dimension feeding several joins
+    of a plan is checked once) and, for file-backed plans, per (plan, input files).
     """
     memo = getattr(df, "_contrail_bounds", None)
     if memo is None:
         memo = {}
         setattr(df, "_contrail_bounds", memo)
     if max_rows not in memo:
-        memo[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+        key = _proof_key(df, max_rows)
+        if key is not None and key in _PROVEN:
+            memo[max_rows] = _PROVEN[key]
+        else:
+            memo[max_rows] = df.limit(max_rows + 1).count() <= max_rows
+            if key is not None:
+                _PROVEN[key] = memo[max_rows]
     return memo[max_rows]
 
 

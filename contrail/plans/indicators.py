@@ -13,7 +13,7 @@ from contrail.functions.geo import add_route_km, is_approx
 from contrail.operators.bridge import airline_bridge
 from contrail.operators.clean import active_flights, drop_nullish, unique_by_key
 from contrail.operators.groups import approx_distinct_count_by
-from contrail.operators.joins import bounded_broadcast, one_row
+from contrail.operators.joins import bounded_broadcast
 from contrail.operators.ranking import argmax_by_group, argmax_global, top1, top_n_per_group
 from contrail.operators.spatial import assign_zone
 
@@ -130,11 +130,7 @@ def q1_airline_most_active(flights: DataFrame, airlines: DataFrame) -> DataFrame
     # One name per ICAO code (smallest), so a code shared by several airlines cannot fan out.
     names = (airlines.where(F.col("airline_icao").isNotNull())
              .groupBy(F.col("airline_icao").alias("_icao")).agg(F.min("airline_name").alias("name")))
-    # Shrink the name table to the winner's rows with a broadcast semi join (the top
-    # side is one row by construction), then attach names with a left join.
-    names = names.join(one_row(top.select(F.col("airline_icao").alias("_t"))), F.col("_icao") == F.col("_t"),
-                       "left_semi")
-    return (top.join(names, F.col("airline_icao") == F.col("_icao"), "left")
+    return (top.join(bounded_broadcast(names, source=airlines), F.col("airline_icao") == F.col("_icao"), "left")
                .select("airline_icao", "name", "number_of_flights"))
 
 
