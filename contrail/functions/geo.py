@@ -121,24 +121,30 @@ def add_route_km(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str, out:
         return df.withColumn(out, F.round(out, digits)) if digits is not None else df
     if method != "lambert":
         return df.withColumn(out, route_km(lat1, lon1, lat2, lon2, method=method, digits=digits))
-    c = lambda n: F.col(n)
-    clean = lambda n: F.when(F.isnan(c(n)), F.lit(None).cast("double")).otherwise(c(n))
+    # Each stage is SQL expression text: one parse per column instead of dozens of
+    # Column-building calls from Python; the expressions are the same as ``lambert_km``.
+    q = lambda n: f"`{n}`"
+    clean = lambda n: f"CASE WHEN isnan({q(n)}) THEN CAST(NULL AS DOUBLE) ELSE {q(n)} END"
+    k = repr(1 - WGS84_F)
     tmp = ["_g_b1", "_g_b2", "_g_dl", "_g_sig", "_g_p", "_g_q", "_g_hc2", "_g_hs2", "_g_ss"]
-    df = df.withColumns({"_g_b1": reduced_latitude(clean(lat1)), "_g_b2": reduced_latitude(clean(lat2)),
-                         "_g_dl": F.radians(clean(lon2) - clean(lon1))})
-    h = (_sq(F.sin((c("_g_b2") - c("_g_b1")) / 2))
-         + F.cos(c("_g_b1")) * F.cos(c("_g_b2")) * _sq(F.sin(c("_g_dl") / 2)))
-    df = df.withColumn("_g_sig", F.lit(2.0) * F.asin(F.sqrt(F.least(h, F.lit(1.0)))))
-    df = df.withColumns({"_g_p": (c("_g_b1") + c("_g_b2")) / 2, "_g_q": (c("_g_b2") - c("_g_b1")) / 2,
-                         "_g_hc2": _sq(F.cos(c("_g_sig") / 2)), "_g_hs2": _sq(F.sin(c("_g_sig") / 2)),
-                         "_g_ss": F.sin(c("_g_sig"))})
-    x = (c("_g_sig") - c("_g_ss")) * _sq(F.sin(c("_g_p"))) * _sq(F.cos(c("_g_q")))
-    y = (c("_g_sig") + c("_g_ss")) * _sq(F.cos(c("_g_p"))) * _sq(F.sin(c("_g_q")))
-    d = F.lit(WGS84_A_KM) * (c("_g_sig") - F.lit(WGS84_F / 2) * (x / c("_g_hc2") + y / c("_g_hs2")))
-    length = (F.when(c("_g_sig") == 0, F.lit(0.0))
-               .when(c("_g_hc2") == 0, F.lit(None).cast("double"))
-               .otherwise(d))
-    return df.withColumn(out, F.round(length, digits) if digits is not None else length).drop(*tmp)
+    df = df.withColumns({
+        "_g_b1": F.expr(f"ATAN({k} * TAN(RADIANS({clean(lat1)})))"),
+        "_g_b2": F.expr(f"ATAN({k} * TAN(RADIANS({clean(lat2)})))"),
+        "_g_dl": F.expr(f"RADIANS({clean(lon2)} - {clean(lon1)})")})
+    df = df.withColumn("_g_sig", F.expr(
+        "2.0 * ASIN(SQRT(LEAST(SIN((_g_b2 - _g_b1) / 2) * SIN((_g_b2 - _g_b1) / 2)"
+        " + COS(_g_b1) * COS(_g_b2) * (SIN(_g_dl / 2) * SIN(_g_dl / 2)), 1.0)))"))
+    df = df.withColumns({
+        "_g_p": F.expr("(_g_b1 + _g_b2) / 2"), "_g_q": F.expr("(_g_b2 - _g_b1) / 2"),
+        "_g_hc2": F.expr("COS(_g_sig / 2) * COS(_g_sig / 2)"), "_g_hs2": F.expr("SIN(_g_sig / 2) * SIN(_g_sig / 2)"),
+        "_g_ss": F.expr("SIN(_g_sig)")})
+    x = "(_g_sig - _g_ss) * (SIN(_g_p) * SIN(_g_p)) * (COS(_g_q) * COS(_g_q))"
+    y = "(_g_sig + _g_ss) * (COS(_g_p) * COS(_g_p)) * (SIN(_g_q) * SIN(_g_q))"
+    d = f"{WGS84_A_KM!r} * (_g_sig - {WGS84_F / 2!r} * ({x} / _g_hc2 + {y} / _g_hs2))"
+    length = f"CASE WHEN _g_sig = 0 THEN 0.0 WHEN _g_hc2 = 0 THEN CAST(NULL AS DOUBLE) ELSE {d} END"
+    if digits is not None:
+        length = f"ROUND({length}, {digits})"
+    return df.withColumn(out, F.expr(length)).drop(*tmp)
 
 
 def is_approx(length_km: Column) -> Column:

@@ -33,40 +33,47 @@ def max_broadcast_rows(df: DataFrame, max_bytes: int = DIM_BROADCAST_MAX_BYTES)
     return max(1, max_bytes // estimated_row_bytes(df.schema))
 
 
-# (application id, plan hash, input files, bound) -> bool. Input files are part of the key,
-# so newly landed data (new files) is checked again; the same files give the same answer.
-_PROVEN: dict[tuple, bool] = {}
+# Largest row count the checks ever establish exactly; a source above it is "large".
+COUNT_CAP = 10_000_000
 
+# (application id, plan hash, input files) -> capped row count. Input files are part of the
+# key, so newly landed data (new files) is counted again; the same files give the same answer.
+_COUNTED: dict[tuple, int] = {}
 
-def _proof_key(df: DataFrame, max_rows: int) -> tuple | None:
+
+def _proof_key(df: DataFrame) -> tuple | None:
     try:
         files = tuple(sorted(df.inputFiles()))
         if not files:  # in-memory or generated data: no stable identity
             return None
-        return (df.sparkSession.sparkContext.applicationId, df.semanticHash(), files, max_rows)
+        return (df.sparkSession.sparkContext.applicationId, df.semanticHash(), files)
     except Exception:
         return None
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Bounded check: scans at most ``max_rows + 1`` rows of ``df``.
+def capped_count(df: DataFrame, cap: int = COUNT_CAP) -> int:
+    """``min(count(df), cap + 1)``: scans at most ``cap + 1`` rows, once per source.
 
-    The answer is remembered on the DataFrame object (one dimension feeding several joins
-    of a plan is checked once) and, for file-backed plans, per (plan, input files).
+    Remembered on the DataFrame object (a dimension feeding several joins of a plan is
+    counted once) and, for file-backed plans, per (plan, input files).
     """
-    memo = getattr(df, "_contrail_bounds", None)
-    if memo is None:
-        memo = {}
-        setattr(df, "_contrail_bounds", memo)
-    if max_rows not in memo:
-        key = _proof_key(df, max_rows)
-        if key is not None and key in _PROVEN:
-            memo[max_rows] = _PROVEN[key]
-        else:
-            memo[max_rows] = df.limit(max_rows + 1).count() <= max_rows
-            if key is not None:
-                _PROVEN[key] = memo[max_rows]
-    return memo[max_rows]
+    memo = getattr(df, "_contrail_count", None)
+    if memo is not None and memo[0] >= cap:
+        return min(memo[1], cap + 1)
+    key = _proof_key(df)
+    if key is not None and key in _COUNTED and _COUNTED[key][0] >= cap:
+        n = _COUNTED[key][1]
+    else:
+        n = df.limit(cap + 1).count()
+        if key is not None:
+            _COUNTED[key] = (cap, n)
+    setattr(df, "_contrail_count", (cap, n))
+    return min(n, cap + 1)
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """Proven bound: ``df`` has at most ``max_rows`` rows (one capped count per source)."""
+    return capped_count(df, max(COUNT_CAP, max_rows)) <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None,

@@ -90,30 +90,38 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return table(self.spark, self.sf_dir, name)
+        # one file listing per table per query build
+        if name not in self._raw:
+            self._raw[name] = table(self.spark, self.sf_dir, name)
+        return self._raw[name]
+
+    def _fixture(self, name: str) -> DataFrame:
+        text = FIXTURE_SQL[name]
+        return self.spark.sql(text, **{t: self.raw(t) for t in _placeholders(text)})
 
     @property
     def flights(self) -> DataFrame:
-        return fixture(self.spark, self.sf_dir, "fx_flights")
+        return self._fixture("fx_flights")
 
     @property
     def airports(self) -> DataFrame:
-        return fixture(self.spark, self.sf_dir, "fx_airports")
+        return self._fixture("fx_airports")
 
     @property
     def airlines(self) -> DataFrame:
-        return fixture(self.spark, self.sf_dir, "fx_airlines")
+        return self._fixture("fx_airlines")
 
     @property
     def zones(self) -> DataFrame:
-        return fixture(self.spark, self.sf_dir, "fx_zones")
+        return self._fixture("fx_zones")
 
     @property
     def models(self) -> DataFrame:
-        return fixture(self.spark, self.sf_dir, "fx_aircraft_models")
+        return self._fixture("fx_aircraft_models")
 
     @property
     def events(self) -> DataFrame:
-        return table(self.spark, self.sf_dir, "events")
+        return self.raw("events")
