@@ -25,44 +25,58 @@ def unique_airports(airports: DataFrame) -> DataFrame:
     return unique_by_key(airports.where(F.col("iata_code").isNotNull()), ["iata_code"], ["name", "icao_code"])
 
 
+DIM_COLUMNS = ("iata_code", "name", "country", "latitude", "longitude")
+
+
+def airport_dim(airports: DataFrame, zones: DataFrame | None = None, method: str = "grid",
+                axes: str = "geographic") -> DataFrame:
+    """Conformed airport dimension: one row per IATA code with name, country, coordinates
+    and, when ``zones`` are given, the ``continent`` (NULL outside every zone)."""
+    ap = unique_airports(airports).select(*DIM_COLUMNS)
+    return ap if zones is None else assign_zone(ap, zones, method=method, axes=axes)
+
+
 def continent_assign(airports: DataFrame, zones: DataFrame, method: str = "grid",
                      axes: str = "geographic") -> DataFrame:
     """``iata_code, continent`` for every (de-duplicated) airport; continent NULL outside all zones."""
-    ap = unique_airports(airports).select("iata_code", "latitude", "longitude")
-    return assign_zone(ap, zones, method=method, axes=axes).select("iata_code", "continent")
+    return airport_dim(airports, zones, method, axes).select("iata_code", "continent")
 
 
-def _end(dim: DataFrame, code: str, prefix: str, cols: dict[str, str], source: DataFrame) -> DataFrame:
-    """Role-playing copy of an airport-keyed dimension, bounded-broadcast for the fact join.
+def lookup(fact: DataFrame, dim: DataFrame, key: str, take: dict[str, str], source: DataFrame,
+           how: str = "left") -> DataFrame:
+    """``fact`` joined to the airport dimension on ``key = iata_code``; ``take`` renames the
+    dimension columns kept.
 
-    ``source`` is the airport table the dimension was derived from (one row per airport
-    at most), so the size check runs once on it for every copy.
+    The dimension is broadcast when ``source`` (the airport table it comes from) is provably
+    small, and it is broadcast *unchanged*: columns are renamed after the join, so the
+    origin and destination lookups of one plan ship identical relations and Spark reuses
+    a single broadcast (and a single computation of the dimension) for both.
     """
-    return bounded_broadcast(dim.select(F.col("iata_code").alias(code),
-                                        *[F.col(s).alias(f"{prefix}{t}") for s, t in cols.items()]),
-                             source=source)
+    d = bounded_broadcast(dim, source=source)
+    j = fact.join(d, F.col(key) == F.col("iata_code"), how)
+    return j.select(*[F.col(c) for c in fact.columns], *[F.col(src).alias(dst) for src, dst in take.items()])
 
 
 # ---------------------------------------------------------------- enrichment
 
 
-def with_route_length(flights: DataFrame, airports: DataFrame, method: str = "lambert") -> DataFrame:
-    """Adds ``route_length`` (km, 3 decimals; NULL when an end is unknown) and ``route_approx``.
+def with_route_length(flights: DataFrame, airports: DataFrame, method: str = "lambert",
+                      dim: DataFrame | None = None, origin_take: dict[str, str] | None = None) -> DataFrame:
+    """Adds ``route_length`` (km, 3 decimals; NULL when an end is unknown), ``route_approx``
+    and ``route_known`` (+ any ``origin_take`` columns of the origin airport).
 
-    Both ends are looked up with broadcast left joins and the length is a native column
-    expression, so the flights are enriched in one map-side pass (no self-join by id).
+    Both ends are broadcast lookups of one airport dimension and the length is a native
+    column expression, so the flights are enriched in one map-side pass (no self-join).
     """
-    ap = unique_airports(airports)
-    f = (flights
-         .join(_end(ap, "origin_airport_iata", "_o", {"latitude": "lat", "longitude": "lon"}, airports),
-               "origin_airport_iata", "left")
-         .join(_end(ap, "destination_airport_iata", "_d", {"latitude": "lat", "longitude": "lon"}, airports),
-               "destination_airport_iata", "left"))
+    dim = dim if dim is not None else airport_dim(airports)
+    extra = dict(origin_take or {})
+    f = lookup(flights, dim, "origin_airport_iata", {"latitude": "_olat", "longitude": "_olon", **extra}, airports)
+    f = lookup(f, dim, "destination_airport_iata", {"latitude": "_dlat", "longitude": "_dlon"}, airports)
     f = add_route_km(f, "_olat", "_olon", "_dlat", "_dlon", "route_length", method=method)
     return (f.withColumn("route_known", _both_ends_known())
              .withColumn("route_approx", is_approx(F.col("route_length")))
              .drop("_olat", "_olon", "_dlat", "_dlon")
-             .select(*flights.columns, "route_length", "route_approx", "route_known"))
+             .select(*flights.columns, *extra.values(), "route_length", "route_approx", "route_known"))
 
 
 def _both_ends_known():
@@ -81,13 +95,10 @@ def _both_ends_known():
 
 
 def with_continents(flights: DataFrame, airports: DataFrame, zones: DataFrame) -> DataFrame:
-    """Adds ``origin_continent`` and ``destination_continent`` (broadcast left joins)."""
-    cont = continent_assign(airports, zones)
-    return (flights
-            .join(_end(cont, "origin_airport_iata", "origin_", {"continent": "continent"}, airports),
-                  "origin_airport_iata", "left")
-            .join(_end(cont, "destination_airport_iata", "destination_", {"continent": "continent"}, airports),
-                  "destination_airport_iata", "left"))
+    """Adds ``origin_continent`` and ``destination_continent`` (two lookups, one broadcast)."""
+    dim = airport_dim(airports, zones)
+    f = lookup(flights, dim, "origin_airport_iata", {"continent": "origin_continent"}, airports)
+    return lookup(f, dim, "destination_airport_iata", {"continent": "destination_continent"}, airports)
 
 
 # ---------------------------------------------------------------- Q1
@@ -195,10 +206,10 @@ def q4_avg_route_by_continent(flights: DataFrame, airports: DataFrame, zones: Da
     f = flights.select("id", "on_ground", "origin_airport_iata", "destination_airport_iata")
     if active_only:
         f = active_flights(f)
-    r = with_route_length(f, airports, method).where(F.col("route_known"))
-    cont = continent_assign(airports, zones).where(F.col("continent").isNotNull())
-    r = r.join(_end(cont, "origin_airport_iata", "origin_", {"continent": "continent"}, airports),
-               "origin_airport_iata", "inner")
+    # One dimension (coordinates + continent) serves both ends and the continent.
+    r = with_route_length(f, airports, method, dim=airport_dim(airports, zones),
+                          origin_take={"continent": "origin_continent"})
+    r = r.where(F.col("route_known") & F.col("origin_continent").isNotNull())
     agg = r.groupBy("origin_continent").agg(F.round(F.avg("route_length"), 6).alias("average_route_distance"),
                                             F.count("route_length").alias("_n"))
     # A continent appears only if it has at least one route with a length.
@@ -224,9 +235,8 @@ def models_per_continent(flights: DataFrame, airports: DataFrame, zones: DataFra
     if active_only:
         f = active_flights(f)
     f = drop_nullish(f, ["model"])
-    cont = continent_assign(airports, zones).where(F.col("continent").isNotNull())
-    f = f.join(_end(cont, "origin_airport_iata", "origin_", {"continent": "continent"}, airports),
-               "origin_airport_iata", "inner")
+    f = lookup(f, airport_dim(airports, zones), "origin_airport_iata", {"continent": "origin_continent"}, airports)
+    f = f.where(F.col("origin_continent").isNotNull())
     return f.groupBy("origin_continent", "model").agg(F.count("id").alias("active_flights"))
 
 
@@ -235,10 +245,8 @@ def models_per_continent(flights: DataFrame, airports: DataFrame, zones: DataFra
 
 def models_per_country(flights: DataFrame, airports: DataFrame, clean: bool = True) -> DataFrame:
     """``country_origin, aircraft_code, count_model``: flights per (origin country, model)."""
-    ap = unique_airports(airports)
-    f = flights.select("origin_airport_iata", "aircraft_code").join(
-        _end(ap, "origin_airport_iata", "", {"country": "country_origin"}, airports), "origin_airport_iata",
-        "left")
+    f = lookup(flights.select("origin_airport_iata", "aircraft_code"), airport_dim(airports),
+               "origin_airport_iata", {"country": "country_origin"}, airports)
     if clean:
         f = drop_nullish(f, ["country_origin", "aircraft_code"])
     return f.groupBy("country_origin", "aircraft_code").agg(F.count(F.lit(1)).alias("count_model"))
@@ -283,7 +291,7 @@ def airport_flow_imbalance(flights: DataFrame, airports: DataFrame, active_only:
     flows = airport_flows(flights, active_only)
     if both_required:
         flows = flows.where((F.col("departures") > 0) & (F.col("arrivals") > 0))
-    names = unique_airports(airports).select("iata_code", F.col("name").alias("airport_name"))
+    names = airport_dim(airports).select("iata_code", F.col("name").alias("airport_name"))
     j = flows.join(bounded_broadcast(names, source=airports), "iata_code", "inner" if known_only else "left")
     j = j.withColumn("abs_diff", F.abs(F.col("departures") - F.col("arrivals")))
     return argmax_global(j, "abs_diff").select("iata_code", "airport_name", "departures", "arrivals", "abs_diff")
