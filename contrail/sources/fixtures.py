@@ -76,15 +76,6 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **frames)
 
 
-def fixture_cte(*names: str) -> str:
-    """``WITH`` clause defining the named fixtures over DuckDB's registered tables."""
-    parts = []
-    for n in names:
-        text = FIXTURE_SQL[n]
-        parts.append(f"{n} AS ({text.format(**{t: t for t in _placeholders(text)})}\n)")
-    return "WITH " + ",\n".join(parts) + "\n"
-
-
 class Tables:
     """Lazy accessor used by the registry: ``Tables(spark, sf).flights``."""
 
