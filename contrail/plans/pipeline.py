@@ -42,6 +42,7 @@ class Inputs:
 BRONZE_SCHEMAS = {"flights": SCH.FLIGHTS, "airlines": SCH.AIRLINES, "airports": SCH.AIRPORTS,
                   "zones": SCH.ZONES, "aircraft_models": SCH.AIRCRAFT_MODELS, "airline_bridge": SCH.BRIDGE}
 
+# The Silver / Gold dataset names analysts already look up (kept unchanged).
 SILVER: dict[str, Callable[[Inputs], DataFrame]] = {
     "most_airlines": lambda b: I.q1_airline_most_active(b.flights, b.airlines),
     "top_regional": lambda b: I.q2_regional_leader(b.flights, b.airlines, b.airports, b.zones),
