@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from contrail import schemas as SCH
 from contrail.operators.clean import quarantine, quarantine_status
@@ -256,3 +256,34 @@ def _run_metrics(t: Tables) -> DataFrame:
 
 
 __all__ = ["STATUS_SCHEMA", "SILVER", "RUN_TS"]
+
+
+# ------------------------------------------------------------------ the polling loop as a stream
+
+@register("stream_runs", with_ctes("fx_flights", "fx_airlines") + """,
+polls AS (SELECT *, CAST(year(snapshot_ts) AS INTEGER) AS y FROM fx_flights),
+g AS (SELECT DISTINCT y, callsign FROM polls WHERE on_ground = 1),
+c AS (SELECT y, airline_icao, count(DISTINCT callsign) AS n FROM polls p
+      WHERE on_ground = 0 AND airline_icao <> 'N/A'
+        AND NOT EXISTS (SELECT 1 FROM g WHERE g.y = p.y AND g.callsign IS NOT DISTINCT FROM p.callsign)
+      GROUP BY y, airline_icao),
+t AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY n DESC, airline_icao ASC) AS rn FROM c)
+SELECT t.y AS tech_year, t.airline_icao, a.airline_name AS name, CAST(t.n AS BIGINT) AS number_of_flights
+FROM t LEFT JOIN (SELECT airline_icao, min(airline_name) AS airline_name FROM fx_airlines
+                  WHERE airline_icao IS NOT NULL GROUP BY airline_icao) a ON t.airline_icao = a.airline_icao
+WHERE t.rn = 1""")
+def _stream_runs(t: Tables) -> DataFrame:
+    from contrail.streaming.runs import stream_runs
+    spark = t.spark
+    # Fixture polls: the flights of one year form one poll; the collector lands each poll
+    # whole in one file (hash partitioning on the poll time keeps a poll in one file).
+    polls = t.flights.withColumn("snapshot_ts", F.date_trunc("year", "snapshot_ts").cast("timestamp_ntz"))
+    land = fresh_path(spark, "landing/polls")
+    polls.repartition("snapshot_ts").write.options(**JSON_OPTIONS).json(land)
+    base, ck = fresh_path(spark, "stream_runs"), fresh_path(spark, "checkpoint/stream_runs")
+    dims = Inputs(None, t.airlines, t.airports, t.zones, t.models)
+    stream_runs(spark, land, dims, base, ck, datasets=["most_airlines"], gold_formats=())
+    schema = T.StructType([T.StructField("airline_icao", T.StringType()), T.StructField("name", T.StringType()),
+                           T.StructField("number_of_flights", T.LongType())])
+    return read_layer(spark, f"{base}/silver/most_airlines", schema).select(
+        "tech_year", "airline_icao", "name", "number_of_flights")

@@ -60,6 +60,19 @@ def run_to_sink(df: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet",
     return q
 
 
+def run_to_sink_batches(df: DataFrame, fn, checkpoint: str, timeout_sec: float | None = 1800) -> StreamingQuery:
+    """``foreachBatch`` variant of :func:`run_to_sink` (``availableNow``, checkpointed)."""
+    q = (df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination(timeout_sec)
+    if q.isActive:
+        q.stop()
+        raise TimeoutError(f"stream did not drain within {timeout_sec}s")
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return q
+
+
 def stream_snapshots(spark: SparkSession, landing: str, schema: T.StructType, sink: str, checkpoint: str,
                      required: Sequence[str] = (), dedup_keys: Sequence[str] | None = None,
                      ts_col: str | None = None, delay: str = "2 hours",
