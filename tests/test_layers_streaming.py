@@ -129,3 +129,26 @@ def test_run_from_landing_end_to_end(spark):
     assert st[("bronze", "flights")] == (f.count() - bad, "ok")
     assert ("quarantine", "aircraft_models") not in st  # optional input absent
     assert st[("silver", "most_airlines")][1] == "ok" and st[("gold_csv", "top_regional")][1] == "ok"
+
+
+def test_stream_runs_one_run_per_poll_across_restarts(spark):
+    from contrail.sources.snapshots import JSON_OPTIONS
+    from contrail.streaming.runs import stream_runs
+    t = Tables(spark, SF_SMALL)
+    f = t.flights
+    land, base, ck = (fresh_path(spark, n) for n in ("polls", "stream_runs", "ck"))
+    dims = Inputs(None, t.airlines, t.airports, t.zones, t.models)
+
+    def land_poll(ts):  # the collector lands one poll as one file
+        f.withColumn("snapshot_ts", F.lit(ts).cast("timestamp_ntz")).coalesce(1) \
+            .write.mode("append").options(**JSON_OPTIONS).json(land)
+
+    land_poll("2024-05-01 08:00:00")
+    stream_runs(spark, land, dims, base, ck, datasets=["most_airlines"], gold_formats=())
+    land_poll("2024-05-01 10:00:00")
+    stream_runs(spark, land, dims, base, ck, datasets=["most_airlines"], gold_formats=())
+    bronze = read_layer(spark, f"{base}/bronze/flights", SCH.FLIGHTS)
+    per_run = dict(bronze.groupBy("tech_hour").count().collect())
+    assert per_run == {8: f.count(), 10: f.count()}  # each poll exactly once
+    silver = spark.read.parquet(f"{base}/silver/most_airlines")
+    assert sorted(r.tech_hour for r in silver.select("tech_hour").collect()) == [8, 10]
