@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from contrail.functions.geo import add_route_km, is_approx
 from contrail.operators.bridge import airline_bridge
 from contrail.operators.clean import active_flights, drop_nullish, unique_by_key
-from contrail.operators.groups import approx_distinct_count_by
+from contrail.operators.groups import approx_distinct_count_by, exclude_flagged_groups
 from contrail.operators.joins import bounded_broadcast
 from contrail.operators.ranking import argmax_by_group, argmax_global, top1, top_n_per_group
 from contrail.operators.spatial import assign_zone
@@ -130,7 +130,6 @@ def distinct_callsigns(flights: DataFrame) -> DataFrame:
 
 def approx_callsigns(flights: DataFrame, rsd: float = 0.02) -> DataFrame:
     """Approximate twin of :func:`distinct_callsigns` (HLL sketch per airline)."""
-    from contrail.operators.groups import exclude_flagged_groups
     f = active_flights(exclude_flagged_groups(flights, "callsign")).where(F.col("airline_icao") != "N/A")
     return approx_distinct_count_by(f, "airline_icao", "callsign", "number_of_flights", rsd)
 
@@ -189,7 +188,6 @@ def route_length(flights: DataFrame, airports: DataFrame, method: str = "lambert
         "id", "origin_airport_iata", "destination_airport_iata", "route_length", "route_approx")
 
 
-
 def q3_longest_active_route(flights: DataFrame, airports: DataFrame, method: str = "lambert") -> DataFrame:
     """Airborne flight(s) with the longest route (ties kept)."""
     f = active_flights(flights.select("id", "aircraft_code", "airline_icao", "callsign", "on_ground",
