@@ -120,14 +120,16 @@ def run(spark: SparkSession, inputs: Inputs, base: str, run_ts: dt.datetime | st
     if bronze_tables is not None:
         given = {k: v for k, v in bronze_in.items() if k not in bronze_tables}
         bronze_in = {k: v for k, v in bronze_in.items() if k in bronze_tables}
-    for name, df in bronze_in.items():
+    def write_bronze(name: str, df: DataFrame) -> tuple:
         try:
             n = _observed_write(stamp_run(conform(df, BRONZE_SCHEMAS[name]), run_ts), name,
                                 layer_path(base, "bronze", name))
-            status.append(("bronze", name, n, "ok"))
+            return ("bronze", name, n, "ok")
         except Exception as e:  # isolate: later steps see the failure in the status table
             log.exception("bronze %s failed", name)
-            status.append(("bronze", name, None, f"failed: {type(e).__name__}"))
+            return ("bronze", name, None, f"failed: {type(e).__name__}")
+
+    status += _concurrently([lambda n=n, d=d: write_bronze(n, d) for n, d in bronze_in.items()])
 
     def bronze(name: str) -> DataFrame | None:
         if name in given:
@@ -143,35 +145,51 @@ def run(spark: SparkSession, inputs: Inputs, base: str, run_ts: dt.datetime | st
 
     b = Inputs(bronze("flights"), bronze("airlines"), bronze("airports"), bronze("zones"),
                bronze("aircraft_models"))
+    names = list(datasets or SILVER)
 
     # Silver: one dataset per indicator, each isolated.
-    for name in datasets or list(SILVER):
+    def write_silver(name: str) -> tuple:
         try:
-            df = SILVER[name](b)
-            n = _observed_write(stamp_run(df, run_ts), name, layer_path(base, "silver", name))
-            status.append(("silver", name, n, "ok"))
+            n = _observed_write(stamp_run(SILVER[name](b), run_ts), name, layer_path(base, "silver", name))
+            return ("silver", name, n, "ok")
         except Exception as e:
             log.exception("silver %s failed", name)
-            status.append(("silver", name, None, f"failed: {type(e).__name__}"))
+            return ("silver", name, None, f"failed: {type(e).__name__}")
+
+    status += _concurrently([lambda n=n: write_silver(n) for n in names])
 
     # Gold: the run's Silver rows as analyst-facing files, same partition naming.
-    for name in datasets or list(SILVER):
-        if not any(s[0] == "silver" and s[1] == name and s[3] == "ok" for s in status):
-            continue
-        silver = read_layer(spark, layer_path(base, "silver", name), _silver_schema(spark, base, name))
-        silver = silver.where((F.col("tech_day") == F.lit(day)) & (F.col("tech_hour") == hour))
-        if name in GOLD_ORDER:
-            silver = silver.orderBy(*order_columns(GOLD_ORDER[name]))
-        for fmt in gold_formats:
-            try:
-                n = _observed_write(silver, name, layer_path(base, f"gold_{fmt}", name), fmt)
-                status.append((f"gold_{fmt}", name, n, "ok"))
-            except Exception as e:
-                log.exception("gold %s %s failed", fmt, name)
-                status.append((f"gold_{fmt}", name, None, f"failed: {type(e).__name__}"))
+    def write_gold(name: str, fmt: str) -> tuple:
+        try:
+            silver = read_layer(spark, layer_path(base, "silver", name), _silver_schema(spark, base, name))
+            silver = silver.where((F.col("tech_day") == F.lit(day)) & (F.col("tech_hour") == hour))
+            if name in GOLD_ORDER:
+                silver = silver.orderBy(*order_columns(GOLD_ORDER[name]))
+            n = _observed_write(silver, f"{name}_{fmt}", layer_path(base, f"gold_{fmt}", name), fmt)
+            return (f"gold_{fmt}", name, n, "ok")
+        except Exception as e:
+            log.exception("gold %s %s failed", fmt, name)
+            return (f"gold_{fmt}", name, None, f"failed: {type(e).__name__}")
+
+    ok = [n for n in names if any(s[0] == "silver" and s[1] == n and s[3] == "ok" for s in status)]
+    status += _concurrently([lambda n=n, f=f: write_gold(n, f) for n in ok for f in gold_formats])
     return spark.createDataFrame(status, STATUS_SCHEMA)
 
 
+# Independent writes of one layer are submitted together: Spark runs their jobs side by
+# side (small indicator jobs leave most executors idle when run one after another).
+MAX_CONCURRENT_WRITES = 8
+
+
+def _concurrently(tasks: list[Callable[[], tuple]]) -> list[tuple]:
+    """Run the callables in a thread pool; results in submission order."""
+    if len(tasks) <= 1:
+        return [t() for t in tasks]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(MAX_CONCURRENT_WRITES, len(tasks))) as pool:
+        return list(pool.map(lambda t: t(), tasks))
+
+
 def _silver_schema(spark: SparkSession, base: str, name: str) -> T.StructType:
     """Data columns of a Silver dataset (from its Parquet footer, run columns removed)."""
     s = spark.read.parquet(layer_path(base, "silver", name)).schema
