@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from contrail import schemas as SCH
@@ -32,13 +33,19 @@ def stream_runs(spark: SparkSession, landing: str, dims: Inputs, base: str, chec
     stream = stream.where(F.col(CORRUPT_COL).isNull() & F.col("id").isNotNull()).drop(CORRUPT_COL)
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        # the poll times of this micro-batch: a handful of scalars, bounded by the trigger
-        polls = [r[0] for r in batch.select(poll_col).distinct().limit(MAX_POLLS_PER_BATCH + 1).collect()]
-        if len(polls) > MAX_POLLS_PER_BATCH:
-            raise ValueError(f"micro-batch {epoch_id} holds more than {MAX_POLLS_PER_BATCH} polls")
-        for ts in sorted(p for p in polls if p is not None):
-            flights = batch.where(F.col(poll_col) == F.lit(ts))
-            run(spark, Inputs(flights, dims.airlines, dims.airports, dims.zones, dims.models), base, ts,
-                gold_formats=gold_formats, datasets=datasets, bronze_tables=("flights", "airline_bridge"))
+        # The batch feeds several jobs per poll: keep it in executor storage for this call
+        # (blocks lost with an executor are recomputed from the landed files).
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            # the poll times of this micro-batch: a handful of scalars, bounded by the trigger
+            polls = [r[0] for r in batch.select(poll_col).distinct().limit(MAX_POLLS_PER_BATCH + 1).collect()]
+            if len(polls) > MAX_POLLS_PER_BATCH:
+                raise ValueError(f"micro-batch {epoch_id} holds more than {MAX_POLLS_PER_BATCH} polls")
+            for ts in sorted(p for p in polls if p is not None):
+                flights = batch.where(F.col(poll_col) == F.lit(ts))
+                run(spark, Inputs(flights, dims.airlines, dims.airports, dims.zones, dims.models), base, ts,
+                    gold_formats=gold_formats, datasets=datasets, bronze_tables=("flights", "airline_bridge"))
+        finally:
+            batch.unpersist()
 
     run_to_sink_batches(stream, per_batch, checkpoint)
