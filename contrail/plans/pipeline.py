@@ -7,6 +7,8 @@
 * Indicators read Bronze back *for this run only* (partition pruning); the written table
   is also the lineage cut between steps.
 * A failing dataset is isolated: its status row says so and the others still run.
+* The independent writes of a layer are submitted together (a small thread pool), so
+  Spark runs their jobs side by side instead of one small job after another.
 * Row counts come from ``DataFrame.observe`` on the writes (no extra count jobs).
 """
 
