@@ -8,7 +8,6 @@ session runs in local mode *and* that setting is unset (tests, laptops).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -64,7 +63,3 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme (for the few helpers that list files in tests)."""
     return path[5:] if path.startswith("file:") else path
-
-
-def env_sf_dir(default: str = "/root/testdata/sf0.1") -> str:
-    return os.environ.get("BENCH_SF_DIR", default)

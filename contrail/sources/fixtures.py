@@ -71,9 +71,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    text = FIXTURE_SQL[name]
-    frames = {t: table(spark, sf_dir, t) for t in _placeholders(text)}
-    return spark.sql(text, **frames)
+    """One fixture view as a DataFrame (placeholders bound to the parquet tables)."""
+    return Tables(spark, sf_dir)._fixture(name)
 
 
 class Tables:

@@ -13,8 +13,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from contrail.functions.columns import nullify_sentinel
 from contrail.schemas import AIRPORTS, AIRPORTS_RAW, CORRUPT_COL, with_corrupt
 
-ZONE_BOX_FIELDS = ("tl_y", "tl_x", "br_y", "br_x")
-
 # Microsecond timestamps survive the JSON round trip (Spark's default keeps milliseconds).
 JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
                 "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
