@@ -29,7 +29,7 @@ from contrail.plans import indicators as I
 from contrail.sources.layers import layer_path, lookup, read_layer, stamp_run, write_layer
 from contrail.sources.snapshots import read_snapshots
 
-log = logging.getLogger("contrail.pipeline")
+log = logging.getLogger("contrail.job")
 
 
 @dataclass(frozen=True)

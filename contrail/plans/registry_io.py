@@ -15,7 +15,7 @@ from contrail import schemas as SCH
 from contrail.operators.clean import quarantine, quarantine_status
 from contrail.plans import indicators as I
 from contrail.plans.oracle import with_ctes
-from contrail.plans.pipeline import STATUS_SCHEMA, SILVER, Inputs, ingest_landed, run
+from contrail.plans.job import STATUS_SCHEMA, SILVER, Inputs, ingest_landed, run
 from contrail.plans.registry import ORACLE, register
 from contrail.session import fresh_path
 from contrail.sources.fixtures import Tables
@@ -214,7 +214,7 @@ _SILVER_ORACLE = {
 }
 
 
-def _pipeline_oracle() -> str:
+def _scheduled_run_oracle() -> str:
     parts = []
     bronze = {"flights": "fx_flights", "airlines": "fx_airlines", "airports": "fx_airports",
               "zones": "fx_zones", "aircraft_models": "fx_aircraft_models"}
@@ -232,10 +232,10 @@ def _pipeline_oracle() -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-@register("pipeline_run", _pipeline_oracle())
-def _pipeline_run(t: Tables) -> DataFrame:
+@register("scheduled_run", _scheduled_run_oracle())
+def _scheduled_run(t: Tables) -> DataFrame:
     inputs = Inputs(t.flights, t.airlines, t.airports, t.zones, t.models)
-    return run(t.spark, inputs, fresh_path(t.spark, "pipeline"), RUN_TS)
+    return run(t.spark, inputs, fresh_path(t.spark, "scheduled_run"), RUN_TS)
 
 
 @register("run_metrics", with_ctes("fx_flights") + """

@@ -17,7 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from contrail import schemas as SCH
-from contrail.plans.pipeline import Inputs, run
+from contrail.plans.job import Inputs, run
 from contrail.schemas import CORRUPT_COL
 from contrail.streaming.ingest import run_to_sink_batches, snapshot_stream
 

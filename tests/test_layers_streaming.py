@@ -6,7 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from contrail import schemas as SCH
-from contrail.plans.pipeline import Inputs, run
+from contrail.plans.job import Inputs, run
 from contrail.session import fresh_path
 from contrail.sources.fixtures import Tables
 from contrail.sources.layers import lookup, read_layer, stamp_run, write_layer
@@ -89,10 +89,10 @@ def test_latest_per_key_hot_key(spark):
     assert got[1] == (999, 19999)
 
 
-def test_pipeline_isolates_failures_and_reruns(spark):
+def test_run_isolates_failures_and_reruns(spark):
     t = Tables(spark, SF_SMALL)
     broken_models = t.models.select(F.col("aircraft_code").alias("code"), "manufacturer")  # wrong column name
-    base = fresh_path(spark, "pipeline")
+    base = fresh_path(spark, "scheduled_run")
     st = {(r.layer, r.dataset): (r.rows, r.status) for r in
           run(spark, Inputs(t.flights, t.airlines, t.airports, t.zones, broken_models), base, RUN_A).collect()}
     assert st[("silver", "manufacturer_leader")][1].startswith("failed")
@@ -109,7 +109,7 @@ def test_pipeline_isolates_failures_and_reruns(spark):
 
 
 def test_run_from_landing_end_to_end(spark):
-    from contrail.plans.pipeline import run_from_landing
+    from contrail.plans.job import run_from_landing
     from contrail.sources.snapshots import JSON_OPTIONS
     t = Tables(spark, SF_SMALL)
     landing = fresh_path(spark, "landing")

@@ -8,7 +8,7 @@ from contrail.plans.catalog import QUERIES
 from tests.conftest import SF_SMALL
 
 # Queries whose plan is only a read-back of written files or a driver-side status table.
-SKIP = {"pipeline_run", "run_metrics"}
+SKIP = {"scheduled_run", "run_metrics"}
 # The bounded broadcast nested-loop form of the zone join (the zone count is checked first).
 NESTED_LOOP_OK = {"continent_assign_broadcast"}
 

@@ -47,7 +47,7 @@ def main() -> None:
     from contrail.plans.catalog import QUERIES
     from contrail.session import build_session
     spark = build_session()
-    skip = {"pipeline_run", "run_metrics"}
+    skip = {"scheduled_run", "run_metrics"}
     rows = []
     for name in sorted(QUERIES):
         if name in skip:
