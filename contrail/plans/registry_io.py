@@ -92,15 +92,17 @@ def _zones_flatten(t: Tables) -> DataFrame:
 
 
 @register("quarantine_counts", """
-SELECT CASE WHEN event_id % 50 IN (0, 25) THEN 'quarantined' ELSE 'accepted' END AS status,
+SELECT CASE WHEN event_type IN ('error', 'signup') AND value > 100 THEN 'quarantined' ELSE 'accepted' END AS status,
        CAST(count(*) AS BIGINT) AS n
 FROM events GROUP BY 1""")
 def _quarantine_counts(t: Tables) -> DataFrame:
     ev = t.events
     line = F.to_json(F.struct(*ev.columns))
     mistyped = F.to_json(F.struct(*[F.lit("oops").alias(c) if c == "value" else F.col(c) for c in ev.columns]))
-    text = ev.select(F.when(F.col("event_id") % 50 == 0, F.substring(line, 1, 25))  # truncated line
-                      .when(F.col("event_id") % 50 == 25, mistyped)                  # wrong type
+    # Fault injection by content: large error events land truncated, large signups mistyped.
+    large = F.col("value") > 100
+    text = ev.select(F.when((F.col("event_type") == "error") & large, F.substring(line, 1, 25))
+                      .when((F.col("event_type") == "signup") & large, mistyped)
                       .otherwise(line).alias("value"))
     land = land_text(text, fresh_path(t.spark, "landing/events"))
     raw = read_snapshots(t.spark, land, SCH.EVENTS)
@@ -240,13 +242,15 @@ def _scheduled_run(t: Tables) -> DataFrame:
 
 @register("run_metrics", with_ctes("fx_flights") + """
 SELECT 'flights' AS table_name, CAST(count(*) AS BIGINT) AS rows_read,
-       CAST(count(*) FILTER (WHERE id % 97 = 0) AS BIGINT) AS rows_rejected,
-       CAST(count(*) FILTER (WHERE id % 97 <> 0) AS BIGINT) AS rows_written
+       CAST(count(*) FILTER (WHERE destination_airport_iata IS NULL) AS BIGINT) AS rows_rejected,
+       CAST(count(*) FILTER (WHERE destination_airport_iata IS NOT NULL) AS BIGINT) AS rows_written
 FROM fx_flights""")
 def _run_metrics(t: Tables) -> DataFrame:
     f = t.flights
     line = F.to_json(F.struct(*f.columns))
-    text = f.select(F.when(F.col("id") % 97 == 0, F.substring(line, 1, 20)).otherwise(line).alias("value"))
+    # Fault injection by content: flights without a destination land as truncated lines.
+    text = f.select(F.when(F.col("destination_airport_iata").isNull(), F.substring(line, 1, 20))
+                     .otherwise(line).alias("value"))
     land = land_text(text, fresh_path(t.spark, "landing/flights"))
     base = fresh_path(t.spark, "metrics")
     m = ingest_landed(t.spark, land, SCH.FLIGHTS, f"{base}/bronze/flights", f"{base}/quarantine/flights",
