@@ -123,3 +123,16 @@ def test_zone_assignment_matches_brute_force(spark, method, axes):
         assert got[code] == brute_zone(lat, lon, axes), (code, lat, lon)
     if axes == "geographic":
         assert got["PARIS"] == "france" and got["EDGE2"] == "pacific" and got["EDGE3"] == "pacific"
+
+
+def test_broadcast_zone_join_falls_back_to_grid_beyond_bound(spark, monkeypatch):
+    import contrail.operators.spatial as S
+    monkeypatch.setattr(S, "MAX_BROADCAST_ZONES", 2)  # fewer than the 4 zones below
+    pts = [("PARIS", 48.85, 2.35), ("EDGE2", 0.0, 180.0), ("NOWHERE", -80.0, 0.0)]
+    points = spark.createDataFrame(pts, "iata_code string, latitude double, longitude double")
+    zones = spark.createDataFrame(ZONES, "zone_name string, zone_order int, tl_y double, tl_x double, "
+                                         "br_y double, br_x double")
+    out = S.assign_zone(points, zones, method="broadcast")
+    assert "BroadcastNestedLoopJoin" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.iata_code: r.continent for r in out.collect()}
+    assert got == {c: brute_zone(la, lo, "geographic") for c, la, lo in pts}
