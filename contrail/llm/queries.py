@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import decontaminate, digest, packing, sharding, simhash
+from contrail.llm import decontaminate, digest, language_model, packing, sharding, simhash
 from contrail.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -24,6 +24,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary_path(), sequence=1024)
 
 
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scores(table(spark, sf_dir, "documents"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, n = decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
                                                 window=13, keep=["doc_id"])
@@ -43,7 +47,7 @@ def op9_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.edited_likeness(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op3_packing, op7_decontaminate, op8_sharding, op9_digest)}
+QUERIES = {f.__name__: f for f in (op1_simhash, op3_packing, op6_language_model, op7_decontaminate, op8_sharding, op9_digest)}
 
 OP7_SQL = r"""
 WITH d AS (SELECT doc_id, list_filter(string_split(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
