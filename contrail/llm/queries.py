@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import decontaminate, digest, language_model, packing, sharding, simhash
+from contrail.llm import chat, decontaminate, digest, language_model, packing, pii, sharding, simhash
 from contrail.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -20,6 +20,18 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_distance=2)
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    sample = spark.sql(f"SELECT * FROM VALUES (-7L, 0L, 'user', '{said}'), (-7L, 1L, 'assistant', '{said}') AS t(conv_id, turn, role, text)")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(sample)
+    out = chat.format_chat(rows.withColumn("parts", chat.text_part(F.col("text"))))
+    turns = F.transform(chat.read_back(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = out.withColumn("raw", F.col("formatted").cast("binary")).withColumn("loss", chat.under_loss(F.col("raw"), F.col("loss_spans")))
+    return loss.select("conv_id", "n_turns", F.sha2(F.array_join(turns, ""), 256).alias("turns_sha256"),
+                       F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary_path(), sequence=1024)
 
@@ -47,7 +59,15 @@ def op9_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.edited_likeness(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op3_packing, op6_language_model, op7_decontaminate, op8_sharding, op9_digest)}
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked, n = pii.personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base, spans = F.col(n["base"]), F.col(n["spans"])
+    counts = [pii.count_of(base, k).alias(f"n_{k}") for k in pii.KINDS]
+    return marked.select("doc_id", *counts, F.sha2(pii.written(base), 256).alias("base_sha256"), pii.written(spans).alias("spans"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_chat_format, op3_packing, op6_language_model, op7_decontaminate, op8_sharding,
+                                   op9_digest, op10_pii)}
 
 OP7_SQL = r"""
 WITH d AS (SELECT doc_id, list_filter(string_split(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -67,4 +87,25 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(covered.n, 0)
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN met USING (doc_id)
 """
 
-ORACLE = {"op7_decontaminate": OP7_SQL}
+
+
+def _escaped(col: str) -> str:
+    sql = f"replace(coalesce({col}, ''), '\\', '\\\\')"
+    for c in chat.Template().controls:
+        sql = f"replace({sql}, '{c}', '{c[0]}\\{c[1:]}')"
+    return sql
+
+
+_MARKS = sum(len(x) for x in (chat.Template().turn, chat.Template().body, chat.Template().end))
+OP2_SQL = rf"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')) AS v(conv_id, turn, role, text))
+SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum({_MARKS} + length({_escaped('role')}) + length({_escaped('text')})) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+"""
+
+ORACLE = {"op2_chat_format": OP2_SQL, "op7_decontaminate": OP7_SQL}
