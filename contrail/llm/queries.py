@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import chat, decontaminate, digest, language_model, packing, pii, sharding, simhash
-from contrail.llm.common import table
+from contrail.llm import chat, decontaminate, digest, language_model, packing, pii, quality, sharding, simhash, toxicity
+from contrail.llm.common import crc_fold, table
 
 VOCABULARY = "byte_bpe_50k.json"
+QUALITY_THRESHOLD = 0.3
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -36,6 +37,21 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary_path(), sequence=1024)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out, n = toxicity.scored(docs, toxicity.train(docs, labels), keep=["doc_id"])
+    score = F.col(n["toxic_score"])
+    return out.select("doc_id", (crc_fold("doc_id") == 0).alias("held_out"), F.col(n["severity"]).alias("severity"), score.alias("score"),
+                      (score >= 0.5).cast("int").alias("predicted"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    out, score = quality.scored(docs, quality.train(docs, labels), keep=["doc_id"])
+    return out.select("doc_id", (crc_fold("doc_id") == 0).alias("held_out"), F.col(score).alias("score"),
+                      (F.col(score) >= QUALITY_THRESHOLD).cast("int").alias("predicted"))
+
+
 def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.scores(table(spark, sf_dir, "documents"))
 
@@ -66,7 +82,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", *counts, F.sha2(pii.written(base), 256).alias("base_sha256"), pii.written(spans).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_chat_format, op3_packing, op6_language_model, op7_decontaminate, op8_sharding,
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_chat_format, op3_packing, op4_toxicity, op5_quality, op6_language_model, op7_decontaminate, op8_sharding,
                                    op9_digest, op10_pii)}
 
 OP7_SQL = r"""
