@@ -12,6 +12,7 @@ others order the toxic rows by the density of such words.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,12 +26,35 @@ from contrail.llm.decontaminate import folded
 GRADES = 3  # thresholds: grades 0 to 3
 
 
-def counts_of(text: str | None, vocabulary: dict[bytes, int]) -> dict[int, int]:
+PREFIXES = (4, 5, 6, 7)  # characters; inflected and compounded forms share them
+
+
+def features_of(text: str | None) -> dict[str, int]:
+    """Counts of the text's words (``w:``) and of the prefixes of longer ones (``p:``)."""
+    out: dict[str, int] = {}
+    for w, n in Counter(folded(text).decode("utf-8", "replace").split()).items():
+        out["w:" + w] = n
+        for k in PREFIXES:
+            if len(w) > k:
+                p = "p:" + w[:k]
+                out[p] = out.get(p, 0) + n
+    return out
+
+
+def counts_of(text: str | None, vocabulary: dict[str, int]) -> dict[int, int]:
+    """``features_of`` restricted to a vocabulary, by number."""
     out: dict[int, int] = {}
-    for w in folded(text).split():
-        k = vocabulary.get(w)
+    get = vocabulary.get
+    for w, n in Counter(folded(text).decode("utf-8", "replace").split()).items():
+        k = get("w:" + w)
         if k is not None:
-            out[k] = out.get(k, 0) + 1
+            out[k] = out.get(k, 0) + n
+        for size in PREFIXES:
+            if len(w) <= size:
+                break
+            k = get("p:" + w[:size])
+            if k is not None:
+                out[k] = out.get(k, 0) + n
     return out
 
 
@@ -50,7 +74,7 @@ class OrdinalModel:
         return sigmoid(z[:, None] - self.thresholds[None, :])
 
 
-def fit_ordinal(rows: list[dict[int, float]], grades: np.ndarray, size: int, ridge: float = 1e-3, steps: int = 600, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(rows: list[dict[int, float]], grades: np.ndarray, size: int, ridge: float = 3e-5, steps: int = 1000, rate: float = 0.1) -> tuple[np.ndarray, np.ndarray]:
     """Maximum likelihood of the cumulative-link model by Adam; thresholds stay ordered since they
     are the first one plus positive steps."""
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
@@ -84,7 +108,7 @@ def fit_ordinal(rows: list[dict[int, float]], grades: np.ndarray, size: int, rid
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           folds: int = 5, held_out_fold: int = 0, max_rows: int = 20_000, features: int = 2048, min_docs: int = 3) -> OrdinalModel:
     """Learn from at most ``max_rows`` labelled rows outside the held-out fold (lowest id hashes: a
-    uniform sample). The ``features`` words whose presence tells most about the label (by G test,
+    uniform sample). The ``features`` words and prefixes whose presence tells most about the label (by G test,
     in at least ``min_docs`` rows) are counted in Spark; the driver sees only their counts in
     the sampled rows."""
     chosen = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & (crc_fold(id_col, folds) != held_out_fold))
@@ -96,16 +120,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         for b in batches:
             out = [[], [], [], []]
             for row, label, text in zip(*(b.column(k).to_pylist() for k in range(3))):
-                found: dict[bytes, int] = {}
-                for w in folded(text).split():
-                    found[w] = found.get(w, 0) + 1
-                for w, n in found.items():
+                for w, n in features_of(text).items():
                     for c, x in zip(out, (row, label, w, n)):
                         c.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int32(), pa.binary(), pa.int64()))], ["row", "label", "word", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int32(), pa.string(), pa.int64()))], ["row", "label", "word", "n"])
 
     sample = cut(rows.dropDuplicates(["row"]), "toxicity-sample")
-    seen = cut(sample.mapInArrow(words, "row long, label int, word binary, n long"), "toxicity-words")
+    seen = cut(sample.mapInArrow(words, "row long, label int, word string, n long"), "toxicity-words")
     total, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     if toxic in (0, total):
         return OrdinalModel({}, np.zeros(0), np.array([1.0, 2.0, 3.0]) * (1 if not toxic else -1))
@@ -117,12 +138,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     best = (seen.groupBy("word").agg(F.count("*").alias("docs"), F.sum("label").alias("toxic_docs")).where(F.col("docs") >= min_docs)
             .select("word", g.alias("g"), (k / n > rate).alias("marks"), (F.sqrt(k / n)).alias("purity")).orderBy(F.desc("g"), "word").limit(features))
     words_list = best.collect()
-    vocabulary = {bytes(r["word"]): i for i, r in enumerate(words_list)}
+    vocabulary = {r["word"]: i for i, r in enumerate(words_list)}
     marks = {i for i, r in enumerate(words_list) if r["marks"] and r["g"] > 15 and r["purity"] > 0.7}
     chosen_words = best.select("word")
     by_row: dict[int, dict[int, int]] = {}
     for r in seen.join(F.broadcast(chosen_words), "word").select("row", "word", "n").toLocalIterator():
-        by_row.setdefault(r["row"], {})[vocabulary[bytes(r["word"])]] = r["n"]
+        by_row.setdefault(r["row"], {})[vocabulary[r["word"]]] = r["n"]
     label_of = [(r["row"], r["label"], r["size"]) for r in sample.select("row", "label", F.coalesce(F.size(F.split("t", r"\s+")), F.lit(0)).alias("size")).collect()]
     density = np.array([sum(n for w, n in by_row.get(row, {}).items() if w in marks) / max(1, size) for row, _, size in label_of])
     toxic_rows = np.array([label == 1 for _, label, _ in label_of])
