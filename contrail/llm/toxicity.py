@@ -5,9 +5,9 @@ vector for all thresholds (proportional odds). x holds, for each feature word, a
 The expected severity is the sum of P(grade > j).
 
 The labels only tell toxic from not. Severity grades of the training rows are made from them:
-grade 0 is not toxic; toxic rows are graded by how much of them the words that mark toxic
-rows take (``grade_of``). So the first threshold is learned from the labels themselves, the
-others order the toxic rows by the density of such words.
+grade 0 is not toxic; toxic rows are graded by how often the words that mark toxic rows occur
+in them (``grade_of``). So the first threshold is learned from the labels themselves, the
+others order the toxic rows by the number of such words.
 """
 
 from __future__ import annotations
@@ -106,10 +106,11 @@ def fit_ordinal(rows: list[dict[int, float]], grades: np.ndarray, size: int, rid
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          folds: int = 5, held_out_fold: int = 0, max_rows: int = 20_000, features: int = 2048, min_docs: int = 3) -> OrdinalModel:
+          folds: int = 5, held_out_fold: int = 0, max_rows: int = 20_000, features: int = 2048, min_docs: int = 3,
+          min_g: float = 12.0) -> OrdinalModel:
     """Learn from at most ``max_rows`` labelled rows outside the held-out fold (lowest id hashes: a
-    uniform sample). The ``features`` words and prefixes whose presence tells most about the label (by G test,
-    in at least ``min_docs`` rows) are counted in Spark; the driver sees only their counts in
+    uniform sample). The ``features`` words and prefixes whose presence tells most about the label (G test,
+    ``min_g`` or more, in at least ``min_docs`` rows) are counted in Spark; the driver sees only their counts in
     the sampled rows."""
     chosen = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & (crc_fold(id_col, folds) != held_out_fold))
               .groupBy(F.col(id_col).alias("lid")).agg(F.max(label_col).cast("int").alias("label"))
@@ -136,27 +137,26 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rate = float(toxic) / float(total)
     g = part(k, n * rate) + part(n - k, n * (1 - rate)) + part(toxic - k, (total - n) * rate) + part(total - toxic - n + k, (total - n) * (1 - rate))
     best = (seen.groupBy("word").agg(F.count("*").alias("docs"), F.sum("label").alias("toxic_docs")).where(F.col("docs") >= min_docs)
-            .select("word", g.alias("g"), (k / n > rate).alias("marks"), (F.sqrt(k / n)).alias("purity")).orderBy(F.desc("g"), "word").limit(features))
+            .select("word", g.alias("g"), (k / n > rate).alias("marks"), (F.sqrt(k / n)).alias("purity")).where(F.col("g") >= min_g).orderBy(F.desc("g"), "word").limit(features))
     words_list = best.collect()
     vocabulary = {r["word"]: i for i, r in enumerate(words_list)}
     marks = {i for i, r in enumerate(words_list) if r["marks"] and r["g"] > 15 and r["purity"] > 0.7}
-    chosen_words = best.select("word")
     by_row: dict[int, dict[int, int]] = {}
-    for r in seen.join(F.broadcast(chosen_words), "word").select("row", "word", "n").toLocalIterator():
+    for r in seen.join(F.broadcast(best.select("word")), "word").select("row", "word", "n").toLocalIterator():
         by_row.setdefault(r["row"], {})[vocabulary[r["word"]]] = r["n"]
-    label_of = [(r["row"], r["label"], r["size"]) for r in sample.select("row", "label", F.coalesce(F.size(F.split("t", r"\s+")), F.lit(0)).alias("size")).collect()]
-    density = np.array([sum(n for w, n in by_row.get(row, {}).items() if w in marks) / max(1, size) for row, _, size in label_of])
-    toxic_rows = np.array([label == 1 for _, label, _ in label_of])
-    grades = grade_of(density, toxic_rows)
-    x = [{w: float(np.log1p(n)) for w, n in by_row.get(row, {}).items()} for row, _, _ in label_of]
+    label_of = [(r["row"], r["label"]) for r in sample.select("row", "label").collect()]
+    marked = np.array([sum(n for w, n in by_row.get(row, {}).items() if w in marks) for row, _ in label_of])
+    toxic_rows = np.array([label == 1 for _, label in label_of])
+    grades = grade_of(marked, toxic_rows)
+    x = [{w: float(np.log1p(n)) for w, n in by_row.get(row, {}).items()} for row, _ in label_of]
     weights, thresholds = fit_ordinal(x, grades, len(vocabulary))
     return OrdinalModel(vocabulary, weights, thresholds)
 
 
-def grade_of(density: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """0 for rows that are not toxic, else 1 to 3 by tertiles of the density among toxic rows."""
-    cuts = np.quantile(density[toxic], [1 / 3, 2 / 3]) if toxic.any() else [0, 0]
-    return np.where(toxic, 1 + (density > cuts[0]) + (density > cuts[1]), 0).astype(np.int64)
+def grade_of(marked: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """0 for rows that are not toxic, else 1 to 3 by tertiles of the marking words among toxic rows."""
+    cuts = np.quantile(marked[toxic], [1 / 3, 2 / 3]) if toxic.any() else [0, 0]
+    return np.where(toxic, 1 + (marked > cuts[0]) + (marked > cuts[1]), 0).astype(np.int64)
 
 
 def scored(docs: DataFrame, model: OrdinalModel, text_col: str = "text", keep: list[str] | None = None) -> tuple[DataFrame, dict[str, str]]:
