@@ -108,14 +108,19 @@ def disclosing_terms(texts: DataFrame, reach: int, min_joint: int, generalise_at
             .select("h", F.concat_ws(":", "m.kind", F.lower("m.value")).alias("entity"), F.explode(F.array_distinct(nearby(F.col("text"), F.col("m"), reach))).alias("term")))
     met = cut(near.distinct(), "pii-near")
     entities = met.select("entity", "h").distinct().groupBy("entity").agg(F.count("*").alias("df_e")).where(F.col("df_e") >= min_joint)
-    joint = cut(met.groupBy("entity", "term").agg(F.count("*").alias("df_et")).where(F.col("df_et") >= min_joint).join(entities, "entity"), "pii-joint")
+    n = max(texts.select("h").distinct().count(), 2)
+    # A share of ``generalise_at`` needs df_t <= df_et * (n / df_e) ^ (1 - generalise_at). The texts that
+    # have a term near a value are a lower bound of df_t, so terms beyond that cannot qualify.
+    most = F.col("df_et") * F.pow(F.lit(float(n)) / F.col("df_e"), F.lit(1 - generalise_at)) * (1 + 1e-9)
+    around = met.select("term", "h").distinct().groupBy("term").agg(F.count("*").alias("df_near"))
+    joint = cut(met.groupBy("entity", "term").agg(F.count("*").alias("df_et")).where(F.col("df_et") >= min_joint)
+                .join(entities, "entity").join(around, "term").where(F.col("df_near") <= most).drop("df_near"), "pii-joint")
     candidates = joint.select("term").distinct()
     holding = cut(texts.select("h", F.explode(F.array_distinct(terms_of(F.col("text")))).alias("term"))
                   .join(candidates, "term").distinct(), "pii-terms")
-    n = texts.select("h").distinct().count()
     df = holding.groupBy("term").agg(F.count("*").alias("df_t"))
-    bits = F.log2(F.lit(float(max(n, 2))) / F.col("df_e"))
-    pmi = F.log2(F.col("df_et") * float(max(n, 2)) / (F.col("df_e") * F.col("df_t")))
+    bits = F.log2(F.lit(float(n)) / F.col("df_e"))
+    pmi = F.log2(F.col("df_et") * float(n) / (F.col("df_e") * F.col("df_t")))
     share = joint.join(df, "term").select("term", F.when(bits > 0, pmi / bits).otherwise(0.0).alias("share"))
     return share.groupBy("term").agg(F.max("share").alias("share")).where(F.col("share") >= generalise_at), holding
 
