@@ -18,6 +18,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,11 +32,12 @@ ARROW = pa.schema([("kind", pa.string()), ("shard", pa.int32()), ("block", pa.in
 
 
 def planes(x: np.ndarray) -> bytes:
-    """Bytes of whole numbers, all first bytes, then all second bytes, ...: compresses well."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes()
+    """Compressed bytes of whole numbers: all first bytes, then all second bytes, ..."""
+    return zstandard.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes(), 1)
 
 
 def unplanes(raw: bytes, kind) -> np.ndarray:
+    raw = zstandard.decompress(raw)
     n = len(raw) // np.dtype(kind).itemsize
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(-1, n).T).view(kind).reshape(n)
 
@@ -72,31 +74,34 @@ class Block:
     def requests(self, block: int, shards: int):
         """The block's own row (to be sent along) and one row per shard that it asks."""
         token = np.concatenate(self.tokens)
-        context = np.concatenate([np.zeros(1, np.uint32), token[:-1]])
         fold = np.repeat(np.array([r[1] for r in self.rows], np.uint8), [r[2] for r in self.rows])
-        n = len(self.words)
-        pair, at = np.unique(context.astype(np.int64) * n + token, return_inverse=True)
-        word_hash = np.fromiter((xxhash.xxh64_intdigest(w, 7) for w in self.words), np.uint64, n)
-        pair_hash = mix(word_hash[pair // n] * np.uint64(3) + mix(word_hash[pair % n] + np.uint64(1)))
-        word_hash = mix(word_hash)
-        for kind, value, hashes, size in (("w", token, word_hash, n), ("p", at, pair_hash, len(pair))):
-            retained = np.bincount(value[fold == 1], minlength=size).astype(np.uint32)
-            held = np.bincount(value[fold == 2], minlength=size).astype(np.uint32)
-            order = np.argsort(hashes)
-            h = hashes[order]
+        hashes = np.fromiter((xxhash.xxh64_intdigest(w, 7) for w in self.words), np.uint64, len(self.words))
+        pair, at = pairs_of(token, len(hashes))
+        for kind, value, own in (("w", token, mix(hashes)), ("p", at, pair_hashes(pair, hashes))):
+            order = np.argsort(own, kind="stable")
+            h = own[order]
+            retained = np.bincount(value[fold == 1], minlength=len(h)).astype(np.uint32)[order]
+            held = np.bincount(value[fold == 2], minlength=len(h)).astype(np.uint32)[order]
             shard = ((h >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
             bounds = np.searchsorted(shard, np.arange(shards + 1))
             for s in np.unique(shard).tolist():
                 lo, hi = bounds[s], bounds[s + 1]
-                own = order[lo:hi]
-                yield (kind, s, block, planes(np.diff(h[lo:hi], prepend=np.uint64(0))), planes(retained[own]), planes(held[own]),
-                       planes(own.astype(np.uint32)), hi - lo)
-        ids = pa.array([r[0] for r in self.rows]).cast(pa.int64())
-        docs = pa.RecordBatch.from_arrays([ids, pa.array([r[1] for r in self.rows], pa.int32()),
+                yield (kind, s, block, planes(np.diff(h[lo:hi], prepend=np.uint64(0))), planes(retained[lo:hi]), planes(held[lo:hi]),
+                       int(lo).to_bytes(8, "little"), hi - lo)
+        docs = pa.RecordBatch.from_arrays([pa.array([r[0] for r in self.rows], pa.int64()), pa.array([r[1] for r in self.rows], pa.int32()),
                                            pa.array([r[2] for r in self.rows], pa.int64())], ["id", "fold", "n"])
-        # Pairs are numbered as in ``pair``; a token is known by its pair, so only pairs are sent along.
-        yield ("b", block % shards, block, planes(at.astype(np.uint32)), planes((pair // n).astype(np.uint32)),
-               planes((pair % n).astype(np.uint32)), as_bytes(docs), n)
+        yield ("b", block % shards, block, planes(token), planes(hashes), None, as_bytes(docs), len(hashes))
+
+
+def pairs_of(token: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Different (context, word) pairs as context * words + word, and the pair of each token."""
+    context = np.concatenate([np.zeros(1, np.uint32), token[:-1]])
+    return np.unique(context.astype(np.int64) * words + token, return_inverse=True)
+
+
+def pair_hashes(pair: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    n = len(hashes)
+    return mix(hashes[pair // n] * np.uint64(3) + mix(hashes[pair % n] + np.uint64(1)))
 
 
 def as_bytes(b: pa.RecordBatch) -> bytes:
@@ -158,25 +163,35 @@ def gather(key, table):
     if rows[0]["kind"] == "s":
         return table
     own = next(r for r in rows if r["kind"] == "b")
-    count = {"w": np.zeros((2, own["n"]), np.uint32), "p": np.zeros((2, len(own["b"]) // 4), np.uint32)}
+    token, hashes = unplanes(own["a"], np.uint32), unplanes(own["b"], np.uint64)
+    pair, _ = pairs_of(token, len(hashes))
+    order = {"w": np.argsort(mix(hashes), kind="stable"), "p": np.argsort(pair_hashes(pair, hashes), kind="stable")}
+    count = {k: np.zeros((2, len(o)), np.uint32) for k, o in order.items()}
     for r in rows:
         if r["kind"] in "wp":
-            at = unplanes(r["d"], np.uint32)
+            lo = int.from_bytes(r["d"], "little")
+            at = order[r["kind"]][lo:lo + r["n"]]
             count[r["kind"]][0][at], count[r["kind"]][1][at] = unplanes(r["a"], np.uint32), unplanes(r["b"], np.uint32)
-    first, second = unplanes(own["b"], np.uint32), unplanes(own["c"], np.uint32)
-    # Six counts per different pair: pair, context, word; each in the retained and the held-out fold.
-    six = np.stack([count["p"][0], count["w"][0][first], count["w"][0][second], count["p"][1], count["w"][1][first], count["w"][1][second]])
-    return pa.Table.from_batches([batch([("b", own["shard"], own["block"], own["a"], planes(np.ascontiguousarray(six.reshape(-1))), None, own["d"], own["n"])])])
+    return pa.Table.from_batches([batch([("b", own["shard"], own["block"], own["a"], planes(count["p"].reshape(-1)), planes(count["w"].reshape(-1)), own["d"], own["n"])])])
+
+
+def opened(row: dict) -> tuple[np.ndarray, np.ndarray, dict]:
+    """(pair of each token, six counts per pair, rows): counts of the pair, its context and its
+    word, first in the retained, then in the held-out fold."""
+    pair, at = pairs_of(unplanes(row["a"], np.uint32), row["n"])
+    p, w = unplanes(row["b"], np.uint32).reshape(2, -1), unplanes(row["c"], np.uint32).reshape(2, -1)
+    first, second = pair // row["n"], pair % row["n"]
+    six = np.stack([p[0], w[0][first], w[0][second], p[1], w[1][first], w[1][second]]).astype(np.float64)
+    with pa.ipc.open_stream(row["d"]) as r:
+        return at, six, r.read_all().to_pydict()
 
 
 def held_out_table(tokens: int, words: int):
     """Per block: held-out tokens by (bucket, log ratio of bigram and of unigram to uniform)."""
     def run(batches):
         for b in batches:
-            for at, six, docs in zip(*(b.column(c).to_pylist() for c in ("a", "b", "d"))):
-                at, six = unplanes(at, np.uint32), unplanes(six, np.uint32).reshape(6, -1).astype(np.float64)
-                with pa.ipc.open_stream(docs) as r:
-                    d = r.read_all().to_pydict()
+            for row in b.to_pylist():
+                at, six, d = opened(row)
                 fold = np.repeat(np.array(d["fold"], np.uint8), d["n"])
                 n = np.bincount(at[fold == 2], minlength=six.shape[1])
                 with np.errstate(divide="ignore", invalid="ignore"):
@@ -212,7 +227,7 @@ def learn(cells: list[tuple[int, int, int, int]], rounds: int = 200, precision:
 
 
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, unseen_fold: int = 1,
-           tuning_fold: int = 2, block_tokens: int = 1_500_000, shard_bytes: int = 24 << 20) -> DataFrame:
+           tuning_fold: int = 2, block_tokens: int = 3_000_000, shard_bytes: int = 24 << 20) -> DataFrame:
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
 
     Rows whose crc fold is ``unseen_fold`` are never learned from; those of ``tuning_fold`` are
@@ -243,10 +258,8 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
         known = np.array(sorted(weights), np.int64)
         table = np.array([weights[b] for b in known])
         for b in batches:
-            for at, six, docs in zip(*(b.column(c).to_pylist() for c in ("a", "b", "d"))):
-                at, six = unplanes(at, np.uint32), unplanes(six, np.uint32).reshape(6, -1).astype(np.float64)
-                with pa.ipc.open_stream(docs) as r:
-                    d = r.read_all().to_pydict()
+            for row in b.to_pylist():
+                at, six, d = opened(row)
                 pair, context, word = six[0] + six[3], six[1] + six[4], six[2] + six[5]
                 w = table[np.maximum(0, np.searchsorted(known, bucket(context), "right") - 1)]
                 w = np.where((context > 0)[:, None], w, unseen)
