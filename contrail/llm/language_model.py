@@ -75,10 +75,17 @@ class Block:
         """The block's own row (to be sent along) and one row per shard that it asks."""
         token = np.concatenate(self.tokens)
         fold = np.repeat(np.array([r[1] for r in self.rows], np.uint8), [r[2] for r in self.rows])
-        hashes = np.fromiter((xxhash.xxh64_intdigest(w, 7) for w in self.words), np.uint64, len(self.words))
-        pair, at = pairs_of(token, len(hashes))
-        for kind, value, own in (("w", token, mix(hashes)), ("p", at, pair_hashes(pair, hashes))):
-            order = np.argsort(own, kind="stable")
+        hashes = mix(np.fromiter((xxhash.xxh64_intdigest(w, 7) for w in self.words), np.uint64, len(self.words)))
+        by_hash = np.argsort(hashes, kind="stable").astype(np.uint32)
+        self.words, self.tokens = {}, []
+        for kind in "wp":
+            if kind == "w":
+                value, own, order = token, hashes, by_hash
+            else:
+                pair, value = pairs_of(token, len(hashes))
+                own = pair_hashes(pair, hashes)
+                del pair
+                order = np.argsort(own, kind="stable")
             h = own[order]
             retained = np.bincount(value[fold == 1], minlength=len(h)).astype(np.uint32)[order]
             held = np.bincount(value[fold == 2], minlength=len(h)).astype(np.uint32)[order]
@@ -90,7 +97,7 @@ class Block:
                        int(lo).to_bytes(8, "little"), hi - lo)
         docs = pa.RecordBatch.from_arrays([pa.array([r[0] for r in self.rows], pa.int64()), pa.array([r[1] for r in self.rows], pa.int32()),
                                            pa.array([r[2] for r in self.rows], pa.int64())], ["id", "fold", "n"])
-        yield ("b", block % shards, block, planes(token), planes(hashes), None, as_bytes(docs), len(hashes))
+        yield ("b", block % shards, block, planes(token), planes(by_hash), None, as_bytes(docs), len(hashes))
 
 
 def pairs_of(token: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -143,7 +150,8 @@ def answer(key, table):
         for r in asked:
             mine = at[lo:lo + r["n"]]
             lo += r["n"]
-            out.append((kind, r["shard"], r["block"], planes(total[0][mine].astype(np.uint32)), planes(total[1][mine].astype(np.uint32)), None, r["d"], r["n"]))
+            out.append((kind, r["shard"], r["block"], planes(total[0][mine].astype(np.uint32)), planes(total[1][mine].astype(np.uint32)),
+                        r["a"] if kind == "w" else None, r["d"], r["n"]))
         if kind == "w":
             known = (total.sum(axis=0) > 0).sum()
             out.append(("s", 0, -1, int(known).to_bytes(8, "little"), int(total[0].sum()).to_bytes(8, "little"),
@@ -163,9 +171,14 @@ def gather(key, table):
     if rows[0]["kind"] == "s":
         return table
     own = next(r for r in rows if r["kind"] == "b")
-    token, hashes = unplanes(own["a"], np.uint32), unplanes(own["b"], np.uint64)
+    token, by_hash = unplanes(own["a"], np.uint32), unplanes(own["b"], np.uint32)
+    hashes = np.zeros(len(by_hash), np.uint64)
+    for r in rows:
+        if r["kind"] == "w":  # the block's word hashes come back with the answers
+            lo = int.from_bytes(r["d"], "little")
+            hashes[by_hash[lo:lo + r["n"]]] = np.cumsum(unplanes(r["c"], np.uint64), dtype=np.uint64)
     pair, _ = pairs_of(token, len(hashes))
-    order = {"w": np.argsort(mix(hashes), kind="stable"), "p": np.argsort(pair_hashes(pair, hashes), kind="stable")}
+    order = {"w": by_hash, "p": np.argsort(pair_hashes(pair, hashes), kind="stable")}
     count = {k: np.zeros((2, len(o)), np.uint32) for k, o in order.items()}
     for r in rows:
         if r["kind"] in "wp":
@@ -227,7 +240,7 @@ def learn(cells: list[tuple[int, int, int, int]], rounds: int = 200, precision:
 
 
 def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, unseen_fold: int = 1,
-           tuning_fold: int = 2, block_tokens: int = 3_000_000, shard_bytes: int = 24 << 20) -> DataFrame:
+           tuning_fold: int = 2, block_tokens: int = 2_000_000, shard_bytes: int = 24 << 20) -> DataFrame:
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
 
     Rows whose crc fold is ``unseen_fold`` are never learned from; those of ``tuning_fold`` are
