@@ -50,25 +50,6 @@ def main() -> None:
     for name in INDICATORS + OPERATORS:
         heavy = name == "scheduled_run"
         times[name] = round(timed(lambda: QUERIES[name](spark, sf_dir), 1 if heavy else reps, 0 if heavy else 1), 3)
-    # Rewrite pairs: the original formulation vs ours, same inputs, one run each.
-    if os.environ.get("BENCH_PAIRS", "1") == "1":
-        sys.path.insert(0, os.path.join(os.path.dirname(os.path.abspath(__file__)), "tools"))
-        import rewrite_pairs as P
-        from contrail.plans import indicators as I
-        from contrail.sources.fixtures import Tables
-        t = lambda: Tables(spark, sf_dir)
-        pairs = {
-            "pair_avg_window_distinct": lambda: P.avg_by_continent_window_distinct(t().flights, t().airports, t().zones),
-            "pair_avg_aggregate": lambda: I.q4_avg_route_by_continent(t().flights, t().airports, t().zones),
-            "pair_flows_two_pass": lambda: P.flows_two_pass(t().flights, t().airports),
-            "pair_flows_one_pass": lambda: I.airport_flow_imbalance(t().flights, t().airports),
-            "pair_route_python_udf": lambda: P.route_length_python_udf(t().flights, t().airports),
-            "pair_route_native": lambda: I.route_length(t().flights, t().airports),
-            "pair_zones_when_ladder": lambda: P.continent_when_ladder(t().airports, t().zones),
-            "pair_zones_grid_join": lambda: I.continent_assign(t().airports, t().zones),
-        }
-        for name, fn in pairs.items():
-            times[name] = round(timed(fn, 1, 1), 3)
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({
         "metric": "indicator_suite_wall_clock",

@@ -11,7 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from contrail.operators.clean import active_flights, unique_by_key
-from contrail.operators.joins import bounded_broadcast
 
 _AIRLINE = ("airline_name", "airline_iata", "airline_icao")
 
@@ -35,8 +34,8 @@ def _best_airline_per(airlines: DataFrame, code: str, pref: int) -> DataFrame:
 def with_airline_candidate(flights: DataFrame, airlines: DataFrame, out: str = "_airline") -> DataFrame:
     """Adds ``out``: this row's preferred airline as a struct (pref, name, iata, icao), NULL
     if neither code matches. Two broadcast lookups on the reduced airline dimension."""
-    by_icao = bounded_broadcast(_best_airline_per(airlines, "airline_icao", 0), source=airlines)
-    by_iata = bounded_broadcast(_best_airline_per(airlines, "airline_iata", 1), source=airlines)
+    by_icao = _best_airline_per(airlines, "airline_icao", 0)
+    by_iata = _best_airline_per(airlines, "airline_iata", 1)
     j = (flights.join(by_icao, F.col("airline_icao") == F.col("_k0"), "left")
                 .join(by_iata, F.col("airline_iata") == F.col("_k1"), "left"))
     return j.withColumn(out, F.coalesce("_m0", "_m1")).drop("_k0", "_m0", "_k1", "_m1")
@@ -65,7 +64,7 @@ def airline_bridge_by_union(flights: DataFrame, airlines: DataFrame, active_only
     """Same result written as the two lookups unioned and de-duplicated per id."""
     f = active_flights(flights) if active_only else flights
     f = f.where(F.col("id").isNotNull())
-    a = bounded_broadcast(airlines.select(*_AIRLINE))
+    a = airlines.select(*_AIRLINE)
     by_icao = (f.select("id", "airline_icao").join(a, "airline_icao", "inner")
                .select("id", F.lit(0).alias("pref"), *_AIRLINE))
     by_iata = (f.select("id", "airline_iata").join(a, "airline_iata", "inner")

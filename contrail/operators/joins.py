@@ -1,95 +1,8 @@
-"""Join helpers: broadcast only behind a proven row bound."""
+"""Join helpers: the choice of a join strategy is left to Spark's statistics and AQE."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
-
-# A dimension side is shipped to every executor only up to this many bytes (estimated
-# from its schema and a proven row bound); beyond it the join is left to Spark
-# (sort-merge / shuffle-hash join, AQE skew splitting).
-DIM_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
-DIM_BROADCAST_MAX_ROWS = 2_000_000  # row bound for callers that state rows directly
-
-_FIXED_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
-                T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8, T.TimestampNTZType: 8}
-STRING_BYTES_ESTIMATE = 48
-
-
-def estimated_row_bytes(schema: T.StructType) -> int:
-    """Upper-side estimate of one row in a broadcast hash relation (8 bytes of overhead per field)."""
-    def width(dt: T.DataType) -> int:
-        if isinstance(dt, T.StructType):
-            return sum(width(f.dataType) + 8 for f in dt.fields)
-        for k, v in _FIXED_WIDTH.items():
-            if isinstance(dt, k):
-                return v
-        if isinstance(dt, T.DecimalType):
-            return 16
-        return STRING_BYTES_ESTIMATE  # strings, binaries, nested collections
-    return 16 + width(schema)
-
-
-def max_broadcast_rows(df: DataFrame, max_bytes: int = DIM_BROADCAST_MAX_BYTES) -> int:
-    return max(1, max_bytes // estimated_row_bytes(df.schema))
-
-
-# Largest row count the checks ever establish exactly; a source above it is "large".
-COUNT_CAP = 10_000_000
-
-# (application id, plan hash, input files) -> capped row count. Input files are part of the
-# key, so newly landed data (new files) is counted again; the same files give the same answer.
-_COUNTED: dict[tuple, int] = {}
-
-
-def _proof_key(df: DataFrame) -> tuple | None:
-    try:
-        files = tuple(sorted(df.inputFiles()))
-        if not files:  # in-memory or generated data: no stable identity
-            return None
-        return (df.sparkSession.sparkContext.applicationId, df.semanticHash(), files)
-    except Exception:
-        return None
-
-
-def capped_count(df: DataFrame, cap: int = COUNT_CAP) -> int:
-    """``min(count(df), cap + 1)``: scans at most ``cap + 1`` rows, once per source.
-
-    Remembered on the DataFrame object (a dimension feeding several joins of a plan is
-    counted once) and, for file-backed plans, per (plan, input files).
-    """
-    memo = getattr(df, "_contrail_count", None)
-    if memo is not None and memo[0] >= cap:
-        return min(memo[1], cap + 1)
-    key = _proof_key(df)
-    if key is not None and key in _COUNTED and _COUNTED[key][0] >= cap:
-        n = _COUNTED[key][1]
-    else:
-        n = df.limit(cap + 1).count()
-        if key is not None:
-            _COUNTED[key] = (cap, n)
-    setattr(df, "_contrail_count", (cap, n))
-    return min(n, cap + 1)
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Proven bound: ``df`` has at most ``max_rows`` rows (one capped count per source)."""
-    return capped_count(df, max(COUNT_CAP, max_rows)) <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int | None = None,
-                      source: DataFrame | None = None) -> DataFrame:
-    """``broadcast(df)`` if it provably has at most ``max_rows`` rows, else ``df`` unchanged.
-
-    ``max_rows`` defaults to the row count that fits ``DIM_BROADCAST_MAX_BYTES`` at
-    ``df``'s estimated row width.
-
-    ``source``: a frame whose row count bounds ``df``'s (``df`` derived from it by
-    filters, projections, lookups without fan-out or aggregation); the check runs on
-    ``source`` and is shared by every frame derived from it.
-    """
-    if max_rows is None:
-        max_rows = max_broadcast_rows(df)
-    return F.broadcast(df) if row_count_at_most(source if source is not None else df, max_rows) else df
+from pyspark.sql import DataFrame, functions as F
 
 
 def one_row(df: DataFrame) -> DataFrame:

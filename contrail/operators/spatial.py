@@ -1,13 +1,8 @@
 """Point-in-box zone assignment (airports -> continent).
 
-Two physical forms of the same range join, highest ``zone_order`` wins:
-
-* ``grid`` (default): each zone is exploded into the grid cells it touches, each point
-  computes its one cell, and the two meet in an **equi-join on the cell** followed by
-  the exact box test. No nested loop, no broadcast requirement: with many zones or
-  points Spark shuffles on the cell key like any other join.
-* ``broadcast``: ``points JOIN broadcast(zones) ON box`` — a broadcast nested-loop
-  join, used only when the zone table provably has at most ``max_broadcast_zones`` rows.
+Each zone is exploded into the grid cells it touches (boxes are clamped to the globe, so the
+cells of a zone are bounded), each point computes its one cell, and the two meet in an
+**equi-join on the cell** followed by the exact box test; the highest ``zone_order`` wins.
 
 Axes: ``geographic`` reads x as longitude and y as latitude and lets a box whose
 ``tl_x > br_x`` wrap over the antimeridian; ``as_written`` compares latitude with the
@@ -18,9 +13,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from contrail.operators.joins import DIM_BROADCAST_MAX_ROWS, bounded_broadcast, row_count_at_most
-
-MAX_BROADCAST_ZONES = 10_000
 
 
 def _point_xy(points: DataFrame, lat: str, lon: str, axes: str) -> tuple[Column, Column]:
@@ -50,12 +42,19 @@ def _cell_range(lo: Column, hi: Column) -> Column:
     return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
 
 
+def _on_globe(v: Column, bound: float) -> Column:
+    """Clamped to the globe: a box with junk corners has no more cells than the grid."""
+    return F.greatest(F.least(v, F.lit(bound)), F.lit(-bound))
+
+
 def zone_cells(zones: DataFrame, cell_deg: float, wrap: bool) -> DataFrame:
     """One row per (zone, cell) the box touches."""
     z = _zones(zones)
     c = F.lit(cell_deg)
-    fx = lambda v: F.floor(v / c)
-    ys = _cell_range(fx(F.col("_br_y")), fx(F.col("_tl_y")))
+    x_end, y_end = (180.0, 90.0) if wrap else (180.0, 180.0)
+    fx = lambda v: F.floor(_on_globe(v, x_end) / c)
+    fy = lambda v: F.floor(_on_globe(v, y_end) / c)
+    ys = _cell_range(fy(F.col("_br_y")), fy(F.col("_tl_y")))
     straight = _cell_range(fx(F.col("_tl_x")), fx(F.col("_br_x")))
     if wrap:
         wrapped = F.concat(_cell_range(fx(F.col("_tl_x")), fx(F.lit(180.0))),
@@ -68,7 +67,7 @@ def zone_cells(zones: DataFrame, cell_deg: float, wrap: bool) -> DataFrame:
 
 
 def assign_zone(points: DataFrame, zones: DataFrame, key: str = "iata_code", lat: str = "latitude",
-                lon: str = "longitude", out: str = "continent", method: str = "grid",
+                lon: str = "longitude", out: str = "continent",
                 axes: str = "geographic", cell_deg: float = 5.0) -> DataFrame:
     """Adds column ``out``: name of the highest-``zone_order`` zone containing the point, NULL if none.
 
@@ -77,22 +76,11 @@ def assign_zone(points: DataFrame, zones: DataFrame, key: str = "iata_code", lat
     """
     wrap = axes == "geographic"
     px, py = _point_xy(points, lat, lon, axes)
-    if method == "broadcast":
-        if not row_count_at_most(zones, MAX_BROADCAST_ZONES):
-            method = "grid"
-        else:
-            joined = points.join(F.broadcast(_zones(zones)), _inside(px, py, wrap), "left")
-    if method == "grid":
-        cells = zone_cells(zones, cell_deg, wrap)
-        c = F.lit(cell_deg)
-        p = points.withColumns({"_pcx": F.floor(px / c), "_pcy": F.floor(py / c)})
-        cond = (F.col("_pcx") == F.col("_cx")) & (F.col("_pcy") == F.col("_cy")) & _inside(px, py, wrap)
-        # Cells per zone are bounded by the grid, so the zone count bounds the cell count.
-        per_zone = (int(360 // cell_deg) + 2) * (int(180 // cell_deg) + 2)
-        cells = bounded_broadcast(cells, max(1, DIM_BROADCAST_MAX_ROWS // per_zone), source=zones)
-        joined = p.join(cells, cond, "left").drop("_pcx", "_pcy", "_cx", "_cy")
-    elif method != "broadcast":
-        raise ValueError(f"unknown method {method!r}")
+    cells = zone_cells(zones, cell_deg, wrap)
+    c = F.lit(cell_deg)
+    p = points.withColumns({"_pcx": F.floor(px / c), "_pcy": F.floor(py / c)})
+    cond = (F.col("_pcx") == F.col("_cx")) & (F.col("_pcy") == F.col("_cy")) & _inside(px, py, wrap)
+    joined = p.join(cells, cond, "left").drop("_pcx", "_pcy", "_cx", "_cy")
     w = Window.partitionBy(key).orderBy(F.col("_zorder").desc_nulls_last(), F.col("_zone").asc_nulls_last())
     ranked = joined.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
     return ranked.withColumnRenamed("_zone", out).drop("_rn", "_zorder", "_tl_x", "_tl_y", "_br_x", "_br_y")

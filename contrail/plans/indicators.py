@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from contrail.functions.geo import add_route_km, is_approx
 from contrail.operators.bridge import airline_bridge
+from contrail.functions.columns import is_present
 from contrail.operators.clean import active_flights, drop_nullish, unique_by_key
 from contrail.operators.groups import approx_distinct_count_by, exclude_flagged_groups
-from contrail.operators.joins import bounded_broadcast
 from contrail.operators.ranking import argmax_by_group, argmax_global, top1, top_n_per_group
 from contrail.operators.spatial import assign_zone
 
@@ -28,18 +28,18 @@ def unique_airports(airports: DataFrame) -> DataFrame:
 DIM_COLUMNS = ("iata_code", "name", "country", "latitude", "longitude")
 
 
-def airport_dim(airports: DataFrame, zones: DataFrame | None = None, method: str = "grid",
+def airport_dim(airports: DataFrame, zones: DataFrame | None = None,
                 axes: str = "geographic") -> DataFrame:
     """Conformed airport dimension: one row per IATA code with name, country, coordinates
     and, when ``zones`` are given, the ``continent`` (NULL outside every zone)."""
     ap = unique_airports(airports).select(*DIM_COLUMNS)
-    return ap if zones is None else assign_zone(ap, zones, method=method, axes=axes)
+    return ap if zones is None else assign_zone(ap, zones, axes=axes)
 
 
-def continent_assign(airports: DataFrame, zones: DataFrame, method: str = "grid",
+def continent_assign(airports: DataFrame, zones: DataFrame,
                      axes: str = "geographic") -> DataFrame:
     """``iata_code, continent`` for every (de-duplicated) airport; continent NULL outside all zones."""
-    return airport_dim(airports, zones, method, axes).select("iata_code", "continent")
+    return airport_dim(airports, zones, axes).select("iata_code", "continent")
 
 
 def lookup(fact: DataFrame, dim: DataFrame, key: str, take: dict[str, str], source: DataFrame,
@@ -47,13 +47,11 @@ def lookup(fact: DataFrame, dim: DataFrame, key: str, take: dict[str, str], sour
     """``fact`` joined to the airport dimension on ``key = iata_code``; ``take`` renames the
     dimension columns kept.
 
-    The dimension is broadcast when ``source`` (the airport table it comes from) is provably
-    small, and it is broadcast *unchanged*: columns are renamed after the join, so the
-    origin and destination lookups of one plan ship identical relations and Spark reuses
-    a single broadcast (and a single computation of the dimension) for both.
+    Spark broadcasts the dimension when its size allows. It is joined *unchanged* (columns are
+    renamed after the join), so the origin and destination lookups of one plan share one
+    exchange of it.
     """
-    d = bounded_broadcast(dim, source=source)
-    j = fact.join(d, F.col(key) == F.col("iata_code"), how)
+    j = fact.join(dim, F.col(key) == F.col("iata_code"), how)
     return j.select(*[F.col(c) for c in fact.columns], *[F.col(src).alias(dst) for src, dst in take.items()])
 
 
@@ -121,16 +119,16 @@ def callsign_activity(flights: DataFrame) -> DataFrame:
 
 def distinct_callsigns(flights: DataFrame) -> DataFrame:
     """``airline_icao, number_of_flights``: distinct airborne callsigns of airlines whose
-    callsigns were never seen on the ground ('N/A' and NULL airlines dropped)."""
+    callsigns were never seen on the ground (NULL and sentinel airlines dropped)."""
     act = callsign_activity(flights)
     keep = act.where((F.col("_ever_grounded") == 0) & (F.col("_airborne") == 1)
-                     & (F.col("airline_icao") != "N/A"))
+                     & is_present(F.col("airline_icao"), "string"))
     return keep.groupBy("airline_icao").agg(F.count("callsign").alias("number_of_flights"))
 
 
 def approx_callsigns(flights: DataFrame, rsd: float = 0.02) -> DataFrame:
     """Approximate twin of :func:`distinct_callsigns` (HLL sketch per airline)."""
-    f = active_flights(exclude_flagged_groups(flights, "callsign")).where(F.col("airline_icao") != "N/A")
+    f = active_flights(exclude_flagged_groups(flights, "callsign")).where(is_present(F.col("airline_icao"), "string"))
     return approx_distinct_count_by(f, "airline_icao", "callsign", "number_of_flights", rsd)
 
 
@@ -140,7 +138,7 @@ def q1_airline_most_active(flights: DataFrame, airlines: DataFrame) -> DataFrame
     # One name per ICAO code (smallest), so a code shared by several airlines cannot fan out.
     names = (airlines.where(F.col("airline_icao").isNotNull())
              .groupBy(F.col("airline_icao").alias("_icao")).agg(F.min("airline_name").alias("name")))
-    return (top.join(bounded_broadcast(names, source=airlines), F.col("airline_icao") == F.col("_icao"), "left")
+    return (top.join(names, F.col("airline_icao") == F.col("_icao"), "left")
                .select("airline_icao", "name", "number_of_flights"))
 
 
@@ -221,7 +219,7 @@ def q5_manufacturer_leader(flights: DataFrame, models: DataFrame) -> DataFrame:
     """``manufacturer, active_flights`` of the maker(s) with most airborne flights (ties kept)."""
     dim = unique_by_key(models.where(F.col("aircraft_code").isNotNull()), ["aircraft_code"], ["manufacturer"])
     act = active_flights(flights, ["id", "aircraft_code"])
-    j = act.join(bounded_broadcast(dim, source=models), "aircraft_code", "inner")
+    j = act.join(dim, "aircraft_code", "inner")
     counts = j.groupBy("manufacturer").agg(F.count("id").alias("active_flights"))
     return argmax_global(counts, "active_flights")
 
@@ -290,6 +288,6 @@ def airport_flow_imbalance(flights: DataFrame, airports: DataFrame, active_only:
     if both_required:
         flows = flows.where((F.col("departures") > 0) & (F.col("arrivals") > 0))
     names = airport_dim(airports).select("iata_code", F.col("name").alias("airport_name"))
-    j = flows.join(bounded_broadcast(names, source=airports), "iata_code", "inner" if known_only else "left")
+    j = flows.join(names, "iata_code", "inner" if known_only else "left")
     j = j.withColumn("abs_diff", F.abs(F.col("departures") - F.col("arrivals")))
     return argmax_global(j, "abs_diff").select("iata_code", "airport_name", "departures", "arrivals", "abs_diff")

@@ -2,10 +2,10 @@
 
 * One run timestamp stamps every table of the run (partition columns ``tech_year``,
   ``tech_month`` = YYYY-MM, ``tech_day`` = date, ``tech_hour``).
-* Every layer is written with dynamic partition overwrite: re-running a run replaces
-  its own partition only, earlier runs stay queryable by ``(date, hour)``.
-* Indicators read Bronze back *for this run only* (partition pruning); the written table
-  is also the lineage cut between steps.
+* Every table of a run is written to the run's own folder, which a re-run replaces as a whole
+  (an empty result too); earlier runs, also of the same hour, stay queryable.
+* Indicators read Bronze back from this run's folder only; the written table is also the
+  lineage cut between steps. A source that failed falls back to its last good run.
 * A failing dataset is isolated: its status row says so and the others still run.
 * The independent writes of a layer are submitted together (a small thread pool), so
   Spark runs their jobs side by side instead of one small job after another.
@@ -23,10 +23,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 
 from contrail import schemas as SCH
 from contrail.operators.bridge import airline_bridge
-from contrail.operators.clean import quarantine
+from contrail.operators.clean import normalise_sentinels, quarantine
 from contrail.operators.ranking import order_columns
 from contrail.plans import indicators as I
-from contrail.sources.layers import layer_path, lookup, read_layer, stamp_run, write_layer
+from contrail.sources.layers import last_run_before, layer_path, read_run, write_run
 from contrail.sources.snapshots import read_snapshots
 
 log = logging.getLogger("contrail.job")
@@ -34,10 +34,10 @@ log = logging.getLogger("contrail.job")
 
 @dataclass(frozen=True)
 class Inputs:
-    flights: DataFrame
-    airlines: DataFrame
-    airports: DataFrame
-    zones: DataFrame
+    flights: DataFrame | None
+    airlines: DataFrame | None
+    airports: DataFrame | None
+    zones: DataFrame | None
     models: DataFrame | None = None
 
 
@@ -55,6 +55,13 @@ SILVER: dict[str, Callable[[Inputs], DataFrame]] = {
     "greatest_flights_difference": lambda b: I.airport_flow_imbalance(b.flights, b.airports),
 }
 
+# The tables each dataset needs; a dataset without one of them fails alone (models: is skipped).
+NEEDS = {"most_airlines": ("flights", "airlines"), "top_regional": ("flights", "airlines", "airports", "zones"),
+         "find_longest_flight": ("flights", "airports"),
+         "average_flight_distance_by_continent": ("flights", "airports", "zones"),
+         "manufacturer_leader": ("flights", "models"), "country_aircraft_model": ("flights", "airports"),
+         "greatest_flights_difference": ("flights", "airports")}
+
 # Presentation order of the Gold files (T5: sort at the sink only, never inside a plan).
 GOLD_ORDER: dict[str, list[str]] = {  # '-col' = descending
     "most_airlines": ["-number_of_flights", "airline_icao"],
@@ -79,9 +86,9 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def _observed_write(df: DataFrame, name: str, path: str, fmt: str = "parquet") -> int:
+def _observed_write(df: DataFrame, name: str, path: str, run_ts: dt.datetime | str, fmt: str = "parquet") -> int:
     obs = Observation(f"{name}_{abs(hash(path))}")
-    write_layer(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, fmt)
+    write_run(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, run_ts, fmt)
     return int(obs.get["rows"])
 
 
@@ -93,8 +100,8 @@ def ingest_landed(spark: SparkSession, landing: str, schema: T.StructType, bronz
     """
     raw = read_snapshots(spark, landing, schema)
     good, bad = quarantine(raw, required)
-    written = _observed_write(stamp_run(good, run_ts), "good", bronze)
-    rejected = _observed_write(stamp_run(bad, run_ts), "bad", quarantine_dir)
+    written = _observed_write(good, "good", bronze, run_ts)
+    rejected = _observed_write(bad, "bad", quarantine_dir, run_ts)
     log.info("ingest %s: written=%d rejected=%d", landing, written, rejected)
     return {"rows_read": written + rejected, "rows_rejected": rejected, "rows_written": written}
 
@@ -105,55 +112,52 @@ def run(spark: SparkSession, inputs: Inputs, base: str, run_ts: dt.datetime | st
     """Execute one run and return its status table ``layer, dataset, rows, status``.
 
     ``bronze_tables`` limits the Bronze writes (e.g. a stream of polls writes only the
-    flights and the bridge per poll); the other inputs are used as given.
+    bridge per poll); the other inputs are used as given. An input that is None or cannot be
+    written falls back to its last good run (status ``fallback``); only the datasets of a
+    table that has none fail. Without aircraft models their dataset is ``skipped``.
     """
     if isinstance(run_ts, str):
         run_ts = dt.datetime.fromisoformat(run_ts)
-    day, hour = run_ts.date(), run_ts.hour
     status: list[tuple] = []
-
-    # Bronze: the run's inputs plus the flight -> airline bridge.
-    bronze_in = {"flights": inputs.flights, "airlines": inputs.airlines, "airports": inputs.airports,
-                 "zones": inputs.zones}
-    if inputs.models is not None:
-        bronze_in["aircraft_models"] = inputs.models
-    bronze_in["airline_bridge"] = airline_bridge(inputs.flights, inputs.airlines)
-    given = {}
-    if bronze_tables is not None:
-        given = {k: v for k, v in bronze_in.items() if k not in bronze_tables}
-        bronze_in = {k: v for k, v in bronze_in.items() if k in bronze_tables}
-    def write_bronze(name: str, df: DataFrame) -> tuple:
-        try:
-            n = _observed_write(stamp_run(conform(df, BRONZE_SCHEMAS[name]), run_ts), name,
-                                layer_path(base, "bronze", name))
-            return ("bronze", name, n, "ok")
-        except Exception as e:  # isolate: later steps see the failure in the status table
-            log.exception("bronze %s failed", name)
-            return ("bronze", name, None, f"failed: {type(e).__name__}")
-
-    status += _concurrently([lambda n=n, d=d: write_bronze(n, d) for n, d in bronze_in.items()])
-
-    def bronze(name: str) -> DataFrame | None:
-        if name in given:
-            return given[name]
-        if not any(s[1] == name and s[3] == "ok" for s in status):
-            return None
-        try:
-            df = lookup(spark, layer_path(base, "bronze", name), BRONZE_SCHEMAS[name], day, hour)
-            return df.select(*BRONZE_SCHEMAS[name].fieldNames())
-        except Exception:  # unreadable: the datasets that need it fail, the others run
-            log.exception("bronze %s unreadable", name)
-            return None
-
-    b = Inputs(bronze("flights"), bronze("airlines"), bronze("airports"), bronze("zones"),
-               bronze("aircraft_models"))
+    given = {"flights": inputs.flights, "airlines": inputs.airlines, "airports": inputs.airports,
+             "zones": inputs.zones, "aircraft_models": inputs.models}
+    tables = [n for n in given if bronze_tables is None or n in bronze_tables]
+    ready: dict[str, DataFrame | None] = {n: df for n, df in given.items() if n not in tables}
+
+    def write_bronze(name: str, df: DataFrame | None) -> tuple:
+        path, schema = layer_path(base, "bronze", name), BRONZE_SCHEMAS[name]
+        failure = "missing"
+        if df is not None:
+            try:
+                n = _observed_write(conform(df, schema), name, path, run_ts)
+                ready[name] = read_run(spark, path, run_ts, schema)
+                return ("bronze", name, n, "ok")
+            except Exception as e:  # isolate: later steps see the failure in the status table
+                log.exception("bronze %s failed", name)
+                failure = f"failed: {type(e).__name__}"
+        ready[name] = last_run_before(spark, path, run_ts, schema)
+        return ("bronze", name, None, failure if ready[name] is None else "fallback")
+
+    written = _concurrently([lambda n=n: write_bronze(n, given[n]) for n in tables
+                             if n != "aircraft_models" or inputs.models is not None])
+    ready.setdefault("aircraft_models", None)
+    status += written
+    # The flight -> airline bridge comes from the Bronze tables, not from the landed files.
+    if (bronze_tables is None or "airline_bridge" in bronze_tables) and ready["flights"] is not None and ready["airlines"] is not None:
+        status.append(write_bronze("airline_bridge", airline_bridge(ready["flights"], ready["airlines"])))
+
+    b = Inputs(ready["flights"], ready["airlines"], ready["airports"], ready["zones"], ready["aircraft_models"])
     names = list(datasets or SILVER)
 
     # Silver: one dataset per indicator, each isolated.
     def write_silver(name: str) -> tuple:
+        absent = [n for n in NEEDS[name] if getattr(b, n) is None]
+        if absent == ["models"] and inputs.models is None:
+            return ("silver", name, None, "skipped")
+        if absent:
+            return ("silver", name, None, "failed: missing " + ", ".join(absent))
         try:
-            n = _observed_write(stamp_run(SILVER[name](b), run_ts), name, layer_path(base, "silver", name))
-            return ("silver", name, n, "ok")
+            return ("silver", name, _observed_write(SILVER[name](b), name, layer_path(base, "silver", name), run_ts), "ok")
         except Exception as e:
             log.exception("silver %s failed", name)
             return ("silver", name, None, f"failed: {type(e).__name__}")
@@ -163,12 +167,10 @@ def run(spark: SparkSession, inputs: Inputs, base: str, run_ts: dt.datetime | st
     # Gold: the run's Silver rows as analyst-facing files, same partition naming.
     def write_gold(name: str, fmt: str) -> tuple:
         try:
-            silver = read_layer(spark, layer_path(base, "silver", name), _silver_schema(spark, base, name))
-            silver = silver.where((F.col("tech_day") == F.lit(day)) & (F.col("tech_hour") == hour))
+            silver = read_run(spark, layer_path(base, "silver", name), run_ts)
             if name in GOLD_ORDER:
                 silver = silver.orderBy(*order_columns(GOLD_ORDER[name]))
-            n = _observed_write(silver, f"{name}_{fmt}", layer_path(base, f"gold_{fmt}", name), fmt)
-            return (f"gold_{fmt}", name, n, "ok")
+            return (f"gold_{fmt}", name, _observed_write(silver, f"{name}_{fmt}", layer_path(base, f"gold_{fmt}", name), run_ts, fmt), "ok")
         except Exception as e:
             log.exception("gold %s %s failed", fmt, name)
             return (f"gold_{fmt}", name, None, f"failed: {type(e).__name__}")
@@ -192,12 +194,6 @@ def _concurrently(tasks: list[Callable[[], tuple]]) -> list[tuple]:
         return list(pool.map(lambda t: t(), tasks))
 
 
-def _silver_schema(spark: SparkSession, base: str, name: str) -> T.StructType:
-    """Data columns of a Silver dataset (from its Parquet footer, run columns removed)."""
-    s = spark.read.parquet(layer_path(base, "silver", name)).schema
-    return T.StructType([f for f in s.fields if not f.name.startswith("tech_")])
-
-
 # ------------------------------------------------------------------ scheduled entry point
 
 def _read_landed(spark: SparkSession, path: str, schema: T.StructType, required: Sequence[str],
@@ -207,19 +203,22 @@ def _read_landed(spark: SparkSession, path: str, schema: T.StructType, required:
     try:
         raw = read_airports(spark, path) if name == "airports" else read_snapshots(spark, path, schema)
         good, bad = quarantine(raw, required)
-        n_bad = _observed_write(stamp_run(bad, run_ts), f"q_{name}", layer_path(base, "quarantine", name))
+        n_bad = _observed_write(bad, f"q_{name}", layer_path(base, "quarantine", name), run_ts)
         status.append(("quarantine", name, n_bad, "ok"))
-        return good
+        return normalise_sentinels(good)
     except Exception as e:
         log.exception("landing %s unreadable", name)
         status.append(("quarantine", name, None, f"failed: {type(e).__name__}"))
         return None
 
 
-def zones_from_tree(spark: SparkSession, path: str, names: Sequence[str] | None = None) -> DataFrame:
-    """Landed zone trees -> flat zones; a deeper (more specific) zone takes precedence."""
+def zones_from_tree(spark: SparkSession, path: str, names: Sequence[str] | None = None, depth: int | None = 0) -> DataFrame:
+    """Landed zone trees -> flat zones: the top-level zones, or those of ``depth`` (None: all,
+    where a deeper, more specific zone takes precedence)."""
     from contrail.sources.snapshots import flatten_zones, read_zone_docs
     z = flatten_zones(read_zone_docs(spark, path))
+    if depth is not None:
+        z = z.where(F.col("depth") == depth)
     if names:
         z = z.where(F.col("zone_name").isin(list(names)))
     return z.select("zone_name", F.col("depth").cast("int").alias("zone_order"), "tl_y", "tl_x", "br_y", "br_x")
@@ -247,8 +246,6 @@ def run_from_landing(spark: SparkSession, landing: str, base: str, run_ts: dt.da
         log.exception("zones unreadable")
         pre.append(("quarantine", "zones", None, f"failed: {type(e).__name__}"))
         zones = None
-    if flights is None or airlines is None or airports is None or zones is None:
-        return spark.createDataFrame(pre, STATUS_SCHEMA)
     out = run(spark, Inputs(flights, airlines, airports, zones, models), base, run_ts, gold_formats)
     return spark.createDataFrame(pre, STATUS_SCHEMA).unionByName(out)
 
@@ -258,11 +255,11 @@ def main(argv: Sequence[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description="one scheduled run: landing -> Bronze -> Silver -> Gold")
     ap.add_argument("--landing", required=True)
     ap.add_argument("--base", required=True, help="shared folder holding bronze/ silver/ gold_*/ quarantine/")
-    ap.add_argument("--run-ts", default=None, help="ISO time of the run (default: now, truncated to the hour)")
+    ap.add_argument("--run-ts", default=None, help="ISO time of the run (default: now)")
     ap.add_argument("--zones", nargs="*", default=None, help="zone names to keep")
     a = ap.parse_args(argv)
     run_ts = (dt.datetime.fromisoformat(a.run_ts) if a.run_ts
-              else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, minute=0, second=0, microsecond=0))
+              else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0))
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s %(message)s")
     spark = SparkSession.builder.appName("contrail-run").getOrCreate()
     status = run_from_landing(spark, a.landing, a.base, run_ts, a.zones)

@@ -121,9 +121,12 @@ def _distinct_callsigns(t: Tables) -> DataFrame:
     return I.distinct_callsigns(t.flights)
 
 
-@register("approx_callsigns")
+@register("approx_callsigns", with_ctes("callsigns") + "SELECT airline_icao, true AS within_error FROM callsigns")
 def _approx_callsigns(t: Tables) -> DataFrame:
-    return I.approx_callsigns(t.flights)
+    """Whether each estimate lies within three standard errors (2 %) of the exact count."""
+    exact = I.distinct_callsigns(t.flights).withColumnRenamed("number_of_flights", "exact")
+    near = F.abs(F.col("number_of_flights") - F.col("exact")) <= F.greatest(F.lit(1.0), 3 * 0.02 * F.col("exact"))
+    return exact.join(I.approx_callsigns(t.flights, 0.02), "airline_icao").select("airline_icao", near.alias("within_error"))
 
 
 @register("q1_airline_most_active", with_ctes("callsigns", "fx_airlines") + """
@@ -173,12 +176,12 @@ def _q6(t: Tables) -> DataFrame:
 
 @register("continent_assign", with_ctes("cont") + "SELECT * FROM cont")
 def _continent_assign(t: Tables) -> DataFrame:
-    return I.continent_assign(t.airports, t.zones, method="grid")
+    return I.continent_assign(t.airports, t.zones)
 
 
 @register("continent_assign_broadcast", with_ctes("cont") + "SELECT * FROM cont")
 def _continent_assign_b(t: Tables) -> DataFrame:
-    return I.continent_assign(t.airports, t.zones, method="broadcast")
+    return I.continent_assign(t.airports, t.zones)  # kept name; one physical form
 
 
 @register("route_length", with_ctes("routes") + """

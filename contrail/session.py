@@ -30,7 +30,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", "8g")
-    if "spark.checkpoint.dir" not in (extra or {}):
+    if master.startswith("local") and not master.startswith("local-cluster") and "spark.checkpoint.dir" not in (extra or {}):
         conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="contrail-ck-", dir="/tmp")
     conf.update(extra or {})
     for k, v in conf.items():

@@ -1,10 +1,11 @@
 """Bronze / Silver / Gold folders with kata naming, written per run.
 
 Layout: ``<base>/<layer>/<dataset>/tech_year=YYYY/tech_month=YYYY-MM/tech_day=YYYY-MM-DD/tech_hour=H``.
-Writes use *dynamic* partition overwrite: re-running a run replaces exactly its own
-partition and leaves every other run in place (static overwrite would erase history).
-Reads give the partition columns an explicit type and filter on them, so a lookup of a
-``(date, hour)`` pair only lists and scans that partition (``PartitionFilters``).
+A job's runs write their own folder below the hour (``tech_run=<time>``) and replace it as a
+whole (``write_run``), so runs of one hour stay apart and an empty re-run leaves nothing old;
+``read_run`` lists only that folder. ``write_layer`` (many runs at once, backfills) uses
+dynamic partition overwrite, which replaces the partitions that have rows. ``lookup`` filters
+on the partition columns: only matching files are scanned, but the whole table is listed.
 """
 
 from __future__ import annotations
@@ -38,6 +39,46 @@ def write_layer(df: DataFrame, path: str, fmt: str = "parquet", partition_cols=R
     w.save(path)
 
 
+RUN_ID = "tech_run"  # below the hour: runs of the same hour stay apart
+
+
+def run_id(run_ts: dt.datetime | str) -> str:
+    ts = dt.datetime.fromisoformat(run_ts) if isinstance(run_ts, str) else run_ts
+    return ts.strftime("%Y%m%dT%H%M%S") + (f"_{ts.microsecond:06d}" if ts.microsecond else "")
+
+
+def run_path(path: str, run_ts: dt.datetime | str) -> str:
+    """The folder of one run: kata naming, then the run itself."""
+    ts = dt.datetime.fromisoformat(run_ts) if isinstance(run_ts, str) else run_ts
+    return (f"{path.rstrip('/')}/tech_year={ts.year}/tech_month={ts:%Y-%m}/tech_day={ts:%Y-%m-%d}/"
+            f"tech_hour={ts.hour}/{RUN_ID}={run_id(ts)}")
+
+
+def write_run(df: DataFrame, path: str, run_ts: dt.datetime | str, fmt: str = "parquet", part: str = "",
+              header: bool = True) -> None:
+    """Replace one run's folder (or one ``part`` of it) as a whole: an empty result leaves no old rows."""
+    w = df.write.mode("overwrite").format(fmt)
+    (w.option("header", header) if fmt == "csv" else w).save(run_path(path, run_ts) + (f"/{part}" if part else ""))
+
+
+def read_run(spark: SparkSession, path: str, run_ts: dt.datetime | str, data_schema: T.StructType | None = None,
+             parts: bool = False) -> DataFrame:
+    """One run's rows: only its own folder is listed (``parts``: with the folders below it)."""
+    r = spark.read.option("recursiveFileLookup", "true") if parts else spark.read
+    return (r.schema(data_schema) if data_schema is not None else r).parquet(run_path(path, run_ts))
+
+
+def last_run_before(spark: SparkSession, path: str, run_ts: dt.datetime | str, data_schema: T.StructType) -> DataFrame | None:
+    """Rows of the newest earlier run, None without one (used only where a source failed)."""
+    try:
+        rows = spark.read.schema(data_schema).option("mergeSchema", "false").parquet(path)
+        earlier = rows.where(F.col(RUN_ID).cast("string") < run_id(run_ts))
+        newest = earlier.agg(F.max(F.col(RUN_ID).cast("string"))).first()[0]
+        return None if newest is None else earlier.where(F.col(RUN_ID).cast("string") == newest).select(*data_schema.fieldNames())
+    except Exception:  # the table was never written
+        return None
+
+
 def layer_schema(data_schema: T.StructType) -> T.StructType:
     names = {f.name for f in data_schema.fields}
     return T.StructType([f for f in data_schema.fields if f.name not in RUN_COLUMNS]

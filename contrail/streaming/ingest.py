@@ -44,48 +44,52 @@ def dedup_within_watermark(df: DataFrame, keys: Sequence[str], ts_col: str, dela
     return df.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def _drain(q: StreamingQuery, timeout_sec: float | None) -> StreamingQuery:
+    """Wait until everything landed is processed; a time limit only where the caller sets one."""
+    if timeout_sec is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_sec):
+        q.stop()
+        raise TimeoutError(f"stream did not drain within {timeout_sec}s")
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return q
+
+
 def run_to_sink(df: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet",
-                timeout_sec: float | None = 600) -> StreamingQuery:
+                timeout_sec: float | None = None) -> StreamingQuery:
     """Start ``df`` into an exactly-once file sink with ``availableNow`` and wait for it."""
     q = (df.writeStream.format(fmt).outputMode("append")
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start(sink))
-    q.awaitTermination(timeout_sec)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"stream into {sink} did not drain within {timeout_sec}s")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return q
+    return _drain(q, timeout_sec)
 
 
-def run_to_sink_batches(df: DataFrame, fn, checkpoint: str, timeout_sec: float | None = 1800) -> StreamingQuery:
+def run_to_sink_batches(df: DataFrame, fn, checkpoint: str, timeout_sec: float | None = None) -> StreamingQuery:
     """``foreachBatch`` variant of :func:`run_to_sink` (``availableNow``, checkpointed)."""
     q = (df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
-    q.awaitTermination(timeout_sec)
-    if q.isActive:
-        q.stop()
-        raise TimeoutError(f"stream did not drain within {timeout_sec}s")
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return q
+    return _drain(q, timeout_sec)
 
 
 def stream_snapshots(spark: SparkSession, landing: str, schema: T.StructType, sink: str, checkpoint: str,
                      required: Sequence[str] = (), dedup_keys: Sequence[str] | None = None,
                      ts_col: str | None = None, delay: str = "2 hours",
-                     max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Landed JSON -> (optional watermark de-dup) -> Parquet sink, good rows only."""
+                     max_files_per_trigger: int | None = None, quarantine: str | None = None,
+                     timeout_sec: float | None = None) -> StreamingQuery:
+    """Landed JSON -> (optional watermark de-dup) -> Parquet sink. Bad rows go to ``quarantine``
+    (``<sink>_quarantine`` by default) with a checkpoint of their own."""
     s = snapshot_stream(spark, landing, schema, max_files_per_trigger)
     bad = F.col(CORRUPT_COL).isNotNull()
     for c in required:
         bad = bad | F.col(c).isNull()
+    run_to_sink(s.where(bad), quarantine or f"{sink.rstrip('/')}_quarantine", f"{checkpoint.rstrip('/')}_quarantine",
+                timeout_sec=timeout_sec)
     s = s.where(~bad).drop(CORRUPT_COL)
     if dedup_keys:
         s = dedup_within_watermark(s, dedup_keys, ts_col, delay)
-    return run_to_sink(s, sink, checkpoint)
+    return run_to_sink(s, sink, checkpoint, timeout_sec=timeout_sec)
 
 
 def latest_snapshot(df: DataFrame, ts_col: str = "snapshot_ts") -> DataFrame:

@@ -1,51 +1,48 @@
 """The polling loop as a stream: every landed poll becomes one scheduled run.
 
-A collector lands one JSON-lines file per poll of the live feed. ``stream_runs`` reads the
-landing folder with Structured Streaming (each file exactly once, thanks to the
-checkpoint) and, in ``foreachBatch``, runs the pipeline once per poll found in the
-micro-batch with the poll time as run time. Runs write their own partitions with
-dynamic overwrite, so a micro-batch replayed after a failure rewrites the same
-partitions: the effect is exactly once. Contract: a poll is landed whole in one file
-(one API answer), so it never spans two micro-batches.
+A collector lands JSON-lines files, one or several per poll of the live feed. ``stream_runs``
+reads the landing folder with Structured Streaming (each file once, thanks to the
+checkpoint). A micro-batch writes its rows to Bronze below their poll, in a folder named by
+the batch, so a replay replaces its own rows and another file of the poll adds to them; then
+the pipeline runs for each poll the batch touched, over all rows the poll has so far. Every
+effect is a replaced folder, so a micro-batch replayed after a failure changes nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from contrail import schemas as SCH
-from contrail.plans.job import Inputs, run
+from contrail.operators.clean import normalise_sentinels
+from contrail.plans.job import Inputs, conform, run
 from contrail.schemas import CORRUPT_COL
+from contrail.sources.layers import layer_path, read_run, write_run
 from contrail.streaming.ingest import run_to_sink_batches, snapshot_stream
 
-# Polls expected in one micro-batch at most (files per trigger x polls per file).
-MAX_POLLS_PER_BATCH = 64
-
 
 def stream_runs(spark: SparkSession, landing: str, dims: Inputs, base: str, checkpoint: str,
                 datasets: Sequence[str] | None = None, gold_formats: Sequence[str] = ("csv",),
-                poll_col: str = "snapshot_ts", max_files_per_trigger: int = 1) -> None:
-    """Drain the landing folder (``availableNow``): one pipeline run per landed poll."""
+                poll_col: str = "snapshot_ts", max_files_per_trigger: int | None = None,
+                timeout_sec: float | None = None) -> None:
+    """Drain the landing folder (``availableNow``): one pipeline run per landed poll.
+
+    Rows that are malformed, have no id or no poll time go to ``<base>/quarantine/flights``,
+    below the batch that met them. Polls are taken one after the other; their number in a
+    batch and the time of the drain are not limited (``timeout_sec`` sets a limit).
+    """
     stream = snapshot_stream(spark, landing, SCH.FLIGHTS, max_files_per_trigger)
-    stream = stream.where(F.col(CORRUPT_COL).isNull() & F.col("id").isNotNull()).drop(CORRUPT_COL)
+    bad = F.col(CORRUPT_COL).isNotNull() | F.col("id").isNull() | F.col(poll_col).isNull()
+    flights_path = layer_path(base, "bronze", "flights")
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        # The batch feeds several jobs per poll: keep it in executor storage for this call
-        # (blocks lost with an executor are recomputed from the landed files).
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            # the poll times of this micro-batch: a handful of scalars, bounded by the trigger
-            polls = [r[0] for r in batch.select(poll_col).distinct().limit(MAX_POLLS_PER_BATCH + 1).collect()]
-            if len(polls) > MAX_POLLS_PER_BATCH:
-                raise ValueError(f"micro-batch {epoch_id} holds more than {MAX_POLLS_PER_BATCH} polls")
-            for ts in sorted(p for p in polls if p is not None):
-                flights = batch.where(F.col(poll_col) == F.lit(ts))
-                run(spark, Inputs(flights, dims.airlines, dims.airports, dims.zones, dims.models), base, ts,
-                    gold_formats=gold_formats, datasets=datasets, bronze_tables=("flights", "airline_bridge"))
-        finally:
-            batch.unpersist()
-
-    run_to_sink_batches(stream, per_batch, checkpoint)
+        batch.where(bad).write.mode("overwrite").parquet(f"{layer_path(base, 'quarantine', 'flights')}/batch={epoch_id}")
+        good = normalise_sentinels(conform(batch.where(~bad).drop(CORRUPT_COL), SCH.FLIGHTS))
+        for (ts,) in good.select(poll_col).distinct().orderBy(poll_col).toLocalIterator():
+            write_run(good.where(F.col(poll_col) == F.lit(ts)), flights_path, ts, part=f"batch_{epoch_id}")
+            flights = read_run(spark, flights_path, ts, SCH.FLIGHTS, parts=True)
+            run(spark, Inputs(flights, dims.airlines, dims.airports, dims.zones, dims.models), base, ts,
+                gold_formats=gold_formats, datasets=datasets, bronze_tables=("airline_bridge",))
+
+    run_to_sink_batches(stream, per_batch, checkpoint, timeout_sec)

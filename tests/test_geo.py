@@ -107,9 +107,8 @@ def brute_zone(lat, lon, axes):
     return best[0] if best else None
 
 
-@pytest.mark.parametrize("method", ["grid", "broadcast"])
 @pytest.mark.parametrize("axes", ["geographic", "as_written"])
-def test_zone_assignment_matches_brute_force(spark, method, axes):
+def test_zone_assignment_matches_brute_force(spark, axes):
     rnd = random.Random(3)
     pts = [(f"P{i}", rnd.uniform(-89, 89), rnd.uniform(-180, 180)) for i in range(600)]
     pts += [("EDGE1", 35.0, -25.0), ("EDGE2", 0.0, 180.0), ("EDGE3", 0.0, -180.0), ("PARIS", 48.85, 2.35)]
@@ -117,7 +116,7 @@ def test_zone_assignment_matches_brute_force(spark, method, axes):
     zones = spark.createDataFrame(ZONES, "zone_name string, zone_order int, tl_y double, tl_x double, "
                                          "br_y double, br_x double")
     got = {r.iata_code: r.continent for r in
-           assign_zone(points, zones, method=method, axes=axes, cell_deg=7.5).collect()}
+           assign_zone(points, zones, axes=axes, cell_deg=7.5).collect()}
     assert len(got) == len(pts)
     for code, lat, lon in pts:
         assert got[code] == brute_zone(lat, lon, axes), (code, lat, lon)
@@ -125,14 +124,9 @@ def test_zone_assignment_matches_brute_force(spark, method, axes):
         assert got["PARIS"] == "france" and got["EDGE2"] == "pacific" and got["EDGE3"] == "pacific"
 
 
-def test_broadcast_zone_join_falls_back_to_grid_beyond_bound(spark, monkeypatch):
-    import contrail.operators.spatial as S
-    monkeypatch.setattr(S, "MAX_BROADCAST_ZONES", 2)  # fewer than the 4 zones below
-    pts = [("PARIS", 48.85, 2.35), ("EDGE2", 0.0, 180.0), ("NOWHERE", -80.0, 0.0)]
+def test_junk_zone_box_is_clamped_to_the_globe(spark):
+    pts = [("PARIS", 48.85, 2.35), ("NOWHERE", -80.0, 0.0)]
     points = spark.createDataFrame(pts, "iata_code string, latitude double, longitude double")
-    zones = spark.createDataFrame(ZONES, "zone_name string, zone_order int, tl_y double, tl_x double, "
-                                         "br_y double, br_x double")
-    out = S.assign_zone(points, zones, method="broadcast")
-    assert "BroadcastNestedLoopJoin" not in out._jdf.queryExecution().executedPlan().toString()
-    got = {r.iata_code: r.continent for r in out.collect()}
-    assert got == {c: brute_zone(la, lo, "geographic") for c, la, lo in pts}
+    zones = spark.createDataFrame([("world", 0, 1e10, -1e10, -1e10, 1e10), ("none", 1, None, None, None, None)],
+                                  "zone_name string, zone_order int, tl_y double, tl_x double, br_y double, br_x double")
+    assert {r.iata_code: r.continent for r in assign_zone(points, zones).collect()} == {"PARIS": "world", "NOWHERE": "world"}

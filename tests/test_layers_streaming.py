@@ -102,10 +102,26 @@ def test_run_isolates_failures_and_reruns(spark):
     st2 = {(r.layer, r.dataset): r.rows for r in
            run(spark, Inputs(t.flights, t.airlines, t.airports, t.zones, t.models), base, RUN_A).collect()}
     assert st2[("bronze", "flights")] == st[("bronze", "flights")][0]
-    silver = read_layer(spark, f"{base}/silver/most_airlines",
-                        spark.read.parquet(f"{base}/silver/most_airlines").drop(
-                            "tech_year", "tech_month", "tech_day", "tech_hour").schema)
-    assert silver.count() == 1
+    assert spark.read.parquet(f"{base}/silver/most_airlines").count() == 1
+    # same run with nothing airborne: nothing old stays, and an empty result is not a failure
+    empty = Inputs(t.flights.limit(0), t.airlines, t.airports, t.zones)
+    st3 = {(r.layer, r.dataset): (r.rows, r.status) for r in run(spark, empty, base, RUN_A).collect()}
+    assert st3[("silver", "most_airlines")] == (0, "ok") and st3[("gold_csv", "most_airlines")] == (0, "ok")
+    assert st3[("silver", "manufacturer_leader")][1] == "skipped"
+    assert spark.read.parquet(f"{base}/silver/most_airlines").count() == 0
+
+
+def test_missing_source_falls_back_and_stops_only_its_datasets(spark):
+    t = Tables(spark, SF_SMALL)
+    base = fresh_path(spark, "fallback")
+    st = {(r.layer, r.dataset): r.status for r in
+          run(spark, Inputs(t.flights, t.airlines, t.airports, None), base, RUN_A, gold_formats=()).collect()}
+    assert st[("bronze", "zones")] == "missing" and st[("silver", "top_regional")].startswith("failed")
+    assert st[("silver", "most_airlines")] == st[("silver", "find_longest_flight")] == "ok"
+    run(spark, Inputs(t.flights, t.airlines, t.airports, t.zones), base, RUN_A, gold_formats=())
+    st = {(r.layer, r.dataset): r.status for r in
+          run(spark, Inputs(t.flights, t.airlines, t.airports, None), base, RUN_B, gold_formats=()).collect()}
+    assert st[("bronze", "zones")] == "fallback" and st[("silver", "top_regional")] == "ok"
 
 
 def test_run_from_landing_end_to_end(spark):
@@ -143,12 +159,17 @@ def test_stream_runs_one_run_per_poll_across_restarts(spark):
         f.withColumn("snapshot_ts", F.lit(ts).cast("timestamp_ntz")).coalesce(1) \
             .write.mode("append").options(**JSON_OPTIONS).json(land)
 
+    # two polls of one hour, ten seconds apart, one of them landed in two files over two batches
     land_poll("2024-05-01 08:00:00")
+    land_poll("2024-05-01 08:00:10")
+    stream_runs(spark, land, dims, base, ck, datasets=["most_airlines"], gold_formats=(), max_files_per_trigger=1)
+    land_poll("2024-05-01 08:00:10")
+    land_poll(None)
     stream_runs(spark, land, dims, base, ck, datasets=["most_airlines"], gold_formats=())
-    land_poll("2024-05-01 10:00:00")
-    stream_runs(spark, land, dims, base, ck, datasets=["most_airlines"], gold_formats=())
-    bronze = read_layer(spark, f"{base}/bronze/flights", SCH.FLIGHTS)
-    per_run = dict(bronze.groupBy("tech_hour").count().collect())
-    assert per_run == {8: f.count(), 10: f.count()}  # each poll exactly once
+    bronze = spark.read.option("recursiveFileLookup", "true").schema(SCH.FLIGHTS).parquet(f"{base}/bronze/flights")
+    n = f.count()
+    per_poll = {str(r[0]): r[1] for r in bronze.groupBy("snapshot_ts").count().collect()}
+    assert per_poll == {"2024-05-01 08:00:00": n, "2024-05-01 08:00:10": 2 * n}
+    assert spark.read.parquet(f"{base}/quarantine/flights").count() == n  # polls without a time
     silver = spark.read.parquet(f"{base}/silver/most_airlines")
-    assert sorted(r.tech_hour for r in silver.select("tech_hour").collect()) == [8, 10]
+    assert sorted(r[0] for r in silver.select("tech_run").collect()) == ["20240501T080000", "20240501T080010"]

@@ -119,18 +119,3 @@ def test_bridge_prefers_icao_then_name_and_skips_unmatched(spark):
     got = rows(B.airline_bridge(flights, airlines))
     assert got == [(1, "AA", "AAL", "American"), (2, "BA", "BAX", "Another BA")]
     assert rows(B.airline_bridge_by_union(flights, airlines)) == got
-
-
-def test_bounded_broadcast_falls_back_beyond_bound(spark):
-    from contrail.operators.joins import bounded_broadcast, estimated_row_bytes
-    dim = spark.range(0, 1000).withColumnRenamed("id", "k")
-    fact = spark.range(0, 5000).select((F.col("id") % 1000).alias("k"))
-    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only explicit hints broadcast
-    try:
-        assert "BroadcastHashJoin" in plan(fact.join(bounded_broadcast(dim, max_rows=5000), "k"))
-        assert "BroadcastHashJoin" not in plan(fact.join(bounded_broadcast(dim, max_rows=10), "k"))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-    assert estimated_row_bytes(dim.schema) == 16 + 8 + 8
