@@ -63,36 +63,38 @@ def histogram(rows: DataFrame, probes: list[tuple[int, int]]) -> tuple[list[int]
     return tuple(np.cumsum(x)[:-1].tolist() for x in bins)
 
 
-def _between(low: tuple[int, int], high: tuple[int, int], n: int) -> list[tuple[int, int]]:
-    """Up to n pairs strictly between, spread over the keys, or over the ties of one key."""
+def _between(low: tuple[int, int], high: tuple[int, int], n: int, ties: tuple[int, int]) -> list[tuple[int, int]]:
+    """Up to n pairs strictly between, spread over the keys, or over the ties of one key (which
+    lie in ``ties``)."""
     if high[0] - low[0] > 1:
         gap = high[0] - low[0]
         return sorted({(low[0] + gap * j // (n + 1), LOW) for j in range(1, n + 1)} - {low, high})
-    if high[0] == low[0]:
-        first, last, key = low[1], high[1], low[0]
-    elif high[1] > LOW:  # neighbouring keys: first the boundary between them
-        return [(high[0], LOW)] if (high[0], LOW) != low else []
-    else:
-        first, last, key = low[1], HIGH + 1, low[0]
-    gap = last - first
-    return sorted({(key, first + gap * j // (n + 1)) for j in range(1, n + 1)} - {low, high, (key, first)})
+    if high[0] > low[0] and high[1] > LOW:  # neighbouring keys: first the boundary between them
+        return [(high[0], LOW)]
+    first = max(low[1], ties[0])
+    last = min(high[1] if high[0] == low[0] else ties[1] + 1, ties[1] + 1, HIGH)
+    return sorted({(low[0], first + (last - first) * j // (n + 1)) for j in range(1, n + 1)} - {low, high, (low[0], first)}) if last > first else []
 
 
 def find_splitters(rows: DataFrame, parts: int, tight: int, tolerance: float = 0.002,
-                   probes_each: int = 12) -> tuple[list[tuple[int, int]], list[int]]:
+                   probes: int = 4096) -> tuple[list[tuple[int, int]], list[int]]:
     """``parts - 1`` splitters of equal bytes and the number of rows below each.
 
     Every ``tight``-th splitter (a shard's) is refined to ``tolerance`` of a shard's bytes, the
-    others to a quarter of their own range. The driver holds one bracket per splitter.
+    others to a quarter of their own range. A round asks about ``probes`` boundaries, at least a
+    few per open splitter; the driver holds one bracket per splitter.
     """
-    total, count = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
-    low = [((LOW, LOW), 0, 0)] * (parts - 1)
-    high = [((HIGH, HIGH), total, count)] * (parts - 1)
+    total, count, first, last, *ties = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*"), *[
+        F.coalesce(f(c), F.lit(0)) for c in ("key", "tie") for f in (F.min, F.max)]).first()
+    low = [((first, LOW), 0, 0)] * (parts - 1)
+    high = [((last, HIGH), total, count)] * (parts - 1)
     target = [total * (i + 1) / parts for i in range(parts - 1)]
     allowed = [tolerance * total * tight / parts if (i + 1) % tight == 0 else total / parts / 4 for i in range(parts - 1)]
     done = lambda i: min(target[i] - low[i][1], high[i][1] - target[i]) <= allowed[i]
     while True:
-        asked = sorted({p for i in range(parts - 1) if not done(i) for p in _between(low[i][0], high[i][0], probes_each)})
+        brackets = {(low[i][0], high[i][0]) for i in range(parts - 1) if not done(i)}
+        each = max(12, probes // max(1, len(brackets)))
+        asked = sorted({p for b in brackets for p in _between(*b, each, tuple(ties))})
         if not asked:
             break
         points = [(p, b, n) for p, b, n in zip(asked, *histogram(rows, asked))]
