@@ -43,7 +43,8 @@ def _below(key: np.ndarray, tie: np.ndarray, probes: tuple[np.ndarray, np.ndarra
 
 
 def histogram(rows: DataFrame, probes: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
-    """Exact (bytes, rows) below each probe. Every task sends one row per interval it has."""
+    """Exact (bytes, rows) below each probe. Every task sends one row per interval it has; the
+    driver gets at most one row per probe and one more, in a single job."""
     pk, pt = (np.array(x, np.int64) for x in zip(*probes))
 
     def run(batches):
@@ -58,7 +59,7 @@ def histogram(rows: DataFrame, probes: list[tuple[int, int]]) -> tuple[list[int]
 
     bins = [[0] * (len(probes) + 1) for _ in range(2)]
     found = rows.select("key", "tie", "size").mapInArrow(run, "at long, bytes long, n long")
-    for r in found.groupBy("at").agg(F.sum("bytes"), F.sum("n")).toLocalIterator():
+    for r in found.groupBy("at").agg(F.sum("bytes"), F.sum("n")).collect():
         bins[0][r[0]], bins[1][r[0]] = r[1], r[2]
     return tuple(np.cumsum(x)[:-1].tolist() for x in bins)
 
