@@ -26,6 +26,7 @@ from contrail.llm.decontaminate import folded
 GRADES = 3  # thresholds: grades 0 to 3
 
 
+PART = 200_000  # features counted together before a task hands them on
 PREFIXES = (4, 5, 6, 7)  # characters; inflected and compounded forms share them
 
 
@@ -110,24 +111,32 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           min_g: float = 12.0) -> OrdinalModel:
     """Learn from at most ``max_rows`` labelled rows outside the held-out fold (lowest id hashes: a
     uniform sample). The ``features`` words and prefixes whose presence tells most about the label (G test,
-    ``min_g`` or more, in at least ``min_docs`` rows) are counted in Spark; the driver sees only their counts in
-    the sampled rows."""
+    ``min_g`` or more, in at least ``min_docs`` rows) are counted in Spark, each task adding up its own rows
+    first; the driver sees only the chosen features' counts, one row per sampled row."""
     chosen = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & (crc_fold(id_col, folds) != held_out_fold))
               .groupBy(F.col(id_col).alias("lid")).agg(F.max(label_col).cast("int").alias("label"))
               .orderBy(F.xxhash64("lid"), "lid").limit(max_rows))
     rows = docs.join(F.broadcast(chosen), docs[id_col] == chosen["lid"]).select(F.xxhash64("lid", text_col).alias("row"), "label", F.col(text_col).alias("t"))
 
     def words(batches):
+        def part(seen, marked):
+            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64()),
+                                               pa.array([marked[w] for w in seen], pa.int64())], ["word", "docs", "toxic_docs"])
+
         for b in batches:
-            out = [[], [], [], []]
-            for row, label, text in zip(*(b.column(k).to_pylist() for k in range(3))):
-                for w, n in features_of(text).items():
-                    for c, x in zip(out, (row, label, w, n)):
-                        c.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int32(), pa.string(), pa.int64()))], ["row", "label", "word", "n"])
+            seen, marked = Counter(), Counter()
+            for label, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                found = features_of(text).keys()
+                seen.update(found)
+                if label:
+                    marked.update(found)
+                if len(seen) > PART:
+                    yield part(seen, marked)
+                    seen, marked = Counter(), Counter()
+            yield part(seen, marked)
 
     sample = cut(rows.dropDuplicates(["row"]), "toxicity-sample")
-    seen = cut(sample.mapInArrow(words, "row long, label int, word string, n long"), "toxicity-words")
+    seen = sample.select("label", "t").mapInArrow(words, "word string, docs long, toxic_docs long")
     total, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     if toxic in (0, total):
         return OrdinalModel({}, np.zeros(0), np.array([1.0, 2.0, 3.0]) * (1 if not toxic else -1))
@@ -136,19 +145,23 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     part = lambda o, e: F.when(o > 0, o * F.log(o / e)).otherwise(0.0)
     rate = float(toxic) / float(total)
     g = part(k, n * rate) + part(n - k, n * (1 - rate)) + part(toxic - k, (total - n) * rate) + part(total - toxic - n + k, (total - n) * (1 - rate))
-    best = (seen.groupBy("word").agg(F.count("*").alias("docs"), F.sum("label").alias("toxic_docs")).where(F.col("docs") >= min_docs)
+    best = (seen.groupBy("word").agg(F.sum("docs").alias("docs"), F.sum("toxic_docs").alias("toxic_docs")).where(F.col("docs") >= min_docs)
             .select("word", g.alias("g"), (k / n > rate).alias("marks"), (F.sqrt(k / n)).alias("purity")).where(F.col("g") >= min_g).orderBy(F.desc("g"), "word").limit(features))
     words_list = best.collect()
     vocabulary = {r["word"]: i for i, r in enumerate(words_list)}
     marks = {i for i, r in enumerate(words_list) if r["marks"] and r["g"] > 15 and r["purity"] > 0.7}
-    by_row: dict[int, dict[int, int]] = {}
-    for r in seen.join(F.broadcast(best.select("word")), "word").select("row", "word", "n").toLocalIterator():
-        by_row.setdefault(r["row"], {})[vocabulary[r["word"]]] = r["n"]
-    label_of = [(r["row"], r["label"]) for r in sample.select("row", "label").collect()]
-    marked = np.array([sum(n for w, n in by_row.get(row, {}).items() if w in marks) for row, _ in label_of])
-    toxic_rows = np.array([label == 1 for _, label in label_of])
-    grades = grade_of(marked, toxic_rows)
-    x = [{w: float(np.log1p(n)) for w, n in by_row.get(row, {}).items()} for row, _ in label_of]
+
+    def counted(batches):
+        for b in batches:
+            found = [counts_of(t, vocabulary) for t in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([list(f) for f in found], pa.list_(pa.int32())),
+                                              pa.array([list(f.values()) for f in found], pa.list_(pa.int64()))], ["row", "label", "features", "counts"])
+
+    learned = sample.select("row", "label", "t").mapInArrow(counted, "row long, label int, features array<int>, counts array<long>").collect()
+    learned.sort(key=lambda r: r["row"])
+    marked = np.array([sum(n for w, n in zip(r["features"], r["counts"]) if w in marks) for r in learned])
+    grades = grade_of(marked, np.array([r["label"] == 1 for r in learned]))
+    x = [dict(zip(r["features"], np.log1p(r["counts"]).tolist())) for r in learned]
     weights, thresholds = fit_ordinal(x, grades, len(vocabulary))
     return OrdinalModel(vocabulary, weights, thresholds)
 
