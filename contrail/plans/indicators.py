@@ -179,6 +179,8 @@ def q2_regional_leader(flights: DataFrame, airlines: DataFrame, airports: DataFr
 
 # ---------------------------------------------------------------- Q3 / Q4
 
+ENDS = ("origin_airport_iata", "destination_airport_iata")
+
 
 def route_length(flights: DataFrame, airports: DataFrame, method: str = "lambert") -> DataFrame:
     """``id, origin_airport_iata, destination_airport_iata, route_length, route_approx``."""
@@ -187,29 +189,39 @@ def route_length(flights: DataFrame, airports: DataFrame, method: str = "lambert
 
 
 def q3_longest_active_route(flights: DataFrame, airports: DataFrame, method: str = "lambert") -> DataFrame:
-    """Airborne flight(s) with the longest route (ties kept)."""
-    f = active_flights(flights.select("id", "aircraft_code", "airline_icao", "callsign", "on_ground",
-                                      "origin_airport_iata", "destination_airport_iata"))
-    r = with_route_length(f, airports, method).where(F.col("route_known"))
+    """Airborne flight(s) with the longest route (ties kept).
+
+    A length depends on the pair of airports alone, so the flights are first reduced to their
+    pairs (one row per pair and task), the longest pairs are found among those, and only the
+    winning pairs meet the flights again.
+    """
+    f = active_flights(flights.select("id", "aircraft_code", "airline_icao", "callsign", "on_ground", *ENDS))
+    r = with_route_length(f.select(*ENDS).distinct(), airports, method).where(F.col("route_known"))
     # argmax's equi-join never matches a NULL length, so no filter on the length itself.
-    return argmax_global(r, "route_length").select("id", "aircraft_code", "airline_icao", "callsign",
-                                                   "route_length")
+    longest = argmax_global(r, "route_length").select(*ENDS, "route_length")
+    return f.join(longest, list(ENDS)).select("id", "aircraft_code", "airline_icao", "callsign", "route_length")
 
 
 def q4_avg_route_by_continent(flights: DataFrame, airports: DataFrame, zones: DataFrame,
                               method: str = "lambert", active_only: bool = False) -> DataFrame:
-    """Mean route length per origin continent (a plain aggregate, partial per task)."""
-    f = flights.select("id", "on_ground", "origin_airport_iata", "destination_airport_iata")
+    """Mean route length per origin continent, over the flights.
+
+    Flights are counted per pair of airports first; the length is computed once per pair and
+    weighted by its flights.
+    """
+    f = flights.select("on_ground", *ENDS)
     if active_only:
         f = active_flights(f)
+    pairs = f.groupBy(*ENDS).agg(F.count(F.lit(1)).alias("_n"))
     # One dimension (coordinates + continent) serves both ends and the continent.
-    r = with_route_length(f, airports, method, dim=airport_dim(airports, zones),
+    r = with_route_length(pairs, airports, method, dim=airport_dim(airports, zones),
                           origin_take={"continent": "origin_continent"})
     r = r.where(F.col("route_known") & F.col("origin_continent").isNotNull())
-    agg = r.groupBy("origin_continent").agg(F.round(F.avg("route_length"), 6).alias("average_route_distance"),
-                                            F.count("route_length").alias("_n"))
+    agg = r.groupBy("origin_continent").agg(
+        F.sum(F.col("route_length") * F.col("_n")).alias("_km"),
+        F.sum(F.when(F.col("route_length").isNotNull(), F.col("_n"))).alias("_n"))
     # A continent appears only if it has at least one route with a length.
-    return agg.where(F.col("_n") > 0).drop("_n")
+    return agg.where(F.col("_n") > 0).select("origin_continent", F.round(F.col("_km") / F.col("_n"), 6).alias("average_route_distance"))
 
 
 # ---------------------------------------------------------------- Q5
@@ -239,23 +251,36 @@ def models_per_continent(flights: DataFrame, airports: DataFrame, zones: DataFra
 # ---------------------------------------------------------------- Q6
 
 
-def models_per_country(flights: DataFrame, airports: DataFrame, clean: bool = True) -> DataFrame:
-    """``country_origin, aircraft_code, count_model``: flights per (origin country, model)."""
-    f = lookup(flights.select("origin_airport_iata", "aircraft_code"), airport_dim(airports),
-               "origin_airport_iata", {"country": "country_origin"}, airports)
+def models_per_country(flights: DataFrame, airports: DataFrame | None, clean: bool = True,
+                       country_of: str = "origin", airlines: DataFrame | None = None) -> DataFrame:
+    """``country_origin, aircraft_code, count_model``: flights per (country, model).
+
+    The country is the origin airport's, or with ``country_of="airline"`` the airline's home
+    country, for feeds whose ``airlines`` table has a ``country`` column.
+    """
+    if country_of == "airline":
+        home = (unique_by_key(airlines.where(F.col("airline_icao").isNotNull()), ["airline_icao"], ["country"])
+                .select(F.col("airline_icao").alias("_icao"), F.col("country").alias("country_origin")))
+        f = flights.select("airline_icao", "aircraft_code").join(home, F.col("airline_icao") == F.col("_icao"), "left")
+    elif country_of == "origin":
+        f = lookup(flights.select("origin_airport_iata", "aircraft_code"), airport_dim(airports),
+                   "origin_airport_iata", {"country": "country_origin"}, airports)
+    else:
+        raise ValueError(f"country_of: {country_of!r}")
     if clean:
         f = drop_nullish(f, ["country_origin", "aircraft_code"])
     return f.groupBy("country_origin", "aircraft_code").agg(F.count(F.lit(1)).alias("count_model"))
 
 
-def q6_top3_models_by_country(flights: DataFrame, airports: DataFrame, n: int = 3,
-                              drop_after_rank: bool = False) -> DataFrame:
-    """Top ``n`` models per origin country (count desc, code asc).
+def q6_top3_models_by_country(flights: DataFrame, airports: DataFrame | None, n: int = 3,
+                              drop_after_rank: bool = False, country_of: str = "origin",
+                              airlines: DataFrame | None = None) -> DataFrame:
+    """Top ``n`` models per country (count desc, code asc); ``country_of`` as in :func:`models_per_country`.
 
     Default cleans NULL countries/models before ranking; ``drop_after_rank=True``
     reproduces ranking first and dropping afterwards (fewer than ``n`` rows possible).
     """
-    counts = models_per_country(flights, airports, clean=not drop_after_rank)
+    counts = models_per_country(flights, airports, not drop_after_rank, country_of, airlines)
     ranked = top_n_per_group(counts, "country_origin", ["-count_model", "aircraft_code"], n)
     if drop_after_rank:
         ranked = ranked.na.drop()
@@ -266,11 +291,12 @@ def q6_top3_models_by_country(flights: DataFrame, airports: DataFrame, n: int =
 
 
 def airport_flows(flights: DataFrame, active_only: bool = False) -> DataFrame:
-    """``iata_code, departures, arrivals`` in one pass: each flight yields its two ends
-    (``stack``, no shuffle) and one partial aggregate counts both directions."""
+    """``iata_code, departures, arrivals`` in one pass: flights are counted per pair of airports,
+    each pair yields its two ends (``stack``) and one aggregate adds up both directions."""
     f = active_flights(flights) if active_only else flights
-    ends = f.select(F.expr("stack(2, origin_airport_iata, 1, 0, destination_airport_iata, 0, 1)")
-                    .alias("iata_code", "_dep", "_arr"))
+    pairs = f.groupBy(*ENDS).agg(F.count(F.lit(1)).alias("_n"))
+    ends = pairs.select(F.expr("stack(2, origin_airport_iata, _n, 0L, destination_airport_iata, 0L, _n)")
+                        .alias("iata_code", "_dep", "_arr"))
     return (ends.where(F.col("iata_code").isNotNull())
                 .groupBy("iata_code")
                 .agg(F.sum("_dep").cast("bigint").alias("departures"),

@@ -96,3 +96,11 @@ def test_imbalance_variants(snap):
 def test_continent_assign_dedups_airports(snap):
     got = dict(I.continent_assign(snap["airports"], snap["zones"]).collect())
     assert got == {"CDG": "europe", "ORY": "europe", "FRA": "europe", "JFK": "america", "NRT": "asia"}
+
+
+def test_top_models_by_airline_country(spark):
+    flights = spark.createDataFrame([("AFR", "A320"), ("AFR", "A320"), ("AFR", "B738"), ("DLH", "B738"), (None, "A320"), ("XXX", "B738"), ("DLH", None)],
+                                    "airline_icao string, aircraft_code string")
+    airlines = spark.createDataFrame([("AFR", "France"), ("AFR", "France"), ("DLH", "Germany"), (None, "Nowhere")], "airline_icao string, country string")
+    got = I.q6_top3_models_by_country(flights, None, n=1, country_of="airline", airlines=airlines).collect()
+    assert {tuple(r) for r in got} == {("France", "A320", 2, 1), ("Germany", "B738", 1, 1)}
