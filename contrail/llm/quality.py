@@ -135,9 +135,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
               .groupBy(F.col(id_col).alias("lid")).agg(F.max(label_col).cast("int").alias("label"))
               .orderBy(F.xxhash64("lid"), "lid").limit(max_rows))
     # Bounded by max_rows (two numbers each), so it is broadcast and texts do not move.
-    rows = docs.join(F.broadcast(chosen), docs[id_col] == chosen["lid"]).where(F.col(text_col).isNotNull()).select("label", F.col(text_col).alias("t"))
+    texts = docs.select(F.col(id_col).alias("did"), F.col(text_col).alias("t")).where("did is not null and t is not null")
+    rows = texts.join(F.broadcast(chosen), F.col("did") == F.col("lid")).select("label", "t")
     measured, names = with_statistics(rows, "t", ["label"])
-    return fit(cut(measured, "quality-sample"), names, "label")
+    # At most ``max_rows`` short rows: two tasks read them, however many tasks wrote them.
+    return fit(cut(measured, "quality-sample").coalesce(2), names, "label")
 
 
 def scored(docs: DataFrame, model: RuleModel, text_col: str = "text", keep: list[str] | None = None) -> tuple[DataFrame, str]:
