@@ -146,9 +146,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                 max_distance: int = 2) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their component, all columns kept (repeated
-    rows of that id: one; rows without an id stay where their component has no id)."""
+    """The rows of ``docs`` with the smallest id of their component, all columns kept.
+
+    Rows that repeat id and text come out once. An id on different texts keeps each of them that
+    its component keeps; rows without an id all stay, since nothing names them (a text once)."""
     found = near_duplicates(docs, id_col, text_col, shingle, max_distance)
-    keep = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__keep")).distinct()
+    keep = found.where(F.col(id_col).isNull() | (F.col(id_col) == F.col("component_id"))).select(F.col(id_col).alias("__keep")).distinct()
     kept = docs.join(keep, docs[id_col].eqNullSafe(keep["__keep"]), "left_semi")
-    return kept.dropDuplicates([id_col])
+    return kept.dropDuplicates([id_col, text_col])

@@ -116,7 +116,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & (crc_fold(id_col, folds) != held_out_fold))
               .groupBy(F.col(id_col).alias("lid")).agg(F.max(label_col).cast("int").alias("label"))
               .orderBy(F.xxhash64("lid"), "lid").limit(max_rows))
-    rows = docs.join(F.broadcast(chosen), docs[id_col] == chosen["lid"]).select(F.xxhash64("lid", text_col).alias("row"), "label", F.col(text_col).alias("t"))
+    texts = docs.select(F.col(id_col).alias("did"), F.col(text_col).alias("t"))
+    rows = texts.join(F.broadcast(chosen), F.col("did") == F.col("lid")).select(F.xxhash64("lid", "t").alias("row"), "label", "t")
 
     def words(batches):
         def part(seen, marked):

@@ -71,6 +71,10 @@ def test_near_duplicates_edges_and_fingerprints(spark, docs):
     kept = simhash.one_of_each(docs(EDGE))
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id) == [1, 2, 5]
+    # Rows without an id, and an id that two texts share, lose no text.
+    nameless = [(None, "one two three four", "s"), (None, "five six seven eight", "s"), (None, "five six seven eight", "s"),
+                (9, "alpha beta gamma delta", "s"), (9, "red green blue white", "s")]
+    assert sorted(r.text for r in simhash.one_of_each(docs(nameless)).collect()) == sorted({t for _, t, _ in nameless})
 
 
 def test_components_of_a_long_chain(spark):
@@ -289,7 +293,10 @@ def test_quality_learns_rules_and_holds_out(spark):
     assert np.mean([(s >= 0.3) == bool(q) for s, q in pairs]) > 0.9
     edge, score = quality.scored(spark.createDataFrame([(None,), ("",), ("a",)], "text string"), model)
     assert all(0 <= r[score] <= 1 for r in edge.collect())
-    assert quality.train(d, labels.limit(0)).rules == ()
+    clash = d.limit(20).withColumns({"label": F.lit("x"), "lid": F.lit("y"), "t": F.lit(1), "stat_entropy": F.lit("z")})
+    assert quality.train(clash, labels.limit(0)).rules == ()
+    scored, _ = quality.scored(clash, model)
+    assert scored.count() == 20 and set(clash.columns) < set(scored.columns)
 
 
 def test_toxicity_separates_and_orders(spark, docs):
@@ -307,4 +314,5 @@ def test_toxicity_separates_and_orders(spark, docs):
     assert list(severity) == sorted(severity) and severity[0] < 0.3 < 0.9 < severity[1]
     out, n = toxicity.scored(docs(EDGE).withColumn("severity", F.lit(0)), model)
     assert n["severity"] == "_severity" and out.count() == len(EDGE)
-    toxicity.scored(docs(EDGE), toxicity.train(docs(rows), labels.limit(0)))[0].collect()
+    clash = docs(rows).withColumns({"label": F.lit("x"), "lid": F.lit("y"), "row": F.lit(1)})
+    toxicity.scored(docs(EDGE), toxicity.train(clash, labels.limit(0)))[0].collect()
