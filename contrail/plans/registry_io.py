@@ -15,11 +15,11 @@ from contrail import schemas as SCH
 from contrail.operators.clean import quarantine, quarantine_status
 from contrail.plans import indicators as I
 from contrail.plans.oracle import with_ctes
-from contrail.plans.job import STATUS_SCHEMA, SILVER, Inputs, ingest_landed, run
+from contrail.plans.job import STATUS_SCHEMA, SILVER, Inputs, ingest_landed, run, run_from_landing
 from contrail.plans.registry import ORACLE, register
 from contrail.session import fresh_path
-from contrail.sources.fixtures import Tables
-from contrail.sources.layers import lookup, read_layer, stamp_run, write_layer
+from contrail.sources.fixtures import FIXTURE_SQL, Tables, _placeholders
+from contrail.sources.layers import layer_path, lookup, read_layer, read_run, stamp_run, write_layer
 from contrail.sources.snapshots import JSON_OPTIONS, flatten_zones, land_json, land_text, read_airports, read_snapshots, \
     read_zone_docs
 from contrail.streaming.ingest import latest_per_key, latest_snapshot, stream_snapshots
@@ -71,6 +71,17 @@ _REGION_BOX = {
 }
 
 
+def _zone_docs(t: Tables) -> DataFrame:
+    """One zone document per region, its nations as subzones."""
+    box = lambda m: F.struct(*[F.expr(v).alias(k) for k, v in m.items()])
+    nations = t.raw("nation").select("n_regionkey", F.struct(F.col("n_name"), box(_NATION_BOX)).alias("e"))
+    # Children of one zone: bounded by the zone tree itself, not by the flight volume.
+    sub = nations.groupBy("n_regionkey").agg(F.map_from_entries(F.collect_list("e")).alias("subzones"))
+    reg = t.raw("region").join(sub, F.col("r_regionkey") == F.col("n_regionkey"), "left")
+    node = F.struct(*[F.expr(v).alias(k) for k, v in _REGION_BOX.items()], F.col("subzones"))
+    return reg.select(F.to_json(F.create_map(F.lower("r_name"), node)).alias("value"))
+
+
 @register("zones_flatten", f"""
 SELECT lower(r_name) AS zone_name, CAST(NULL AS VARCHAR) AS parent_zone, 0 AS depth,
        {", ".join(f"{v} AS {k}" for k, v in _REGION_BOX.items())}
@@ -80,14 +91,7 @@ SELECT n_name AS zone_name, lower(r_name) AS parent_zone, 1 AS depth,
        {", ".join(f"{v} AS {k}" for k, v in _NATION_BOX.items())}
 FROM nation JOIN region ON n_regionkey = r_regionkey""")
 def _zones_flatten(t: Tables) -> DataFrame:
-    box = lambda m: F.struct(*[F.expr(v).alias(k) for k, v in m.items()])
-    nations = t.raw("nation").select("n_regionkey", F.struct(F.col("n_name"), box(_NATION_BOX)).alias("e"))
-    # Children of one zone: bounded by the zone tree itself, not by the flight volume.
-    sub = nations.groupBy("n_regionkey").agg(F.map_from_entries(F.collect_list("e")).alias("subzones"))
-    reg = t.raw("region").join(sub, F.col("r_regionkey") == F.col("n_regionkey"), "left")
-    node = F.struct(*[F.expr(v).alias(k) for k, v in _REGION_BOX.items()], F.col("subzones"))
-    docs = reg.select(F.to_json(F.create_map(F.lower("r_name"), node)).alias("value"))
-    land = land_text(docs, fresh_path(t.spark, "landing/zones"))
+    land = land_text(_zone_docs(t), fresh_path(t.spark, "landing/zones"))
     return flatten_zones(read_zone_docs(t.spark, land))
 
 
@@ -240,6 +244,61 @@ def _scheduled_run(t: Tables) -> DataFrame:
     return run(t.spark, inputs, fresh_path(t.spark, "scheduled_run"), RUN_TS)
 
 
+# What a landed run's Silver rows are compared by: an item (SQL of both engines) and its value.
+_LANDED_ITEMS = {
+    "most_airlines": ("concat(airline_icao, ':', name)", "number_of_flights"),
+    "top_regional": ("concat(continent, ':', airline_name)", "active_flights"),
+    "find_longest_flight": ("cast(id AS varchar(20))", "route_length"),
+    "average_flight_distance_by_continent": ("origin_continent", "average_route_distance"),
+    "manufacturer_leader": ("manufacturer", "active_flights"),
+    "country_aircraft_model": ("concat(country_origin, ':', aircraft_code)", "count_model"),
+    "greatest_flights_difference": ("iata_code", "abs_diff"),
+}
+
+# What is left of the landed fixtures: whole lines, and top-level zones of one rank.
+_LANDED_FIXTURES = {
+    "fx_flights": "SELECT * FROM fx_flights_all WHERE destination_airport_iata IS NOT NULL",
+    "fx_zones": "SELECT zone_name, 0 AS zone_order, tl_y, tl_x, br_y, br_x FROM fx_zones_all",
+}
+
+
+def _landed_run_oracle() -> str:
+    parts = [f"SELECT '{name}' AS dataset, {item} AS item, round(CAST({value} AS DOUBLE), 3) AS value "
+             f"FROM ({ORACLE[_SILVER_ORACLE[name]]}) x" for name, (item, value) in _LANDED_ITEMS.items()]
+    sql = "\nUNION ALL\n".join(parts)
+    for name, left in _LANDED_FIXTURES.items():
+        text = FIXTURE_SQL[name].format(**{t: t for t in _placeholders(FIXTURE_SQL[name])})
+        sql = sql.replace(f"{name} AS ({text}\n)", f"{name}_all AS ({text}\n),\n{name} AS ({left})")
+    return sql
+
+
+@register("landed_run", _landed_run_oracle())
+def _landed_run(t: Tables) -> DataFrame:
+    """The scheduled job from landed files to Silver: truncated lines, blank and NaN codes, airports
+    as text and a nested zone tree; returns the indicators' rows."""
+    landing, base = fresh_path(t.spark, "landing/run"), fresh_path(t.spark, "landed_run")
+    f = t.flights.withColumns({
+        "airline_icao": F.when((F.col("airline_icao") == "N/A") & (F.col("id") % 2 == 0), F.lit(" ")).otherwise(F.col("airline_icao")),
+        "aircraft_code": F.coalesce("aircraft_code", F.lit("NaN"))})
+    line = F.to_json(F.struct(*f.columns), JSON_OPTIONS)
+    # Fault injection by content: flights without a destination land as truncated lines.
+    land_text(f.select(F.when(F.col("destination_airport_iata").isNull(), F.substring(line, 1, 15)).otherwise(line).alias("value")),
+              f"{landing}/flights")
+    land_json(t.airlines, f"{landing}/airlines")
+    land_json(t.airports.select(*[F.col(c).cast("string").alias(c) for c in t.airports.columns]), f"{landing}/airports")
+    land_json(t.models, f"{landing}/aircraft_models")
+    overlap = t.zones.where("zone_name = 'overlap'").select(
+        F.to_json(F.create_map("zone_name", F.struct("tl_y", "tl_x", "br_y", "br_x"))).alias("value"))
+    land_text(_zone_docs(t).unionByName(overlap), f"{landing}/zones")
+    run_from_landing(t.spark, landing, base, RUN_TS, gold_formats=())
+    out = None
+    for name, (item, value) in _LANDED_ITEMS.items():
+        rows = read_run(t.spark, layer_path(base, "silver", name), RUN_TS).select(
+            F.lit(name).alias("dataset"), F.expr(item).alias("item"), F.round(F.col(value).cast("double"), 3).alias("value"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @register("run_metrics", with_ctes("fx_flights") + """
 SELECT 'flights' AS table_name, CAST(count(*) AS BIGINT) AS rows_read,
        CAST(count(*) FILTER (WHERE destination_airport_iata IS NULL) AS BIGINT) AS rows_rejected,
