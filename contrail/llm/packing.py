@@ -42,31 +42,32 @@ def byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-def encoder(path: str):
+def encoder(path: str, added_tokens: bool = False):
     """A function text -> uint32 ids for the byte-level BPE file at ``path``; one per process.
 
     The file's merges are in order of their results' ids, so the ids are merge ranks and the
     rank-based encoder gives the same ids several times faster (checked by a test against the
-    file's own library). Special tokens' strings in a text are ordinary text.
+    file's own library). With ``added_tokens`` the string of an added token of the file in a text
+    is that token's id, as the file's tokenizer has it; without, it is ordinary text.
     """
     import tiktoken
     known = tiktoken.registry.ENCODINGS  # lives as long as the worker
     if path not in known:
         with open(path, encoding="utf-8") as f:
             d = json.load(f)
-        special = {t["content"] for t in d.get("added_tokens", []) if t.get("special")}
+        added = {t["content"]: t["id"] for t in d.get("added_tokens", [])}
         to_byte = byte_of()
-        ranks = {bytes(to_byte[c] for c in t): i for t, i in d["model"]["vocab"].items() if t not in special}
-        known[path] = tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    e = known[path]
-    return lambda t: np.asarray(e.encode_to_numpy(t, disallowed_special=()), np.uint32)
+        ranks = {bytes(to_byte[c] for c in t): i for t, i in d["model"]["vocab"].items() if t not in added}
+        known[path] = tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
+    e, allowed = known[path], "all" if added_tokens else set()
+    return lambda t: np.asarray(e.encode_to_numpy(t, allowed_special=allowed, disallowed_special=()), np.uint32)
 
 
-def tokenized(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, source_col: str) -> DataFrame:
+def tokenized(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, source_col: str, added_tokens: bool = False) -> DataFrame:
     """(id, source, tokens, ids, part, start): ids with the closing 0, ``start`` the tokens of the
     same source before it in the same task. Written once."""
     def run(batches):
-        part, encode, at = TaskContext.get().partitionId(), encoder(vocabulary), {}
+        part, encode, at = TaskContext.get().partitionId(), encoder(vocabulary, added_tokens), {}
         zero = np.zeros(1, np.uint32)
         for b in batches:
             ids, n, start = [], [], []
@@ -188,16 +189,17 @@ def mixture(totals: dict, exponent: float, targets: dict | None, scale: int = 1
 
 def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
          sequence: int = 1024, window: int = 65536, targets: dict | None = None, exponent: float = 0.7,
-         max_queues: int = 256, with_ids: bool = False) -> DataFrame:
+         max_queues: int = 256, with_ids: bool = False, added_tokens: bool = False) -> DataFrame:
     """One row per piece: id, source, start, length, ids_crc32, doc_tokens, sequence_id, offset
-    (and, with ``with_ids``, the piece's ids as little-endian uint32).
+    (and, with ``with_ids``, the piece's ids as little-endian uint32). ``added_tokens``: as for
+    ``encoder``.
 
     The ``max_queues`` largest sources have a queue each, the others share one (nothing is left
     out), so the driver's schedule stays bounded. Defined cases: a NULL or empty text is the
     single id 0; a NULL source is a source of its own; repeated rows are packed as often as
     they come; an empty table gives no pieces. Extra columns are not read.
     """
-    rows = tokenized(docs, vocabulary, id_col, text_col, source_col)
+    rows = tokenized(docs, vocabulary, id_col, text_col, source_col, added_tokens)
     sums = rows.groupBy("source", "part").agg(F.sum("tokens").alias("n"))
     big = sums.groupBy("source").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), F.asc_nulls_first("source")).limit(max_queues)
     named = {r["source"]: k for k, r in enumerate(big.collect())}

@@ -34,7 +34,7 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), vocabulary_path(), sequence=1024)
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary_path(), sequence=1024, added_tokens=True)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from contrail.llm import chat, decontaminate, digest, language_model, packing, pii, quality, sharding, simhash, toxicity
 from contrail.llm.common import table
 from contrail.llm.graph import components
-from contrail.llm.queries import vocabulary_path
+from contrail.llm.queries import QUERIES, vocabulary_path
 from tests.conftest import SF_SMALL
 from tests.llm.conftest import EDGE
 
@@ -164,6 +164,25 @@ def test_packing_round_trip(spark, docs):
     assert packing.pack(docs([]), vocabulary_path()).count() == 0
 
 
+def test_packing_ids_are_those_of_the_file_as_loaded(spark, docs, tmp_path):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(vocabulary_path())
+    ids = lambda x: [*t.encode(x, add_special_tokens=False).ids, 0]
+    rnd = random.Random(9)
+    bits = ["<|endoftext|>", "<|endoftext", "|>", " ", "  ", "\n", "a", " it's", "12", "é\U0001f600", "..."]
+    texts = ["a <|endoftext|> b"] + ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 20))) for _ in range(200)]
+    encode = packing.encoder(vocabulary_path(), added_tokens=True)
+    assert all([*encode(x).tolist(), 0] == ids(x) for x in texts) and 50256 in ids(texts[0])
+    folder = str(tmp_path / "sf")
+    docs([(i, x, "s") for i, x in enumerate(texts)]).write.parquet(f"{folder}/documents.parquet")
+    pieces = {}
+    for r in QUERIES["op3_packing"](spark, folder).collect():
+        pieces.setdefault(r.doc_id, []).append((r.start, r.length, r.ids_crc32, r.doc_tokens))
+    for i, x in enumerate(texts):
+        want = np.array(ids(x), "<u4")
+        assert all(n == len(want) and crc == zlib.crc32(want[a:a + m].tobytes()) for a, m, crc, n in pieces[i])
+
+
 def test_schedule_keeps_proportions_and_carries_deficits():
     rnd = random.Random(3)
     for _ in range(60):
