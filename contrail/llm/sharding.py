@@ -14,21 +14,23 @@ of rows below its range (known from the histogram) plus the rank within the rang
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from contrail.llm.common import cut
+from contrail.llm.common import cut, free_name
+from contrail.session import fresh_path
 
 LOW, HIGH = -(1 << 63), (1 << 63) - 1
 
 
-def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, key, size, crc): the narrow rows that are counted and exchanged."""
-    t = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
-    return docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(LOW)).alias("tie"),
-                       F.xxhash64(t).alias("key"), (F.octet_length(t) + 1).cast("long").alias("size"), F.crc32(t).alias("crc"))
+def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep=()) -> DataFrame:
+    """(key, tie, size) of every row, after the columns in ``keep``."""
+    t = F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit(b""))
+    return docs.select(*keep, F.xxhash64(t).alias("key"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LOW)).alias("tie"),
+                       (F.octet_length(t) + 1).cast("long").alias("size"))
 
 
 def _below(key: np.ndarray, tie: np.ndarray, probes: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -108,31 +110,48 @@ def find_splitters(rows: DataFrame, parts: int, tight: int, tolerance: float = 0
     return [b[0] for b in best], [b[2] for b in best]
 
 
-def shard_by_bytes(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text",
-                   range_rows: int = 250_000, tolerance: float = 0.002) -> DataFrame:
-    """(id, size, crc, shard, slot) for every row; sizes of shards are equal to ``tolerance`` or,
-    where single rows are larger than that, to about one row.
+def write_shards(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", range_rows: int = 250_000,
+                 tolerance: float = 0.002, range_bytes: int = 128 << 20, path: str | None = None) -> tuple[DataFrame, dict[str, str]]:
+    """Every row of ``docs`` with all its columns, written below ``path`` (by default a folder of the
+    shared one) as Parquet by (shard, range), each range in the order of its slots. Returns the
+    written rows and the names the added columns (slot, shard, range) got (underscored where
+    ``docs`` has them).
 
-    Defined cases: a NULL text has no bytes (size 1), a NULL id orders first; repeated rows
+    Sizes of shards are equal to ``tolerance`` or, where single rows are larger than that, to
+    about one row. ``docs`` is read twice (for the histogram and to be moved), so it should be
+    stored. Defined cases: a NULL text has no bytes (size 1), a NULL id orders first; repeated rows
     (same id and text) stay together in one range, whatever their number; with fewer rows
-    than shards some shards are empty, an empty table gives an empty result. Extra columns
-    are not read.
+    than shards some shards are empty, an empty table gives an empty result.
     """
     rows = cut(sized(docs, id_col, text_col), "shard-sizes")
-    per = max(4, -(-rows.count() // (shards * range_rows)))
+    n, total = rows.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    per = max(4, -(-n // (shards * range_rows)), -(-total // (shards * range_bytes)))
     splitters, below = find_splitters(rows, shards * per, per, tolerance)
     pk, pt = (np.array(x, np.int64) for x in zip(*splitters))
     first = np.array([0, *below], np.int64)
 
-    def place(batches):
-        for b in batches:
-            at = _below(b.column("key").to_numpy(), b.column("tie").to_numpy(), (pk, pt))
-            shard = at // per
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(at), pa.array(shard.astype(np.int32)),
-                                              pa.array(first[at] - first[shard * per])],
-                                             [*b.schema.names, "range", "shard", "before"])
-
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema)
-    placed = rows.mapInArrow(place, f"{kinds}, range long, shard int, before long")
-    rank = F.row_number().over(Window.partitionBy("range").orderBy("key", "tie", "size"))
-    return placed.select(F.col("id").alias(id_col), "size", "crc", "shard", (F.col("before") + rank - 1).alias("slot"))
+    @F.pandas_udf("long")
+    def range_of(key: pd.Series, tie: pd.Series) -> pd.Series:
+        return pd.Series(_below(key.to_numpy(), tie.to_numpy(), (pk, pt)))
+
+    names = {}
+    for k in ("slot", "shard", "range", "row"):
+        names[k] = free_name([*docs.columns, *names.values()], k)
+    shard, part, whole = names["shard"], names["range"], names["row"]
+    before = F.array(*[F.lit(int(first[r] - first[r // per * per])) for r in range(shards * per)])
+    placed = (sized(docs, id_col, text_col, [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(whole)])
+              .withColumn(part, range_of("key", "tie")).withColumn(shard, F.floor(F.col(part) / per).cast("int")))
+    rank = F.row_number().over(Window.partitionBy(shard, part).orderBy("key", "tie", "size"))
+    out = (placed.withColumn(names["slot"], F.get(before, F.col(part)) + rank - 1)
+           .select(f"{whole}.*", *[names[k] for k in ("slot", "shard", "range")]))
+    path = path or fresh_path(docs.sparkSession, "shards")
+    out.write.option("compression", "zstd").partitionBy(shard, part).parquet(path)
+    return docs.sparkSession.read.schema(out.schema).parquet(path), names
+
+
+def shard_by_bytes(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
+    """(id, size, crc, shard, slot) of every row, taken from the shards that ``write_shards`` wrote."""
+    written, n = write_shards(docs, shards, id_col, text_col, **settings)
+    t = F.coalesce(F.col(f"`{text_col}`").cast("binary"), F.lit(b""))
+    return written.select(F.col(f"`{id_col}`"), (F.octet_length(t) + 1).cast("long").alias("size"), F.crc32(t).alias("crc"),
+                          F.col(n["shard"]).alias("shard"), F.col(n["slot"]).alias("slot"))

@@ -8,6 +8,7 @@ from collections import Counter
 from math import log10
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -139,6 +140,23 @@ def test_sharding_is_balanced_whole_and_gapless(spark, docs):
     assert sharding.shard_by_bytes(docs([])).count() == 0
 
 
+def test_shards_hold_whole_rows_in_slot_order(spark, docs, tmp_path):
+    rnd = random.Random(10)
+    rows = [(i, "é" * rnd.randint(0, 400), f"s{i % 3}") for i in range(800)] + [(5000 + i, "copy " * 20, None) for i in range(300)] + EDGE
+    given, path = docs(rows).withColumn("shard", F.lit("clash")), str(tmp_path / "shards")
+    out, n = sharding.write_shards(given, 8, range_rows=40, path=path)
+    assert n["shard"] == "_shard" and out.columns[:6] == given.columns
+    assert Counter(map(tuple, out.select(*given.columns).collect())) == Counter(map(tuple, given.collect()))
+    placed = {(r.doc_id, r.text): (r[n["shard"]], r[n["slot"]]) for r in out.collect() if r.doc_id not in (1, None)}
+    digests = {(r.doc_id, r.crc): (r.shard, r.slot) for r in sharding.shard_by_bytes(given, 8, range_rows=40).collect()}
+    assert all(digests[i, zlib.crc32((t or "").encode())] == at for (i, t), at in placed.items())
+    slots = {}
+    for file in sorted(tmp_path.glob("shards/*/*/*.parquet"), key=lambda f: [int(p.split("=")[1]) for p in f.parts[-3:-1]]):
+        slots.setdefault(file.parts[-3], []).extend(pq.ParquetFile(file).read(["slot"])["slot"].to_pylist())
+    assert set(slots) == {f"_shard={k}" for k in range(8)}
+    assert all(s == list(range(len(s))) for s in slots.values())
+
+
 def test_packing_round_trip(spark, docs):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(vocabulary_path())
