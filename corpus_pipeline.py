@@ -38,8 +38,8 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What is left, packed into training sequences (one row per piece)."""
-    return packing.pack(docs, vocabulary_path(), sequence=1024, added_tokens=True)
+    """What is left, packed into training sequences (one row per piece, with its token ids)."""
+    return packing.pack(docs, vocabulary_path(), sequence=1024, added_tokens=True, with_ids=True)
 
 
 STAGES = [("quality", quality_stage), ("near_dedup", dedup_stage), ("decontamination", decontamination_stage),

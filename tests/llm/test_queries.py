@@ -1,11 +1,14 @@
 """Registered queries against their SQL, and the pipeline stage by stage."""
 
+import zlib
+
 import duckdb
+import numpy as np
 import pytest
 
 import corpus_pipeline
 from contrail.llm.common import cut, table
-from contrail.llm.queries import ORACLE, QUERIES
+from contrail.llm.queries import ORACLE, QUERIES, vocabulary_path
 from tests.conftest import SF_SMALL, rows
 from tests.llm.test_operators import brute_base, brute_hits
 
@@ -42,3 +45,17 @@ def test_pipeline_stages_take_effect(spark):
     assert counts == sorted(counts, reverse=True) and counts[0] < 200
     assert {r.doc_id for r in docs.collect()} == ids
     assert len(rows(docs)) >= len(ids)
+
+
+def test_pipeline_ends_with_token_ids(spark):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(vocabulary_path())
+    docs = table(spark, SF_SMALL, "documents").limit(40)
+    out = cut(dict(corpus_pipeline.STAGES)["packing"](spark, docs, SF_SMALL), "test-ids")
+    got = {}
+    for r in out.collect():
+        assert len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32
+        got.setdefault(r.doc_id, []).append((r.start, r.ids))
+    for r in docs.collect():
+        want = np.array([*t.encode(r.text or "", add_special_tokens=False).ids, 0], "<u4").tobytes()
+        assert b"".join(x for _, x in sorted(got[r.doc_id])) == want
