@@ -2,15 +2,17 @@
 
 Base spans (email, ip, card, phone) come from patterns. The information-theoretic part asks
 which terms give a protected value away: with N different texts, a value e in df(e) of them,
-a term t in df(t), both near each other in df(e, t), the term carries
+a term t in df(t), both anywhere in df(e, t), the term carries
 PMI(e; t) = log2(df(e, t) N / (df(e) df(t))) of the IC(e) = log2(N / df(e)) bits that identify
 e. A term whose share PMI / IC reaches ``remove_at`` is removed, from ``generalise_at`` on it
 is generalised, wherever it stands. Values and terms must meet in ``min_joint`` different
 texts, so a term met once is no evidence.
 
-Work: the pairs come from a bounded context around each match, never from pairs of all words
-of a text; copies of a text count once (by hash); the frequencies of the candidate terms are
-counted over all texts with map-side aggregation.
+Work: copies of a text count once (by hash). Only texts with a value that ``min_joint`` texts
+share are paired, and only with terms that can still qualify: a share of ``generalise_at``
+needs df(t) <= df(e, t) (N / df(e)) ^ (1 - generalise_at), and the texts that hold a shared
+value bound df(t) from below. The frequencies of the terms that are left are counted over all
+texts with map-side aggregation.
 """
 
 from __future__ import annotations
@@ -92,32 +94,36 @@ def terms_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
-def nearby(text: Column, span: Column, reach: int) -> Column:
-    """Terms within ``reach`` code points of a span (words cut off by the reach are left out)."""
-    left = F.substring(text, F.greatest(span["first"] - reach, F.lit(0)) + 1, F.least(span["first"], F.lit(reach)))
-    left = F.when(span["first"] > reach, F.regexp_replace(left, r"^\S*", "")).otherwise(left)
-    right = F.substring(text, span["after"] + 1, F.lit(reach))
-    right = F.when(F.length(right) == reach, F.regexp_replace(right, r"\S*$", "")).otherwise(right)
-    return terms_of(F.concat(left, F.lit("\n"), right))
-
-
-def disclosing_terms(texts: DataFrame, reach: int, min_joint: int, generalise_at: float) -> tuple[DataFrame, DataFrame]:
+def disclosing_terms(texts: DataFrame, min_joint: int, generalise_at: float) -> tuple[DataFrame, DataFrame]:
     """``texts`` (h, text, base) -> (term, share) of the disclosing terms, and (h, term) of the
     texts that hold a candidate term."""
-    near = (texts.where(F.size("base") > 0).select("h", "text", F.explode("base").alias("m"))
-            .select("h", F.concat_ws(":", "m.kind", F.lower("m.value")).alias("entity"), F.explode(F.array_distinct(nearby(F.col("text"), F.col("m"), reach))).alias("term")))
-    met = cut(near.distinct(), "pii-near")
-    entities = met.select("entity", "h").distinct().groupBy("entity").agg(F.count("*").alias("df_e")).where(F.col("df_e") >= min_joint)
+    entity = F.transform(F.col("base"), lambda m: F.concat_ws(":", m["kind"], F.lower(m["value"])))
+    valued = cut(texts.where(F.size("base") > 0).select("h", F.array_distinct(entity).alias("entities"), F.array_distinct(terms_of(F.col("text"))).alias("terms"))
+                 .dropDuplicates(["h"]), "pii-valued")
+    holds = valued.select("h", F.explode("entities").alias("entity"))
+    entities = holds.groupBy("entity").agg(F.count("*").alias("df_e")).where(F.col("df_e") >= min_joint)
     n = max(texts.select("h").distinct().count(), 2)
-    # A share of ``generalise_at`` needs df_t <= df_et * (n / df_e) ^ (1 - generalise_at). The texts that
-    # have a term near a value are a lower bound of df_t, so terms beyond that cannot qualify.
-    most = F.col("df_et") * F.pow(F.lit(float(n)) / F.col("df_e"), F.lit(1 - generalise_at)) * (1 + 1e-9)
-    around = met.select("term", "h").distinct().groupBy("term").agg(F.count("*").alias("df_near"))
-    joint = cut(met.groupBy("entity", "term").agg(F.count("*").alias("df_et")).where(F.col("df_et") >= min_joint)
-                .join(entities, "entity").join(around, "term").where(F.col("df_near") <= most).drop("df_near"), "pii-joint")
-    candidates = joint.select("term").distinct()
-    holding = cut(texts.select("h", F.explode(F.array_distinct(terms_of(F.col("text")))).alias("term"))
-                  .join(candidates, "term").distinct(), "pii-terms")
+    # A share of ``generalise_at`` needs df_t <= df_et * spread. The texts with a value are a lower bound
+    # of df_t, and df_e an upper one of df_et, so terms beyond that cannot qualify.
+    spread = F.pow(F.lit(float(n)) / F.col("df_e"), F.lit(1 - generalise_at)) * (1 + 1e-9)
+    shared = cut(holds.join(entities, "entity").withColumn("spread", spread), "pii-shared")
+    said = valued.join(shared.select("h").distinct(), "h", "left_semi").select("h", F.explode("terms").alias("term"))
+    around = valued.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df_near")).where(F.col("df_near") >= min_joint)
+    pairs = shared.join(said.join(around, "term"), "h").where(F.col("df_near") <= F.col("df_e") * F.col("spread"))
+    met = pairs.groupBy("entity", "term").agg(F.count("*").alias("df_et"), *[F.first(c).alias(c) for c in ("df_e", "spread", "df_near")])
+    joint = cut(met.where((F.col("df_et") >= min_joint) & (F.col("df_near") <= F.col("df_et") * F.col("spread"))), "pii-joint")
+
+    def held(part: DataFrame, joint: DataFrame) -> DataFrame:
+        """(h, term) of the texts in ``part`` that hold a term of ``joint``. The terms are stored first,
+        so that their size is known and small sets are broadcast."""
+        terms = cut(joint.select("term").distinct(), "pii-candidates")
+        return cut(part.select("h", F.explode(F.array_distinct(terms_of(F.col("text")))).alias("term")).join(terms, "term").distinct(), "pii-terms")
+
+    # The same bound from one text in 8 (by hash) leaves out most common terms before all texts are read for them.
+    some = held(texts.where(F.pmod("h", F.lit(8)) == 0), joint).groupBy("term").agg(F.count("*").alias("df_some"))
+    joint = cut(joint.join(some, "term", "left").where(F.coalesce("df_some", F.lit(0)) <= F.col("df_et") * F.col("spread"))
+                .select("entity", "term", "df_e", "df_et"), "pii-joint")
+    holding = held(texts, joint)
     df = holding.groupBy("term").agg(F.count("*").alias("df_t"))
     bits = F.log2(F.lit(float(n)) / F.col("df_e"))
     pmi = F.log2(F.col("df_et") * float(n) / (F.col("df_e") * F.col("df_t")))
@@ -125,7 +131,7 @@ def disclosing_terms(texts: DataFrame, reach: int, min_joint: int, generalise_at
     return share.groupBy("term").agg(F.max("share").alias("share")).where(F.col("share") >= generalise_at), holding
 
 
-def personal_data(docs: DataFrame, text_col: str = "text", reach: int = 80, min_joint: int = 3, generalise_at: float = 0.75,
+def personal_data(docs: DataFrame, text_col: str = "text", min_joint: int = 3, generalise_at: float = 0.75,
                   remove_at: float = 0.9) -> tuple[DataFrame, dict[str, str]]:
     """All columns of ``docs`` plus ``base`` and ``spans``: array<struct<kind,first,after,value,label>>
     by kind (email, ip, card, phone, term), then start, in code points, end exclusive. Returns the
@@ -140,7 +146,7 @@ def personal_data(docs: DataFrame, text_col: str = "text", reach: int = 80, min_
         names[k] = free_name([*docs.columns, *names.values()], k)
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     texts = docs.select(F.xxhash64(text).alias("h"), text.alias("text")).withColumn("base", base_spans(F.col("text")))
-    share, holding = disclosing_terms(texts, reach, min_joint, generalise_at)
+    share, holding = disclosing_terms(texts, min_joint, generalise_at)
     per_text = (holding.join(share, "term").groupBy("h")
                 .agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias(names["terms"])).withColumnRenamed("h", names["h"]))
     marked = docs.withColumn(names["h"], F.xxhash64(text)).join(per_text, names["h"], "left")

@@ -321,6 +321,37 @@ def test_disclosing_terms_are_removed(spark, docs):
     assert pii.sanitised(docs([])).count() == 0
 
 
+def test_terms_far_from_a_value_disclose_it(spark, docs):
+    rnd = random.Random(11)
+    words = [f"{a}{b}{c}o" for a in "bdgk" for b in "aeiu" for c in "lmnr"]
+    filler = lambda k: " ".join(rnd.choice(words) for _ in range(k))
+    rows = [(i, f"{filler(40)} {i}", "s") for i in range(300)]
+    rows += [(1000 + i, f"Zorblax {filler(60)} z.b@mail.example.com {i}", "s") for i in range(5)]
+    # Texts of a value with no word at all count in its df: the word of four of eight does not give it away.
+    rows += [(2000 + i, f"Quux {filler(30)} +1 (386) 555-3733 {i}", "s") for i in range(4)]
+    rows += [(2100 + i, f"+1 (386) 555-3733 {i}", "s") for i in range(40)]
+    rows += [(1000, rows[300][1], "s")]  # a copy counts once
+    texts = {t for _, t, _ in rows}
+    entities, terms = {}, {}
+    for t in texts:
+        for m in filter(None, brute_base(t)):
+            k, a, b = m.split(":")
+            entities.setdefault((k, t[int(a):int(b)]), set()).add(t)
+        for w in set(re.findall(r"[^\W\d_][^\W\d_'’-]{2,}", t.lower())):
+            terms.setdefault(w, set()).add(t)
+    share, n = {}, len(texts)
+    for es in entities.values():
+        for w, ts in terms.items():
+            both = len(es & ts)
+            if both >= 3 and len(es) >= 3:
+                share[w] = max(share.get(w, 0), log10(both * n / (len(es) * len(ts))) / log10(n / len(es)))
+    given = docs(rows).select(F.xxhash64("text").alias("h"), "text", pii.base_spans(F.col("text")).alias("base"))
+    got = {r.term: r.share for r in pii.disclosing_terms(given, 3, 0.75)[0].collect()}
+    assert got == pytest.approx({w: x for w, x in share.items() if x >= 0.75}) and "zorblax" in got
+    out = {r.doc_id: r.text for r in pii.sanitised(docs(rows)).collect()}
+    assert "orblax" not in out[1000]
+
+
 def test_quality_learns_rules_and_holds_out(spark):
     d, labels = table(spark, SF_SMALL, "documents"), table(spark, SF_SMALL, "labels")
     model = quality.train(d, labels)
