@@ -178,11 +178,8 @@ class Schedule:
             i += 1
 
 
-def mixture(totals: dict, exponent: float, targets: dict | None, scale: int = 1 << 20) -> list[int]:
-    """Target weight per source: as given (sources without one: their share of tokens), or the
-    token share to the power ``exponent`` (below 1 flattens the mixture)."""
-    all_tokens = sum(totals.values()) or 1
-    raw = [(targets or {}).get(s, (n / all_tokens) ** (1.0 if targets else exponent)) for s, n in totals.items()]
+def scaled(raw: list[float], scale: int = 1 << 20) -> list[int]:
+    """Weights as whole numbers of at least one."""
     whole = sum(raw) or 1.0
     return [max(1, round(scale * x / whole)) for x in raw]
 
@@ -194,8 +191,12 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
     (and, with ``with_ids``, the piece's ids as little-endian uint32). ``added_tokens``: as for
     ``encoder``.
 
-    The ``max_queues`` largest sources have a queue each, the others share one (nothing is left
-    out), so the driver's schedule stays bounded. Defined cases: a NULL or empty text is the
+    A source's target weight is the one in ``targets`` (sources without one: their share of tokens),
+    without ``targets`` its token share to the power ``exponent`` (below 1 flattens the mixture).
+    The ``max_queues`` largest sources have a queue each. The others are dealt in two levels: groups
+    of sources that run dry about together are queues of the driver's schedule with their summed
+    weights (at most ``max_queues`` of them), and tasks deal a group's tokens among its sources by
+    the same closed form and their own weights. Defined cases: a NULL or empty text is the
     single id 0; a NULL source is a source of its own; repeated rows are packed as often as
     they come; an empty table gives no pieces. Extra columns are not read.
     """
@@ -205,35 +206,71 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
     named = {r["source"]: k for k, r in enumerate(big.collect())}
     rest = len(named)
 
-    def queue_of(source):
-        return named.get(source, rest)
-
-    # Where each (source, part) starts in its queue: prefix sums over the tasks' totals.
     by_queue = F.create_map(*[x for s, k in named.items() if s is not None for x in (F.lit(s), F.lit(k))]) if any(s is not None for s in named) else None
     queue = F.lit(named.get(None, rest)) if by_queue is None else F.when(
         F.col("source").isNull(), F.lit(named.get(None, rest))).otherwise(F.coalesce(F.try_element_at(by_queue, F.col("source")), F.lit(rest)))
     sums = sums.withColumn("queue", queue.cast("int"))
-    parts = sums.groupBy("queue", "part").agg(F.sum("n").alias("n"))
-    earlier = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    inside = Window.partitionBy("queue", "part").orderBy("source").rowsBetween(Window.unboundedPreceding, -1)
-    base = parts.select("queue", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    bases = cut(sums.withColumn("inner", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-                .join(base, ["queue", "part"]).select("source", "part", "queue", (F.col("before") + F.col("inner")).alias("base")), "packing-bases")
-    lengths = {r[0]: r[1] for r in parts.groupBy("queue").agg(F.sum("n")).collect()}
-    totals = {j: lengths[j] for j in sorted(lengths)}
+    # Where each (source, part) starts in its source: prefix sums over the tasks' totals.
+    earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = cut(sums.withColumn("base", F.coalesce(F.sum("n").over(earlier), F.lit(0))), "packing-bases")
+    lengths = {r[0]: r[1] for r in bases.groupBy("queue").agg(F.sum("n")).collect()}
+    all_tokens = sum(lengths.values()) or 1
+    power = 1.0 if targets else exponent
+    lone = [j for j in sorted(lengths) if j != rest]
     names = {k: s for s, k in named.items()}
-    wanted = None if targets is None else {k: targets[names[k]] for k in totals if names.get(k) in targets and k in names}
-    order = {q: j for j, q in enumerate(totals)}
-    plan = Schedule(list(totals.values()), mixture(totals, exponent, wanted), window)
+    tokens = [lengths[j] for j in lone]
+    raw = [(targets or {}).get(names[j], (lengths[j] / all_tokens) ** power) for j in lone]
+    order, pools = {q: j for j, q in enumerate(lone)}, rest in lengths
+    if pools:
+        weight = F.pow(F.col("n") / all_tokens, F.lit(power))
+        given = [x for s, w in (targets or {}).items() if s is not None and s not in named for x in (F.lit(s), F.lit(float(w)))]
+        if given:
+            weight = F.coalesce(F.try_element_at(F.create_map(*given), F.col("source")), weight)
+        if None in (targets or {}):
+            weight = F.when(F.col("source").isNull(), F.lit(float(targets[None]))).otherwise(weight)
+        pooled = bases.where(F.col("queue") == rest).groupBy("source").agg(F.sum("n").alias("n")).withColumn("w", weight)
+        ranked = cut(pooled.orderBy(F.col("n") / F.greatest("w", F.lit(1e-12)), "source").withColumn("at", F.monotonically_increasing_id()), "packing-pooled")
+        task = F.shiftright("at", 33)  # the id is (task, place in the task): its rank is exact
+        counts = sorted(tuple(r) for r in ranked.groupBy(task).count().collect())
+        before = accumulate((n for _, n in counts), initial=0)
+        rank = F.try_element_at(F.create_map(*[F.lit(x) for (p, _), n in zip(counts, before) for x in (p, n)]), task) + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+        size = max(max_queues, -(-sum(n for _, n in counts) // max_queues))
+        placed = ranked.withColumn("rank", rank)
+        members = placed.select("source", (F.lit(rest) + F.floor(F.col("rank") / size)).cast("int").alias("group"), (F.col("rank") % size).alias("member"), "n", "w")
+        groups = cut(members.groupBy("group").agg(F.sum("n").alias("tokens"), F.sum("w").alias("w"), F.array_sort(F.collect_list(F.struct("member", "n", "w"))).alias("members")),
+                     "packing-groups")
+        for g, n, w in sorted(tuple(r) for r in groups.select("group", "tokens", "w").collect()):
+            order[g] = len(tokens)
+            tokens.append(n)
+            raw.append(w)
+        m, here = members.select("source", "group", "member").alias("m"), bases.alias("b")
+        bases = cut(here.join(m, (F.col("b.queue") == rest) & F.col("b.source").eqNullSafe(F.col("m.source")), "left")
+                    .select("b.source", "b.part", "b.base", F.coalesce("m.group", "b.queue").alias("queue"), "m.member"), "packing-members")
+    plan = Schedule(tokens, scaled(raw), window)
+
+    def slices(b, i, inner, at, length, queue):
+        member = b.column("member")[i].as_py() if pools else None
+        if member is None:
+            yield from plan.slices(order[queue], at, length)
+            return
+        if queue not in inner:
+            if len(inner) > 15:
+                inner.clear()
+            own = b.column("members")[i].as_py()
+            inner[queue] = Schedule([x["n"] for x in own], scaled([x["w"] for x in own]), window)
+        for start, n, place in inner[queue].slices(member, at, length):
+            for first, k, where in plan.slices(order[queue], place, n):
+                yield start + first - place, k, where
 
     def cut_up(batches):
+        inner = {}
         for b in batches:
             col = {n: [] for n in ("row", "start", "length", "crc", "seq", "off", "raw")}
             for i, (raw, tokens, at, q) in enumerate(zip(b.column("ids").to_pylist(), b.column("tokens").to_pylist(),
                                                          b.column("at").to_pylist(), b.column("queue").to_pylist())):
                 wide = raw if len(raw) == 4 * tokens else np.frombuffer(raw, np.uint16).astype("<u4").tobytes()
                 last = None
-                for start, length, place in plan.slices(order[q], at, tokens):
+                for start, length, place in slices(b, i, inner, at, tokens, q):
                     start -= at
                     while length:
                         n = min(length, sequence - place % sequence)
@@ -258,7 +295,9 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
                 ["id", "source", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", *(["ids"] if with_ids else [])])
 
     placed = (rows.alias("r").join(bases.alias("b"), F.col("r.source").eqNullSafe(F.col("b.source")) & (F.col("r.part") == F.col("b.part")))
-              .select("r.id", "r.source", "r.ids", "r.tokens", (F.col("r.start") + F.col("b.base")).alias("at"), "b.queue"))
+              .select("r.id", "r.source", "r.ids", "r.tokens", (F.col("r.start") + F.col("b.base")).alias("at"), "b.queue", *(["b.member"] if pools else [])))
+    if pools:
+        placed = placed.join(F.broadcast(groups.select(F.col("group").alias("queue"), "members")), "queue", "left")
     out = placed.mapInArrow(cut_up, f"{field(docs, id_col, 'id')}, source string, start long, length long, ids_crc32 long, doc_tokens long, "
                                     f"sequence_id long, offset long{', ids binary' if with_ids else ''}")
     return out.withColumnRenamed("id", free_name([c for c in out.columns if c != "id"], id_col))

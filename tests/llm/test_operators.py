@@ -201,6 +201,25 @@ def test_packing_ids_are_those_of_the_file_as_loaded(spark, docs, tmp_path):
         assert all(n == len(want) and crc == zlib.crc32(want[a:a + m].tobytes()) for a, m, crc, n in pieces[i])
 
 
+@pytest.mark.parametrize("targets", [None, {f"s{k}": 1 + k % 3 for k in range(30)}])
+def test_packing_keeps_targets_of_more_sources_than_queues(spark, docs, targets):
+    rows = [(100 * k + i, "word " * 200, f"s{k}") for k in range(30) for i in range(10)] + [(9000 + i, "a b", None) for i in range(3)]
+    out = packing.pack(docs(rows).repartition(3), vocabulary_path(), sequence=64, window=512, targets=targets, max_queues=4, with_ids=True).collect()
+    taken = sorted((r.sequence_id * 64 + r.offset, r.length, r.source) for r in out)
+    assert [a for a, _, _ in taken] == [sum(n for _, n, _ in taken[:i]) for i in range(len(taken))]
+    per_doc = Counter()
+    for r in out:
+        per_doc[r.doc_id] += r.length
+        assert zlib.crc32(r.ids) == r.ids_crc32
+    assert all(per_doc[r.doc_id] == r.doc_tokens for r in out) and len(per_doc) == len(rows)
+    early, goal = Counter(), 64 * 512  # before any source but the tiny one runs dry
+    for at, n, s in taken:
+        early[s] += max(0, min(n, goal - at))
+    weights = {f"s{k}": (targets or {}).get(f"s{k}", 1) for k in range(30)}
+    for s, w in weights.items():
+        assert early[s] == pytest.approx(goal * w / sum(weights.values()), rel=0.2)
+
+
 def test_schedule_keeps_proportions_and_carries_deficits():
     rnd = random.Random(3)
     for _ in range(60):
