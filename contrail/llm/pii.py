@@ -173,16 +173,19 @@ def written(spans: Column) -> Column:
 
 def sanitised(docs: DataFrame, text_col: str = "text", **settings) -> DataFrame:
     """``docs`` with every span replaced by its label (removed terms: nothing); where spans of
-    different kinds overlap, the one that starts first (then the longer) is replaced. Texts
-    without spans, NULL included, come back unchanged."""
+    different kinds overlap, their union is replaced by the label of the one that starts first
+    (then the longer). Texts without spans, NULL included, come back unchanged."""
     found_in, n = personal_data(docs, text_col, **settings)
     text = F.col(f"`{text_col}`")
     cut_spans = "array<struct<first:int,after:int,label:string>>"
     ordered = F.array_sort(F.transform(F.col(n["spans"]), lambda m: F.struct(m["first"].alias("first"), (-m["after"]).alias("tail"), m["label"].alias("label"))))
 
     def step(acc, m):
-        one = F.array(F.struct(m["first"].alias("first"), (-m["tail"]).alias("after"), m["label"].alias("label")))
-        return F.when(m["first"] >= acc["at"], F.struct((-m["tail"]).alias("at"), F.concat(acc["out"], one).alias("out"))).otherwise(acc)
+        one = lambda first, after, label: F.array(F.struct(first.alias("first"), after.alias("after"), label.alias("label")))
+        last, after = F.element_at(acc["out"], -1), F.greatest(acc["at"], -m["tail"])
+        grown = F.concat(F.slice(acc["out"], F.lit(1), F.size(acc["out"]) - 1), one(last["first"], after, last["label"]))
+        return F.when(m["first"] >= acc["at"], F.struct((-m["tail"]).alias("at"), F.concat(acc["out"], one(m["first"], -m["tail"], m["label"])).alias("out"))
+                      ).when(after > acc["at"], F.struct(after.alias("at"), grown.alias("out"))).otherwise(acc)
 
     kept = F.aggregate(ordered, F.struct(F.lit(0).alias("at"), F.array().cast(cut_spans).alias("out")), step, lambda acc: acc["out"])
     col = free_name(found_in.columns, "kept")

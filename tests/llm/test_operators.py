@@ -327,6 +327,22 @@ def test_pii_base_spans_match_brute_force(spark, docs):
     assert got == Counter((i, ",".join(brute_base(t))) for i, t, _ in rows)
 
 
+def test_overlapping_spans_go_as_a_whole(spark, docs):
+    rnd = random.Random(12)
+    bits = ["10.0.0.4 111111111111111", "4111 1111-1111 1111", "1.2.3.4", "a@b.c", "+1 (743) 555-3824", " ", "x", "7", "-", ".", "\U0001f600"]
+    rows = [(0, "from 10.0.0.4 111111111111111 on", "s"), (1, "1.2.3.4 and a@b.c", "s")]
+    rows += [(i, "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 12))), "s") for i in range(2, 300)]
+    out = {r.doc_id: r.text for r in pii.sanitised(docs(rows), min_joint=1000).collect()}
+    assert out[0] == "from [IP] on" and out[1] == "[IP] and [EMAIL]"
+    for i, t, _ in rows:
+        spans = sorted(((int(a), -int(b), k) for k, a, b in (x.split(":") for x in brute_base(t))))
+        want, at = "", 0
+        for a, b, k in spans:
+            want += t[at:a] + f"[{k.upper()}]" if a >= at else ""
+            at = max(at, -b)
+        assert out[i] == want + t[at:]
+
+
 def test_disclosing_terms_are_removed(spark, docs):
     rnd = random.Random(7)
     filler = lambda: " ".join(rnd.choice(["green", "blue", "house", "river", "stone"]) for _ in range(12))
