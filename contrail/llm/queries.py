@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import chat, decontaminate, digest, language_model, packing, pii, quality, sharding, simhash, toxicity
+from contrail.llm import chat, decontaminate, digest, language_model, mixing, packing, pii, quality, sharding, simhash, toxicity
 from contrail.llm.common import crc_fold, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -82,8 +82,13 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("doc_id", *counts, F.sha2(pii.written(base), 256).alias("base_sha256"), pii.written(spans).alias("spans"))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, rows = mixing.mix(table(spark, sf_dir, "documents"), shards=8)
+    return rows.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_chat_format, op3_packing, op4_toxicity, op5_quality, op6_language_model, op7_decontaminate, op8_sharding,
-                                   op9_digest, op10_pii)}
+                                   op9_digest, op10_pii, op11_mixing)}
 
 OP7_SQL = r"""
 WITH d AS (SELECT doc_id, list_filter(string_split(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
