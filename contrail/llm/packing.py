@@ -48,7 +48,8 @@ def encoder(path: str, added_tokens: bool = False):
     The file's merges are in order of their results' ids, so the ids are merge ranks and the
     rank-based encoder gives the same ids several times faster (checked by a test against the
     file's own library). With ``added_tokens`` the string of an added token of the file in a text
-    is that token's id, as the file's tokenizer has it; without, it is ordinary text.
+    is that token's id, as the file's tokenizer has it; without, it is ordinary text. A text that the
+    rank encoder's pattern refuses (a run of about a million blanks) goes to the file's own tokenizer.
     """
     import tiktoken
     known = tiktoken.registry.ENCODINGS  # lives as long as the worker
@@ -60,7 +61,17 @@ def encoder(path: str, added_tokens: bool = False):
         ranks = {bytes(to_byte[c] for c in t): i for t, i in d["model"]["vocab"].items() if t not in added}
         known[path] = tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
     e, allowed = known[path], "all" if added_tokens else set()
-    return lambda t: np.asarray(e.encode_to_numpy(t, allowed_special=allowed, disallowed_special=()), np.uint32)
+
+    def encode(t: str) -> np.ndarray:
+        try:
+            return np.asarray(e.encode_to_numpy(t, allowed_special=allowed, disallowed_special=()), np.uint32)
+        except ValueError:  # its stack is too small for the text
+            from tokenizers import Tokenizer
+            own = Tokenizer.from_file(path)
+            own.encode_special_tokens = not added_tokens
+            return np.array(own.encode(t, add_special_tokens=False).ids, np.uint32)
+
+    return encode
 
 
 def tokenized(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, source_col: str, added_tokens: bool = False) -> DataFrame:

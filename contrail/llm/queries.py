@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import chat, decontaminate, digest, language_model, mixing, packing, pii, quality, sharding, simhash, toxicity
+from contrail.llm import alignment, chat, collocations, decontaminate, digest, language_model, mixing, packing, pii, quality, sharding, simhash, toxicity
 from contrail.llm.common import crc_fold, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -87,8 +87,18 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.collocations(table(spark, sf_dir, "documents"), least=10, inside=50)
+    return collocations.ranked(found, 2000).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = alignment.align(table(spark, sf_dir, "documents"), vocabulary_path(), vocabulary_path("piece_bpe_32k.model"))
+    return rows.withColumnRenamed("groups", "groups_sha256").select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_chat_format, op3_packing, op4_toxicity, op5_quality, op6_language_model, op7_decontaminate, op8_sharding,
-                                   op9_digest, op10_pii, op11_mixing)}
+                                   op9_digest, op10_pii, op11_mixing, op12_collocations, op13_alignment)}
 
 OP7_SQL = r"""
 WITH d AS (SELECT doc_id, list_filter(string_split(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -129,4 +139,29 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id
 """
 
-ORACLE = {"op2_chat_format": OP2_SQL, "op7_decontaminate": OP7_SQL}
+OP12_SQL = r"""
+WITH p AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w
+           FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+f AS (SELECT lang, k, phrase, count(*) AS f
+      FROM (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+            FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, (VALUES (1), (2), (3)) AS ks(k) WHERE len(w) >= k))
+      GROUP BY lang, k, phrase),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= 10),
+halves AS (SELECT c.lang, c.phrase, c.k, c.a, cut, array_to_string(w[1:cut], ' ') AS first, array_to_string(w[cut + 1:], ' ') AS rest
+           FROM c, (VALUES (1), (2)) AS cuts(cut) WHERE cut < c.k),
+cuts AS (SELECT h.lang, h.phrase, h.k, h.a, l.f AS l, r.f AS r, (1000000::HUGEINT * h.a * h.a) // (l.f::HUGEINT * r.f) AS score,
+                row_number() OVER (PARTITION BY h.lang, h.phrase ORDER BY (1000000::HUGEINT * h.a * h.a) // (l.f::HUGEINT * r.f), cut) AS best
+         FROM halves h JOIN f l ON l.lang = h.lang AND l.phrase = h.first JOIN f r ON r.lang = h.lang AND r.phrase = h.rest),
+longer AS (SELECT lang, part, max(a) AS a FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part FROM c WHERE k = 3)
+           GROUP BY lang, part),
+kept AS (SELECT cuts.* FROM cuts LEFT JOIN longer ON cuts.lang = longer.lang AND cuts.phrase = longer.part
+         WHERE best = 1 AND NOT (cuts.k = 2 AND longer.a IS NOT NULL AND 100 * longer.a >= 50 * cuts.a)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM placed JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+ORACLE = {"op2_chat_format": OP2_SQL, "op7_decontaminate": OP7_SQL, "op12_collocations": OP12_SQL}
