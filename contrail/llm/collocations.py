@@ -29,7 +29,7 @@ from contrail.llm.common import cut
 MARK = b"\xff"
 TABLE = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\tABCDEFGHIJKLMNOPQRSTUVWXYZ", MARK * 10 + b" abcdefghijklmnopqrstuvwxyz")
 BITS = 21  # of a word id in a sort key: three to a key
-LIMIT = (1 << BITS) - 2  # symbols of a shard
+LIMIT = 1 << 20  # symbols of a shard: some 100 MB in a task
 
 
 class WordIndex:
