@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -70,7 +71,13 @@ def overlaps(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 class Aligner:
-    """Both tokenizers of one worker process."""
+    """Both tokenizers of one worker process, and the words aligned so far.
+
+    No token of either side reaches from a character that is not white space into the space after it (A's
+    pattern; B's pieces have U+2581 at their start only, which is checked), so a text falls into
+    words with their white space before them, and each different word is encoded once. New words are aligned
+    many at a time.
+    """
 
     _known: dict = {}
 
@@ -80,6 +87,8 @@ class Aligner:
         self.model = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.a_bytes, self.b_bytes = vocabulary_bytes(a_path), piece_bytes(self.model)
         self.a_size, self.b_size = (np.array([len(x) for x in v], np.int64) for v in (self.a_bytes, self.b_bytes))
+        self.apart = not any(" " in x.lstrip(b" ").decode(errors="replace") for x in self.b_bytes)
+        self.clear()
 
     @classmethod
     def of(cls, a_path: str, b_path: str) -> Aligner:
@@ -87,84 +96,139 @@ class Aligner:
             cls._known[a_path, b_path] = cls(a_path, b_path)
         return cls._known[a_path, b_path]
 
-    def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Ids by A and by B, none where either's bytes are not the text's."""
-        none = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        if not text:
-            return none
-        whole = " " + text
-        want = whole.encode()
-        a = np.asarray(self.encode_a(whole), np.int64)
-        if b"".join([self.a_bytes[i] for i in a]) != want:
-            return none
-        b = np.asarray(self.model.encode(text), np.int64)
-        return (a, b) if b"".join([self.b_bytes[i] for i in b]) == want else none
-
-
-def written(a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_group: np.ndarray) -> str:
-    """The groups of one text as ``a1,a2|b1;a3|b2``: ids in decimal, in order."""
-    if not len(a):
-        return ""
-    n = int(a_group[-1]) + 1
-    parts = []
-    for ids, group in ((a, a_group), (b, b_group)):
-        said = list(map(str, ids.tolist()))
-        at = np.searchsorted(group, np.arange(n + 1)).tolist()
-        parts.append([",".join(said[i:j]) for i, j in zip(at, at[1:])])
-    return ";".join(f"{x}|{y}" for x, y in zip(*parts))
-
-
-def aligned(docs: DataFrame, a_path: str, b_path: str, text_col: str, keep: list[str], with_groups: bool, block_links: int) -> DataFrame:
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.new: list[str] = []
+        self.said: list[str] = []  # per word: its groups as text
+        self.counts = np.zeros((0, 5), np.int64)  # per word: A tokens, B tokens, groups, links, whether its bytes are right
+        self.keys = np.zeros(0, np.int64)  # the links' pairs, word after word
+
+    def words(self, text: str) -> np.ndarray:
+        """The numbers of a text's words (a space before the text)."""
+        out, word = [], ""
+        for part in text.split(" "):
+            if word and not word[-1].isspace() and self.apart:
+                out.append(word)
+                word = " " + part
+            else:
+                word += " " + part
+        out.append(word)
+        number, new = self.number, self.new
+        for w in out:
+            if w not in number:
+                number[w] = len(number)
+                new.append(w)
+        return np.array([number[w] for w in out], np.int64)
+
+    def encoded(self, words: list[str]) -> tuple[list, list]:
+        """Ids of every word by A and by B, none where either's bytes are not the word's."""
+        a: list = [None] * len(words)
+        solid = [k for k, w in enumerate(words) if not w[-1].isspace()]  # one after the other they are one text
+        ids = self.encode_a("".join([words[k] for k in solid])).astype(np.int64)
+        ends = np.cumsum([len(words[k].encode()) for k in solid])
+        at = np.searchsorted(np.cumsum(self.a_size[ids]), ends, "left") + 1
+        ids, lo = ids.tolist(), 0
+        for k, hi in zip(solid, at.tolist()):
+            a[k], lo = ids[lo:hi], hi
+        for k, w in enumerate(words):
+            if a[k] is None:
+                a[k] = self.encode_a(w).tolist()
+        b = self.model.encode([w[1:] for w in words], num_threads=1)
+        for k, w in enumerate(words):
+            if w.isspace() and w[-1] == " ":  # the model drops a space before nothing
+                b[k] = self.model.encode("a" + w)[len(self.model.encode("a")):]
+        want = "".join(words).encode()
+        if any(b"".join([own[i] for ids in side for i in ids]) != want for own, side in ((self.a_bytes, a), (self.b_bytes, b))):
+            for k, w in enumerate(words):
+                if any(b"".join([own[i] for i in side[k]]) != w.encode() for own, side in ((self.a_bytes, a), (self.b_bytes, b))):
+                    a[k], b[k] = [], []
+        return a, b
+
+    def learn(self) -> None:
+        """Align the new words: their tokens lie one after the other on a line."""
+        if not self.new:
+            return
+        a_ids, b_ids = self.encoded(self.new)
+        na, nb = (np.array([len(x) for x in side], np.int64) for side in (a_ids, b_ids))
+        a, b = (np.array(list(chain.from_iterable(side)), np.int64) for side in (a_ids, b_ids))
+        a_link, b_link, a_group, b_group = overlaps(np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]))
+        # Both sides end where a word ends, so its groups are its own.
+        word_at = np.concatenate([[0], np.cumsum(na)])
+        starts = np.searchsorted(a_group, np.arange(a_group[-1] + 2 if len(a) else 1))
+        group_at = np.searchsorted(starts[:-1], word_at)
+        sides = []
+        for ids, group in ((a, a_group), (b, b_group)):
+            said, at = list(map(str, ids.tolist())), np.searchsorted(group, np.arange(len(starts))).tolist()
+            sides.append([",".join(said[i:j]) for i, j in zip(at, at[1:])])
+        groups = list(map("|".join, zip(*sides)))
+        self.said += [";".join(groups[i:j]) for i, j in zip(group_at.tolist(), group_at[1:].tolist())]
+        links = np.diff(np.searchsorted(b_link, np.concatenate([[0], np.cumsum(nb)])))
+        self.counts = np.concatenate([self.counts, np.stack([na, nb, np.diff(group_at), links, na > 0], 1)])
+        self.keys = np.concatenate([self.keys, a[a_link] << SHIFT | b[b_link]])
+        self.new = []
+
+
+def ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers of the ranges that start at ``first`` and have ``n`` numbers each, one after the other."""
+    return np.arange(n.sum()) + np.repeat(first - (np.cumsum(n) - n), n)
+
+
+def aligned(docs: DataFrame, a_path: str, b_path: str, text_col: str, keep: list[str], with_groups: bool, block_links: int,
+            memory: int = 500_000) -> DataFrame:
     """A row per text (the columns in ``keep``, n_a, n_b, n_groups, n_links, groups, its distinct pairs as
     positions ``pair`` in its block's list and their numbers ``times``) and, with NULLs there, a row per block with the
-    list: ``keys`` and ``sums``. Written once."""
+    list: ``keys`` and ``sums``. Written once. A worker remembers about ``memory`` words."""
     def run(batches):
-        tokenizers, part, number = Aligner.of(a_path, b_path), TaskContext.get().partitionId(), 0
-        kept, rows, links = [], [], 0
+        known, part, number = Aligner.of(a_path, b_path), TaskContext.get().partitionId(), 0
+        kept, texts, tokens = [], [], 0
         for batch in batches:
-            lo = 0
-            for i, text in enumerate(batch.column(len(keep)).to_pylist()):
-                rows.append(tokenizers.tokens(text))
-                links += len(rows[-1][0]) + len(rows[-1][1])
-                if links >= block_links:
-                    kept.append(batch.slice(lo, i + 1 - lo))
-                    yield from block(tokenizers, kept, rows, part << 32 | number)
-                    kept, rows, links, lo, number = [], [], 0, i + 1, number + 1
-            if lo < batch.num_rows:
-                kept.append(batch.slice(lo))
-        if rows:
-            yield from block(tokenizers, kept, rows, part << 32 | number)
-
-    def block(tokenizers, kept, rows, number):
-        na, nb = (np.array([len(r[k]) for r in rows], np.int64) for k in (0, 1))
-        a, b = (np.concatenate([r[k] for r in rows]) for k in (0, 1))
-        a_link, b_link, a_group, b_group = overlaps(np.cumsum(tokenizers.a_size[a]), np.cumsum(tokenizers.b_size[b]))
-        a_at, b_at = (np.concatenate([[0], np.cumsum(n)]) for n in (na, nb))
-        key = a[a_link] << SHIFT | b[b_link]
-        link_at = np.searchsorted(b_link, b_at)
-        keys, pair, sums = np.unique(key, return_inverse=True, return_counts=True)
-        n_groups, said, pairs, times = [], [], [], []
-        for k in range(len(rows)):
-            ag, bg = a_group[a_at[k]:a_at[k + 1]], b_group[b_at[k]:b_at[k + 1]]
-            first = int(ag[0]) if len(ag) else 0
-            n_groups.append(int(ag[-1]) + 1 - first if len(ag) else 0)
-            said.append(written(rows[k][0], rows[k][1], ag - first, bg - first))
-            own, n = np.unique(pair[link_at[k]:link_at[k + 1]], return_counts=True)
-            pairs.append(own.astype(np.int32))
-            times.append(n.astype(np.int32))
-        groups = pa.array(said if with_groups else [hashlib.sha256(s.encode()).hexdigest() if s else "" for s in said], pa.string())
+            kept.append(batch.select(list(range(len(keep)))))
+            own = [known.words(t) if t else None for t in batch.column(len(keep)).to_pylist()]
+            known.learn()
+            texts += own
+            tokens += sum(int(known.counts[w, :2].sum()) for w in own if w is not None)
+            if tokens >= block_links or len(known.number) > memory:
+                yield from block(known, kept, texts, part << 32 | number)
+                kept, texts, tokens, number = [], [], 0, number + 1
+                if len(known.number) > memory:
+                    known.clear()
+        if texts:
+            yield from block(known, kept, texts, part << 32 | number)
+
+    def block(known, kept, texts, number):
+        counts, none = known.counts, np.zeros(0, np.int64)
+        words = [w if w is not None and counts[w, 4].all() else none for w in texts]
+        at = np.concatenate([[0], np.cumsum([len(w) for w in words])])
+        every = np.concatenate(words)
+        total = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(counts[every, :4], 0)])
+        total = total[at[1:]] - total[at[:-1]]
+        first = np.concatenate([[0], np.cumsum(counts[:, 3])])
+        used, often = np.unique(every, return_counts=True)
+        own = ranges(first[used], counts[used, 3])
+        keys, back = np.unique(known.keys[own], return_inverse=True)
+        sums = np.bincount(back, np.repeat(often, counts[used, 3]), len(keys)).astype(np.int64)
+        place = np.zeros(len(known.keys), np.int64)
+        place[own] = back
+        said, pairs, times = [], [], []
+        for w in words:
+            text = ";".join([known.said[k] for k in w.tolist()])
+            said.append(text if with_groups or not text else hashlib.sha256(text.encode()).hexdigest())
+            u, c = np.unique(w, return_counts=True)
+            pair, turn = np.unique(place[ranges(first[u], counts[u, 3])], return_inverse=True)
+            pairs.append(pair.astype(np.int32))
+            times.append(np.bincount(turn, np.repeat(c, counts[u, 3]), len(pair)).astype(np.int32))
         table = pa.Table.from_batches(kept).combine_chunks()
         lists = lambda xs: pa.array(xs, pa.list_(pa.int32()))
-        columns = [*(table.column(k).combine_chunks() for k in range(len(keep))), pa.array(na), pa.array(nb), pa.array(n_groups, pa.int64()),
-                   pa.array(np.diff(link_at)), groups, lists(pairs), lists(times), pa.array([number] * len(rows), pa.int64())]
+        columns = [*(table.column(k).combine_chunks() for k in range(len(keep))), *(pa.array(total[:, k]) for k in range(4)),
+                   pa.array(said, pa.string()), lists(pairs), lists(times), pa.array([number] * len(words), pa.int64())]
         names = [*keep, *NAMES]
-        out = pa.RecordBatch.from_arrays([*columns, pa.nulls(len(rows), pa.list_(pa.int64())), pa.nulls(len(rows), pa.list_(pa.int64()))], names)
+        empty = [pa.nulls(len(words), pa.list_(pa.int64()))] * 2
+        out = pa.RecordBatch.from_arrays([*columns, *empty], names)
         step = 4096
-        yield from (out.slice(k, step) for k in range(0, len(rows), step))
+        yield from (out.slice(k, step) for k in range(0, len(words), step))
         if len(keys):
-            own = [pa.nulls(1, c.type) for c in columns[:-1]]
-            yield pa.RecordBatch.from_arrays([*own, pa.array([number], pa.int64()), pa.array([keys], pa.list_(pa.int64())),
-                                              pa.array([sums.astype(np.int64)], pa.list_(pa.int64()))], names)
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(1, c.type) for c in columns[:-1]), pa.array([number], pa.int64()),
+                                              pa.array([keys], pa.list_(pa.int64())), pa.array([sums], pa.list_(pa.int64()))], names)
 
     NAMES = ["n_a", "n_b", "n_groups", "n_links", "groups", "pair", "times", "block", "keys", "sums"]
     kept_types = ", ".join(field(docs, c, c) for c in keep)
@@ -179,7 +243,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
     (a, b, count, best). ``groups`` is the text of all groups (``with_groups``) or its SHA-256, '' without tokens.
     ``n_best`` counts the links whose pair has its B id's highest count, ``count_sum`` adds up the counts of all links.
 
-    A block ends with the text that brings its tokens to ``block_links``. Defined cases: a NULL or empty text, and one
+    A block ends with the batch that brings its tokens to ``block_links``. Defined cases: a NULL or empty text, and one
     that either tokenizer changes, has no tokens and zeros; repeated rows count each; NULL ids stay;
     an empty table gives empty frames. Extra columns are not read.
     """
