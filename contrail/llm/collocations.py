@@ -29,7 +29,7 @@ from contrail.llm.common import cut
 MARK = b"\xff"
 TABLE = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\tABCDEFGHIJKLMNOPQRSTUVWXYZ", MARK * 10 + b" abcdefghijklmnopqrstuvwxyz")
 BITS = 21  # of a word id in a sort key: three to a key
-LIMIT = 1 << 20  # symbols of a shard: some 100 MB in a task
+LIMIT = 3 << 18  # symbols of a shard: some 100 MB in a task
 
 
 class WordIndex:
@@ -181,6 +181,16 @@ def phrases(shard: pa.Table, known: pa.Table) -> pa.Table:
     return pa.table(dict(zip(("w1", "w2", "w3", "n"), columns)))
 
 
+def numbered(words: DataFrame) -> DataFrame:
+    """``words`` with numbers from 1 without gaps (small ones: they travel often), written once."""
+    at = cut(words.withColumn("_at", F.monotonically_increasing_id()), "collocation-words")
+    task = F.shiftright("_at", 33)  # the id is (task, place in the task)
+    bases = at.groupBy(task.alias("_task")).count().select("_task", F.coalesce(F.sum("count").over(
+        Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
+    return cut(at.withColumn("_task", task).join(bases, "_task")
+               .withColumn("number", F.col("_base") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1).drop("_at", "_task", "_base"), "collocation-numbers")
+
+
 def scored(a: str, left: str, right: str):
     """floor(10^6 a^2 / (l r)), exact: products have up to 38 digits."""
     exact = lambda c: f"CAST({c} AS DECIMAL(16,0))"
@@ -202,7 +212,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     found = rows.select("shard", "lang", "sign", F.posexplode(F.arrays_zip("words", "counts")).alias("at", "x")).select(
         "shard", "lang", F.col("x.words").alias("word"), (F.col("at") + 1).alias("id"), (F.col("sign") * F.col("x.counts")).alias("n"))
     words = found.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    words = cut(words.withColumn("number", F.monotonically_increasing_id() + 1), "collocation-words")
+    words = numbered(words)
     totals = rows.groupBy("lang").agg(F.sum(F.col("sign") * F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x)).alias("n"))
 
     own = rows.select("shard", "sign", "ids", "size", F.size("words").cast("long").alias("distinct"))
