@@ -144,11 +144,18 @@ class Aligner:
                     a[k], b[k] = [], []
         return a, b
 
-    def learn(self) -> None:
-        """Align the new words: their tokens lie one after the other on a line."""
-        if not self.new:
-            return
-        a_ids, b_ids = self.encoded(self.new)
+    def learn(self, at_once: int = 1 << 15) -> None:
+        """Align the new words, ``at_once`` at a time."""
+        counts, keys = [self.counts], [self.keys]
+        for k in range(0, len(self.new), at_once):
+            c, own = self.line(self.new[k:k + at_once])
+            counts.append(c)
+            keys.append(own)
+        self.counts, self.keys, self.new = np.concatenate(counts), np.concatenate(keys), []
+
+    def line(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Counts and pairs of the words, whose tokens lie one after the other on a line."""
+        a_ids, b_ids = self.encoded(words)
         na, nb = (np.array([len(x) for x in side], np.int64) for side in (a_ids, b_ids))
         a, b = (np.array(list(chain.from_iterable(side)), np.int64) for side in (a_ids, b_ids))
         a_link, b_link, a_group, b_group = overlaps(np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]))
@@ -163,9 +170,7 @@ class Aligner:
         groups = list(map("|".join, zip(*sides)))
         self.said += [";".join(groups[i:j]) for i, j in zip(group_at.tolist(), group_at[1:].tolist())]
         links = np.diff(np.searchsorted(b_link, np.concatenate([[0], np.cumsum(nb)])))
-        self.counts = np.concatenate([self.counts, np.stack([na, nb, np.diff(group_at), links, na > 0], 1)])
-        self.keys = np.concatenate([self.keys, a[a_link] << SHIFT | b[b_link]])
-        self.new = []
+        return np.stack([na, nb, np.diff(group_at), links, na > 0], 1), a[a_link] << SHIFT | b[b_link]
 
 
 def ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -174,14 +179,14 @@ def ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def aligned(docs: DataFrame, a_path: str, b_path: str, text_col: str, keep: list[str], with_groups: bool, block_links: int,
-            memory: int = 500_000) -> DataFrame:
+            memory: int = 300_000) -> DataFrame:
     """A row per text (the columns in ``keep``, n_a, n_b, n_groups, n_links, groups, its distinct pairs as
     positions ``pair`` in its block's list and their numbers ``times``) and, with NULLs there, a row per block with the
     list: ``keys`` and ``sums``. Written once. A worker remembers about ``memory`` words."""
     def run(batches):
         known, part, number = Aligner.of(a_path, b_path), TaskContext.get().partitionId(), 0
         kept, texts, tokens = [], [], 0
-        for batch in batches:
+        for batch in (b.slice(k, 2000) for b in batches for k in range(0, b.num_rows, 2000)):
             kept.append(batch.select(list(range(len(keep)))))
             own = [known.words(t) if t else None for t in batch.column(len(keep)).to_pylist()]
             known.learn()
