@@ -1,8 +1,8 @@
 """Chat formatting with typed content parts (DataFrame functions only).
 
 A turn's content is a list of parts (text, image, audio, document). A visitor flattens them,
-in order, into the text of the turn: text parts escaped, attachments as placeholders, while
-their references and expanded token counts are recorded beside it. Turns are joined between
+in order, into the text of the turn: runs of text parts escaped as one text (so no control string
+can be put together from parts), attachments as placeholders, while their references and expanded token counts are recorded beside it. Turns are joined between
 control strings; the loss mask covers the texts of the trained roles.
 
 Escaping is reversible: a backslash is doubled, and a backslash is put after the first
@@ -61,12 +61,21 @@ class Template:
              .otherwise(part["pages"] * self.tokens_per_page))
         return F.greatest(F.coalesce(n, F.lit(1)), F.lit(1)).cast("long")
 
-    def visit(self, part: Column) -> Column:
-        """A part's text in the turn; an unknown kind is a document."""
+    def place(self, part: Column) -> Column:
+        """An attachment's placeholder; an unknown kind is a document."""
         place = F.lit(self.attachments["document"])
         for kind, text in self.attachments.items():
             place = F.when(part["kind"] == kind, F.lit(text)).otherwise(place)
-        return F.when(is_text(part), self.escape(part["text"])).otherwise(place)
+        return place
+
+    def visit(self, parts: Column) -> Column:
+        """The text of a turn: neighbouring text parts are joined before they are escaped."""
+        start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("text"))
+        step = lambda s, p: F.when(is_text(p), F.struct(s["done"].alias("done"), F.concat(s["text"], F.coalesce(p["text"], F.lit(""))).alias("text"))).otherwise(
+            F.struct(F.concat(s["done"], F.array(s["text"], self.place(p))).alias("done"), F.lit("").alias("text")))
+        # Texts and placeholders in turns, a text first and last.
+        whole = F.aggregate(parts, start, step, lambda s: F.concat(s["done"], F.array(s["text"])))
+        return F.array_join(F.transform(whole, lambda x, i: F.when(i % 2 == 0, self.escape(x)).otherwise(x)), "")
 
 
 def is_text(part: Column) -> Column:
@@ -95,7 +104,7 @@ def format_chat(rows: DataFrame, template: Template = Template(), conv_col: str
     role = F.coalesce(F.col(role_col), F.lit(""))
     one = (rows.select(F.col(conv_col).alias("id"), F.col(turn_col).alias("at"), role.alias("role"), parts.alias("parts"))
            .withColumn("head", F.concat(F.lit(t.turn), t.escape(F.col("role")), F.lit(t.body)))
-           .withColumn("said", F.array_join(F.transform("parts", t.visit), ""))
+           .withColumn("said", t.visit(F.col("parts")))
            .select("id", "at", "role", "head", "said", F.transform(F.filter("parts", lambda p: ~is_text(p)), lambda p: F.struct(
                p["kind"].alias("kind"), p["ref"].alias("ref"), t.tokens(p).alias("tokens"))).alias("sent")))
     size = F.octet_length("head") + F.octet_length("said") + len(t.end.encode())

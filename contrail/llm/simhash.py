@@ -137,9 +137,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are read, so extra columns cannot clash.
     """
     fps = cut(fingerprints(docs, id_col, text_col, shingle), "simhash")
-    nodes = fps.groupBy("fp").agg(F.min("id").alias("node"))
-    roots = components(links(nodes.where("node is not null"), max_distance, max_bucket))
-    by_fp = nodes.join(roots, "node", "left").select("fp", F.coalesce("root", "node").alias("component_id"))
+    # Fingerprints are the nodes: one whose rows have no id links like any other.
+    nodes = fps.groupBy("fp").agg(F.min("id").alias("id"))
+    roots = components(links(nodes.select("fp", F.col("fp").alias("node")), max_distance, max_bucket))
+    named = cut(nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root"), "id"), "simhash-roots")
+    by_fp = named.select("fp", "root").join(named.groupBy("root").agg(F.min("id").alias("component_id")), "root").select("fp", "component_id")
     return fps.join(by_fp, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), BITS // 4, "0")).alias("fingerprint"), "component_id")
 
