@@ -2,14 +2,17 @@
 
 Default method: Lambert's closed-form long-line correction on the WGS-84 ellipsoid,
 within about 0.06 km of the exact geodesic below 15 000 km. ``vincenty5`` unrolls five
-Vincenty iterations for metre accuracy (staged projections, see ``add_route_km``). Both return kilometres as DOUBLE, rounded to
-``digits`` decimals so that equality and max comparisons are stable.
+Vincenty iterations for metre accuracy (staged projections, see ``add_route_km``); ``exact`` solves
+each row to convergence, up to the antipode (``contrail.functions.geodesic``). All return kilometres
+as DOUBLE, rounded to ``digits`` decimals so that equality and max comparisons are stable.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from contrail.functions.geodesic import geodesic_km
+
 # WGS-84 ellipsoid.
 WGS84_A_KM = 6378.137
 WGS84_F = 1 / 298.257223563
@@ -97,7 +100,10 @@ def haversine_km(lat1, lon1, lat2, lon2, radius_km: float = 6371.009) -> Column:
     return F.lit(2 * radius_km) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
 
 
-METHODS = {"lambert": lambert_km, "haversine": haversine_km}
+METHODS = {"lambert": lambert_km, "haversine": haversine_km, "exact": lambda *ends: geodesic_km(*ends, digits=None)}
+
+#: On the ellipsoid a length differs from the great circle's (haversine) by less than this share of it.
+SPHERE_ERROR = 0.0075
 
 
 def route_km(lat1, lon1, lat2, lon2, method: str = "lambert", digits: int | None = 3) -> Column:

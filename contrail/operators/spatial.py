@@ -1,8 +1,10 @@
 """Point-in-box zone assignment (airports -> continent).
 
-Each zone is exploded into the grid cells it touches (boxes are clamped to the globe, so the
-cells of a zone are bounded), each point computes its one cell, and the two meet in an
-**equi-join on the cell** followed by the exact box test; the highest ``zone_order`` wins.
+The zones are covered by quadtree cells that fit them: a box goes to the level whose cells are
+just as large as its longer side or larger, so it touches at most four cells there, whatever its
+size (a box over the antimeridian is two). A point lies in one cell of every level. The two meet in an **equi-join on
+(level, cell)** followed by the exact box test; the highest ``zone_order`` wins. Small boxes are only ever
+compared with points near them, and large ones do not multiply.
 
 Axes: ``geographic`` reads x as longitude and y as latitude and lets a box whose
 ``tl_x > br_x`` wrap over the antimeridian; ``as_written`` compares latitude with the
@@ -13,6 +15,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+LEVELS = 20  # the finest cells are about 40 m wide
+GLOBE = 180.0
 
 
 def _point_xy(points: DataFrame, lat: str, lon: str, axes: str) -> tuple[Column, Column]:
@@ -32,55 +36,47 @@ def _inside(px: Column, py: Column, wrap: bool) -> Column:
     return in_y & (straight | wrapped)
 
 
-def _zones(zones: DataFrame) -> DataFrame:
-    return zones.select(F.col("zone_name").alias("_zone"), F.col("zone_order").alias("_zorder"),
-                        F.col("tl_x").alias("_tl_x"), F.col("tl_y").alias("_tl_y"),
-                        F.col("br_x").alias("_br_x"), F.col("br_y").alias("_br_y"))
+def _share(v: str) -> str:
+    """Place on an axis from 0 to 1 (SQL text); what lies beyond the globe counts as its edge."""
+    return f"((greatest(least({v}, {GLOBE}D), -{GLOBE}D) + {GLOBE}D) / {2 * GLOBE}D)"
 
 
-def _cell_range(lo: Column, hi: Column) -> Column:
-    return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
+def _cell(share: str, level: str) -> str:
+    return f"least(floor({share} * pow(2.0D, {level})), cast(pow(2.0D, {level}) AS bigint) - 1)"
 
 
-def _on_globe(v: Column, bound: float) -> Column:
-    """Clamped to the globe: a box with junk corners has no more cells than the grid."""
-    return F.greatest(F.least(v, F.lit(bound)), F.lit(-bound))
-
-
-def zone_cells(zones: DataFrame, cell_deg: float, wrap: bool) -> DataFrame:
-    """One row per (zone, cell) the box touches."""
-    z = _zones(zones)
-    c = F.lit(cell_deg)
-    x_end, y_end = (180.0, 90.0) if wrap else (180.0, 180.0)
-    fx = lambda v: F.floor(_on_globe(v, x_end) / c)
-    fy = lambda v: F.floor(_on_globe(v, y_end) / c)
-    ys = _cell_range(fy(F.col("_br_y")), fy(F.col("_tl_y")))
-    straight = _cell_range(fx(F.col("_tl_x")), fx(F.col("_br_x")))
+def zone_cells(zones: DataFrame, wrap: bool) -> DataFrame:
+    """The zones with a row per cell they touch: ``_level, _cx, _cy`` (at most four, eight over the antimeridian).
+    Boxes with ends in the wrong order or NaN corners have none; one with a NULL corner never passes the exact test."""
+    side = lambda lo, hi: f"struct({_share(lo)} AS lo, {_share(hi)} AS hi)"
+    x = f"array({side('tl_x', 'br_x')})"
     if wrap:
-        wrapped = F.concat(_cell_range(fx(F.col("_tl_x")), fx(F.lit(180.0))),
-                           _cell_range(fx(F.lit(-180.0)), fx(F.col("_br_x"))))
-        xs = F.when(F.col("_tl_x") > F.col("_br_x"), wrapped).otherwise(straight)
-    else:
-        xs = straight
-    return (z.withColumn("_cx", F.explode(xs))
-             .withColumn("_cy", F.explode(ys)))
+        x = f"CASE WHEN tl_x > br_x THEN array({side('tl_x', f'{GLOBE}D')}, {side(f'-{GLOBE}D', 'br_x')}) ELSE {x} END"
+    z = zones.selectExpr("zone_name AS _zone", "zone_order AS _zorder", *[f"{c} AS _{c}" for c in ("tl_x", "tl_y", "br_x", "br_y")],
+                         f"{side('br_y', 'tl_y')} AS _y", f"explode({x}) AS _x")
+    ends = ("_x.lo", "_x.hi", "_y.lo", "_y.hi")
+    z = z.where("_x.lo <= _x.hi AND _y.lo <= _y.hi AND " + " AND ".join(f"NOT isnan({e})" for e in ends))
+    z = z.selectExpr("*", f"cast(least(floor(-log2(greatest(_x.hi - _x.lo, _y.hi - _y.lo, {2.0 ** -LEVELS!r}D))), {LEVELS}) AS int) AS _level")
+    reach = lambda a: f"explode(sequence({_cell(f'{a}.lo', '_level')}, {_cell(f'{a}.hi', '_level')}))"
+    return z.selectExpr("*", f"{reach('_x')} AS _cx").selectExpr("*", f"{reach('_y')} AS _cy").drop("_x", "_y")
 
 
 def assign_zone(points: DataFrame, zones: DataFrame, key: str = "iata_code", lat: str = "latitude",
-                lon: str = "longitude", out: str = "continent",
-                axes: str = "geographic", cell_deg: float = 5.0) -> DataFrame:
-    """Adds column ``out``: name of the highest-``zone_order`` zone containing the point, NULL if none.
+                lon: str = "longitude", out: str = "continent", axes: str = "geographic") -> DataFrame:
+    """Adds column ``out``: name of the highest-``zone_order`` zone containing the point (equal orders: the
+    first name), NULL if none.
 
     ``key`` must be unique in ``points`` (see ``unique_by_key``); it bounds every window
     partition below by the number of overlapping zones.
     """
     wrap = axes == "geographic"
     px, py = _point_xy(points, lat, lon, axes)
-    cells = zone_cells(zones, cell_deg, wrap)
-    c = F.lit(cell_deg)
-    p = points.withColumns({"_pcx": F.floor(px / c), "_pcy": F.floor(py / c)})
-    cond = (F.col("_pcx") == F.col("_cx")) & (F.col("_pcy") == F.col("_cy")) & _inside(px, py, wrap)
-    joined = p.join(cells, cond, "left").drop("_pcx", "_pcy", "_cx", "_cy")
-    w = Window.partitionBy(key).orderBy(F.col("_zorder").desc_nulls_last(), F.col("_zone").asc_nulls_last())
-    ranked = joined.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
-    return ranked.withColumnRenamed("_zone", out).drop("_rn", "_zorder", "_tl_x", "_tl_y", "_br_x", "_br_y")
+    cells = zone_cells(zones, wrap)
+    # Only the key and the place of a point meet the zones; the best zone comes back by key.
+    place = points.select(F.col(key).alias("_key"), px.alias("_px"), py.alias("_py"), F.expr(f"explode(sequence(0, {LEVELS}))").alias("_plevel"))
+    met = place.selectExpr("*", *[f"{_cell(_share(f'_p{a}'), '_plevel')} AS _pc{a}" for a in "xy"]).join(
+        cells, (F.col("_plevel") == F.col("_level")) & (F.col("_pcx") == F.col("_cx")) & (F.col("_pcy") == F.col("_cy"))
+        & _inside(F.col("_px"), F.col("_py"), wrap))
+    w = Window.partitionBy("_key").orderBy(F.col("_zorder").desc_nulls_last(), F.col("_zone").asc_nulls_last())
+    best = met.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).select("_key", F.col("_zone").alias(out))
+    return points.join(best, F.col(key) == F.col("_key"), "left").drop("_key")

@@ -9,14 +9,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from contrail.functions.geo import add_route_km, is_approx
-from contrail.operators.bridge import airline_bridge
+from contrail.functions.geo import SPHERE_ERROR, add_route_km, haversine_km, is_approx, route_km
+from contrail.operators.bridge import airline_dictionary, chosen_rank, with_airline, with_airline_choice
 from contrail.functions.columns import is_present
 from contrail.operators.clean import active_flights, drop_nullish, unique_by_key
+from contrail.operators.joins import one_row
 from contrail.operators.groups import approx_distinct_count_by, exclude_flagged_groups
 from contrail.operators.ranking import argmax_by_group, argmax_global, top1, top_n_per_group
 from contrail.operators.spatial import assign_zone
 
+ENDS = ("origin_airport_iata", "destination_airport_iata")
+
 # ---------------------------------------------------------------- dimensions
 
 
@@ -160,46 +163,78 @@ def regional_flights(flights: DataFrame, airports: DataFrame, zones: DataFrame,
 
 
 def q2_regional_leader(flights: DataFrame, airlines: DataFrame, airports: DataFrame, zones: DataFrame,
-                       regional_only: bool = True, known_airline_only: bool = True) -> DataFrame:
+                       regional_only: bool = True, known_airline_only: bool = True, bridge: DataFrame | None = None) -> DataFrame:
     """Per continent, the airline(s) with most regional airborne flights (ties kept).
 
-    The per-continent maximum is taken with a ``rank()`` window over the counts: they hold
-    at most one row per (continent, airline), so a window partition is bounded by the
-    airline table and the counts are not computed twice (as an aggregate + join would).
+    The flights are read once: id, ends and the airline choice (a long) stand on one row. They are reduced to one row per
+    (id, ends), the id's best choice is the least over its few rows, and names come back by rank
+    after the count. With a stored ``bridge`` (a run's Bronze table) the flights meet it by id instead and need no
+    airline lookup. The per-continent maximum is a ``rank()`` over the counts, at most one row per
+    (continent, airline).
     """
-    reg = regional_flights(flights, airports, zones, regional_only)
-    bridge = airline_bridge(flights, airlines)
-    j = reg.join(bridge, "id", "inner" if known_airline_only else "left")
-    counts = (j.groupBy("origin_continent", "airline_iata", "airline_icao", "airline_name")
-               .agg(F.count("id").alias("active_flights")))
+    how = "inner" if known_airline_only else "left"
+    group = ["airline_iata", "airline_icao", "airline_name"]
+    if bridge is not None:
+        reg = regional_flights(flights, airports, zones, regional_only)
+        counts = reg.join(bridge, "id", how).groupBy("origin_continent", *group).agg(F.count("id").alias("active_flights"))
+    else:
+        dictionary = airline_dictionary(airlines)
+        act = active_flights(flights, ["id", *ENDS, "airline_iata", "airline_icao"])
+        choice = F.when(F.col("id").isNotNull(), F.col("_choice"))
+        few = (with_airline_choice(act, dictionary).withColumn("_choice", choice)
+               .groupBy("id", *ENDS).agg(F.min("_choice").alias("_choice")))
+        few = few.withColumn("_choice", F.min("_choice").over(Window.partitionBy("id")))
+        if known_airline_only:
+            few = few.where(F.col("_choice").isNotNull())
+        reg = drop_nullish(with_continents(few, airports, zones), ["origin_continent"])
+        if regional_only:
+            reg = reg.where(F.col("origin_continent") == F.col("destination_continent"))
+        per_choice = reg.groupBy("origin_continent", chosen_rank("_choice").alias("_choice")).agg(F.count("id").alias("active_flights"))
+        counts = with_airline(per_choice, dictionary, "_choice", how)
     best = argmax_by_group(counts, "active_flights", "origin_continent", method="window")
-    return best.select(F.col("origin_continent").alias("continent"), "airline_iata", "airline_icao",
-                       "airline_name", "active_flights")
+    return best.select(F.col("origin_continent").alias("continent"), *group, "active_flights")
 
 
 # ---------------------------------------------------------------- Q3 / Q4
 
-ENDS = ("origin_airport_iata", "destination_airport_iata")
-
-
 def route_length(flights: DataFrame, airports: DataFrame, method: str = "lambert") -> DataFrame:
     """``id, origin_airport_iata, destination_airport_iata, route_length, route_approx``."""
     return with_route_length(flights, airports, method).select(
         "id", "origin_airport_iata", "destination_airport_iata", "route_length", "route_approx")
 
 
-def q3_longest_active_route(flights: DataFrame, airports: DataFrame, method: str = "lambert") -> DataFrame:
-    """Airborne flight(s) with the longest route (ties kept).
+def longest_pairs(pairs: DataFrame, airports: DataFrame) -> DataFrame:
+    """The pairs of airports that can be the longest, with their exact ``route_length``.
+
+    The great circle bounds a length to ``SPHERE_ERROR``, so only pairs within twice that of the
+    longest great circle are solved exactly (a per-row iteration, right up to the antipode).
+    """
+    dim = airport_dim(airports)
+    p = lookup(pairs, dim, ENDS[0], {"latitude": "_olat", "longitude": "_olon"}, airports)
+    p = lookup(p, dim, ENDS[1], {"latitude": "_dlat", "longitude": "_dlon"}, airports)
+    ends = ("_olat", "_olon", "_dlat", "_dlon")
+    p = p.where(_both_ends_known()).withColumn("_circle", haversine_km(*ends))
+    most = one_row(p.agg(F.max("_circle").alias("_most")).withColumn("_k", F.lit(1)))
+    near = p.withColumn("_k", F.lit(1)).join(most, "_k").where(F.col("_circle") >= F.col("_most") * (1 - 2 * SPHERE_ERROR))
+    return near.select(*ENDS, route_km(*ends, method="exact").alias("route_length"))
+
+
+def q3_longest_active_route(flights: DataFrame, airports: DataFrame, method: str = "exact") -> DataFrame:
+    """Airborne flight(s) with the longest route (ties kept); ``route_approx`` where the length is not exact.
 
     A length depends on the pair of airports alone, so the flights are first reduced to their
     pairs (one row per pair and task), the longest pairs are found among those, and only the
     winning pairs meet the flights again.
     """
     f = active_flights(flights.select("id", "aircraft_code", "airline_icao", "callsign", "on_ground", *ENDS))
-    r = with_route_length(f.select(*ENDS).distinct(), airports, method).where(F.col("route_known"))
+    pairs = f.select(*ENDS).distinct()
+    if method == "exact":
+        r = longest_pairs(pairs, airports).withColumn("route_approx", F.lit(False))
+    else:
+        r = with_route_length(pairs, airports, method).where(F.col("route_known"))
     # argmax's equi-join never matches a NULL length, so no filter on the length itself.
-    longest = argmax_global(r, "route_length").select(*ENDS, "route_length")
-    return f.join(longest, list(ENDS)).select("id", "aircraft_code", "airline_icao", "callsign", "route_length")
+    longest = argmax_global(r, "route_length").select(*ENDS, "route_length", "route_approx")
+    return f.join(longest, list(ENDS)).select("id", "aircraft_code", "airline_icao", "callsign", "route_length", "route_approx")
 
 
 def q4_avg_route_by_continent(flights: DataFrame, airports: DataFrame, zones: DataFrame,

@@ -2,8 +2,9 @@
 
 * One run timestamp stamps every table of the run (partition columns ``tech_year``,
   ``tech_month`` = YYYY-MM, ``tech_day`` = date, ``tech_hour``).
-* Every table of a run is written to the run's own folder, which a re-run replaces as a whole
-  (an empty result too); earlier runs, also of the same hour, stay queryable.
+* Every table of a run is written to the run's own folder and published as a whole, an empty result
+  too; until then, and if a write fails, readers see the last good rows. Earlier runs, also of the
+  same hour, stay queryable.
 * Indicators read Bronze back from this run's folder only; the written table is also the
   lineage cut between steps. A source that failed falls back to its last good run.
 * A failing dataset is isolated: its status row says so and the others still run.
@@ -27,7 +28,7 @@ from contrail.operators.clean import normalise_sentinels, quarantine
 from contrail.operators.ranking import order_columns
 from contrail.plans import indicators as I
 from contrail.sources.layers import last_run_before, layer_path, read_run, write_run
-from contrail.sources.snapshots import read_snapshots
+from contrail.sources.snapshots import read_snapshots, read_zone_docs, zone_nodes, zone_quarantine, zones_in_order
 
 log = logging.getLogger("contrail.job")
 
@@ -39,6 +40,7 @@ class Inputs:
     airports: DataFrame | None
     zones: DataFrame | None
     models: DataFrame | None = None
+    bridge: DataFrame | None = None  # flight -> airline, where a run has stored it
 
 
 BRONZE_SCHEMAS = {"flights": SCH.FLIGHTS, "airlines": SCH.AIRLINES, "airports": SCH.AIRPORTS,
@@ -47,7 +49,7 @@ BRONZE_SCHEMAS = {"flights": SCH.FLIGHTS, "airlines": SCH.AIRLINES, "airports":
 # The Silver / Gold dataset names analysts already look up (kept unchanged).
 SILVER: dict[str, Callable[[Inputs], DataFrame]] = {
     "most_airlines": lambda b: I.q1_airline_most_active(b.flights, b.airlines),
-    "top_regional": lambda b: I.q2_regional_leader(b.flights, b.airlines, b.airports, b.zones),
+    "top_regional": lambda b: I.q2_regional_leader(b.flights, b.airlines, b.airports, b.zones, bridge=b.bridge),
     "find_longest_flight": lambda b: I.q3_longest_active_route(b.flights, b.airports),
     "average_flight_distance_by_continent": lambda b: I.q4_avg_route_by_continent(b.flights, b.airports, b.zones),
     "manufacturer_leader": lambda b: I.q5_manufacturer_leader(b.flights, b.models),
@@ -146,7 +148,7 @@ def run(spark: SparkSession, inputs: Inputs, base: str, run_ts: dt.datetime | st
     if (bronze_tables is None or "airline_bridge" in bronze_tables) and ready["flights"] is not None and ready["airlines"] is not None:
         status.append(write_bronze("airline_bridge", airline_bridge(ready["flights"], ready["airlines"])))
 
-    b = Inputs(ready["flights"], ready["airlines"], ready["airports"], ready["zones"], ready["aircraft_models"])
+    b = Inputs(ready["flights"], ready["airlines"], ready["airports"], ready["zones"], ready["aircraft_models"], ready.get("airline_bridge"))
     names = list(datasets or SILVER)
 
     # Silver: one dataset per indicator, each isolated.
@@ -212,16 +214,29 @@ def _read_landed(spark: SparkSession, path: str, schema: T.StructType, required:
         return None
 
 
-def zones_from_tree(spark: SparkSession, path: str, names: Sequence[str] | None = None, depth: int | None = 0) -> DataFrame:
-    """Landed zone trees -> flat zones: the top-level zones, or those of ``depth`` (None: all,
-    where a deeper, more specific zone takes precedence)."""
-    from contrail.sources.snapshots import flatten_zones, read_zone_docs
-    z = flatten_zones(read_zone_docs(spark, path))
+def zones_from_tree(spark: SparkSession, path: str, names: Sequence[str] | None = None, depth: int | None = 0,
+                    nodes: DataFrame | None = None) -> DataFrame:
+    """Landed zone trees -> flat zones: the top-level zones, or those of ``depth`` (None: all).
+    ``zone_order`` is a zone's place in its tree: of overlapping zones the later one wins, a subzone over its parent."""
+    z = zones_in_order(zone_nodes(read_zone_docs(spark, path)) if nodes is None else nodes)
     if depth is not None:
         z = z.where(F.col("depth") == depth)
     if names:
         z = z.where(F.col("zone_name").isin(list(names)))
-    return z.select("zone_name", F.col("depth").cast("int").alias("zone_order"), "tl_y", "tl_x", "br_y", "br_x")
+    return z.select("zone_name", "zone_order", "tl_y", "tl_x", "br_y", "br_x")
+
+
+def _landed_zones(spark: SparkSession, path: str, names: Sequence[str] | None, base: str, run_ts: dt.datetime, status: list) -> DataFrame | None:
+    """Landed zone trees -> zones; broken documents and nodes go to ``<base>/quarantine/zones`` for the run."""
+    try:
+        nodes = zone_nodes(read_zone_docs(spark, path))
+        n_bad = _observed_write(zone_quarantine(nodes), "q_zones", layer_path(base, "quarantine", "zones"), run_ts)
+        status.append(("quarantine", "zones", n_bad, "ok"))
+        return zones_from_tree(spark, path, names, nodes=nodes)
+    except Exception as e:
+        log.exception("zones unreadable")
+        status.append(("quarantine", "zones", None, f"failed: {type(e).__name__}"))
+        return None
 
 
 def run_from_landing(spark: SparkSession, landing: str, base: str, run_ts: dt.datetime | str,
@@ -240,12 +255,7 @@ def run_from_landing(spark: SparkSession, landing: str, base: str, run_ts: dt.da
                           "aircraft_models", run_ts, pre)
     if models is None:
         pre = [p for p in pre if p[1] != "aircraft_models"]  # optional input
-    try:
-        zones = zones_from_tree(spark, lp("zones"), zone_names)
-    except Exception as e:
-        log.exception("zones unreadable")
-        pre.append(("quarantine", "zones", None, f"failed: {type(e).__name__}"))
-        zones = None
+    zones = _landed_zones(spark, lp("zones"), zone_names, base, run_ts, pre)
     out = run(spark, Inputs(flights, airlines, airports, zones, models), base, run_ts, gold_formats)
     return spark.createDataFrame(pre, STATUS_SCHEMA).unionByName(out)
 
@@ -263,8 +273,12 @@ def main(argv: Sequence[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s %(message)s")
     spark = SparkSession.builder.appName("contrail-run").getOrCreate()
     status = run_from_landing(spark, a.landing, a.base, run_ts, a.zones)
-    for r in status.collect():  # the status table is one row per dataset
+    rows = status.collect()  # the status table is one row per dataset
+    for r in rows:
         log.info("%s %s rows=%s %s", r.layer, r.dataset, r.rows, r.status)
+    failed = [f"{r.layer}/{r.dataset}" for r in rows if r.status.startswith(("failed", "missing"))]
+    if failed:
+        raise SystemExit("failed: " + ", ".join(failed))
 
 
 if __name__ == "__main__":

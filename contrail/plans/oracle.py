@@ -8,7 +8,7 @@ orderings spell out NULLS FIRST / LAST because the two engines' defaults differ.
 
 from __future__ import annotations
 
-from contrail.functions.geo import lambert_sql
+from contrail.functions.geo import WGS84_A_KM, WGS84_B_KM, WGS84_F, lambert_sql
 from contrail.sources.fixtures import FIXTURE_SQL, _placeholders
 
 HELPERS: dict[str, str] = {
@@ -72,11 +72,38 @@ SELECT iata_code, CAST(sum(dep) AS BIGINT) AS departures, CAST(sum(arr) AS BIGIN
 WHERE iata_code IS NOT NULL GROUP BY iata_code""",
 }
 
+# Exact route lengths for the oracle: the fixed-point iteration for the longitude, 40 rounds of it in a recursive
+# query, which shares nothing with the solver on the Spark side. Right for pairs that are not nearly antipodal.
+_F, _A = repr(WGS84_F), repr(WGS84_A_KM)
+_B = repr(WGS84_B_KM)
+_STEP = """(SELECT *, CASE WHEN c2a = 0 THEN 0.0 ELSE cs - 2 * sin(u1) * sin(u2) / c2a END AS c2m FROM
+ (SELECT *, 1 - sa * sa AS c2a FROM (SELECT *, CASE WHEN ss = 0 THEN 0.0 ELSE cos(u1) * cos(u2) * sin(lam) / ss END AS sa, atan2(ss, cs) AS sig FROM
+ (SELECT *, sqrt(pow(cos(u2) * sin(lam), 2) + pow(cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(lam), 2)) AS ss,
+         sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(lam) AS cs FROM steps{where}) a) b) c)"""
+HELPERS |= {
+    "steps": f"""
+SELECT DISTINCT f.origin_airport_iata AS o, f.destination_airport_iata AS d, atan((1 - {_F}) * tan(radians(a.latitude))) AS u1,
+       atan((1 - {_F}) * tan(radians(b.latitude))) AS u2, radians((b.longitude - a.longitude + 540) % 360 - 180) AS l,
+       radians((b.longitude - a.longitude + 540) % 360 - 180) AS lam, 0 AS n
+FROM fx_flights f JOIN ap a ON f.origin_airport_iata = a.iata_code JOIN ap b ON f.destination_airport_iata = b.iata_code
+WHERE f.on_ground = 0 AND a.latitude IS NOT NULL AND a.longitude IS NOT NULL AND b.latitude IS NOT NULL AND b.longitude IS NOT NULL
+UNION ALL
+SELECT o, d, u1, u2, l, l + (1 - k) * {_F} * sa * (sig + k * ss * (c2m + k * cs * (2 * c2m * c2m - 1))) AS lam, n + 1 AS n FROM
+ (SELECT *, {_F} / 16 * c2a * (4 + {_F} * (4 - 3 * c2a)) AS k FROM {_STEP.format(where=' WHERE n < 40')} e) g""",
+    "exact_pairs": f"""
+SELECT o, d, round(CASE WHEN ss = 0 THEN 0.0 ELSE {_B} * big * (sig - small * ss * (c2m + small / 4 * (cs * (2 * c2m * c2m - 1)
+       - small / 6 * c2m * (4 * ss * ss - 3) * (4 * c2m * c2m - 3)))) END, 3) AS km
+FROM (SELECT *, 1 + q / 16384 * (4096 + q * (q * (320 - 175 * q) - 768)) AS big, q / 1024 * (256 + q * (q * (74 - 47 * q) - 128)) AS small
+      FROM (SELECT *, c2a * ({_A} * {_A} - {_B} * {_B}) / ({_B} * {_B}) AS q FROM {_STEP.format(where=' WHERE n = 40')} e) g) h""",
+}
+
 # Helper dependencies (fixtures and other helpers), resolved in order.
 DEPS: dict[str, tuple[str, ...]] = {
     "ap": ("fx_airports",),
     "cont": ("ap", "fx_zones"),
     "routes": ("fx_flights", "ap"),
+    "steps": ("fx_flights", "ap"),
+    "exact_pairs": ("steps",),
     "grounded": ("fx_flights",),
     "bridge": ("fx_flights", "fx_airlines"),
     "callsigns": ("fx_flights", "grounded"),
@@ -107,4 +134,4 @@ def with_ctes(*names: str) -> str:
         else:
             text = HELPERS[n]
         parts.append(f"{n} AS ({text}\n)")
-    return "WITH " + ",\n".join(parts) + "\n"
+    return ("WITH RECURSIVE " if "steps" in order else "WITH ") + ",\n".join(parts) + "\n"

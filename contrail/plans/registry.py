@@ -191,11 +191,10 @@ def _route_length(t: Tables) -> DataFrame:
     return I.route_length(t.flights, t.airports)
 
 
-@register("q3_longest_active_route", with_ctes("routes") + """
-SELECT id, aircraft_code, airline_icao, callsign, route_length FROM routes
-WHERE on_ground = 0 AND route_length IS NOT NULL AND NOT isnan(route_length)
-  AND route_length = (SELECT max(route_length) FROM routes
-                      WHERE on_ground = 0 AND route_length IS NOT NULL AND NOT isnan(route_length))""")
+@register("q3_longest_active_route", with_ctes("exact_pairs") + """
+SELECT f.id, f.aircraft_code, f.airline_icao, f.callsign, p.km AS route_length, false AS route_approx
+FROM fx_flights f JOIN exact_pairs p ON f.origin_airport_iata = p.o AND f.destination_airport_iata = p.d
+WHERE f.on_ground = 0 AND p.km = (SELECT max(km) FROM exact_pairs)""")
 def _q3(t: Tables) -> DataFrame:
     return I.q3_longest_active_route(t.flights, t.airports)
 

@@ -15,14 +15,15 @@ from contrail import schemas as SCH
 from contrail.operators.clean import quarantine, quarantine_status
 from contrail.plans import indicators as I
 from contrail.plans.oracle import with_ctes
-from contrail.plans.job import STATUS_SCHEMA, SILVER, Inputs, ingest_landed, run, run_from_landing
+from contrail.plans.job import STATUS_SCHEMA, SILVER, Inputs, ingest_landed, run, run_from_landing, zones_from_tree
 from contrail.plans.registry import ORACLE, register
 from contrail.session import fresh_path
 from contrail.sources.fixtures import FIXTURE_SQL, Tables, _placeholders
-from contrail.sources.layers import layer_path, lookup, read_layer, read_run, stamp_run, write_layer
+from contrail.sources.layers import layer_path, lookup, published, read_layer, read_run, run_path, stamp_run, write_layer
 from contrail.sources.snapshots import JSON_OPTIONS, flatten_zones, land_json, land_text, read_airports, read_snapshots, \
-    read_zone_docs
-from contrail.streaming.ingest import latest_per_key, latest_snapshot, stream_snapshots
+    read_zone_docs, zone_nodes, zone_quarantine
+from contrail.streaming.ingest import latest_per_key, latest_snapshot, snapshot_stream, stream_snapshots
+from contrail.streaming.latest import read_latest, stream_latest
 
 RUN_TS = dt.datetime(2024, 1, 1, 7, 0, 0)
 
@@ -72,16 +73,59 @@ _REGION_BOX = {
 
 
 def _zone_docs(t: Tables) -> DataFrame:
-    """One zone document per region, its nations as subzones."""
+    """One zone document per region, its nations as subzones, in the order of the regions."""
     box = lambda m: F.struct(*[F.expr(v).alias(k) for k, v in m.items()])
     nations = t.raw("nation").select("n_regionkey", F.struct(F.col("n_name"), box(_NATION_BOX)).alias("e"))
     # Children of one zone: bounded by the zone tree itself, not by the flight volume.
     sub = nations.groupBy("n_regionkey").agg(F.map_from_entries(F.collect_list("e")).alias("subzones"))
-    reg = t.raw("region").join(sub, F.col("r_regionkey") == F.col("n_regionkey"), "left")
+    reg = t.raw("region").join(sub, F.col("r_regionkey") == F.col("n_regionkey"), "left").orderBy("r_regionkey")
     node = F.struct(*[F.expr(v).alias(k) for k, v in _REGION_BOX.items()], F.col("subzones"))
     return reg.select(F.to_json(F.create_map(F.lower("r_name"), node)).alias("value"))
 
 
+def _land_zones(t: Tables, path: str) -> str:
+    """The zone documents in one file of lines, an overlapping zone as a pretty-printed document after it, then a
+    truncated document and one whose nodes are partly bad."""
+    land_text(_zone_docs(t).coalesce(1), f"{path}/a")
+    overlap = t.zones.where("zone_name = 'overlap'").select(F.create_map("zone_name", F.struct("tl_y", "tl_x", "br_y", "br_x")).alias("m"))
+    land_text(overlap.select(F.to_json("m", {"pretty": "true"}).alias("value")), f"{path}/b")
+    land_text(_zone_docs(t).select(F.substring("value", 1, 40).alias("value")).coalesce(1), f"{path}/c")
+    bad = t.raw("nation").select(F.to_json(F.create_map(F.col("n_name"), F.struct(
+        F.lit("north").alias("tl_y"), F.lit(1).alias("tl_x"), F.lit(1).alias("br_y"), F.lit(1).alias("br_x"), F.lit("none").alias("subzones")))).alias("value"))
+    land_text(bad, f"{path}/d")
+    return path
+
+
+@register("zone_quarantine", """
+SELECT '$' AS path, 'not JSON' AS problem FROM region
+UNION ALL
+SELECT concat('$.', n_name) AS path, p AS problem FROM nation, (VALUES ('tl_y is missing or no number'), ('subzones is not an object')) AS v(p)""")
+def _zone_quarantine(t: Tables) -> DataFrame:
+    land = _land_zones(t, fresh_path(t.spark, "landing/zones"))
+    return zone_quarantine(zone_nodes(read_zone_docs(t.spark, land))).select("path", "problem")
+
+
+@register("zone_order", """
+SELECT zone_name, CAST(row_number() OVER (ORDER BY r, c) - 1 AS INTEGER) AS zone_order FROM (
+  SELECT lower(r_name) AS zone_name, r_regionkey AS r, -1 AS c FROM region
+  UNION ALL SELECT n_name, n_regionkey, n_nationkey FROM nation UNION ALL SELECT 'overlap', 99, 0) z""")
+def _zone_order(t: Tables) -> DataFrame:
+    """Zones by their place in the landed trees (subzones in the order of the document)."""
+    nations = t.raw("nation").orderBy("n_nationkey").withColumn("n", F.struct(F.col("n_nationkey"), F.col("n_name"), F.struct(
+        *[F.expr(v).alias(k) for k, v in _NATION_BOX.items()]).alias("box")))
+    sub = nations.groupBy("n_regionkey").agg(F.array_sort(F.collect_list("n")).alias("ns"))
+    said = F.concat_ws(",", F.transform("ns", lambda x: F.concat(F.lit('"'), x["n_name"], F.lit('":'), F.to_json(x["box"]))))
+    head = F.to_json(F.struct(*[F.expr(v).alias(k) for k, v in _REGION_BOX.items()]))
+    doc = F.concat(F.lit('{"'), F.lower("r_name"), F.lit('":'), F.expr("substring(head, 1, length(head) - 1)"), F.lit(',"subzones":{'), F.col("said"), F.lit("}}}"))
+    docs = (t.raw("region").join(sub, F.col("r_regionkey") == F.col("n_regionkey"), "left").withColumns({"head": head, "said": said})
+            .orderBy("r_regionkey").select(doc.alias("value")))
+    path = fresh_path(t.spark, "landing/zones")
+    land_text(docs.coalesce(1), f"{path}/a")
+    overlap = t.zones.where("zone_name = 'overlap'").select(F.create_map("zone_name", F.struct("tl_y", "tl_x", "br_y", "br_x")).alias("m"))
+    land_text(overlap.select(F.to_json("m", {"pretty": "true"}).alias("value")), f"{path}/b")
+    return zones_from_tree(t.spark, path, depth=None).select("zone_name", "zone_order")
+
+
 @register("zones_flatten", f"""
 SELECT lower(r_name) AS zone_name, CAST(NULL AS VARCHAR) AS parent_zone, 0 AS depth,
        {", ".join(f"{v} AS {k}" for k, v in _REGION_BOX.items())}
@@ -195,6 +239,20 @@ def _latest_per_flight(t: Tables) -> DataFrame:
     return latest_per_key(t.events, "user_id", "ts", ["event_id"])
 
 
+@register("latest_per_flight_stream", ORACLE["latest_per_flight"])
+def _latest_per_flight_stream(t: Tables) -> DataFrame:
+    """The newest row per key kept by a stream: events land in two lots (the later half first, so the second lot is
+    late), each drained by a stream of its own with the same checkpoint."""
+    land, table, ck = (fresh_path(t.spark, n) for n in ("landing/events", "stream/latest", "checkpoint/latest"))
+    middle = t.events.agg(F.percentile_approx(F.unix_micros(F.col("ts").cast("timestamp")), 0.5)).first()[0]
+    late = F.unix_micros(F.col("ts").cast("timestamp")) < middle
+    for lot in (~late, late):
+        t.events.where(lot).write.mode("append").options(**JSON_OPTIONS).json(land)
+        rows = snapshot_stream(t.spark, land, SCH.EVENTS, max_files_per_trigger=1).drop(SCH.CORRUPT_COL)
+        stream_latest(rows, table, ck, "user_id", "ts", ["event_id"], compact_every=3)
+    return read_latest(t.spark, table, SCH.EVENTS, "user_id", "ts", ["event_id"])
+
+
 # ------------------------------------------------------------------ Gold round trips (need the Q4/Q6 oracles)
 
 @register("gold_csv_roundtrip", ORACLE["q6_top3_models_by_country"])
@@ -255,10 +313,9 @@ _LANDED_ITEMS = {
     "greatest_flights_difference": ("iata_code", "abs_diff"),
 }
 
-# What is left of the landed fixtures: whole lines, and top-level zones of one rank.
+# What is left of the landed fixtures: whole lines (the zones' order is that of their documents).
 _LANDED_FIXTURES = {
     "fx_flights": "SELECT * FROM fx_flights_all WHERE destination_airport_iata IS NOT NULL",
-    "fx_zones": "SELECT zone_name, 0 AS zone_order, tl_y, tl_x, br_y, br_x FROM fx_zones_all",
 }
 
 
@@ -274,8 +331,8 @@ def _landed_run_oracle() -> str:
 
 @register("landed_run", _landed_run_oracle())
 def _landed_run(t: Tables) -> DataFrame:
-    """The scheduled job from landed files to Silver: truncated lines, blank and NaN codes, airports
-    as text and a nested zone tree; returns the indicators' rows."""
+    """The scheduled job from landed files to Gold: truncated lines, blank and NaN codes, airports
+    as text, nested zone trees and broken ones; returns the indicators' rows as the Gold files have them."""
     landing, base = fresh_path(t.spark, "landing/run"), fresh_path(t.spark, "landed_run")
     f = t.flights.withColumns({
         "airline_icao": F.when((F.col("airline_icao") == "N/A") & (F.col("id") % 2 == 0), F.lit(" ")).otherwise(F.col("airline_icao")),
@@ -287,18 +344,36 @@ def _landed_run(t: Tables) -> DataFrame:
     land_json(t.airlines, f"{landing}/airlines")
     land_json(t.airports.select(*[F.col(c).cast("string").alias(c) for c in t.airports.columns]), f"{landing}/airports")
     land_json(t.models, f"{landing}/aircraft_models")
-    overlap = t.zones.where("zone_name = 'overlap'").select(
-        F.to_json(F.create_map("zone_name", F.struct("tl_y", "tl_x", "br_y", "br_x"))).alias("value"))
-    land_text(_zone_docs(t).unionByName(overlap), f"{landing}/zones")
-    run_from_landing(t.spark, landing, base, RUN_TS, gold_formats=())
+    _land_zones(t, f"{landing}/zones")
+    run_from_landing(t.spark, landing, base, RUN_TS)
     out = None
     for name, (item, value) in _LANDED_ITEMS.items():
-        rows = read_run(t.spark, layer_path(base, "silver", name), RUN_TS).select(
+        schema = t.spark.read.parquet(published(t.spark, run_path(layer_path(base, "silver", name), RUN_TS))).schema
+        rows = read_run(t.spark, layer_path(base, "gold_csv", name), RUN_TS, schema, fmt="csv").select(
             F.lit(name).alias("dataset"), F.expr(item).alias("item"), F.round(F.col(value).cast("double"), 3).alias("value"))
         out = rows if out is None else out.unionByName(rows)
     return out
 
 
+@register("broken_source_run", f"""
+SELECT dataset, CAST(rows AS BIGINT) AS rows, status FROM (
+  SELECT 'airlines' AS dataset, CAST(NULL AS BIGINT) AS rows, 'fallback' AS status
+  UNION ALL SELECT 'zones', NULL, 'fallback'
+  UNION ALL SELECT 'flights', (SELECT count(*) FROM ({with_ctes('fx_flights')} SELECT * FROM fx_flights) x), 'ok'
+  UNION ALL SELECT 'airports', (SELECT count(*) FROM ({with_ctes('fx_airports')} SELECT * FROM fx_airports) x), 'ok'
+  UNION ALL SELECT 'airline_bridge', (SELECT count(*) FROM ({with_ctes('bridge')} SELECT * FROM bridge) x), 'ok'
+  UNION ALL SELECT 'most_airlines', (SELECT count(*) FROM ({ORACLE["q1_airline_most_active"]}) x), 'ok'
+  UNION ALL SELECT 'top_regional', (SELECT count(*) FROM ({ORACLE["q2_regional_leader"]}) x), 'ok') s""")
+def _broken_source_run(t: Tables) -> DataFrame:
+    """A run whose airlines are absent and whose zones fail while they are written, after a good run: both fall back
+    to the good run's rows, and the datasets that need them are computed."""
+    base, wanted = fresh_path(t.spark, "broken_source"), ["most_airlines", "top_regional"]
+    run(t.spark, Inputs(t.flights, t.airlines, t.airports, t.zones), base, RUN_TS, gold_formats=(), datasets=wanted)
+    broken = t.zones.withColumn("tl_y", F.when(F.col("zone_name") == "overlap", F.raise_error(F.lit("broken feed"))).otherwise(F.col("tl_y")))
+    out = run(t.spark, Inputs(t.flights, None, t.airports, broken), base, RUN_TS + dt.timedelta(hours=2), gold_formats=(), datasets=wanted)
+    return out.select("dataset", "rows", "status")
+
+
 @register("run_metrics", with_ctes("fx_flights") + """
 SELECT 'flights' AS table_name, CAST(count(*) AS BIGINT) AS rows_read,
        CAST(count(*) FILTER (WHERE destination_airport_iata IS NULL) AS BIGINT) AS rows_rejected,

@@ -99,10 +99,11 @@ def latest_snapshot(df: DataFrame, ts_col: str = "snapshot_ts") -> DataFrame:
 
 def latest_per_key(df: DataFrame, keys: Sequence[str] | str, ts_col: str,
                    tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Newest row per key (largest ``(ts, *tiebreak)``), as a ``max_by`` aggregate:
-    partial aggregation keeps one candidate per key per task, so hot keys stay cheap."""
+    """Newest row per key (largest ``(ts, *tiebreak)``, then the other columns, so the choice is always the
+    same), as a ``max_by`` aggregate: partial aggregation keeps one candidate per key per task, so
+    a hot key is not gathered (the struct makes it a sort aggregate)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     rest = [c for c in df.columns if c not in keys]
-    order = F.struct(F.col(ts_col), *[F.col(c) for c in tiebreak])
+    order = F.struct(F.col(ts_col), *[F.col(c) for c in tiebreak], *[F.col(c) for c in rest if c != ts_col and c not in tiebreak])
     best = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(c) for c in rest]), order).alias("_r"))
     return best.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*df.columns)

@@ -116,7 +116,7 @@ def test_zone_assignment_matches_brute_force(spark, axes):
     zones = spark.createDataFrame(ZONES, "zone_name string, zone_order int, tl_y double, tl_x double, "
                                          "br_y double, br_x double")
     got = {r.iata_code: r.continent for r in
-           assign_zone(points, zones, axes=axes, cell_deg=7.5).collect()}
+           assign_zone(points, zones, axes=axes).collect()}
     assert len(got) == len(pts)
     for code, lat, lon in pts:
         assert got[code] == brute_zone(lat, lon, axes), (code, lat, lon)
