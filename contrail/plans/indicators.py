@@ -13,7 +13,6 @@ from contrail.functions.geo import SPHERE_ERROR, add_route_km, haversine_km, is_
 from contrail.operators.bridge import airline_dictionary, chosen_rank, with_airline, with_airline_choice
 from contrail.functions.columns import is_present
 from contrail.operators.clean import active_flights, drop_nullish, unique_by_key
-from contrail.operators.joins import one_row
 from contrail.operators.groups import approx_distinct_count_by, exclude_flagged_groups
 from contrail.operators.ranking import argmax_by_group, argmax_global, top1, top_n_per_group
 from contrail.operators.spatial import assign_zone
@@ -214,8 +213,7 @@ def longest_pairs(pairs: DataFrame, airports: DataFrame) -> DataFrame:
     p = lookup(p, dim, ENDS[1], {"latitude": "_dlat", "longitude": "_dlon"}, airports)
     ends = ("_olat", "_olon", "_dlat", "_dlon")
     p = p.where(_both_ends_known()).withColumn("_circle", haversine_km(*ends))
-    most = one_row(p.agg(F.max("_circle").alias("_most")).withColumn("_k", F.lit(1)))
-    near = p.withColumn("_k", F.lit(1)).join(most, "_k").where(F.col("_circle") >= F.col("_most") * (1 - 2 * SPHERE_ERROR))
+    near = p.where(F.col("_circle") >= p.agg(F.max("_circle")).scalar() * (1 - 2 * SPHERE_ERROR))
     return near.select(*ENDS, route_km(*ends, method="exact").alias("route_length"))
 
 

@@ -9,10 +9,11 @@ are whole documents; a bad document or node goes to quarantine with its path, th
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from contrail.functions.columns import nullify_sentinel
 from contrail.schemas import AIRPORTS, AIRPORTS_RAW, CORRUPT_COL, with_corrupt
+from contrail.session import fresh_path
 
 # Microsecond timestamps survive the JSON round trip (Spark's default keeps milliseconds).
 JSON_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
@@ -140,8 +141,10 @@ def zone_quarantine(nodes: DataFrame) -> DataFrame:
 def zones_in_order(nodes: DataFrame) -> DataFrame:
     """The good nodes with ``zone_order``: their place in the documents (by file, line and position, from 0), so that of
     two overlapping zones the later one in the tree wins, a subzone over its parent. Zones are a table written by
-    hand: one task numbers them."""
-    from pyspark.sql import Window
-    good = nodes.where(F.col("problem").isNull())
+    hand: one task numbers them. They are written once, so that documents are not parsed again for every use."""
     place = F.row_number().over(Window.orderBy("file", "line", "position")) - 1
-    return good.withColumn("zone_order", place.cast("int"))
+    zones = nodes.where(F.col("problem").isNull()).withColumn("zone_order", place.cast("int")).select(
+        "zone_name", "parent_zone", "depth", "zone_order", *CORNERS)
+    path = fresh_path(nodes.sparkSession, "zones")
+    zones.write.parquet(path)
+    return nodes.sparkSession.read.schema(zones.schema).parquet(path)
