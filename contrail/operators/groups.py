@@ -39,3 +39,19 @@ def approx_distinct_count_by(df: DataFrame, by: Sequence[str] | str, target: str
     """HyperLogLog++ distinct count: fixed-size sketch per group, no exact set per group."""
     by = [by] if isinstance(by, str) else list(by)
     return df.groupBy(*by).agg(F.approx_count_distinct(target, rsd).alias(alias))
+
+
+# Sketches are stored, so that distinct counts over any span of runs read no facts.
+LG_K = 14  # 2^14 buckets: a standard error below 1 %
+
+
+def distinct_sketch_by(df: DataFrame, by: Sequence[str] | str, target: str, alias: str = "sketch", lg_k: int = LG_K) -> DataFrame:
+    """One HyperLogLog sketch (binary, at most 2^lg_k bytes) of ``target`` per group; NULL targets do not count."""
+    by = [by] if isinstance(by, str) else list(by)
+    return df.where(F.col(target).isNotNull()).groupBy(*by).agg(F.hll_sketch_agg(target, F.lit(lg_k)).alias(alias))
+
+
+def merged_distinct_by(sketches: DataFrame, by: Sequence[str] | str, alias: str, sketch: str = "sketch") -> DataFrame:
+    """Estimated distinct counts per group from stored sketches: their union, whatever runs they are of."""
+    by = [by] if isinstance(by, str) else list(by)
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg(sketch)).alias(alias))

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 from contrail import schemas as SCH
 from contrail.operators.bridge import airline_bridge
 from contrail.operators.clean import normalise_sentinels, quarantine
+from contrail.operators.profile import profiled_write
 from contrail.operators.ranking import order_columns
 from contrail.plans import indicators as I
 from contrail.sources.layers import last_run_before, layer_path, read_run, write_run
@@ -46,6 +47,9 @@ class Inputs:
 BRONZE_SCHEMAS = {"flights": SCH.FLIGHTS, "airlines": SCH.AIRLINES, "airports": SCH.AIRPORTS,
                   "zones": SCH.ZONES, "aircraft_models": SCH.AIRCRAFT_MODELS, "airline_bridge": SCH.BRIDGE}
 
+# What a profile counts as out of range.
+GOOD_RANGES = {"flights": {"on_ground": (0, 1)}, "airports": {"latitude": (-90, 90), "longitude": (-180, 180), "altitude": (-2000, 30000)}}
+
 # The Silver / Gold dataset names analysts already look up (kept unchanged).
 SILVER: dict[str, Callable[[Inputs], DataFrame]] = {
     "most_airlines": lambda b: I.q1_airline_most_active(b.flights, b.airlines),
@@ -110,13 +114,14 @@ def ingest_landed(spark: SparkSession, landing: str, schema: T.StructType, bronz
 
 def run(spark: SparkSession, inputs: Inputs, base: str, run_ts: dt.datetime | str,
         gold_formats: Sequence[str] = ("csv",), datasets: Sequence[str] | None = None,
-        bronze_tables: Sequence[str] | None = None) -> DataFrame:
+        bronze_tables: Sequence[str] | None = None, profile: bool = False) -> DataFrame:
     """Execute one run and return its status table ``layer, dataset, rows, status``.
 
     ``bronze_tables`` limits the Bronze writes (e.g. a stream of polls writes only the
     bridge per poll); the other inputs are used as given. An input that is None or cannot be
     written falls back to its last good run (status ``fallback``); only the datasets of a
-    table that has none fail. Without aircraft models their dataset is ``skipped``.
+    table that has none fail. Without aircraft models their dataset is ``skipped``. ``profile`` keeps
+    a data profile of every Bronze table beside it (layer ``profile``), from the write itself.
     """
     if isinstance(run_ts, str):
         run_ts = dt.datetime.fromisoformat(run_ts)
@@ -131,7 +136,8 @@ def run(spark: SparkSession, inputs: Inputs, base: str, run_ts: dt.datetime | st
         failure = "missing"
         if df is not None:
             try:
-                n = _observed_write(conform(df, schema), name, path, run_ts)
+                n = (profiled_write(conform(df, schema), path, layer_path(base, "profile", name), run_ts, GOOD_RANGES.get(name))
+                     if profile else _observed_write(conform(df, schema), name, path, run_ts))
                 ready[name] = read_run(spark, path, run_ts, schema)
                 return ("bronze", name, n, "ok")
             except Exception as e:  # isolate: later steps see the failure in the status table
@@ -240,7 +246,8 @@ def _landed_zones(spark: SparkSession, path: str, names: Sequence[str] | None, b
 
 
 def run_from_landing(spark: SparkSession, landing: str, base: str, run_ts: dt.datetime | str,
-                     zone_names: Sequence[str] | None = None, gold_formats: Sequence[str] = ("csv",)) -> DataFrame:
+                     zone_names: Sequence[str] | None = None, gold_formats: Sequence[str] = ("csv",),
+                     profile: bool = False) -> DataFrame:
     """The scheduled job: ``<landing>/{flights,airlines,airports}`` JSON lines,
     ``<landing>/zones`` zone-tree documents and optional ``<landing>/aircraft_models``.
     Returns the run's status table (quarantine rows included)."""
@@ -256,7 +263,7 @@ def run_from_landing(spark: SparkSession, landing: str, base: str, run_ts: dt.da
     if models is None:
         pre = [p for p in pre if p[1] != "aircraft_models"]  # optional input
     zones = _landed_zones(spark, lp("zones"), zone_names, base, run_ts, pre)
-    out = run(spark, Inputs(flights, airlines, airports, zones, models), base, run_ts, gold_formats)
+    out = run(spark, Inputs(flights, airlines, airports, zones, models), base, run_ts, gold_formats, profile=profile)
     return spark.createDataFrame(pre, STATUS_SCHEMA).unionByName(out)
 
 
@@ -272,7 +279,7 @@ def main(argv: Sequence[str] | None = None) -> None:
               else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0))
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s %(message)s")
     spark = SparkSession.builder.appName("contrail-run").getOrCreate()
-    status = run_from_landing(spark, a.landing, a.base, run_ts, a.zones)
+    status = run_from_landing(spark, a.landing, a.base, run_ts, a.zones, profile=True)
     rows = status.collect()  # the status table is one row per dataset
     for r in rows:
         log.info("%s %s rows=%s %s", r.layer, r.dataset, r.rows, r.status)

@@ -13,13 +13,17 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from contrail import schemas as SCH
 from contrail.operators.clean import quarantine, quarantine_status
+from contrail.functions.columns import RUN_COLUMNS
+from contrail.operators.groups import LG_K, distinct_count_by, distinct_sketch_by, merged_distinct_by
+from contrail.operators.profile import profile_change, profiled_write
 from contrail.plans import indicators as I
 from contrail.plans.oracle import with_ctes
 from contrail.plans.job import STATUS_SCHEMA, SILVER, Inputs, ingest_landed, run, run_from_landing, zones_from_tree
 from contrail.plans.registry import ORACLE, register
 from contrail.session import fresh_path
+from contrail.sources.drift import RESCUED_COL, note_fields, read_rescued, schema_drift
 from contrail.sources.fixtures import FIXTURE_SQL, Tables, _placeholders
-from contrail.sources.layers import layer_path, lookup, published, read_layer, read_run, run_path, stamp_run, write_layer
+from contrail.sources.layers import layer_path, lookup, published, read_layer, read_run, run_id, run_path, stamp_run, write_layer
 from contrail.sources.snapshots import JSON_OPTIONS, flatten_zones, land_json, land_text, read_airports, read_snapshots, \
     read_zone_docs, zone_nodes, zone_quarantine
 from contrail.streaming.ingest import latest_per_key, latest_snapshot, snapshot_stream, stream_snapshots
@@ -164,15 +168,15 @@ _YEAR_RUN_SQL = """, CAST(year(snapshot_ts) AS INTEGER) AS tech_year,
        CAST(date_trunc('year', snapshot_ts) AS DATE) AS tech_day, 0 AS tech_hour"""
 
 
-def _year_runs(t: Tables) -> DataFrame:
+def _year_runs(flights: DataFrame) -> DataFrame:
     """Fixture flights grouped into runs: the poll year stands in for the run time."""
-    return stamp_run(t.flights, F.date_trunc("year", F.col("snapshot_ts")))
+    return stamp_run(flights, F.date_trunc("year", F.col("snapshot_ts")))
 
 
 @register("bronze_roundtrip", with_ctes("fx_flights") + f"SELECT {_FLIGHT_COLS}{_YEAR_RUN_SQL} FROM fx_flights")
 def _bronze_roundtrip(t: Tables) -> DataFrame:
     path = fresh_path(t.spark, "bronze/flights")
-    runs = _year_runs(t)
+    runs = _year_runs(t.flights)
     write_layer(runs, path)
     # Re-running one run must replace that run only (dynamic partition overwrite).
     write_layer(runs.where(F.col("tech_year") == 1995), path)
@@ -183,7 +187,7 @@ def _bronze_roundtrip(t: Tables) -> DataFrame:
 SELECT {_FLIGHT_COLS}{_YEAR_RUN_SQL} FROM fx_flights WHERE year(snapshot_ts) = 1995""")
 def _snapshot_lookup(t: Tables) -> DataFrame:
     path = fresh_path(t.spark, "bronze/flights")
-    write_layer(_year_runs(t), path)
+    write_layer(_year_runs(t.flights), path)
     return lookup(t.spark, path, SCH.FLIGHTS, "1995-01-01", 0)
 
 
@@ -304,8 +308,8 @@ def _scheduled_run(t: Tables) -> DataFrame:
 
 # What a landed run's Silver rows are compared by: an item (SQL of both engines) and its value.
 _LANDED_ITEMS = {
-    "most_airlines": ("concat(airline_icao, ':', name)", "number_of_flights"),
-    "top_regional": ("concat(continent, ':', airline_name)", "active_flights"),
+    "most_airlines": ("concat(airline_icao, ':', coalesce(name, ''))", "number_of_flights"),
+    "top_regional": ("concat(continent, ':', coalesce(airline_name, ''))", "active_flights"),
     "find_longest_flight": ("cast(id AS varchar(20))", "route_length"),
     "average_flight_distance_by_continent": ("origin_continent", "average_route_distance"),
     "manufacturer_leader": ("manufacturer", "active_flights"),
@@ -319,17 +323,28 @@ _LANDED_FIXTURES = {
 }
 
 
-def _landed_run_oracle() -> str:
+def _indicator_items(left: dict[str, str]) -> list[str]:
+    """Per dataset the SQL of ``dataset, item, value``, over what is ``left`` of the fixtures."""
     parts = [f"SELECT '{name}' AS dataset, {item} AS item, round(CAST({value} AS DOUBLE), 3) AS value "
              f"FROM ({ORACLE[_SILVER_ORACLE[name]]}) x" for name, (item, value) in _LANDED_ITEMS.items()]
-    sql = "\nUNION ALL\n".join(parts)
-    for name, left in _LANDED_FIXTURES.items():
+    for name, kept in left.items():
         text = FIXTURE_SQL[name].format(**{t: t for t in _placeholders(FIXTURE_SQL[name])})
-        sql = sql.replace(f"{name} AS ({text}\n)", f"{name}_all AS ({text}\n),\n{name} AS ({left})")
-    return sql
+        parts = [p.replace(f"{name} AS ({text}\n)", f"{name}_all AS ({text}\n),\n{name} AS ({kept})") for p in parts]
+    return parts
 
 
-@register("landed_run", _landed_run_oracle())
+def _gold_items(t: Tables, base: str, run_ts: dt.datetime) -> DataFrame:
+    """``dataset, item, value`` of a run's indicators as its Gold files have them."""
+    out = None
+    for name, (item, value) in _LANDED_ITEMS.items():
+        schema = t.spark.read.parquet(published(t.spark, run_path(layer_path(base, "silver", name), run_ts))).schema
+        rows = read_run(t.spark, layer_path(base, "gold_csv", name), run_ts, schema, fmt="csv").select(
+            F.lit(name).alias("dataset"), F.expr(item).alias("item"), F.round(F.col(value).cast("double"), 3).alias("value"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@register("landed_run", "\nUNION ALL\n".join(_indicator_items(_LANDED_FIXTURES)))
 def _landed_run(t: Tables) -> DataFrame:
     """The scheduled job from landed files to Gold: truncated lines, blank and NaN codes, airports
     as text, nested zone trees and broken ones; returns the indicators' rows as the Gold files have them."""
@@ -346,13 +361,7 @@ def _landed_run(t: Tables) -> DataFrame:
     land_json(t.models, f"{landing}/aircraft_models")
     _land_zones(t, f"{landing}/zones")
     run_from_landing(t.spark, landing, base, RUN_TS)
-    out = None
-    for name, (item, value) in _LANDED_ITEMS.items():
-        schema = t.spark.read.parquet(published(t.spark, run_path(layer_path(base, "silver", name), RUN_TS))).schema
-        rows = read_run(t.spark, layer_path(base, "gold_csv", name), RUN_TS, schema, fmt="csv").select(
-            F.lit(name).alias("dataset"), F.expr(item).alias("item"), F.round(F.col(value).cast("double"), 3).alias("value"))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    return _gold_items(t, base, RUN_TS)
 
 
 @register("broken_source_run", f"""
@@ -398,30 +407,127 @@ __all__ = ["STATUS_SCHEMA", "SILVER", "RUN_TS"]
 
 # ------------------------------------------------------------------ the polling loop as a stream
 
-@register("stream_runs", with_ctes("fx_flights", "fx_airlines") + """,
-polls AS (SELECT *, CAST(year(snapshot_ts) AS INTEGER) AS y FROM fx_flights),
-g AS (SELECT DISTINCT y, callsign FROM polls WHERE on_ground = 1),
-c AS (SELECT y, airline_icao, count(DISTINCT callsign) AS n FROM polls p
-      WHERE on_ground = 0 AND airline_icao <> 'N/A'
-        AND NOT EXISTS (SELECT 1 FROM g WHERE g.y = p.y AND g.callsign IS NOT DISTINCT FROM p.callsign)
-      GROUP BY y, airline_icao),
-t AS (SELECT *, row_number() OVER (PARTITION BY y ORDER BY n DESC, airline_icao ASC) AS rn FROM c)
-SELECT t.y AS tech_year, t.airline_icao, a.airline_name AS name, CAST(t.n AS BIGINT) AS number_of_flights
-FROM t LEFT JOIN (SELECT airline_icao, min(airline_name) AS airline_name FROM fx_airlines
-                  WHERE airline_icao IS NOT NULL GROUP BY airline_icao) a ON t.airline_icao = a.airline_icao
-WHERE t.rn = 1""")
+POLLS = 3  # the fixture's flights land as this many polls, ten seconds apart
+_POLL = f"CAST(year(snapshot_ts) % {POLLS} AS INTEGER)"
+
+
+def _stream_runs_oracle() -> str:
+    parts = []
+    for poll in range(POLLS):
+        kept = {"fx_flights": f"SELECT * FROM fx_flights_all WHERE {_POLL} = {poll}"}
+        parts += [f"SELECT {poll} AS poll, x.* FROM ({sql}) x" for sql in _indicator_items(kept)]
+        parts.append(f"SELECT {poll} AS poll, 'runs' AS dataset, 'most_airlines' AS item, 1.0 AS value")
+    parts += [f"SELECT 0 AS poll, 'failed first' AS dataset, '{name}' AS item, 1.0 AS value"
+              for name in ("top_regional", "average_flight_distance_by_continent")]
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("stream_runs", _stream_runs_oracle())
 def _stream_runs(t: Tables) -> DataFrame:
+    """Polls ten seconds apart, all seven datasets and their Gold files per poll. The first poll lands alone and meets
+    broken zones: two datasets fail and the next drain runs them again. The second lands in three files, read one file
+    a micro-batch, and runs once. Returns the Gold rows, how often a poll ran, and what failed at first."""
     from contrail.streaming.runs import stream_runs
     spark = t.spark
-    # Fixture polls: the flights of one year form one poll; the collector lands each poll
-    # whole in one file (hash partitioning on the poll time keeps a poll in one file).
-    polls = t.flights.withColumn("snapshot_ts", F.date_trunc("year", "snapshot_ts").cast("timestamp_ntz"))
-    land = fresh_path(spark, "landing/polls")
-    polls.repartition("snapshot_ts").write.options(**JSON_OPTIONS).json(land)
-    base, ck = fresh_path(spark, "stream_runs"), fresh_path(spark, "checkpoint/stream_runs")
-    dims = Inputs(None, t.airlines, t.airports, t.zones, t.models)
-    stream_runs(spark, land, dims, base, ck, datasets=["most_airlines"], gold_formats=())
-    schema = T.StructType([T.StructField("airline_icao", T.StringType()), T.StructField("name", T.StringType()),
-                           T.StructField("number_of_flights", T.LongType())])
-    return read_layer(spark, f"{base}/silver/most_airlines", schema).select(
-        "tech_year", "airline_icao", "name", "number_of_flights")
+    land, base, ck = (fresh_path(spark, n) for n in ("landing/polls", "stream_runs", "checkpoint/stream_runs"))
+    polls = t.flights.withColumns({"_p": F.expr(_POLL), "snapshot_ts": F.expr(f"timestampadd(SECOND, 10 * {_POLL}, timestamp_ntz'{RUN_TS}')")})
+
+    def land_poll(p: int, files: int) -> None:
+        polls.where(F.col("_p") == p).drop("_p").repartition(files).write.mode("append").options(**JSON_OPTIONS).json(land)
+
+    broken = t.zones.withColumn("tl_y", F.raise_error(F.lit("broken feed")).cast("double"))
+    land_poll(0, 1)
+    first = stream_runs(spark, land, Inputs(None, t.airlines, t.airports, broken, t.models), base, ck)
+    for p in range(1, POLLS):
+        land_poll(p, 3 if p == 1 else 1)
+    rest = stream_runs(spark, land, Inputs(None, t.airlines, t.airports, t.zones, t.models), base, ck, max_files_per_trigger=1)
+
+    times = {p: RUN_TS + dt.timedelta(seconds=10 * p) for p in range(POLLS)}
+    number = F.create_map(*[F.lit(x) for p, ts in times.items() for x in (run_id(ts), p)])[F.col("poll")].alias("poll")
+    one = lambda rows, dataset, item: rows.groupBy(number, F.lit(dataset).alias("dataset"), item.alias("item")).agg(
+        F.count(F.lit(1)).cast("double").alias("value"))
+    out = one(first.where("status LIKE 'failed%'"), "failed first", F.col("dataset"))
+    ran = first.unionByName(rest).where("layer = 'silver' AND dataset = 'most_airlines' AND status = 'ok'")
+    out = out.unionByName(one(ran, "runs", F.col("dataset")))
+    for p, ts in times.items():
+        out = out.unionByName(_gold_items(t, base, ts).withColumn("poll", F.lit(p)))
+    return out
+
+
+# ------------------------------------------------------------------ what runs are compared by
+
+@register("callsigns_over_runs", """
+SELECT y.y AS from_year, c.airline_icao, true AS within_error FROM (VALUES (1993), (1996)) AS y(y), LATERAL (
+  SELECT DISTINCT airline_icao FROM (""" + with_ctes("fx_flights") + """
+    SELECT airline_icao, year(snapshot_ts) AS fy FROM fx_flights WHERE airline_icao IS NOT NULL AND callsign IS NOT NULL) f
+  WHERE f.fy BETWEEN y.y AND y.y + 2) c""")
+def _callsigns_over_runs(t: Tables) -> DataFrame:
+    """Distinct callsigns per airline over spans of three years from the sketches stored per run: whether each
+    estimate lies within three standard errors of the exact count. The estimates read no flights."""
+    path = fresh_path(t.spark, "sketches/callsigns")
+    runs = _year_runs(t.flights.where(F.col("airline_icao").isNotNull()))
+    by = [*RUN_COLUMNS, "airline_icao"]
+    write_layer(distinct_sketch_by(runs, by, "callsign"), path)
+    schema = T.StructType([T.StructField("airline_icao", T.StringType()), T.StructField("sketch", T.BinaryType())])
+    out = None
+    for first in (1993, 1996):
+        span = F.col("tech_year").between(first, first + 2)
+        near = merged_distinct_by(read_layer(t.spark, path, schema).where(span), "airline_icao", "estimate")
+        exact = distinct_count_by(runs.where(span & F.col("callsign").isNotNull()), "airline_icao", "callsign", "exact")
+        error = 3 * 1.04 / 2 ** (LG_K / 2)
+        ok = F.abs(F.col("estimate") - F.col("exact")) <= F.greatest(F.lit(1.0), error * F.col("exact"))
+        rows = exact.join(near, "airline_icao").select(F.lit(first).alias("from_year"), "airline_icao", ok.alias("within_error"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@register("schema_drift", """
+SELECT 'props' AS field, 'vanished' AS change, 'string' AS before, CAST(NULL AS VARCHAR) AS after, count(props) AS records FROM events
+UNION ALL SELECT 'session', 'new', NULL, 'object', count(user_id) FROM events
+UNION ALL SELECT 'value', 'retyped', 'number', 'mixed', count(value) FROM events""")
+def _schema_drift(t: Tables) -> DataFrame:
+    """Two landed runs: in the second the props are gone, values of purchases are text and a session is new."""
+    path, lands = fresh_path(t.spark, "fields/events"), [fresh_path(t.spark, "landing/events") for _ in range(2)]
+    land_json(t.events, lands[0])
+    text = F.to_json(F.struct(*[c for c in t.events.columns if c not in ("props", "value")], "value",
+                              F.when(F.col("user_id").isNotNull(), F.struct("user_id")).alias("session")), JSON_OPTIONS)
+    retyped = F.regexp_replace(text, r'"value":([-+.0-9Ee]+)', '"value":"$1"')
+    land_text(t.events.select(F.when(F.col("event_type") == "purchase", retyped).otherwise(text).alias("value")), lands[1])
+    for hour, land in enumerate(lands):
+        note_fields(t.spark, land, path, RUN_TS + dt.timedelta(hours=hour))
+    return schema_drift(t.spark, path, RUN_TS + dt.timedelta(hours=1))
+
+
+@register("rescued_fields", """
+SELECT event_id, event_type, CASE WHEN event_id % 2 = 0 THEN user_id END AS session_user,
+       CASE WHEN event_id % 3 = 0 THEN 'tag ' || event_type END AS tag, event_id % 2 = 0 OR event_id % 3 = 0 AS rescued
+FROM events""")
+def _rescued_fields(t: Tables) -> DataFrame:
+    """Fields the schema does not name are read back from the rescue column with their types."""
+    land = fresh_path(t.spark, "landing/events")
+    land_json(t.events.withColumns({"session": F.when(F.col("event_id") % 2 == 0, F.struct("user_id")),
+                                    "tag": F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("tag "), "event_type"))}), land)
+    read = read_rescued(t.spark, land, SCH.EVENTS)
+    return read.select("event_id", "event_type", F.variant_get(RESCUED_COL, "$.session.user_id", "bigint").alias("session_user"),
+                       F.variant_get(RESCUED_COL, "$.tag", "string").alias("tag"), F.col(RESCUED_COL).isNotNull().alias("rescued"))
+
+
+def _run_profile_oracle() -> str:
+    one = lambda col, metric, cond: (
+        f"SELECT '{col}' AS \"column\", '{metric}' AS metric, CAST(count(*) FILTER (WHERE year(snapshot_ts) % 2 = 0 AND ({cond})) AS DOUBLE) AS before, "
+        f"CAST(count(*) FILTER (WHERE year(snapshot_ts) % 2 = 1 AND ({cond})) AS DOUBLE) AS now FROM fx_flights")
+    texts = [f.name for f in SCH.FLIGHTS.fields if f.dataType == T.StringType()]
+    parts = [one("*", "rows", "true"), one("on_ground", "out_of_range", "on_ground > 0")]
+    parts += [one(c, "nulls", f"{c} IS NULL") for c in SCH.FLIGHTS.fieldNames()]
+    parts += [one(c, "sentinels", f"{c} IN ('N/A', 'NaN', 'None', '')") for c in texts]
+    return with_ctes("fx_flights") + "\nUNION ALL\n".join(parts)
+
+
+@register("run_profile", _run_profile_oracle())
+def _run_profile(t: Tables) -> DataFrame:
+    """The profiles of two runs beside each other, from their writes (the counts; quantiles are estimates, see the tests)."""
+    base = fresh_path(t.spark, "profiled")
+    for odd in range(2):
+        part = t.flights.where(F.year("snapshot_ts") % 2 == odd).select(*SCH.FLIGHTS.fieldNames())
+        profiled_write(part, f"{base}/bronze", f"{base}/profile", RUN_TS + dt.timedelta(hours=odd), {"on_ground": (None, 0)})
+    return profile_change(t.spark, f"{base}/profile", RUN_TS + dt.timedelta(hours=1)).where(~F.col("metric").rlike("^p[0-9]"))

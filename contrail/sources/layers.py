@@ -63,6 +63,11 @@ def run_id(run_ts: dt.datetime | str) -> str:
     return ts.strftime("%Y%m%dT%H%M%S") + (f"_{ts.microsecond:06d}" if ts.microsecond else "")
 
 
+def run_time(name: str) -> dt.datetime:
+    """The time that :func:`run_id` named."""
+    return dt.datetime.strptime(name, "%Y%m%dT%H%M%S_%f" if "_" in name else "%Y%m%dT%H%M%S")
+
+
 def _hour_steps(ts: dt.datetime) -> list[tuple[str, int | str]]:
     return [("tech_year", ts.year), ("tech_month", f"{ts:%Y-%m}"), ("tech_day", f"{ts:%Y-%m-%d}"), ("tech_hour", ts.hour)]
 
@@ -87,11 +92,22 @@ def names_in(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _store(spark, path)
+    return fs.exists(p)
+
+
+def delete(spark: SparkSession, path: str) -> None:
     fs, p = _store(spark, path)
     fs.delete(p, True)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file; one that is there already stays."""
+    fs, p = _store(spark, path)
+    fs.create(p, True).close()
+
+
 def publish(spark: SparkSession, home: str, version: str) -> None:
     """Make ``version`` the rows of ``home``: one empty file, created at once. Then what it replaces goes."""
     earlier = [m for m in names_in(spark, f"{home}/{MARKERS}") if not m.startswith(".")]
@@ -99,8 +115,8 @@ def publish(spark: SparkSession, home: str, version: str) -> None:
     fs, p = _store(spark, f"{home}/{MARKERS}/{number:08d}.{version}")
     fs.create(p, False).close()
     for marker in earlier:
-        _delete(spark, f"{home}/{VERSION}={marker.split('.')[1]}")
-        _delete(spark, f"{home}/{MARKERS}/{marker}")
+        delete(spark, f"{home}/{VERSION}={marker.split('.')[1]}")
+        delete(spark, f"{home}/{MARKERS}/{marker}")
 
 
 def published(spark: SparkSession, home: str) -> str | None:

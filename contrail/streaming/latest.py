@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from contrail.sources.layers import VERSION, _delete, names_in, publish, published
+from contrail.sources.layers import VERSION, delete, names_in, publish, published
 from contrail.streaming.ingest import latest_per_key, run_to_sink_batches
 
 
@@ -45,7 +45,7 @@ def compact(spark: SparkSession, table: str, schema: T.StructType, keys: Sequenc
     deltas = _deltas(spark, table)
     _put(read_latest(spark, table, schema, keys, ts_col, tiebreak), f"{table}/base")
     for home in deltas:
-        _delete(spark, home)
+        delete(spark, home)
 
 
 def stream_latest(rows: DataFrame, table: str, checkpoint: str, keys: Sequence[str] | str, ts_col: str,
