@@ -17,6 +17,8 @@ texts with map-side aggregation.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,21 +38,38 @@ TERM = r"\p{L}[\p{L}\p{M}'’-]{2,}"
 SPAN = "array<struct<first:int,after:int,value:string>>"
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def blocks(items: Column) -> Column:
+    """A not empty array in slices of about the root of its size: folds that append copy an array per item, so they run
+    within slices, and over the slices (n sqrt n steps, not n^2)."""
+    width = F.ceil(F.sqrt(F.size(items))).cast("int")
+    return F.transform(F.sequence(F.lit(0), F.size(items) - 1, width), lambda i: F.slice(items, i + 1, width))
+
+
 def found(text: Column, pattern: str | Column) -> Column:
     """All matches with code-point positions: array<struct<first,after,value>>."""
     p = F.lit(pattern) if isinstance(pattern, str) else pattern
     pieces = F.split(text, p, -1) if isinstance(pattern, str) else F.call_function("split", text, p, F.lit(-1))
     values = F.regexp_extract_all(text, p, F.lit(0))
     pairs = F.zip_with(F.slice(pieces, 1, F.size(values)), values, lambda a, v: F.struct(F.length(a).alias("gap"), v.alias("value")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
 
-    def step(acc, x):
+    def one(acc, x):
         first = acc["at"] + x["gap"]
         after = first + F.length(x["value"])
         return F.struct(after.alias("at"), F.concat(acc["out"], F.array(F.struct(
             first.alias("first"), after.alias("after"), x["value"].alias("value")))).alias("out"))
 
-    return F.when(F.regexp_like(text, p), F.aggregate(pairs, start, step, lambda acc: acc["out"])).otherwise(F.array().cast(SPAN))
+    def step(acc, block):
+        return bind(F.aggregate(block, F.struct(acc["at"].alias("at"), F.array().cast(SPAN).alias("out")), one), lambda b: F.struct(
+            b["at"].alias("at"), F.concat(acc["out"], F.array(b["out"])).alias("out")))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+    located = bind(pairs, lambda v: F.aggregate(blocks(v), start, step, lambda acc: F.flatten(acc["out"])))
+    return F.when(F.regexp_like(text, p), located).otherwise(F.array().cast(SPAN))
 
 
 def digits(value: Column) -> Column:
@@ -171,28 +190,34 @@ def written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda m: F.concat_ws(":", m["kind"], m["first"], m["after"])), ",")
 
 
+def replaced(text: Column, ordered: Column) -> Column:
+    """``text`` with the union of overlapping spans (first, tail = -after, label; in order) as the first one's label."""
+    def one(acc, m):
+        return F.struct(F.greatest(acc["at"], -m["tail"]).alias("at"), F.concat(acc["out"], F.array(F.struct(
+            acc["at"].alias("before"), m["first"].alias("first"), m["label"].alias("label")))).alias("out"))
+
+    def step(acc, block):
+        def written_out(b):
+            part = F.substring(text, acc["at"] + 1, b["at"] - acc["at"])
+            pieces = lambda t: F.transform(b["out"], lambda m: F.when(m["first"] >= m["before"], F.concat(
+                F.substring(t, m["before"] - acc["at"] + 1, m["first"] - m["before"]), m["label"])).otherwise(F.lit("")))
+            return F.struct(b["at"].alias("at"), F.concat(acc["out"], F.array(bind(part, lambda t: F.array_join(pieces(t), "")))).alias("out"))
+
+        start = F.struct(acc["at"].alias("at"), F.array().cast("array<struct<before:int,first:int,label:string>>").alias("out"))
+        return bind(F.aggregate(block, start, one), written_out)
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    return F.aggregate(blocks(ordered), start, step, lambda acc: F.concat(
+        F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
+
+
 def sanitised(docs: DataFrame, text_col: str = "text", **settings) -> DataFrame:
     """``docs`` with every span replaced by its label (removed terms: nothing); where spans of
     different kinds overlap, their union is replaced by the label of the one that starts first
     (then the longer). Texts without spans, NULL included, come back unchanged."""
     found_in, n = personal_data(docs, text_col, **settings)
     text = F.col(f"`{text_col}`")
-    cut_spans = "array<struct<first:int,after:int,label:string>>"
-    ordered = F.array_sort(F.transform(F.col(n["spans"]), lambda m: F.struct(m["first"].alias("first"), (-m["after"]).alias("tail"), m["label"].alias("label"))))
-
-    def step(acc, m):
-        one = lambda first, after, label: F.array(F.struct(first.alias("first"), after.alias("after"), label.alias("label")))
-        last, after = F.element_at(acc["out"], -1), F.greatest(acc["at"], -m["tail"])
-        grown = F.concat(F.slice(acc["out"], F.lit(1), F.size(acc["out"]) - 1), one(last["first"], after, last["label"]))
-        return F.when(m["first"] >= acc["at"], F.struct((-m["tail"]).alias("at"), F.concat(acc["out"], one(m["first"], -m["tail"], m["label"])).alias("out"))
-                      ).when(after > acc["at"], F.struct(after.alias("at"), grown.alias("out"))).otherwise(acc)
-
-    kept = F.aggregate(ordered, F.struct(F.lit(0).alias("at"), F.array().cast(cut_spans).alias("out")), step, lambda acc: acc["out"])
-    col = free_name(found_in.columns, "kept")
-    k = F.col(col)
-    end_before = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(k, i - 1)["after"])
-    pieces = F.transform(F.sequence(F.lit(0), F.size(k)), lambda i: F.concat(
-        F.substring(text, end_before(i) + 1, F.coalesce(F.get(k, i)["first"], F.length(text)) - end_before(i)),
-        F.coalesce(F.get(k, i)["label"], F.lit(""))))
-    clean = F.when(F.size(k) > 0, F.array_join(pieces, "")).otherwise(text)
-    return found_in.withColumn(col, kept).withColumn(text_col, clean).select(*[F.col(f"`{c}`") for c in docs.columns])
+    ordered = F.array_sort(F.transform(F.col(n["spans"]), lambda m: F.struct(
+        m["first"].alias("first"), (-m["after"]).alias("tail"), m["label"].alias("label"))))
+    clean = F.when(F.size(F.col(n["spans"])) > 0, bind(ordered, lambda spans: replaced(text, spans))).otherwise(text)
+    return found_in.withColumn(text_col, clean).select(*[F.col(f"`{c}`") for c in docs.columns])
