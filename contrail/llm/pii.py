@@ -5,8 +5,10 @@ which terms give a protected value away: with N different texts, a value e in df
 a term t in df(t), both anywhere in df(e, t), the term carries
 PMI(e; t) = log2(df(e, t) N / (df(e) df(t))) of the IC(e) = log2(N / df(e)) bits that identify
 e. A term whose share PMI / IC reaches ``remove_at`` is removed, from ``generalise_at`` on it
-is generalised, wherever it stands. Values and terms must meet in ``min_joint`` different
-texts, so a term met once is no evidence.
+is generalised, wherever it stands. Values and terms must meet in texts that count for
+``min_joint`` independent ones, so a term met once is no evidence, nor are the rare words of a
+group of near copies that share a value: texts with the same signature count as one kind, and
+n texts with n_s of signature s count for n^2 / sum n_s^2.
 
 Work: copies of a text count once (by hash). Only texts with a value that ``min_joint`` texts
 share are paired, and only with terms that can still qualify: a share of ``generalise_at``
@@ -35,6 +37,7 @@ PATTERNS = {
 }
 IP_PARTS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9]))(?:\.0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])){3}$"
 TERM = r"\p{L}[\p{L}\p{M}'’-]{2,}"
+BASE = "array<struct<kind:string,first:int,after:int,value:string>>"
 SPAN = "array<struct<first:int,after:int,value:string>>"
 
 
@@ -113,13 +116,36 @@ def terms_of(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
 
 
-def disclosing_terms(texts: DataFrame, min_joint: int, generalise_at: float) -> tuple[DataFrame, DataFrame]:
+def signature(words: Column) -> Column:
+    """The least hash of a text's runs of five words (fewer: of all of them): near copies mostly share it."""
+    runs = F.sequence(F.lit(1), F.greatest(F.size(words) - 4, F.lit(1)))
+    return F.array_min(F.transform(runs, lambda i: F.xxhash64(F.slice(words, i, 5))))
+
+
+def valued_texts(texts: DataFrame) -> DataFrame:
+    """``texts`` (h, text, base) that hold a value, each once: h, base, their terms and their signature. Written, so
+    that patterns run over the corpus once."""
+    words = texts.where(F.size("base") > 0).select("h", "base", terms_of(F.col("text")).alias("words"))
+    return cut(words.select("h", "base", F.array_distinct("words").alias("terms"), signature(F.col("words")).alias("signature"))
+               .dropDuplicates(["h"]), "pii-valued")
+
+
+SALTS = 16
+
+
+def by_term(rows: DataFrame, terms: DataFrame) -> DataFrame:
+    """``rows`` (h, term, ...) joined with one row per term, a hot term's rows in several parts."""
+    parts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("part")
+    salted = rows.withColumn("part", F.pmod(F.xxhash64("h"), F.lit(SALTS)).cast("int"))
+    return salted.join(terms.select("*", parts), ["term", "part"]).drop("part")
+
+
+def disclosing_terms(texts: DataFrame, min_joint: int, generalise_at: float, valued: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """``texts`` (h, text, base) -> (term, share) of the disclosing terms, and (h, term) of the
-    texts that hold a candidate term."""
+    texts that hold a candidate term. ``valued``: what :func:`valued_texts` wrote of them."""
     entity = F.transform(F.col("base"), lambda m: F.concat_ws(":", m["kind"], F.lower(m["value"])))
-    valued = cut(texts.where(F.size("base") > 0).select("h", F.array_distinct(entity).alias("entities"), F.array_distinct(terms_of(F.col("text"))).alias("terms"))
-                 .dropDuplicates(["h"]), "pii-valued")
-    holds = valued.select("h", F.explode("entities").alias("entity"))
+    valued = (valued_texts(texts) if valued is None else valued).withColumn("entities", F.array_distinct(entity))
+    holds = valued.select("h", "signature", F.explode("entities").alias("entity"))
     entities = holds.groupBy("entity").agg(F.count("*").alias("df_e")).where(F.col("df_e") >= min_joint)
     n = max(texts.select("h").distinct().count(), 2)
     # A share of ``generalise_at`` needs df_t <= df_et * spread. The texts with a value are a lower bound
@@ -128,9 +154,13 @@ def disclosing_terms(texts: DataFrame, min_joint: int, generalise_at: float) ->
     shared = cut(holds.join(entities, "entity").withColumn("spread", spread), "pii-shared")
     said = valued.join(shared.select("h").distinct(), "h", "left_semi").select("h", F.explode("terms").alias("term"))
     around = valued.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df_near")).where(F.col("df_near") >= min_joint)
-    pairs = shared.join(said.join(around, "term"), "h").where(F.col("df_near") <= F.col("df_e") * F.col("spread"))
-    met = pairs.groupBy("entity", "term").agg(F.count("*").alias("df_et"), *[F.first(c).alias(c) for c in ("df_e", "spread", "df_near")])
-    joint = cut(met.where((F.col("df_et") >= min_joint) & (F.col("df_near") <= F.col("df_et") * F.col("spread"))), "pii-joint")
+    pairs = shared.join(by_term(said, around), "h").where(F.col("df_near") <= F.col("df_e") * F.col("spread"))
+    # Near copies share their signature: texts count for n^2 / sum n_s^2 independent ones (s: signatures).
+    same = pairs.groupBy("entity", "term", "signature").agg(F.count("*").alias("n_s"), *[F.first(c).alias(c) for c in ("df_e", "spread", "df_near")])
+    met = same.groupBy("entity", "term").agg(F.sum("n_s").alias("df_et"), F.sum(F.col("n_s") * F.col("n_s").cast("double")).alias("squares"),
+                                             *[F.first(c).alias(c) for c in ("df_e", "spread", "df_near")])
+    independent = F.col("df_et") * F.col("df_et").cast("double") >= min_joint * F.col("squares")
+    joint = cut(met.where(independent & (F.col("df_near") <= F.col("df_et") * F.col("spread"))).drop("squares"), "pii-joint")
 
     def held(part: DataFrame, joint: DataFrame) -> DataFrame:
         """(h, term) of the texts in ``part`` that hold a term of ``joint``. The terms are stored first,
@@ -139,7 +169,7 @@ def disclosing_terms(texts: DataFrame, min_joint: int, generalise_at: float) ->
         return cut(part.select("h", F.explode(F.array_distinct(terms_of(F.col("text")))).alias("term")).join(terms, "term").distinct(), "pii-terms")
 
     # The same bound from one text in 8 (by hash) leaves out most common terms before all texts are read for them.
-    some = held(texts.where(F.pmod("h", F.lit(8)) == 0), joint).groupBy("term").agg(F.count("*").alias("df_some"))
+    some = held(texts.where(F.pmod(F.xxhash64("h"), F.lit(8)) == 0), joint).groupBy("term").agg(F.count("*").alias("df_some"))
     joint = cut(joint.join(some, "term", "left").where(F.coalesce("df_some", F.lit(0)) <= F.col("df_et") * F.col("spread"))
                 .select("entity", "term", "df_e", "df_et"), "pii-joint")
     holding = held(texts, joint)
@@ -164,17 +194,25 @@ def personal_data(docs: DataFrame, text_col: str = "text", min_joint: int = 3, g
     for k in ("base", "spans", "h", "terms"):
         names[k] = free_name([*docs.columns, *names.values()], k)
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    texts = docs.select(F.xxhash64(text).alias("h"), text.alias("text")).withColumn("base", base_spans(F.col("text")))
-    share, holding = disclosing_terms(texts, min_joint, generalise_at)
-    per_text = (holding.join(share, "term").groupBy("h")
-                .agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias(names["terms"])).withColumnRenamed("h", names["h"]))
-    marked = docs.withColumn(names["h"], F.xxhash64(text)).join(per_text, names["h"], "left")
+    key = F.unhex(F.md5(text))  # 128 bits: a text gets the spans of its own
+    texts = docs.select(key.alias("h"), text.alias("text"))
+    valued = valued_texts(texts.withColumn("base", base_spans(F.col("text"))))
+    share, holding = disclosing_terms(texts, min_joint, generalise_at, valued)
+    per_text = (by_term(holding, cut(share, "pii-share")).groupBy("h")
+                .agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias(names["terms"])))
+    per_text = cut(valued.select("h", F.col("base").alias(names["base"])).join(per_text, "h", "full").withColumnRenamed("h", names["h"]), "pii-texts")
+    marked = docs.withColumn(names["h"], key).join(per_text, names["h"], "left").withColumn(
+        names["base"], F.coalesce(F.col(names["base"]), F.array().cast(BASE)))
     terms = F.col(names["terms"])
     words = F.array_join(F.sort_array(F.map_keys(terms), False), "|")
     pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{M}'’-])(?:"), words, F.lit(r")(?![\p{L}\p{M}'’-])"))
     disclosed = F.when(F.size(terms) > 0, found(text, pattern)).otherwise(F.array().cast(SPAN))
     base = F.col(names["base"])
-    outside = F.filter(disclosed, lambda t: ~F.exists(base, lambda b: (t["first"] < b["after"]) & (b["first"] < t["after"])))
+    meets = lambda t, b: (t["first"] < b["after"]) & (b["first"] < t["after"])
+    ranges = F.when(F.size(base) > 0, F.transform(blocks(base), lambda part: F.struct(
+        F.array_min(F.transform(part, lambda b: b["first"])).alias("first"), F.array_max(F.transform(part, lambda b: b["after"])).alias("after"),
+        part.alias("part")))).otherwise(F.array())
+    outside = bind(ranges, lambda r: F.filter(disclosed, lambda t: ~F.exists(r, lambda p: meets(t, p) & F.exists(p["part"], lambda b: meets(t, b)))))
     labels = F.create_map(*[F.lit(x) for k in KINDS for x in (k, f"[{k.upper()}]")])
     labelled = F.concat(
         F.transform(base, lambda m: F.struct(m["kind"].alias("kind"), m["first"].alias("first"), m["after"].alias("after"),
@@ -182,7 +220,7 @@ def personal_data(docs: DataFrame, text_col: str = "text", min_joint: int = 3, g
         F.transform(outside, lambda m: F.struct(
             F.lit("term").alias("kind"), m["first"].alias("first"), m["after"].alias("after"), m["value"].alias("value"),
             F.when(F.try_element_at(terms, F.lower(m["value"])) >= remove_at, F.lit("")).otherwise(F.lit("[TERM]")).alias("label"))))
-    return marked.withColumn(names["base"], base_spans(text)).withColumn(names["spans"], labelled).drop(names["h"], names["terms"]), names
+    return marked.withColumn(names["spans"], labelled).drop(names["h"], names["terms"]), names
 
 
 def written(spans: Column) -> Column:

@@ -52,3 +52,18 @@ def test_many_spans_in_one_text_take_no_quadratic_time(spark, docs):
     (w,) = marked.select(pii.written(F.col(n["base"]))).first()
     assert w.split(",") == brute_base(text)
     assert took < 40  # 85 s for the positions alone while every match copied the array
+
+
+def test_near_copies_are_no_independent_evidence(spark, docs):
+    rnd = random.Random(3)
+    words = [f"{a}{b}{c}o" for a in "bdgk" for b in "aeiu" for c in "lmnr"]
+    filler = lambda k: [rnd.choice(words) for _ in range(k)]
+    rows = [(i, " ".join(filler(40)), "s") for i in range(300)]
+    copied = filler(80) + ["rareword", "a.b@mail.example.com"] + filler(80)
+    for i in range(40):  # near copies: one word of 162 changed in each
+        at = rnd.randrange(80)
+        rows.append((1000 + i, " ".join(copied[:at] + [f"edit{chr(97 + i % 26)}x"] + copied[at + 1:]), "s"))
+    rows += [(2000 + i, " ".join([*filler(40), "zorblax", "z.b@mail.example.com"]), "s") for i in range(6)]
+    out = {r.doc_id: r.text for r in pii.sanitised(docs(rows)).collect()}
+    assert all("rareword [EMAIL]" in out[1000 + i] for i in range(40))
+    assert all(out[i].endswith("o  [EMAIL]") for i in range(2000, 2006))
