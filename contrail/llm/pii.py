@@ -200,7 +200,7 @@ def personal_data(docs: DataFrame, text_col: str = "text", min_joint: int = 3, g
     share, holding = disclosing_terms(texts, min_joint, generalise_at, valued)
     per_text = (by_term(holding, cut(share, "pii-share")).groupBy("h")
                 .agg(F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias(names["terms"])))
-    per_text = cut(valued.select("h", F.col("base").alias(names["base"])).join(per_text, "h", "full").withColumnRenamed("h", names["h"]), "pii-texts")
+    per_text = valued.select("h", F.col("base").alias(names["base"])).join(per_text, "h", "full").withColumnRenamed("h", names["h"])
     marked = docs.withColumn(names["h"], key).join(per_text, names["h"], "left").withColumn(
         names["base"], F.coalesce(F.col(names["base"]), F.array().cast(BASE)))
     terms = F.col(names["terms"])
