@@ -1,20 +1,24 @@
 """Benchmark decontamination with a generalised suffix automaton over words.
 
-The automaton of all test items is built once (items are bounded in blocks of
-``block_bytes``; a larger benchmark is matched block after block in the same stage), and the
-words of each training text stream through it: the longest match ending at each word tells
-whether a window of an item ends there. Training texts are never shuffled.
+The automaton of the test items is built in the workers, once per worker, from a block of at
+most about ``block_bytes`` of items; the driver holds one block of texts at a time and no
+automaton. The words of each training text stream through it: the longest match ending at each
+word tells whether a window of an item ends there. A larger benchmark is matched block after
+block, each in a stage of its own over the written result of the last one, so memory does not
+grow with the benchmark. Training texts are never shuffled.
 """
 
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import free_name
+from contrail.llm.common import cut, free_name
 
 #: A-Z to a-z, other ASCII but 0-9 and a-z to space; all bytes of non-ASCII characters stay.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -26,99 +30,132 @@ def folded(text: str | None) -> bytes:
 
 
 class Automaton:
-    """Generalised suffix automaton; matches never run across two items."""
+    """Generalised suffix automaton; matches never run across two items.
+
+    States are numbers in flat arrays: nearly all have one transition (``word``, ``target``); only
+    those with more keep a dictionary (``more``). A match is never held longer than ``window``
+    words, so a state's suffix of that length is at most one link away.
+    """
 
     def __init__(self, items: list[tuple[str, list[bytes]]], window: int):
-        self.window, self.next, self.link, self.length = window, [{}], [-1], [0]
-        for _, words in items:
+        self.window, self.number, self.more = window, {}, {}
+        self.word, self.target, self.link, self.length = (array("i", [x]) for x in (-1, 0, -1, 0))
+        self.names = [name for name, _ in items]
+        numbered = [array("i", [self.number.setdefault(w, len(self.number)) for w in words]) for _, words in items]
+        for words in numbered:
             last = 0
             for w in words:
                 last = self._extend(last, w)
-        n = len(self.next)
-        self.items: list[set | None] = [None] * n   # items with the state's suffix of ``window`` words
-        self.whole: list[dict | None] = [None] * n  # length -> items of fewer words that end here
-        for name, words in items:
+        n = len(self.length)
+        self.owner = array("i", [-1]) * n    # an item with the state's suffix of ``window`` words
+        self.owners: dict[int, set] = {}     # all of them, where there are several
+        self.whole: dict[int, dict] = {}     # length -> items of fewer words that end here
+        for k, words in enumerate(numbered):
             v = size = 0
             for w in words:
-                v, size = self.next[v][w], size + 1
-                if len(words) >= window and size >= window:
-                    u = self.at(v, window)
-                    self.items[u] = (self.items[u] or set()) | {name}
-            if words and len(words) < window:
-                u = self.at(v, len(words))
-                self.whole[u] = self.whole[u] or {}
-                self.whole[u].setdefault(len(words), set()).add(name)
+                v, size = self._held(self._next(v, w), size + 1)
+                if size == window:
+                    self._own(v, k)
+            if 0 < size < window:
+                self.whole.setdefault(v, {}).setdefault(size, set()).add(k)
         # The nearest state on the way to the root, itself included, where a short item ends.
-        self.short = [-1] * n
-        for v in sorted(range(1, n), key=self.length.__getitem__):
-            self.short[v] = v if self.whole[v] else self.short[self.link[v]]
-
-    def at(self, v: int, size: int) -> int:
-        """The state of the suffix with ``size`` words of state v's string."""
-        while self.length[self.link[v]] >= size:
-            v = self.link[v]
-        return v
-
-    def _new(self, length: int, trans: dict, link: int) -> int:
-        self.next.append(trans)
-        self.length.append(length)
-        self.link.append(link)
-        return len(self.next) - 1
-
-    def _split(self, p: int, q: int, w: bytes) -> int:
+        self.short = array("i", [-1]) * n
+        if self.whole:
+            for v in sorted(range(1, n), key=self.length.__getitem__):
+                self.short[v] = v if v in self.whole else self.short[self.link[v]]
+
+    def _own(self, v: int, k: int) -> None:
+        if self.owner[v] in (-1, k):
+            self.owner[v] = k
+        else:
+            self.owners.setdefault(v, {self.owner[v]}).add(k)
+
+    def _next(self, v: int, w: int) -> int:
+        """The state after word w, or -1."""
+        if self.word[v] == w:
+            return self.target[v]
+        return self.more[v].get(w, -1) if v in self.more else -1
+
+    def _point(self, v: int, w: int, to: int) -> None:
+        if self.word[v] in (-1, w):
+            self.word[v], self.target[v] = w, to
+        else:
+            self.more.setdefault(v, {})[w] = to
+
+    def _held(self, v: int, size: int) -> tuple[int, int]:
+        """The state of the last ``window`` words of a match."""
+        if size > self.window:
+            size = self.window
+            while self.length[self.link[v]] >= size:
+                v = self.link[v]
+        return v, size
+
+    def _new(self, length: int, link: int) -> int:
+        for a, x in ((self.word, -1), (self.target, 0), (self.link, link), (self.length, length)):
+            a.append(x)
+        return len(self.length) - 1
+
+    def _split(self, p: int, q: int, w: int) -> int:
         """The state for p's strings followed by w, divided from q where q also has longer ones."""
         if self.length[p] + 1 == self.length[q]:
             return q
-        clone = self._new(self.length[p] + 1, dict(self.next[q]), self.link[q])
-        while p != -1 and self.next[p].get(w) == q:
-            self.next[p][w] = clone
+        clone = self._new(self.length[p] + 1, self.link[q])
+        self.word[clone], self.target[clone] = self.word[q], self.target[q]
+        if q in self.more:
+            self.more[clone] = dict(self.more[q])
+        while p != -1 and self._next(p, w) == q:
+            self._point(p, w, clone)
             p = self.link[p]
         self.link[q] = clone
         return clone
 
-    def _extend(self, last: int, w: bytes) -> int:
-        if w in self.next[last]:
-            return self._split(last, self.next[last][w], w)
-        cur, p = self._new(self.length[last] + 1, {}, 0), last
-        while p != -1 and w not in self.next[p]:
-            self.next[p][w] = cur
+    def _extend(self, last: int, w: int) -> int:
+        q = self._next(last, w)
+        if q != -1:
+            return self._split(last, q, w)
+        cur, p = self._new(self.length[last] + 1, 0), last
+        while p != -1 and self._next(p, w) == -1:
+            self._point(p, w, cur)
             p = self.link[p]
         if p != -1:
-            self.link[cur] = self._split(p, self.next[p][w], w)
+            self.link[cur] = self._split(p, self._next(p, w), w)
         return cur
 
     def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set]:
         """Spans (first word, word after the last) covered by windows, merged, and the items met."""
-        nxt, link, length, window, short = self.next, self.link, self.length, self.window, self.short
-        spans, met, v, size = [], set(), 0, 0
-        for i, w in enumerate(words):
-            t = nxt[v].get(w)
-            if t is None:
-                while v and t is None:
-                    v = link[v]
-                    size = length[v]
-                    t = nxt[v].get(w)
-                if t is None:
-                    size = 0
-                    continue
-            v, size = t, size + 1
+        number, link, length, window, short, whole = self.number, self.link, self.length, self.window, self.short, self.whole
+        step, spans, met, v, size = self._next, [], set(), 0, 0
+        for i, text in enumerate(words):
+            w = number.get(text)
+            if w is None:  # a word of no item ends every match
+                v = size = 0
+                continue
+            t = step(v, w)
+            while t == -1 and v:
+                v = link[v]
+                size = length[v]
+                t = step(v, w)
+            if t == -1:  # pragma: no cover - every word of an item leaves the root
+                size = 0
+                continue
+            v, size = self._held(t, size + 1)
             longest = 0
-            if size >= window:
+            if size == window:
                 longest = window
-                met |= self.items[self.at(v, window)]
+                met.update(self.owners.get(v) or (self.owner[v],))
             s = short[v]
             while s > 0:
-                for m, names in self.whole[s].items():
+                for m, ids in whole[s].items():
                     if m <= size:
                         longest = max(longest, m)
-                        met |= names
+                        met |= ids
                 s = short[link[s]]
             if longest:
                 a, b = i + 1 - longest, i + 1
                 while spans and spans[-1][1] >= a:
                     a = min(a, spans.pop()[0])
                 spans.append((a, b))
-        return spans, met
+        return spans, {self.names[k] for k in met}
 
 
 def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int):
@@ -128,12 +165,22 @@ def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: i
     n = -(-total // block_bytes) or 1
     for k in range(n):
         part = items if n == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)
-        yield [(r["i"], folded(r["t"]).split()) for r in part.toLocalIterator()]
+        yield [(r["i"], folded(r["t"])) for r in part.toLocalIterator()]
+
+
+def built(items: list[tuple[str, bytes]], window: int) -> Automaton:
+    """The automaton of a block, made once per Python worker, which keeps the last one only."""
+    kept = sys.__dict__.setdefault("_automaton_of_block", {})
+    key = (window, hash(tuple(items)))
+    if key not in kept:
+        kept.clear()
+        kept[key] = Automaton([(name, raw.split()) for name, raw in items], window)
+    return kept[key]
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id",
                        item_text: str = "text", window: int = 13, keep: list[str] | None = None,
-                       block_bytes: int = 8 << 20) -> tuple[DataFrame, dict[str, str]]:
+                       block_bytes: int = 4 << 20) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` columns in ``keep`` plus, per row, the number of words, the hit words, the hit
     spans (byte offsets in the UTF-8 text, half open, with their words) and the sorted item ids.
     Returns the frame and the names the added columns got (underscored where ``keep`` clashes).
@@ -155,9 +202,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     span_type = pa.list_(pa.struct([("first", pa.int64()), ("after", pa.int64()), ("words", pa.int64())]))
 
     def step(items):
-        automaton = Automaton(items, window)
-
         def run(batches):
+            automaton = built(items, window)
             for b in batches:
                 n_words, n_hit, spans, met = [], [], [], []
                 for t, old_spans, old_met in zip(b.column(k).to_pylist(), b.column(k + 3).to_pylist(), b.column(k + 4).to_pylist()):
@@ -178,7 +224,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
                      pa.array(spans, span_type), pa.array(met, pa.list_(pa.string()))], b.schema.names)
         return run
 
-    for items in item_blocks(benchmark, item_id, item_text, block_bytes):
+    for at, items in enumerate(item_blocks(benchmark, item_id, item_text, block_bytes)):
+        if at:
+            kept = cut(kept, "decontamination-block")
         kept = kept.mapInArrow(step(items), kept.schema)
     return kept.drop(text), names
 
