@@ -13,6 +13,8 @@ of rows below its range (known from the histogram) plus the rank within the rang
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -59,11 +61,11 @@ def histogram(rows: DataFrame, probes: list[tuple[int, int]]) -> tuple[list[int]
             yield pa.RecordBatch.from_arrays([pa.array(got, pa.int64()), pa.array(total), pa.array(np.bincount(back, minlength=len(got)).astype(np.int64))],
                                              ["at", "bytes", "n"])
 
-    bins = [[0] * (len(probes) + 1) for _ in range(2)]
     found = rows.select("key", "tie", "size").mapInArrow(run, "at long, bytes long, n long")
-    for r in found.groupBy("at").agg(F.sum("bytes"), F.sum("n")).collect():
-        bins[0][r[0]], bins[1][r[0]] = r[1], r[2]
-    return tuple(np.cumsum(x)[:-1].tolist() for x in bins)
+    got = found.groupBy("at").agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n")).toArrow()
+    bins = np.zeros((2, len(probes) + 1), np.int64)
+    bins[:, got.column("at").to_numpy()] = [got.column("bytes").to_numpy(), got.column("n").to_numpy()]
+    return tuple(x.tolist() for x in bins.cumsum(axis=1)[:, :-1])
 
 
 def _between(low: tuple[int, int], high: tuple[int, int], n: int, ties: tuple[int, int]) -> list[tuple[int, int]]:
@@ -79,34 +81,46 @@ def _between(low: tuple[int, int], high: tuple[int, int], n: int, ties: tuple[in
     return sorted({(low[0], first + (last - first) * j // (n + 1)) for j in range(1, n + 1)} - {low, high, (low[0], first)}) if last > first else []
 
 
+def _near(low: tuple, high: tuple, target: float, allowed: float) -> list[tuple[int, int]]:
+    """Keys around the place where the target lies if bytes are spread evenly over the bracket (keys are
+    hashes, so they mostly are): the place itself and half the tolerance to either side."""
+    gap, span = high[0][0] - low[0][0], high[1] - low[1]
+    at = [low[0][0] + int(gap * (target + d - low[1]) / span) for d in (-allowed / 2, 0, allowed / 2)] if span else []
+    return [(k, LOW) for k in at if low[0] < (k, LOW) < high[0]]
+
+
 def find_splitters(rows: DataFrame, parts: int, tight: int, tolerance: float = 0.002,
                    probes: int = 4096) -> tuple[list[tuple[int, int]], list[int]]:
     """``parts - 1`` splitters of equal bytes and the number of rows below each.
 
-    Every ``tight``-th splitter (a shard's) is refined to ``tolerance`` of a shard's bytes, the
-    others to a quarter of their own range. A round asks about ``probes`` boundaries, at least a
-    few per open splitter; the driver holds one bracket per splitter.
+    Every ``tight``-th splitter (a shard's) is refined to ``tolerance`` of a shard's bytes, and all
+    to a quarter of a range. A round asks about ``probes`` boundaries, or a few per
+    open splitter, spread over its bracket and around its expected place; the driver holds one
+    bracket per splitter and moves it by binary search among the round's boundaries.
     """
     total, count, first, last, *ties = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*"), *[
         F.coalesce(f(c), F.lit(0)) for c in ("key", "tie") for f in (F.min, F.max)]).first()
     low = [((first, LOW), 0, 0)] * (parts - 1)
     high = [((last, HIGH), total, count)] * (parts - 1)
     target = [total * (i + 1) / parts for i in range(parts - 1)]
-    allowed = [tolerance * total * tight / parts if (i + 1) % tight == 0 else total / parts / 4 for i in range(parts - 1)]
-    done = lambda i: min(target[i] - low[i][1], high[i][1] - target[i]) <= allowed[i]
+    allowed = [min(total / parts / 4, tolerance * total * tight / parts if (i + 1) % tight == 0 else total) for i in range(parts - 1)]
+    still = range(parts - 1)
     while True:
-        brackets = {(low[i][0], high[i][0]) for i in range(parts - 1) if not done(i)}
-        each = max(12, probes // max(1, len(brackets)))
-        asked = sorted({p for b in brackets for p in _between(*b, each, tuple(ties))})
+        still = [i for i in still if min(target[i] - low[i][1], high[i][1] - target[i]) > allowed[i]]
+        brackets = {(low[i][0], high[i][0]) for i in still}
+        each = max(3, probes // max(1, len(brackets)))
+        asked = sorted({p for b in brackets for p in _between(*b, each, tuple(ties))} | {
+            p for i in still for p in _near(low[i], high[i], target[i], allowed[i])})
         if not asked:
             break
-        points = [(p, b, n) for p, b, n in zip(asked, *histogram(rows, asked))]
-        for i in range(parts - 1):
-            if done(i):
-                continue
-            low[i] = max([low[i], *(x for x in points if x[1] <= target[i] and x[0] < high[i][0])], key=lambda x: x[0])
-            high[i] = min([high[i], *(x for x in points if x[1] > target[i] and x[0] > low[i][0])], key=lambda x: x[0])
-    best = [lo if t - lo[1] <= hi[1] - t else hi for lo, hi, t in zip(low, high, target)]
+        below, n = histogram(rows, asked)
+        for i in still:
+            at = bisect_right(below, target[i])
+            if at and asked[at - 1] > low[i][0]:
+                low[i] = (asked[at - 1], below[at - 1], n[at - 1])
+            if at < len(asked) and asked[at] < high[i][0]:
+                high[i] = (asked[at], below[at], n[at])
+    best = sorted(lo if t - lo[1] <= hi[1] - t else hi for lo, hi, t in zip(low, high, target))
     return [b[0] for b in best], [b[2] for b in best]
 
 
@@ -130,19 +144,21 @@ def write_shards(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_
     pk, pt = (np.array(x, np.int64) for x in zip(*splitters))
     first = np.array([0, *below], np.int64)
 
-    @F.pandas_udf("long")
-    def range_of(key: pd.Series, tie: pd.Series) -> pd.Series:
-        return pd.Series(_below(key.to_numpy(), tie.to_numpy(), (pk, pt)))
+    @F.pandas_udf("range long, before long")
+    def range_of(key: pd.Series, tie: pd.Series) -> pd.DataFrame:
+        at = _below(key.to_numpy(), tie.to_numpy(), (pk, pt))
+        return pd.DataFrame({"range": at, "before": first[at] - first[at // per * per]})
 
     names = {}
     for k in ("slot", "shard", "range", "row"):
         names[k] = free_name([*docs.columns, *names.values()], k)
     shard, part, whole = names["shard"], names["range"], names["row"]
-    before = F.array(*[F.lit(int(first[r] - first[r // per * per])) for r in range(shards * per)])
     placed = (sized(docs, id_col, text_col, [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(whole)])
-              .withColumn(part, range_of("key", "tie")).withColumn(shard, F.floor(F.col(part) / per).cast("int")))
+              .withColumn("at", range_of("key", "tie")).withColumn(part, F.col("at.range"))
+              .withColumn(shard, F.floor(F.col(part) / per).cast("int")))
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // (4 * range_bytes)))
     rank = F.row_number().over(Window.partitionBy(shard, part).orderBy("key", "tie", "size"))
-    out = (placed.withColumn(names["slot"], F.get(before, F.col(part)) + rank - 1)
+    out = (placed.repartition(tasks, shard, part).withColumn(names["slot"], F.col("at.before") + rank - 1)
            .select(f"{whole}.*", *[names[k] for k in ("slot", "shard", "range")]))
     path = path or fresh_path(docs.sparkSession, "shards")
     out.write.option("compression", "zstd").partitionBy(shard, part).parquet(path)
