@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import crc_fold, cut
+from contrail.llm.common import crc_fold, cut, field
 
 GRAIN = 8  # log2 grid of the estimates' ratios in the held-out table: steps of 1/8
 ROW = "kind string, shard int, block long, a binary, b binary, c binary, d binary, n long"
@@ -33,7 +33,7 @@ ARROW = pa.schema([("kind", pa.string()), ("shard", pa.int32()), ("block", pa.in
 
 def planes(x: np.ndarray) -> bytes:
     """Compressed bytes of whole numbers: all first bytes, then all second bytes, ..."""
-    return zstandard.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes(), 1)
+    return zstandard.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.dtype.itemsize).T).tobytes(), 1)
 
 
 def unplanes(raw: bytes, kind) -> np.ndarray:
@@ -42,6 +42,16 @@ def unplanes(raw: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(-1, n).T).view(kind).reshape(n)
 
 
+def counted(x: np.ndarray) -> bytes:
+    """Compressed counts: four bytes each, eight where one of them needs more."""
+    wide = len(x) and int(x.max()) >> 32
+    return (b"8" if wide else b"4") + planes(x.astype(np.uint64 if wide else np.uint32))
+
+
+def uncounted(raw: bytes) -> np.ndarray:
+    return unplanes(raw[1:], np.uint64 if raw[:1] == b"8" else np.uint32)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambler of 64-bit values."""
     x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
@@ -60,8 +70,8 @@ class Block:
 
     END = xxhash.xxh64_intdigest(b"\n", 7)  # no word is a line feed
 
-    def __init__(self):
-        self.words, self.tokens, self.rows, self.size = {b"\n": 0}, [], [], 0
+    def __init__(self, id_type: pa.DataType):
+        self.id_type, self.words, self.tokens, self.rows, self.size = id_type, {b"\n": 0}, [], [], 0
 
     def add(self, row: tuple, text: str | None) -> None:
         number = self.words
@@ -95,7 +105,7 @@ class Block:
                 lo, hi = bounds[s], bounds[s + 1]
                 yield (kind, s, block, planes(np.diff(h[lo:hi], prepend=np.uint64(0))), planes(retained[lo:hi]), planes(held[lo:hi]),
                        int(lo).to_bytes(8, "little"), hi - lo)
-        docs = pa.RecordBatch.from_arrays([pa.array([r[0] for r in self.rows], pa.int64()), pa.array([r[1] for r in self.rows], pa.int32()),
+        docs = pa.RecordBatch.from_arrays([pa.array([r[0] for r in self.rows], self.id_type), pa.array([r[1] for r in self.rows], pa.int32()),
                                            pa.array([r[2] for r in self.rows], pa.int64())], ["id", "fold", "n"])
         yield ("b", block % shards, block, planes(token), planes(by_hash), None, as_bytes(docs), len(hashes))
 
@@ -120,15 +130,16 @@ def as_bytes(b: pa.RecordBatch) -> bytes:
 
 def ask(shards: int, block_tokens: int):
     def run(batches):
-        part, count, block = TaskContext.get().partitionId(), 0, Block()
+        part, count, block = TaskContext.get().partitionId(), 0, None
         for b in batches:
+            block = block or Block(b.schema.field(0).type)
             for key, fold, text in zip(*(b.column(k).to_pylist() for k in range(3))):
                 block.add((key, fold), text)
                 if block.size >= block_tokens:
                     for r in block.requests(part << 32 | count, shards):
                         yield batch([r])
-                    count, block = count + 1, Block()
-        if block.size:
+                    count, block = count + 1, Block(block.id_type)
+        if block and block.size:
             for r in block.requests(part << 32 | count, shards):
                 yield batch([r])
     return run
@@ -150,7 +161,7 @@ def answer(key, table):
         for r in asked:
             mine = at[lo:lo + r["n"]]
             lo += r["n"]
-            out.append((kind, r["shard"], r["block"], planes(total[0][mine].astype(np.uint32)), planes(total[1][mine].astype(np.uint32)),
+            out.append((kind, r["shard"], r["block"], counted(total[0][mine]), counted(total[1][mine]),
                         r["a"] if kind == "w" else None, r["d"], r["n"]))
         if kind == "w":
             known = (total.sum(axis=0) > 0).sum()
@@ -179,24 +190,24 @@ def gather(key, table):
             hashes[by_hash[lo:lo + r["n"]]] = np.cumsum(unplanes(r["c"], np.uint64), dtype=np.uint64)
     pair, _ = pairs_of(token, len(hashes))
     order = {"w": by_hash, "p": np.argsort(pair_hashes(pair, hashes), kind="stable")}
-    count = {k: np.zeros((2, len(o)), np.uint32) for k, o in order.items()}
-    for r in rows:
-        if r["kind"] in "wp":
-            lo = int.from_bytes(r["d"], "little")
-            at = order[r["kind"]][lo:lo + r["n"]]
-            count[r["kind"]][0][at], count[r["kind"]][1][at] = unplanes(r["a"], np.uint32), unplanes(r["b"], np.uint32)
-    return pa.Table.from_batches([batch([("b", own["shard"], own["block"], own["a"], planes(count["p"].reshape(-1)), planes(count["w"].reshape(-1)), own["d"], own["n"])])])
+    count = {}
+    for kind, o in order.items():
+        got = [(int.from_bytes(r["d"], "little"), r["n"], uncounted(r["a"]), uncounted(r["b"])) for r in rows if r["kind"] == kind]
+        count[kind] = np.zeros((2, len(o)), np.result_type(np.uint32, *(x.dtype for g in got for x in g[2:])))
+        for lo, n, retained, held in got:
+            count[kind][:, o[lo:lo + n]] = retained, held
+    return pa.Table.from_batches([batch([("b", own["shard"], own["block"], own["a"], counted(count["p"].reshape(-1)), counted(count["w"].reshape(-1)), own["d"], own["n"])])])
 
 
-def opened(row: dict) -> tuple[np.ndarray, np.ndarray, dict]:
+def opened(row: dict) -> tuple[np.ndarray, np.ndarray, pa.Table]:
     """(pair of each token, six counts per pair, rows): counts of the pair, its context and its
     word, first in the retained, then in the held-out fold."""
     pair, at = pairs_of(unplanes(row["a"], np.uint32), row["n"])
-    p, w = unplanes(row["b"], np.uint32).reshape(2, -1), unplanes(row["c"], np.uint32).reshape(2, -1)
+    p, w = uncounted(row["b"]).reshape(2, -1), uncounted(row["c"]).reshape(2, -1)
     first, second = pair // row["n"], pair % row["n"]
     six = np.stack([p[0], w[0][first], w[0][second], p[1], w[1][first], w[1][second]]).astype(np.float64)
     with pa.ipc.open_stream(row["d"]) as r:
-        return at, six, r.read_all().to_pydict()
+        return at, six, r.read_all()
 
 
 def held_out_table(tokens: int, words: int):
@@ -205,7 +216,7 @@ def held_out_table(tokens: int, words: int):
         for b in batches:
             for row in b.to_pylist():
                 at, six, d = opened(row)
-                fold = np.repeat(np.array(d["fold"], np.uint8), d["n"])
+                fold = np.repeat(d.column("fold").to_numpy(), d.column("n").to_numpy())
                 n = np.bincount(at[fold == 2], minlength=six.shape[1])
                 with np.errstate(divide="ignore", invalid="ignore"):
                     two = np.round(GRAIN * np.log2(six[0] / six[1] * (words + 1)))
@@ -245,13 +256,13 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
 
     Rows whose crc fold is ``unseen_fold`` are never learned from; those of ``tuning_fold`` are
     the held-out counts of the interpolation weights (and count in the final estimates).
-    Defined cases: NULL and empty texts are one end token; a NULL id folds as the empty text;
+    Ids may have any type; counts are exact up to 2^63. Defined cases: NULL and empty texts are one end token; a NULL id folds as the empty text;
     repeated rows count and come out as often as they are there; with no training rows every
     estimate is uniform over one unknown word; an empty table gives an empty result.
     Extra columns are not read.
     """
     fold = crc_fold(id_col, folds)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.when(fold == unseen_fold, 0).when(fold == tuning_fold, 2).otherwise(1).alias("fold"),
+    rows = docs.select(F.col(id_col).alias("id"), F.when(fold == unseen_fold, 0).when(fold == tuning_fold, 2).otherwise(1).alias("fold"),
                        F.col(text_col).alias("t"))
     size = docs.agg(F.coalesce(F.sum(F.octet_length(F.col(text_col))), F.lit(0))).first()[0]
     shards = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // shard_bytes))
@@ -278,13 +289,13 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fold
                 w = np.where((context > 0)[:, None], w, unseen)
                 p = w[:, 0] * pair / np.maximum(context, 1) + w[:, 1] * word / max(total, 1) + w[:, 2] / (words + 1)
                 base = np.log10((word + 0.5) / (total + 0.5 * (words + 1)))
-                start = np.concatenate([[0], np.cumsum(d["n"])[:-1]]).astype(np.int64)
+                start = np.concatenate([[0], np.cumsum(d.column("n").to_numpy())[:-1]]).astype(np.int64)
                 add = lambda x: np.add.reduceat(x[at], start)  # noqa: E731, B023
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(d["id"], pa.int64()), pa.array(np.array(d["fold"]) == 0), pa.array(d["n"], pa.int64()),
+                    [d.column("id").combine_chunks(), pa.array(d.column("fold").to_numpy() == 0), d.column("n").combine_chunks(),
                      pa.array(add((word > 0).astype(np.int64))), pa.array(np.full(len(start), total, np.int64)),
                      pa.array(add(base)), pa.array(add(np.log10(p)))],
                     ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return blocks.mapInArrow(run, "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double") \
+    return blocks.mapInArrow(run, f"{field(docs, id_col, 'id')}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double") \
         .withColumnRenamed("id", id_col)
