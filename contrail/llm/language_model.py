@@ -38,8 +38,9 @@ def planes(x: np.ndarray) -> bytes:
 
 def unplanes(raw: bytes, kind) -> np.ndarray:
     raw = zstandard.decompress(raw)
-    n = len(raw) // np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(-1, n).T).view(kind).reshape(n)
+    size = np.dtype(kind).itemsize
+    n = len(raw) // size
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, n).T).view(kind).reshape(n)
 
 
 def counted(x: np.ndarray) -> bytes:
