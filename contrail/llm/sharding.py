@@ -156,9 +156,11 @@ def write_shards(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_
     placed = (sized(docs, id_col, text_col, [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(whole)])
               .withColumn("at", range_of("key", "tie")).withColumn(part, F.col("at.range"))
               .withColumn(shard, F.floor(F.col(part) / per).cast("int")))
-    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // (4 * range_bytes)))
-    rank = F.row_number().over(Window.partitionBy(shard, part).orderBy("key", "tie", "size"))
-    out = (placed.repartition(tasks, shard, part).withColumn(names["slot"], F.col("at.before") + rank - 1)
+    # Ranges are dealt in turn, so no task gets more than its share of them.
+    tasks = min(shards * per, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // (4 * range_bytes))))
+    task = (F.col(part) % tasks).cast("int")
+    rank = F.row_number().over(Window.partitionBy("task", shard, part).orderBy("key", "tie", "size"))
+    out = (placed.withColumn("task", task).repartitionById(tasks, F.col("task")).withColumn(names["slot"], F.col("at.before") + rank - 1)
            .select(f"{whole}.*", *[names[k] for k in ("slot", "shard", "range")]))
     path = path or fresh_path(docs.sparkSession, "shards")
     out.write.option("compression", "zstd").partitionBy(shard, part).parquet(path)
