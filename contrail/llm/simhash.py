@@ -93,8 +93,12 @@ def within_budgets(x: Column, start: Column, max_distance: int) -> Column:
 def links(nodes: DataFrame, max_distance: int = 2, max_bucket: int = 64) -> DataFrame:
     """(fp, node) with different fps -> edges (u, v) that connect exactly the fps linked at
     ``max_distance`` or fewer bits (within an oversized bucket through its smallest members)."""
-    if max_distance < 2 or max_distance % 2:
-        raise ValueError("max_distance must be a positive even number of bits")
+    if max_distance < 0:
+        raise ValueError("max_distance must not be negative")
+    if not max_distance:  # different fingerprints are never linked
+        return nodes.select(F.col("node").alias("u"), F.col("node").alias("v")).where(F.lit(False))
+    # Two fingerprints within t bits have a centre within floor(t / 2) of one and ceil(t / 2) of the other.
+    close, far = max_distance // 2, (max_distance + 1) // 2
     masks = segments(max_distance)
     m = len(masks)
     pair = [masks[i] | masks[(i + 1) % m] for i in range(m)]
@@ -114,13 +118,14 @@ def links(nodes: DataFrame, max_distance: int = 2, max_bucket: int = 64) -> Data
     near = None
     for i, p in enumerate(pair):
         free = [1 << k for k in range(BITS) if not p >> k & 1]
-        flips = [_signed(sum(c)) for r in range(max_distance // 2 + 1) for c in combinations(free, r)]
+        flips = [_signed(sum(c)) for r in range(far + 1) for c in combinations(free, r)]
         lit = F.array(*[F.lit(f).cast("long") for f in flips])
         near = F.when(F.col("start") == i, lit) if near is None else near.when(F.col("start") == i, lit)
     stars = (shared.where(F.col("n") > max_bucket)
              .select("node", "start", "fp", F.explode(near).alias("flip"))
              .groupBy("start", F.col("fp").bitwiseXOR(F.col("flip")).alias("centre"))
-             .agg(F.collect_list("node").alias("members"), F.min("node").alias("u")).where(F.size("members") > 1)
+             .agg(F.collect_list("node").alias("members"), F.min(F.when(F.bit_count("flip") <= close, F.col("node"))).alias("u"))
+             .where(F.col("u").isNotNull() & (F.size("members") > 1))
              .select("u", F.explode("members").alias("v")).where("u != v"))
     return pairs.unionByName(stars).distinct()
 

@@ -4,8 +4,9 @@ import random
 import time
 
 import numpy as np
+import pytest
 
-from contrail.llm import decontaminate, sharding
+from contrail.llm import decontaminate, packing, sharding, simhash
 
 
 def brute_windows(items, words, window):
@@ -95,3 +96,46 @@ def test_shards_within_the_tolerance(spark, docs):
     assert len(out) == len(rows) and abs(size / size.mean() - 1).max() < 0.004 + 400 / size.mean()
     for s in range(4):
         assert sorted(r.slot for r in out if r.shard == s) == list(range(sum(r.shard == s for r in out)))
+
+
+@pytest.mark.parametrize("distance,max_bucket", [(0, 1), (1, 1), (1, 64), (3, 1), (3, 64), (4, 1)])
+def test_simhash_links_at_any_distance(spark, distance, max_bucket):
+    rnd = random.Random(distance)
+    fps = {0}
+    while len(fps) < 60:
+        x = rnd.choice([0, rnd.choice(sorted(fps)), rnd.getrandbits(64)])
+        for _ in range(rnd.randint(0, 4)):
+            x ^= 1 << rnd.randrange(64)
+        fps.add(x)
+    fps = sorted(fps)
+    nodes = spark.createDataFrame([(simhash._signed(x), i) for i, x in enumerate(fps)], "fp long, node long")
+    found = {frozenset((r.u, r.v)) for r in simhash.links(nodes, distance, max_bucket).collect()}
+    root = {i: i for i in range(len(fps))}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(fps):
+        for j, b in enumerate(fps[:i]):
+            if (a ^ b).bit_count() <= distance:
+                root[max(top(i), top(j))] = min(top(i), top(j))
+    want = [top(i) for i in range(len(fps))]
+    assert all((fps[min(p)] ^ fps[max(p)]).bit_count() <= distance for p in found)
+    root = {i: i for i in range(len(fps))}
+    for p in found:
+        a, b = sorted((top(min(p)), top(max(p))))
+        root[b] = a
+    assert [top(i) for i in range(len(fps))] == want
+
+
+def test_a_window_in_which_a_queue_runs_dry_keeps_the_others_deficits():
+    plan = packing.Schedule([100, 50_000, 50_000], [333, 333, 334], 1000)
+    served = [[0] * 98, [0] * 98]
+    for q in (1, 2):
+        for _, n, at in plan.slices(q, 0, 40_000):
+            served[q - 1][at // 1000] += n
+    both = np.cumsum(served, axis=1)[:, 1:75]
+    share = 333 / 667
+    assert np.abs(both[0] / both.sum(axis=0) - share).max() < 0.001
