@@ -140,17 +140,10 @@ class Schedule:
                     carry[j] = (c[k + 1] * lo + owed[k + 1]) % ONE - (c[k] * lo + owed[k]) % ONE
                 at += lo * window
                 continue
-            want = given(1)  # one window in which some queue runs dry
-            take = [min(n, g) for n, g in zip(left, want)]
-            spare = min(window, sum(left)) - sum(take)
-            for k in sorted(range(len(live)), key=lambda k: -share[k]):
-                more = min(spare, left[k] - take[k])
-                take[k] += more
-                spare -= more
+            take, carry = self._dry_window(live, share, left, carry)
             self.stretches.append((1, at, live, [served[j] for j in live], None, None, take))
             for j, q in zip(live, take):
                 served[j] += q
-                carry[j] = 0
             at += sum(take)
         self.total = at
         self.queues = [[] for _ in tokens]  # per queue: (tokens served before, stretch, position)
@@ -158,6 +151,28 @@ class Schedule:
             for k, j in enumerate(live):
                 self.queues[j].append((before[k], s, k))
 
+    def _dry_window(self, live: list[int], share: list[int], left: list[int], carry: list[int]) -> tuple[list[int], list[int]]:
+        """One window in which some queue runs dry: (tokens per live queue, new carries). What dry queues
+        leave is dealt again among the others by their shares; fractions of tokens stay owed."""
+        take, owed, rest, room = [0] * len(live), [0] * len(carry), list(range(len(live))), min(self.window, sum(left))
+        while rest:
+            total = sum(share[k] for k in rest)
+            dry = [k for k in rest if room * share[k] // total >= left[k]]
+            if not dry:
+                break
+            for k in dry:
+                take[k] = left[k]
+            room -= sum(left[k] for k in dry)
+            rest = [k for k in rest if not take[k] or take[k] < left[k]]
+        for k in rest:
+            quota = (room * share[k] << SHIFT) // total
+            take[k], owed[live[k]] = quota >> SHIFT, quota % ONE + carry[live[k]]
+        spare = room - sum(take[k] for k in rest)
+        for k in sorted(rest, key=lambda k: (-owed[live[k]], k))[:spare]:
+            take[k] += 1
+            owed[live[k]] = max(0, owed[live[k]] - ONE)
+        return take, [x % ONE for x in owed]
+
     def slices(self, queue: int, start: int, length: int):
         """(start in queue, length, global position) of the slices that hold these tokens."""
         own = self.queues[queue]
@@ -308,7 +323,8 @@ def pack(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str
     placed = (rows.alias("r").join(bases.alias("b"), F.col("r.source").eqNullSafe(F.col("b.source")) & (F.col("r.part") == F.col("b.part")))
               .select("r.id", "r.source", "r.ids", "r.tokens", (F.col("r.start") + F.col("b.base")).alias("at"), "b.queue", *(["b.member"] if pools else [])))
     if pools:
-        placed = placed.join(F.broadcast(groups.select(F.col("group").alias("queue"), "members")), "queue", "left")
+        # The groups are stored, so Spark knows their size: it broadcasts them while they are small.
+        placed = placed.join(groups.select(F.col("group").alias("queue"), "members"), "queue", "left")
     out = placed.mapInArrow(cut_up, f"{field(docs, id_col, 'id')}, source string, start long, length long, ids_crc32 long, doc_tokens long, "
                                     f"sequence_id long, offset long{', ids binary' if with_ids else ''}")
     return out.withColumnRenamed("id", free_name([c for c in out.columns if c != "id"], id_col))
