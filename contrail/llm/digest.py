@@ -109,7 +109,8 @@ def with_next(docs: DataFrame, id_col: str, text_col: str, partitions: int | Non
                     F.struct(F.try_element_at(also, F.col("at")).alias("range"), F.lit(True).alias("extra")))
     dealt = (ranged.select("id", "text", "at", F.explode(homes).alias("h")).where("h.range is not null")
              .select("h.range", "h.extra", "id", "text", "at"))
-    return dealt.repartition(n, "range").sortWithinPartitions("range", "extra", "at", "text")
+    # Ranges are dealt in turn (they number at most ``n``): a task has one, whatever their hashes.
+    return dealt.repartitionById(n, F.pmod("range", F.lit(n)).cast("int")).sortWithinPartitions("range", "extra", "at", "text")
 
 
 def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
