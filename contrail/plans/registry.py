@@ -172,6 +172,18 @@ def _q6(t: Tables) -> DataFrame:
     return I.q6_top3_models_by_country(t.flights, t.airports)
 
 
+@register("q6_top3_models_by_airline_country", with_ctes("fx_flights", "fx_airline_homes") + """
+SELECT country_origin, aircraft_code, count_model, rank FROM (
+  SELECT country_origin, aircraft_code, CAST(count(*) AS BIGINT) AS count_model,
+         CAST(row_number() OVER (PARTITION BY country_origin ORDER BY count(*) DESC, aircraft_code ASC) AS INTEGER) AS rank
+  FROM fx_flights f JOIN (SELECT airline_icao, min(country) AS country_origin FROM fx_airline_homes GROUP BY airline_icao) h
+    ON f.airline_icao = h.airline_icao
+  WHERE aircraft_code IS NOT NULL AND country_origin IS NOT NULL
+  GROUP BY country_origin, aircraft_code) t WHERE rank <= 3""")
+def _q6_airline(t: Tables) -> DataFrame:
+    return I.q6_top3_models_by_country(t.flights, None, country_of="airline", airlines=t.airline_homes)
+
+
 # ------------------------------------------------------------------ geo
 
 @register("continent_assign", with_ctes("cont") + "SELECT * FROM cont")

@@ -35,6 +35,11 @@ SELECT 'overlap' AS zone_name, 5 AS zone_order, cast(10 AS double) AS tl_y, cast
 SELECT concat('I', cast(s_suppkey % 37 AS varchar(8))) AS airline_iata,
        concat('K', cast(s_suppkey % 40 AS varchar(8))) AS airline_icao, s_name AS airline_name
 FROM {supplier}""",
+    # The airlines' home countries, for feeds that carry them; an ICAO code of several airlines
+    # has several, of which the first in order counts.
+    "fx_airline_homes": """
+SELECT concat('K', cast(s_suppkey % 40 AS varchar(8))) AS airline_icao, n_name AS country
+FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey""",
     "fx_flights": """
 SELECT o_orderkey AS id,
        concat('I', cast(o_custkey % 45 AS varchar(8))) AS airline_iata,
@@ -104,6 +109,10 @@ class Tables:
     def airlines(self) -> DataFrame:
         return self._fixture("fx_airlines")
 
+    @property
+    def airline_homes(self) -> DataFrame:
+        return self._fixture("fx_airline_homes")
+
     @property
     def zones(self) -> DataFrame:
         return self._fixture("fx_zones")
