@@ -87,9 +87,10 @@ def airline_bridge(flights: DataFrame, airlines: DataFrame, active_only: bool =
 
 
 def airline_bridge_by_union(flights: DataFrame, airlines: DataFrame, active_only: bool = True) -> DataFrame:
-    """Same result written as the two lookups unioned and de-duplicated per id."""
+    """Same result written as the two lookups unioned and de-duplicated per id. Each lookup meets one airline
+    per code, its first, so a flight has at most two candidates, however many airlines share its codes."""
     f, dictionary = _chosen_from(flights, active_only), airline_dictionary(airlines)
-    match = lambda code: f.select("id", code).join(dictionary.select(code, "airline_rank"), code, "inner")
+    match = lambda code: f.select("id", code).join(_best_rank_per(dictionary, code, code, "airline_rank"), code, "inner")
     by_icao = match("airline_icao").select("id", F.col("airline_rank").alias("_choice"))
     by_iata = match("airline_iata").select("id", (F.col("airline_rank") + F.lit(IATA_ONLY)).alias("_choice"))
     return with_airline(union_dedup([by_icao, by_iata], ["id"], ["_choice"]), dictionary, "_choice")
