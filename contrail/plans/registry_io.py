@@ -408,6 +408,7 @@ __all__ = ["STATUS_SCHEMA", "SILVER", "RUN_TS"]
 # ------------------------------------------------------------------ the polling loop as a stream
 
 POLLS = 3  # the fixture's flights land as this many polls, ten seconds apart
+POLL_FILE_ROWS = 250_000  # about the rows of one landed file: a large poll lands in many, so no task writes it alone
 _POLL = f"CAST(year(snapshot_ts) % {POLLS} AS INTEGER)"
 
 
@@ -425,22 +426,25 @@ def _stream_runs_oracle() -> str:
 @register("stream_runs", _stream_runs_oracle())
 def _stream_runs(t: Tables) -> DataFrame:
     """Polls ten seconds apart, all seven datasets and their Gold files per poll. The first poll lands alone and meets
-    broken zones: two datasets fail and the next drain runs them again. The second lands in three files, read one file
-    a micro-batch, and runs once. Returns the Gold rows, how often a poll ran, and what failed at first."""
+    broken zones: two datasets fail and the next drain runs them again. The second lands in three times as many files
+    as the others (one each, more where a poll is large), is read in three micro-batches and runs once. Returns the
+    Gold rows, how often a poll ran, and what failed at first."""
     from contrail.streaming.runs import stream_runs
     spark = t.spark
     land, base, ck = (fresh_path(spark, n) for n in ("landing/polls", "stream_runs", "checkpoint/stream_runs"))
     polls = t.flights.withColumns({"_p": F.expr(_POLL), "snapshot_ts": F.expr(f"timestampadd(SECOND, 10 * {_POLL}, timestamp_ntz'{RUN_TS}')")})
 
+    wave = -(-t.raw("orders").count() // (POLLS * POLL_FILE_ROWS)) or 1  # files of a micro-batch; a count of the files' footers
+
     def land_poll(p: int, files: int) -> None:
         polls.where(F.col("_p") == p).drop("_p").repartition(files).write.mode("append").options(**JSON_OPTIONS).json(land)
 
     broken = t.zones.withColumn("tl_y", F.raise_error(F.lit("broken feed")).cast("double"))
-    land_poll(0, 1)
+    land_poll(0, wave)
     first = stream_runs(spark, land, Inputs(None, t.airlines, t.airports, broken, t.models), base, ck)
     for p in range(1, POLLS):
-        land_poll(p, 3 if p == 1 else 1)
-    rest = stream_runs(spark, land, Inputs(None, t.airlines, t.airports, t.zones, t.models), base, ck, max_files_per_trigger=1)
+        land_poll(p, 3 * wave if p == 1 else wave)
+    rest = stream_runs(spark, land, Inputs(None, t.airlines, t.airports, t.zones, t.models), base, ck, max_files_per_trigger=wave)
 
     times = {p: RUN_TS + dt.timedelta(seconds=10 * p) for p in range(POLLS)}
     number = F.create_map(*[F.lit(x) for p, ts in times.items() for x in (run_id(ts), p)])[F.col("poll")].alias("poll")

@@ -32,6 +32,7 @@ from contrail.sources.layers import RUN_ID, VERSION, delete, exists, layer_path,
 from contrail.streaming.ingest import run_to_sink_batches, snapshot_stream
 
 PART = "part"
+OPEN_FILES = 4  # a split of a landed file has rows of one poll or a few
 POLL_STATUS = T.StructType([T.StructField("poll", T.StringType()), *STATUS_SCHEMA.fields])
 
 
@@ -66,7 +67,9 @@ def _land_batch(spark: SparkSession, batch: DataFrame, base: str, poll_col: str)
     """Bronze and quarantine rows of one micro-batch; returns its polls with their rows."""
     stage = f"{base.rstrip('/')}/_staging/{uuid.uuid4().hex}"
     batch.write.parquet(stage)  # the one pass over the landed JSON
-    staged = spark.read.schema(batch.schema).parquet(stage)
+    # The stream's own session: a task keeps a few files open and sorts its rows only if they go to more.
+    batch.sparkSession.conf.set("spark.sql.maxConcurrentOutputFileWriters", OPEN_FILES)
+    staged = batch.sparkSession.read.schema(batch.schema).parquet(stage)
     bad = F.col(CORRUPT_COL).isNotNull() | F.col("id").isNull() | F.col(poll_col).isNull()
     write_layer(staged.where(bad), layer_path(base, "quarantine", "flights"), partition_cols=[PART])
 

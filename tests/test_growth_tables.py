@@ -1,8 +1,14 @@
-"""Work that must grow no faster than the tables: airlines that share codes."""
+"""Work that must grow no faster than the tables: airlines that share codes, polls of many rows."""
+
+from pyspark.sql import functions as F
 
 from contrail import schemas as SCH
 from contrail.operators import bridge as B
-from tests.conftest import rows
+from contrail.plans import registry_io
+from contrail.plans.catalog import QUERIES
+from contrail.sources.snapshots import JSON_OPTIONS
+from contrail.streaming import runs
+from tests.conftest import SF_SMALL, rows
 
 
 def test_a_flight_has_two_candidates_however_many_airlines_share_its_codes(spark, monkeypatch):
@@ -14,3 +20,26 @@ def test_a_flight_has_two_candidates_however_many_airlines_share_its_codes(spark
     got = B.airline_bridge_by_union(flights, airlines)
     assert rows(got) == rows(B.airline_bridge(flights, airlines)) and got.count() > 0
     assert 0 < seen[0] <= 2 * 100
+
+
+def test_a_large_poll_lands_in_many_files_and_runs_once(spark, monkeypatch):
+    lands, sessions, land_batch, fresh = [], [], runs._land_batch, registry_io.fresh_path
+
+    def noted(s, name):
+        path = fresh(s, name)
+        if name == "landing/polls":
+            lands.append(path)
+        return path
+
+    monkeypatch.setattr(registry_io, "POLL_FILE_ROWS", 250)
+    monkeypatch.setattr(registry_io, "fresh_path", noted)
+    monkeypatch.setattr(runs, "_land_batch", lambda *a: sessions.append(a[1].select("part").distinct().count()) or land_batch(*a))
+    got = QUERIES["stream_runs"](spark, SF_SMALL)
+    assert sorted((r.poll, r.value) for r in got.where("dataset = 'runs'").collect()) == [(0, 1.0), (1, 1.0), (2, 1.0)]
+    # 1 500 orders, so two files for the first and last poll and thrice as many, in three micro-batches, for the second
+    polls = spark.read.schema(SCH.FLIGHTS).options(**JSON_OPTIONS).json(lands[0])
+    files = {str(r[0])[-2:]: r[1] for r in polls.groupBy("snapshot_ts").agg(F.count_distinct(F.col("_metadata.file_path"))).collect()}
+    assert files == {"00": 2, "10": 6, "20": 2}
+    assert sessions == [2] * 5
+    # the setting of the writes is the stream's alone
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
